@@ -33,13 +33,16 @@ def parse_trade_ts(date_col, time_col) -> Column:
 
 
 def share_of(id_col) -> Column:
-    """First ``.``-separated token of a tick id (``AAA`` of ``AAA.FR``)."""
-    return F.nullif(F.split(_c(id_col), r"\.")[0], F.lit(""))
+    """First ``.``-separated token of a tick id (``AAA`` of ``AAA.FR``); NULL when empty."""
+    return F.nullif(F.substring_index(_c(id_col), ".", 1), F.lit(""))
 
 
 def region_of(id_col) -> Column:
-    """Second ``.``-separated token of a tick id; NULL when there is none or it is empty."""
-    return F.nullif(F.try_element_at(F.split(_c(id_col), r"\."), F.lit(2)), F.lit(""))
+    """Second ``.``-separated token of a tick id (``FR`` of ``AAA.FR``, ``B`` of ``A.B.C``); NULL when
+    there is no ``.`` or the token is empty. Plain substring search, no regex per row."""
+    i = _c(id_col)
+    second = F.substring_index(F.substring_index(i, ".", 2), ".", -1)
+    return F.when(F.instr(i, ".") > 0, F.nullif(second, F.lit("")))
 
 
 def delay_ms(wallclock, trade) -> Column:

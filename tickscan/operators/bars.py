@@ -60,16 +60,29 @@ def bars(ticks: DataFrame, window: str = "1 minute", offset: str | None = None,
     Output: ``symbol, window_start, window_end, w, close, trade_timestamp, ticks`` where ``w`` is
     the window index used by the EMA scan.
     """
-    win = F.window("trade_timestamp", window, window, offset) if offset else F.window("trade_timestamp", window)
-    out = (ticks.groupBy(F.col(key).alias("symbol"), win.alias("window"))
-                .agg(F.max_by(price, _ordering(ticks, order_cols)).alias("close"),
-                     F.max("trade_timestamp").alias("trade_timestamp"),
-                     F.count(F.lit(1)).alias("ticks")))
-    return out.select("symbol",
-                      F.col("window.start").alias("window_start"),
-                      F.col("window.end").alias("window_end"),
-                      window_index(F.col("window.start"), window, offset).alias("w"),
-                      "close", "trade_timestamp", "ticks")
+    ordering = _ordering(ticks, order_cols)
+    aggs = [F.max_by(price, ordering).alias("close"),
+            F.max("trade_timestamp").alias("trade_timestamp"),
+            F.count(F.lit(1)).alias("ticks")]
+    if ticks.isStreaming:
+        # Streams group by the window struct: the watermark then closes and evicts windows.
+        win = F.window("trade_timestamp", window, window, offset) if offset else F.window("trade_timestamp", window)
+        out = ticks.groupBy(F.col(key).alias("symbol"), win.alias("window")).agg(*aggs)
+        return out.select("symbol",
+                          F.col("window.start").alias("window_start"),
+                          F.col("window.end").alias("window_end"),
+                          window_index(F.col("window.start"), window, offset).alias("w"),
+                          "close", "trade_timestamp", "ticks")
+    # Batch groups by the window index (a long key hashes faster than the window struct); the
+    # window bounds are rebuilt from it after the aggregate, in the source timestamp type.
+    size, off = duration_us(window), duration_us(offset)
+    out = ticks.groupBy(F.col(key).alias("symbol"),
+                        window_index(F.col("trade_timestamp"), window, offset).alias("w")).agg(*aggs)
+    ts_type = ticks.schema["trade_timestamp"].dataType
+    start = F.timestamp_micros(F.col("w") * F.lit(size) + F.lit(off))
+    end = F.timestamp_micros(F.col("w") * F.lit(size) + F.lit(off + size))
+    return out.select("symbol", start.cast(ts_type).alias("window_start"), end.cast(ts_type).alias("window_end"),
+                      "w", "close", "trade_timestamp", "ticks")
 
 
 def late_audit(ticks: DataFrame, batch_col: str = "batch", window: str = "1 minute",

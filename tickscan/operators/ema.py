@@ -51,7 +51,8 @@ def levels_for(w_min: int | None, w_max: int | None, bits: int = BLOCK_BITS) ->
     return lv
 
 
-def _fold(nodes: DataFrame, group_cols: list[str], child: str, spans) -> tuple[DataFrame, DataFrame]:
+def _fold(nodes: DataFrame, group_cols: list[str], child: str, spans,
+          with_children: bool = True) -> tuple[DataFrame | None, DataFrame]:
     """Fold the children of each group in child order.
 
     ``nodes`` has ``group_cols, child, _cnt, _b<span>...`` (a child's bar count and its composed value
@@ -68,11 +69,14 @@ def _fold(nodes: DataFrame, group_cols: list[str], child: str, spans) -> tuple[D
         done = F.struct(x["c"].cast("long").alias("c"), acc["n"].alias("cb"), *[acc[b].alias(b) for b in bcols])
         nxt = [(acc[b] * F.pow(F.lit(1.0 - alpha(s)), x["n"].cast("double")) + x[b]).alias(b)
                for b, s in zip(bcols, spans)]
-        return F.struct((acc["n"] + x["n"]).alias("n"), *nxt, F.concat(acc["out"], F.array(done)).alias("out"))
+        out = F.concat(acc["out"], F.array(done)) if with_children else acc["out"]
+        return F.struct((acc["n"] + x["n"]).alias("n"), *nxt, out.alias("out"))
 
     folded = (nodes.groupBy(*group_cols)
                    .agg(F.aggregate(F.array_sort(F.collect_list(elem)), zero, step).alias("_f")))
     groups = folded.select(*group_cols, F.col("_f.n").alias("_cnt"), *[F.col(f"_f.{b}").alias(b) for b in bcols])
+    if not with_children:
+        return None, groups
     children = (folded.select(*group_cols, F.inline("_f.out"))
                       .select(*group_cols, F.col("c").alias(child), F.col("cb").alias("_cb"),
                               *[F.col(b).alias(f"_bb{s}") for b, s in zip(bcols, spans)]))
@@ -112,9 +116,12 @@ def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str =
             b = b.withColumn(f"_lp{s}", F.lag(f"_l{s}").over(in_block))
 
     # ---- level 1..L: block summaries folded upward ----------------------------------------------
-    nodes = (b.groupBy(key, g[1])
-              .agg(F.count(F.lit(1)).alias("_cnt"),
-                   *[F.max_by(f"_l{s}", "_k").alias(f"_b{s}") for s in spans]))
+    # Block summaries are folded straight from the bars (not from the windowed rows above), so both
+    # consumers read the same (symbol, block) shuffle and nothing upstream runs twice.
+    steps = bars.select(key, F.col(order).alias("_w"), F.shiftright(F.col(order), bits).alias(g[1]),
+                        F.lit(1).cast("long").alias("_cnt"),
+                        *[(F.lit(alpha(s)) * F.col(price)).cast("double").alias(f"_b{s}") for s in spans])
+    _, nodes = _fold(steps, [key, g[1]], "_w", spans, with_children=False)
     prefixes = []  # per level l (1..L): child prefix table keyed by (key, g[l]) with parent g[l+1]
     for lv in range(1, levels):
         nodes = nodes.withColumn(g[lv + 1], F.shiftright(F.col(g[lv]), bits))

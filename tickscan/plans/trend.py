@@ -40,9 +40,10 @@ def trend(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, o
           levels: int | None = None, validate: bool = True, order_cols=None) -> Trend:
     """Bars, EMAs (with previous values) and crossover advisories of a batch tick feed."""
     spans = list(spans)
-    t = valid_ticks(ticks) if validate else ticks
     if levels is None:
-        levels = scan_levels(t, window, offset)
+        # from the raw feed: no validity filter needed, bad rows only widen the range
+        levels = scan_levels(ticks, window, offset)
+    t = valid_ticks(ticks) if validate else ticks
     b = make_bars(t, window, offset, order_cols=order_cols)
     e = ema(b, spans, levels=levels, with_previous=True)
     fast, slow = ema_col(min(spans[:2])), ema_col(max(spans[:2]))
