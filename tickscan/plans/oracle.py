@@ -65,7 +65,7 @@ def trend_with(window: str, spans=(38, 100), offset: str | None = None) -> str:
     """``WITH RECURSIVE`` head defining ticks, vticks, bars, nb, emas and advs (crossovers)."""
     f, s = min(spans[:2]), max(spans[:2])
     advs = f"""advs AS (
-  SELECT symbol, window_start, trade_timestamp,
+  SELECT symbol, window_start, window_end, trade_timestamp,
          CASE WHEN e{f} > e{s} AND p{f} <= p{s} THEN 'Buy!'
               WHEN e{f} < e{s} AND p{f} >= p{s} THEN 'Sell!' END AS message
   FROM emas
