@@ -2,7 +2,7 @@
 import os
 from datetime import datetime
 
-from tickscan.sinks.files import split_by_symbol
+from tickscan.sinks.files import split_by_symbol, to_raw_rows
 from tickscan.sinks.tables import write_advisories, write_ema_rows
 from tickscan.sources.catalogs import read_regions, read_symbols, read_topics, write_regions, write_symbols, write_topics
 from tickscan.operators.catalog import catalog_topics
@@ -33,13 +33,17 @@ def test_advisories_renamed(spark, tmpdir_path):
 
 
 def test_split_by_symbol(spark, tmpdir_path):
-    ticks = spark.createDataFrame([("A.FR", "E", "1"), ("A.FR", "E", "2"), ("B.NL", "E", "3")], "id string, sec_type string, last string")
+    from tickscan.sources.dayfile import read_symbol_files
+    ticks = spark.createDataFrame([("A.FR", "E", "1", datetime(2024, 1, 1, 10)), ("A.FR", "E", "2", datetime(2024, 1, 1, 11)),
+                                   ("B.NL", "E", "3", datetime(2024, 1, 1, 12))],
+                                  "id string, sec_type string, last string, trade_timestamp timestamp")
     out = os.path.join(tmpdir_path, "split")
-    split_by_symbol(ticks, out, by_region=True, files_per_symbol=2)
+    split_by_symbol(to_raw_rows(ticks), out, by_region=True, files_per_symbol=2)
     assert sorted(n for n in os.listdir(out) if n.startswith("region=")) == ["region=FR", "region=NL"]
-    assert os.listdir(os.path.join(out, "region=FR")) == ["id=A.FR"]
-    back = spark.read.option("header", "true").csv(out)
-    assert back.count() == 3
+    assert os.listdir(os.path.join(out, "region=FR")) == ["symbol=A.FR"]
+    back = read_symbol_files(spark, out).ticks
+    assert sorted((r["id"], r["last"], r["trade_timestamp"]) for r in back.collect()) == \
+        sorted((r["id"], r["last"], r["trade_timestamp"]) for r in ticks.collect())
 
 
 def test_catalog_round_trip(spark, tmpdir_path):

@@ -290,6 +290,18 @@ def q_advisory_upsert_ignore(spark, sf):
     return t.select("symbol", "advice", "trade_timestamp", F.col("trade_date").cast("string").alias("trade_date"))
 
 
+def q_split_roundtrip(spark, sf):
+    """Ticks written as per-symbol CSV files (split by region and symbol, with header) and read back
+    by header name; the valid ticks that come back."""
+    from ..session import scratch_path
+    from ..sinks.files import split_by_symbol, to_raw_rows
+    from ..sources.dayfile import read_symbol_files
+    path = scratch_path(spark, "split")
+    split_by_symbol(to_raw_rows(_ticks(spark, sf)), path, by_region=True)
+    back = valid_ticks(read_symbol_files(spark, path).ticks)
+    return back.select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp"))
+
+
 QUERIES: dict[str, Query] = {
     "ticks": q_ticks,
     "ticks_valid": q_ticks_valid,
@@ -332,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "history_plus_live": q_history_plus_live,
     "ema_upsert_ignore": q_ema_upsert_ignore,
     "advisory_upsert_ignore": q_advisory_upsert_ignore,
+    "split_roundtrip": q_split_roundtrip,
 }
 
 
@@ -468,6 +481,7 @@ FROM tbl JOIN vb USING (symbol) WHERE tbl.trade_timestamp BETWEEN vb.view_start
     "time_grid": _M1 + _VIEW + """
 SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE)) AS grid_time FROM vb""",
     "history_plus_live": _M1 + f"SELECT * FROM ({_EMA_TABLE})",
+    "split_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "ema_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_EMA_TABLE})",
     "advisory_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_ADV_TABLE})",
 }

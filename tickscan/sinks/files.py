@@ -14,18 +14,27 @@ from pyspark.sql import functions as F
 from ..functions.ticks import region_of
 
 
-def split_by_symbol(ticks: DataFrame, path: str, by_region: bool = False, files_per_symbol: int | None = None,
-                    fmt: str = "csv") -> None:
-    cols = ["region", "id"] if by_region else ["id"]
-    df = ticks.withColumn("region", region_of("id")) if by_region else ticks
+def to_raw_rows(ticks: DataFrame) -> DataFrame:
+    """Ticks in the raw file layout: the five needed columns under their file header names, as text."""
+    ts = F.col("trade_timestamp")
+    return ticks.select(F.col("id").alias("ID"), F.col("sec_type").alias("SecType"), F.col("last").alias("Last"),
+                        F.date_format(ts, "dd-MM-yyyy").alias("Trading date"),
+                        F.date_format(ts, "HH:mm:ss.SSSSSS").alias("Trading time"))
+
+
+def split_by_symbol(raw: DataFrame, path: str, by_region: bool = False, files_per_symbol: int | None = None,
+                    id_col: str = "ID") -> None:
+    """Write raw rows as CSV with a header, one folder per symbol (``symbol=<id>``), under one folder
+    per region (``region=<r>``) when asked. The ``ID`` column stays in the files."""
+    df = raw.withColumn("symbol", F.col(id_col))
+    cols = ["symbol"]
+    if by_region:
+        df = df.withColumn("region", region_of(id_col))
+        cols = ["region", "symbol"]
     if files_per_symbol:
-        bucket = F.pmod(F.xxhash64(*[c for c in df.columns if c not in cols]), F.lit(files_per_symbol))
+        bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(files_per_symbol))
         df = df.repartition(*[F.col(c) for c in cols], bucket)
-    w = df.write.mode("overwrite").partitionBy(*cols)
-    if fmt == "csv":
-        w.option("header", "true").csv(path)
-    else:
-        w.format(fmt).save(path)
+    df.write.mode("overwrite").partitionBy(*cols).option("header", "true").csv(path)
 
 
 def capture(records: DataFrame, path: str, benchmark_col: str = "benchmark_timestamp") -> None:
