@@ -12,6 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ticks import price_of, region_of, share_of
+from ..schemas import VALID_ID_PATTERN
+
+
+def id_ok(id_col="id"):
+    """True when the id has a non-empty share and region token (one pattern test, one reference to
+    ``id``, so a filter pushed into the scan does not rebuild a derived id several times)."""
+    return F.coalesce(F.col(id_col).rlike(VALID_ID_PATTERN), F.lit(False))
 
 
 def checked(ticks: DataFrame) -> DataFrame:
@@ -19,18 +26,22 @@ def checked(ticks: DataFrame) -> DataFrame:
     out = (ticks.withColumn("share", share_of("id"))
                 .withColumn("region", region_of("id"))
                 .withColumn("price", price_of("last")))
-    reason = (F.when(F.col("region").isNull() | F.col("share").isNull(), F.lit("bad_id"))
+    reason = (F.when(~id_ok(), F.lit("bad_id"))
                .when(F.col("trade_timestamp").isNull(), F.lit("bad_timestamp"))
                .when(F.col("price").isNull(), F.lit("bad_price")))
     return out.withColumn("reason", reason)
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
-    """Ticks that pass all checks, with ``share``, ``region`` and ``price`` added."""
-    c = checked(ticks)
-    cond = (F.col("region").isNotNull() & F.col("share").isNotNull() & F.col("trade_timestamp").isNotNull()
-            & F.col("price").isNotNull())
-    return c.where(cond).drop("reason")
+    """Ticks that pass all checks, with ``share``, ``region`` and ``price`` added.
+
+    The filter is written on the input columns so that it stays cheap wherever Catalyst pushes it
+    (into the scan); the derived columns are computed once, after it."""
+    cond = id_ok() & F.col("trade_timestamp").isNotNull() & price_of("last").isNotNull()
+    return (ticks.where(cond)
+                 .withColumn("share", share_of("id"))
+                 .withColumn("region", region_of("id"))
+                 .withColumn("price", price_of("last")))
 
 
 def quarantine(ticks: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """The analytics job as one declarative plan: ticks -> bars -> EMAs -> advisories.
 
 Batch form of the streaming job: the same operators, so a batch rerun over stored ticks gives the
-rows the stream wrote. ``levels`` of the EMA scan is derived from the tick time range (a one-column
-min/max) instead of from the bars, so the bar aggregation runs once.
+rows the stream wrote. The bars are written once to the shared folder (``spark.checkpoint.dir``)
+and read by both branches of the EMA scan; the fold depth comes from their window-index range.
+``levels="static"`` fixes it from the window size over a wide horizon instead.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from ..operators.bars import bars as make_bars, duration_us
 from ..operators.clean import valid_ticks
 from ..operators.ema import BLOCK_BITS, crossovers, ema, ema_col, levels_for
 from ..schemas import DEFAULT_SPANS, DEFAULT_WINDOW
+from ..session import write_and_read
 
 
 @dataclass
@@ -36,15 +38,35 @@ def scan_levels(ticks: DataFrame, window: str, offset: str | None = None) -> int
     return levels_for((r["lo"] - off) // size, (r["hi"] - off) // size, BLOCK_BITS)
 
 
+# Time range the default plan covers: window indices of these instants bound the fold levels, so
+# no job has to look at the data to size the plan (``levels="static"``).
+HORIZON = ("1900-01-01", "2200-01-01")
+
+
+def static_levels(window: str, offset: str | None = None, horizon=HORIZON) -> int:
+    """Fold levels that keep every top-level group at <= 64 nodes for any data inside ``horizon``."""
+    from datetime import datetime, timezone
+    size, off = duration_us(window), duration_us(offset)
+    lo, hi = (int(datetime.fromisoformat(h).replace(tzinfo=timezone.utc).timestamp() * 1_000_000) for h in horizon)
+    return levels_for((lo - off) // size, (hi - off) // size, BLOCK_BITS)
+
+
 def trend(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, offset: str | None = None,
-          levels: int | None = None, validate: bool = True, order_cols=None) -> Trend:
+          levels: int | str | None = None, validate: bool = True, order_cols=None,
+          materialize: bool = True) -> Trend:
     """Bars, EMAs (with previous values) and crossover advisories of a batch tick feed."""
     spans = list(spans)
-    if levels is None:
-        # from the raw feed: no validity filter needed, bad rows only widen the range
-        levels = scan_levels(ticks, window, offset)
     t = valid_ticks(ticks) if validate else ticks
     b = make_bars(t, window, offset, order_cols=order_cols)
+    if materialize:
+        # the bars feed two branches of the EMA scan (in-block windows and block summaries) that
+        # prune different columns, so Spark would run the tick scan and bar aggregate twice
+        b = write_and_read(b, "bars")
+    if levels is None or levels == "data":
+        r = b.agg(F.min("w").alias("lo"), F.max("w").alias("hi")).first()
+        levels = levels_for(r["lo"], r["hi"], BLOCK_BITS)
+    elif levels == "static":
+        levels = static_levels(window, offset)
     e = ema(b, spans, levels=levels, with_previous=True)
     fast, slow = ema_col(min(spans[:2])), ema_col(max(spans[:2]))
     adv = crossovers(e, fast, slow, f"prev_{fast}", f"prev_{slow}")

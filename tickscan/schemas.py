@@ -22,6 +22,9 @@ LATENESS_BOUND = "10 seconds"
 RAW_PREAMBLE_LINES = 11
 RAW_REQUIRED_COLUMNS = ["ID", "SecType", "Last", "Trading date", "Trading time"]
 RAW_TIMESTAMP_FORMAT = "dd-MM-yyyy HH:mm:ss[.SSSSSSSSS]"
+# A tick id is usable when both its share token (before the first ".") and its region token
+# (after it) are non-empty.
+VALID_ID_PATTERN = r"^[^.]+\.[^.]"
 # History look-back in minutes and the chart view port.
 HISTORY_LOOKBACK_MINUTES = 100
 VIEWPORT_LEAD_MINUTES = 15

@@ -70,3 +70,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, for written intermediate tables and stream state."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def write_and_read(df, name: str, spark: SparkSession | None = None):
+    """Write ``df`` as Parquet to a fresh folder under the shared folder and return a DataFrame over it.
+
+    Cuts the lineage where a result feeds several branches of a plan (so nothing upstream is
+    computed twice) and gives later stages a restart point that survives executor loss.
+    """
+    spark = spark or df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -26,8 +26,31 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+# Inputs below this size, in fewer files than there are cores, are spread over the cores after the
+# scan: a small file with one row group is read by one task however many cores there are, and the
+# per-row work after the scan (tick projection, checks, partial aggregation) would run serially.
+# Large inputs come in many files or row groups and are never reshuffled here.
+SPREAD_BELOW_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread_small(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores and input_bytes(spark, path) < SPREAD_BELOW_BYTES:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    return spread_small(spark, df, path) if spread else df
 
 
 def region_by_index(idx: Column) -> Column:
