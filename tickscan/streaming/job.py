@@ -54,25 +54,43 @@ def trend_stream(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_S
                                  "Append", "None"))
 
 
-def write_batch(batch: DataFrame, ema_path: str, advisory_path: str, spans=DEFAULT_SPANS) -> None:
-    """Fan one micro-batch out to the EMA and advisory tables (both insert-if-absent)."""
+def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS) -> DataFrame:
+    """EMA rows and advisories of one micro-batch as topic records: ``topic`` (``<region>-ema`` or
+    ``<region>-advisories``), ``key`` (symbol bytes), ``value`` (JSON bytes)."""
+    from ..functions.ticks import region_of, topic_name
+    from ..sources.kafka import to_topic_frame
+    ema = batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp")
+    adv = batch.where(F.col("message").isNotNull()).select("symbol", "trade_timestamp", "message")
+    return (to_topic_frame(ema).withColumn("topic", topic_name(region_of(F.col("key").cast("string")), "ema"))
+            .unionByName(to_topic_frame(adv)
+                         .withColumn("topic", topic_name(region_of(F.col("key").cast("string")), "advisories"))))
+
+
+def write_batch(batch: DataFrame, ema_path: str, advisory_path: str, spans=DEFAULT_SPANS,
+                brokers: str | None = None) -> None:
+    """Fan one micro-batch out to the EMA and advisory tables (both insert-if-absent) and, when
+    ``brokers`` is given, to the per-region EMA and advisory topics."""
     batch = batch.persist()
     try:
         write_ema_rows(batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp"), ema_path)
         write_advisories(batch.where(F.col("message").isNotNull())
                               .select("symbol", "trade_timestamp", "message"), advisory_path)
+        if brokers:
+            (topic_frames(batch, spans).write.format("kafka")
+                .option("kafka.bootstrap.servers", brokers).option("kafka.compression.type", "snappy").save())
     finally:
         batch.unpersist()
 
 
 def start_job(ticks: DataFrame, ema_path: str, advisory_path: str, checkpoint: str,
               window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, bound: str = LATENESS_BOUND,
-              processing_time: str = "5 seconds", quarantine_path: str | None = None) -> list[StreamingQuery]:
+              processing_time: str = "5 seconds", quarantine_path: str | None = None,
+              brokers: str | None = None) -> list[StreamingQuery]:
     """Start the job: EMA/advisory tables via ``foreachBatch``; optionally the quarantine as its own sink."""
     out = trend_stream(ticks, window, spans, bound)
     q = (out.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint + "/trend")
-            .foreachBatch(lambda df, _id: write_batch(df, ema_path, advisory_path, spans))
+            .foreachBatch(lambda df, _id: write_batch(df, ema_path, advisory_path, spans, brokers))
             .trigger(processingTime=processing_time)
             .start())
     queries = [q]
