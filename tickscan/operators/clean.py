@@ -23,9 +23,8 @@ def id_ok(id_col="id"):
 
 def checked(ticks: DataFrame) -> DataFrame:
     """Add ``share``, ``region``, ``price`` and ``reason`` (NULL for a valid tick)."""
-    out = (ticks.withColumn("share", share_of("id"))
-                .withColumn("region", region_of("id"))
-                .withColumn("price", price_of("last")))
+    out = ticks.select("*", share_of("id").alias("share"), region_of("id").alias("region"),
+                       price_of("last").alias("price"))
     reason = (F.when(~id_ok(), F.lit("bad_id"))
                .when(F.col("trade_timestamp").isNull(), F.lit("bad_timestamp"))
                .when(F.col("price").isNull(), F.lit("bad_price")))
@@ -38,10 +37,8 @@ def valid_ticks(ticks: DataFrame) -> DataFrame:
     The filter is written on the input columns so that it stays cheap wherever Catalyst pushes it
     (into the scan); the derived columns are computed once, after it."""
     cond = id_ok() & F.col("trade_timestamp").isNotNull() & price_of("last").isNotNull()
-    return (ticks.where(cond)
-                 .withColumn("share", share_of("id"))
-                 .withColumn("region", region_of("id"))
-                 .withColumn("price", price_of("last")))
+    return ticks.where(cond).select("*", share_of("id").alias("share"), region_of("id").alias("region"),
+                                    price_of("last").alias("price"))
 
 
 def quarantine(ticks: DataFrame) -> DataFrame:

@@ -51,35 +51,37 @@ def levels_for(w_min: int | None, w_max: int | None, bits: int = BLOCK_BITS) ->
     return lv
 
 
+def _d(x: float) -> str:
+    """A double literal in SQL text."""
+    return f"{float(x)!r}D"
+
+
 def _fold(nodes: DataFrame, group_cols: list[str], child: str, spans,
           with_children: bool = True) -> tuple[DataFrame | None, DataFrame]:
     """Fold the children of each group in child order.
 
     ``nodes`` has ``group_cols, child, _cnt, _b<span>...`` (a child's bar count and its composed value
     from 0). Returns (per-child exclusive prefix ``_cb, _bb<span>``, per-group ``_cnt, _b<span>``).
+    Expressions are SQL text: one driver round trip each, instead of one per expression node.
     """
     bcols = [f"_b{s}" for s in spans]
-    elem = F.struct(F.col(child).alias("c"), F.col("_cnt").alias("n"), *[F.col(b).alias(b) for b in bcols])
+    elem = "struct(" + ", ".join([f"{child} AS c", "_cnt AS n"] + [f"{b} AS {b}" for b in bcols]) + ")"
     out_type = "array<struct<c:bigint,cb:bigint," + ",".join(f"{b}:double" for b in bcols) + ">>"
-    zero = F.struct(F.lit(0).cast("long").alias("n"),
-                    *[F.lit(0.0).alias(b) for b in bcols],
-                    F.array().cast(out_type).alias("out"))
-
-    def step(acc, x):
-        done = F.struct(x["c"].cast("long").alias("c"), acc["n"].alias("cb"), *[acc[b].alias(b) for b in bcols])
-        nxt = [(acc[b] * F.pow(F.lit(1.0 - alpha(s)), x["n"].cast("double")) + x[b]).alias(b)
-               for b, s in zip(bcols, spans)]
-        out = F.concat(acc["out"], F.array(done)) if with_children else acc["out"]
-        return F.struct((acc["n"] + x["n"]).alias("n"), *nxt, out.alias("out"))
-
-    folded = (nodes.groupBy(*group_cols)
-                   .agg(F.aggregate(F.array_sort(F.collect_list(elem)), zero, step).alias("_f")))
-    groups = folded.select(*group_cols, F.col("_f.n").alias("_cnt"), *[F.col(f"_f.{b}").alias(b) for b in bcols])
+    zero = ("named_struct('n', CAST(0 AS BIGINT), " + ", ".join(f"'{b}', 0.0D" for b in bcols)
+            + f", 'out', CAST(array() AS {out_type}))")
+    nxt = ", ".join(f"'{b}', acc.{b} * pow({_d(1.0 - alpha(s))}, CAST(x.n AS DOUBLE)) + x.{b}"
+                    for b, s in zip(bcols, spans))
+    done = "named_struct('c', CAST(x.c AS BIGINT), 'cb', acc.n, " + ", ".join(f"'{b}', acc.{b}" for b in bcols) + ")"
+    out = f"concat(acc.out, array({done}))" if with_children else "acc.out"
+    step = f"(acc, x) -> named_struct('n', acc.n + x.n, {nxt}, 'out', {out})"
+    folded = nodes.groupBy(*group_cols).agg(
+        F.expr(f"aggregate(array_sort(collect_list({elem})), {zero}, {step})").alias("_f"))
+    groups = folded.selectExpr(*group_cols, "_f.n AS _cnt", *[f"_f.{b} AS {b}" for b in bcols])
     if not with_children:
         return None, groups
-    children = (folded.select(*group_cols, F.inline("_f.out"))
-                      .select(*group_cols, F.col("c").alias(child), F.col("cb").alias("_cb"),
-                              *[F.col(b).alias(f"_bb{s}") for b, s in zip(bcols, spans)]))
+    children = (folded.selectExpr(*group_cols, "inline(_f.out)")
+                      .selectExpr(*group_cols, f"c AS {child}", "cb AS _cb",
+                                  *[f"{b} AS _bb{s}" for b, s in zip(bcols, spans)]))
     return children, groups
 
 
@@ -98,62 +100,55 @@ def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str =
         levels = levels_for(r["lo"], r["hi"], bits)
     g = [f"_g{i}" for i in range(levels + 1)]  # _g1 = block; _g<l+1> = parent of _g<l>
     ds = {s: 1.0 - alpha(s) for s in spans}
+    k = "CAST(_k AS DOUBLE)"
 
     # ---- level 0: local EMAs inside each block, from 0 ------------------------------------------
-    in_block = W.partitionBy(key, g[1]).orderBy(order)
-    upto = in_block.rowsBetween(W.unboundedPreceding, W.currentRow)
-    b = bars.withColumn(g[1], F.shiftright(F.col(order), bits)).withColumn("_k", F.row_number().over(in_block) - 1)
-    k = F.col("_k").cast("double")
+    win = f"PARTITION BY {key}, {g[1]} ORDER BY {order}"
+    b = bars.selectExpr("*", f"shiftright({order}, {bits}) AS {g[1]}")
+    b = b.selectExpr("*", f"row_number() OVER ({win}) - 1 AS _k")
+    locals_ = []
     for s in spans:
-        d, a = ds[s], alpha(s)
-        if d == 0.0:  # span 1: the EMA is the price itself
-            local = F.col(price).cast("double")
+        if ds[s] == 0.0:  # span 1: the EMA is the price itself
+            locals_.append(f"CAST({price} AS DOUBLE) AS _l{s}")
         else:
-            local = F.pow(F.lit(d), k) * F.sum(F.lit(a) * F.col(price) * F.pow(F.lit(d), -k)).over(upto)
-        b = b.withColumn(f"_l{s}", local)
+            locals_.append(f"pow({_d(ds[s])}, {k}) * sum({_d(alpha(s))} * {price} * pow({_d(ds[s])}, -{k})) "
+                           f"OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _l{s}")
+    b = b.selectExpr("*", *locals_)
     if with_previous:
-        for s in spans:
-            b = b.withColumn(f"_lp{s}", F.lag(f"_l{s}").over(in_block))
+        b = b.selectExpr("*", *[f"lag(_l{s}) OVER ({win}) AS _lp{s}" for s in spans])
 
     # ---- level 1..L: block summaries folded upward ----------------------------------------------
     # Block summaries are folded straight from the bars (not from the windowed rows above), so both
     # consumers read the same (symbol, block) shuffle and nothing upstream runs twice.
-    steps = bars.select(key, F.col(order).alias("_w"), F.shiftright(F.col(order), bits).alias(g[1]),
-                        F.lit(1).cast("long").alias("_cnt"),
-                        *[(F.lit(alpha(s)) * F.col(price)).cast("double").alias(f"_b{s}") for s in spans])
+    steps = bars.selectExpr(key, f"{order} AS _w", f"shiftright({order}, {bits}) AS {g[1]}", "CAST(1 AS BIGINT) AS _cnt",
+                            *[f"CAST({_d(alpha(s))} * {price} AS DOUBLE) AS _b{s}" for s in spans])
     _, nodes = _fold(steps, [key, g[1]], "_w", spans, with_children=False)
     prefixes = []  # per level l (1..L): child prefix table keyed by (key, g[l]) with parent g[l+1]
     for lv in range(1, levels):
-        nodes = nodes.withColumn(g[lv + 1], F.shiftright(F.col(g[lv]), bits))
+        nodes = nodes.selectExpr("*", f"shiftright({g[lv]}, {bits}) AS {g[lv + 1]}")
         children, nodes = _fold(nodes, [key, g[lv + 1]], g[lv], spans)
         prefixes.append((lv, children))
     top_children, _ = _fold(nodes, [key], g[levels], spans)
 
-    # incoming value of each top-level node: seed pushed through everything before it
-    def with_incoming(prefix: DataFrame, parent_in: Column | None) -> DataFrame:
-        cols = []
-        for s in spans:
-            dcb = F.pow(F.lit(ds[s]), F.col("_cb").cast("double"))
-            base = parent_in[s] if parent_in is not None else F.lit(float(seed))
-            cols.append((dcb * base + F.col(f"_bb{s}")).alias(f"_in{s}"))
-        return cols
+    # incoming value of each node: the value before its parent pushed through the nodes before it
+    def incoming(parent_in: bool) -> list[str]:
+        return [f"pow({_d(ds[s])}, CAST(_cb AS DOUBLE)) * {f'_in{s}' if parent_in else _d(seed)} + _bb{s} AS _in{s}"
+                for s in spans]
 
-    level_in = top_children.select(key, g[levels], *with_incoming(top_children, None))
+    level_in = top_children.selectExpr(key, g[levels], *incoming(False))
     for lv, children in reversed(prefixes):
-        j = children.join(level_in, [key, g[lv + 1]])
-        level_in = j.select(key, g[lv], *with_incoming(j, {s: F.col(f"_in{s}") for s in spans}))
+        level_in = children.join(level_in, [key, g[lv + 1]]).selectExpr(key, g[lv], *incoming(True))
 
     # ---- descent to bars -----------------------------------------------------------------------
     out = b.join(level_in, [key, g[1]])
+    added = []
     for s in spans:
-        d = F.lit(ds[s])
-        out = out.withColumn(ema_col(s), F.pow(d, k + 1) * F.col(f"_in{s}") + F.col(f"_l{s}"))
+        d = _d(ds[s])
+        added.append(f"pow({d}, {k} + 1) * _in{s} + _l{s} AS {ema_col(s)}")
         if with_previous:
-            out = out.withColumn(f"prev_{ema_col(s)}",
-                                 F.when(F.col("_k") == 0, F.col(f"_in{s}"))
-                                  .otherwise(F.pow(d, k) * F.col(f"_in{s}") + F.col(f"_lp{s}")))
-    drop = [c for c in out.columns if c.startswith("_") or c in g]
-    return out.drop(*drop)
+            added.append(f"CASE WHEN _k = 0 THEN _in{s} ELSE pow({d}, {k}) * _in{s} + _lp{s} END AS prev_{ema_col(s)}")
+    keep = [f"`{c}`" for c in b.columns if not (c.startswith("_") or c in g)]
+    return out.selectExpr(*keep, *added)
 
 
 def crossovers(emas: DataFrame, fast: str = "ema38", slow: str = "ema100",
