@@ -487,6 +487,15 @@ SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE))
 }
 
 
+def _prepared(q: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        from ..session import prepare
+        return q(prepare(spark), sf)
+    run.__name__ = q.__name__
+    run.__doc__ = q.__doc__
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(QUERIES)
     try:
@@ -494,7 +503,7 @@ def all_queries() -> dict[str, Query]:
         out.update(STREAM_QUERIES)
     except ImportError:
         pass
-    return out
+    return {k: _prepared(v) for k, v in out.items()}
 
 
 def all_oracles() -> dict[str, str]:

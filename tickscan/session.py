@@ -22,6 +22,36 @@ SESSION_DEFAULTS = {
 }
 
 
+# Settings a query needs on a session it did not create (runtime SQL settings only).
+RUNTIME_REQUIRED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the Python code that runs in workers (the stateful EMA processor) independent of this
+    package being installed there: its classes and functions are pickled by value."""
+    import sys
+    from pyspark import cloudpickle
+    pkg = sys.modules[__name__.split(".")[0]]
+    try:
+        cloudpickle.register_pickle_by_value(pkg)
+    except ValueError:
+        pass  # already registered
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings the operators rely on to a session made elsewhere, and ship the
+    package to the Python workers."""
+    for k, v in RUNTIME_REQUIRED.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    ship_package(spark)
+    return spark
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tickscan", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the package defaults.
@@ -41,9 +71,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    for k in ("spark.sql.session.timeZone",):
-        spark.conf.set(k, conf[k])
-    return spark
+    return prepare(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -117,11 +117,28 @@ def drain(q: StreamingQuery, timeout_s: float = 120.0) -> None:
             raise q.exception()
 
 
+class _partitions:
+    """Run a stream with a given shuffle partition count (the state store keeps it per checkpoint)."""
+
+    def __init__(self, spark: SparkSession, n: int):
+        self.spark, self.n = spark, str(n)
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.n)
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+
+
 class Replay:
-    """Feed a tick DataFrame with a ``batch`` column to a streaming job, one arrival batch at a time."""
+    """Feed a tick DataFrame with a ``batch`` column to a streaming job, one arrival batch at a time.
 
-    def __init__(self, spark: SparkSession, name: str = "replay"):
+    State partitions = the cluster's default parallelism (``state_partitions`` to override)."""
+
+    def __init__(self, spark: SparkSession, name: str = "replay", state_partitions: int | None = None):
         self.spark = spark
+        self.state_partitions = state_partitions or spark.sparkContext.defaultParallelism
         self.root = scratch_path(spark, name)
         self.source = self.root + "/source"
         self.ema_path = self.root + "/ema_results"
@@ -146,6 +163,10 @@ class Replay:
             return start_job(read_tick_stream(self.spark, self.source), self.ema_path, self.advisory_path,
                              self.checkpoint, window, spans, bound, processing_time="200 milliseconds")[0]
 
+        with _partitions(self.spark, self.state_partitions):
+            self._run(ticks, batches, start, stop_after)
+
+    def _run(self, ticks, batches, start, stop_after):
         q = start()
         try:
             for i, b in enumerate(batches):
@@ -161,6 +182,11 @@ class Replay:
     def run_bars(self, ticks: DataFrame, window: str, bound: str = LATENESS_BOUND) -> DataFrame:
         """Replay all batches through the bar stage alone (append mode, Parquet sink); returns the bars."""
         out = self.root + "/bars"
+        with _partitions(self.spark, self.state_partitions):
+            self._run_bars(ticks, window, bound, out)
+        return self.spark.read.parquet(out)
+
+    def _run_bars(self, ticks, window, bound, out):
         q = (stream_bars(read_tick_stream(self.spark, self.source), window, bound)
              .writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", self.checkpoint + "/bars").option("path", out)
@@ -172,7 +198,6 @@ class Replay:
             drain(q)
         finally:
             q.stop()
-        return self.spark.read.parquet(out)
 
     def ema_table(self) -> DataFrame:
         return self.spark.read.parquet(self.ema_path)
