@@ -59,15 +59,30 @@ def _ema_out(e, spans=(38, 100)):
     return e.select("symbol", "window_start", "trade_timestamp", *[_r6(f"ema{s}") for s in spans])
 
 
-def _ema_table(spark, sf):
-    """EMA rows of 1-minute bars, as stored (symbol, ema38, ema100, trade_timestamp)."""
+def _ema_rows(spark, sf):
+    """EMA rows of 1-minute bars (symbol, ema38, ema100, trade_timestamp)."""
     t = _trend(spark, sf, "1 minute")
     return t.emas.select("symbol", _r6("ema38"), _r6("ema100"), "trade_timestamp")
 
 
+def _stored(spark, rows: DataFrame, writer) -> DataFrame:
+    """Rows written through a history-table sink into a fresh table, read back (what history
+    queries and subscribers read in production)."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "history-table")
+    writer(rows, path)
+    return spark.read.parquet(path).drop("trade_date")
+
+
+def _ema_table(spark, sf):
+    from ..sinks.tables import write_ema_rows
+    return _stored(spark, _ema_rows(spark, sf), write_ema_rows)
+
+
 def _advisory_table(spark, sf):
-    t = _trend(spark, sf, "1 minute")
-    return t.advisories.select("symbol", F.col("message").alias("advice"), "trade_timestamp")
+    from ..sinks.tables import write_advisories
+    rows = _trend(spark, sf, "1 minute").advisories.select("symbol", "trade_timestamp", "message")
+    return _stored(spark, rows, write_advisories)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -260,7 +275,7 @@ def q_time_grid(spark, sf):
 
 
 def q_history_plus_live(spark, sf):
-    e = _ema_table(spark, sf)
+    e = _ema_rows(spark, sf)
     old = e.where(F.col("trade_timestamp") < F.lit(SPLIT_DAY).cast("timestamp_ntz"))
     live = e.where(F.col("trade_timestamp") >= F.lit(OVERLAP_DAY).cast("timestamp_ntz"))
     return hist.history_plus_live(old, live)
@@ -279,7 +294,7 @@ def _upsert_replay(spark, sf, rows: DataFrame, writer) -> DataFrame:
 
 def q_ema_upsert_ignore(spark, sf):
     from ..sinks.tables import write_ema_rows
-    t = _upsert_replay(spark, sf, _ema_table(spark, sf), write_ema_rows)
+    t = _upsert_replay(spark, sf, _ema_rows(spark, sf), write_ema_rows)
     return t.select("symbol", "ema38", "ema100", "trade_timestamp", F.col("trade_date").cast("string").alias("trade_date"))
 
 
