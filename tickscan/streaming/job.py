@@ -204,3 +204,23 @@ class Replay:
 
     def advisory_table(self) -> DataFrame:
         return self.spark.read.parquet(self.advisory_path)
+
+
+def capture_topics(spark: SparkSession, brokers: str, topics, out_path: str, checkpoint: str,
+                   starting: str = "earliest", descriptor_file: str | None = None) -> StreamingQuery:
+    """Capture topic records to CSV, one folder per topic, stamped with the capture time.
+
+    Reads every record available now from ``starting`` and stops (a bounded run, like a capture of a
+    fixed duration over a replayed day). With a descriptor file the values are decoded per kind
+    into columns; otherwise key, value (text), topic, partition, offset and broker timestamp are kept.
+    """
+    from ..sinks.files import capture_batch
+    from ..sources.kafka import decode, kafka_reader
+    rec = kafka_reader(spark, brokers, topics, starting)
+    if descriptor_file:
+        rec = decode(rec, descriptor_file).select("topic", "kind", "timestamp", "msg.*")
+    else:
+        rec = rec.select("topic", "kind", "partition", "offset", "timestamp",
+                         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    return (rec.writeStream.foreachBatch(capture_batch(out_path))
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
