@@ -90,3 +90,22 @@ def test_stream_goldens(closes, values, advice):
     for i, v in values.items():
         assert out[i] == pytest.approx(v, abs=1e-6)
     assert adv == advice
+
+
+def test_first_close_seed_and_min_bars(spark):
+    closes = [100, 110, 90, 95]
+    e = ema(bars_of(spark, closes), seed="first_close", with_previous=True, with_position=True, bits=1)
+    got = {r["w"]: (round(r["ema38"], 6), r["bar_no"]) for r in e.collect()}
+    assert got[0] == (100.0, 1) and got[1] == (round(100 + 10 * 2 / 39, 6), 2) and got[3][1] == 4
+    adv = {r["w"]: r["message"] for r in crossovers(e).collect()}
+    assert adv == {1: "Buy!", 2: "Sell!"}                      # no cold-start advice at bar 1
+    assert {r["w"] for r in crossovers(e, min_bars=3).collect()} == {2}
+    # the stream processor agrees
+    p = EmaCrossoverProcessor(seed="first_close")
+    p.init(FakeHandle())
+    from pyspark.sql import Row
+    rows = [Row(symbol="A", window_start=T0 + timedelta(minutes=i), window_end=T0, trade_timestamp=T0, close=float(c))
+            for i, c in enumerate(closes)]
+    out = list(p.handleInputRows(("A",), iter(rows[:2]), None)) + list(p.handleInputRows(("A",), iter(rows[2:]), None))
+    assert [round(r["ema38"], 6) for r in out] == [got[i][0] for i in range(4)]
+    assert [r["message"] for r in out] == [None, "Buy!", "Sell!", None]

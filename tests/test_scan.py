@@ -46,3 +46,16 @@ def test_previous_values_are_lagged_ema(spark):
     for _, g in e.groupby("symbol"):
         prev = g["ema38"].shift(1).fillna(0.0).to_numpy()
         assert abs(prev - g["prev_ema38"].to_numpy()).max() < 1e-9
+
+
+def test_first_close_and_position_match_sequential(spark):
+    b = bars(valid_ticks(events_as_ticks(spark, SF_SMALL)), "1 minute")
+    got = ema(b, seed="first_close", with_position=True, bits=2).select("symbol", "w", "ema38", "bar_no").toPandas()
+    ref = {}
+    for sym, g in b.select("symbol", "w", "close").toPandas().sort_values(["symbol", "w"]).groupby("symbol"):
+        e = None
+        for n, (w, p) in enumerate(zip(g["w"], g["close"]), start=1):
+            e = p if e is None else p * 2 / 39 + e * (1 - 2 / 39)
+            ref[(sym, w)] = (e, n)
+    assert max(abs(r.ema38 - ref[(r.symbol, r.w)][0]) for r in got.itertuples()) < 1e-9
+    assert all(r.bar_no == ref[(r.symbol, r.w)][1] for r in got.itertuples())

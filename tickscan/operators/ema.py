@@ -86,13 +86,16 @@ def _fold(nodes: DataFrame, group_cols: list[str], child: str, spans,
 
 
 def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str = "w",
-        price: str = "close", seed: float = 0.0, levels: int | None = None,
-        bits: int = BLOCK_BITS, with_previous: bool = False) -> DataFrame:
-    """Add ``ema<span>`` columns (and ``prev_ema<span>`` if asked) to ``bars``.
+        price: str = "close", seed: float | str = 0.0, levels: int | None = None,
+        bits: int = BLOCK_BITS, with_previous: bool = False, with_position: bool = False) -> DataFrame:
+    """Add ``ema<span>`` columns (and ``prev_ema<span>`` / ``bar_no`` if asked) to ``bars``.
 
     ``order`` must be a long that is unique per ``key`` and increases with time (the window index
     ``w`` of :func:`bars`). ``levels`` is derived from the range of ``order`` when not given (one
-    small aggregate job); pass it to keep the plan free of that extra job.
+    small aggregate job); pass it to keep the plan free of that extra job. ``seed`` is the value
+    before the first bar: a number (0 as in the reference) or ``"first_close"`` (each symbol starts
+    from its first close, a per-symbol aggregate joined at the top level). ``bar_no`` is the 1-based
+    position of the bar in its symbol's history, carried down the levels from the fold counts.
     """
     spans = list(spans)
     if levels is None:
@@ -129,11 +132,19 @@ def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str =
         children, nodes = _fold(nodes, [key, g[lv + 1]], g[lv], spans)
         prefixes.append((lv, children))
     top_children, _ = _fold(nodes, [key], g[levels], spans)
-
-    # incoming value of each node: the value before its parent pushed through the nodes before it
+    if seed == "first_close":
+        seeds = bars.groupBy(key).agg(F.min_by(price, order).cast("double").alias("_seed"))
+        top_children = top_children.join(seeds, key)
+        seed_sql = "_seed"
+    else:
+        seed_sql = _d(float(seed))
+
+    # incoming value of each node: the value before its parent pushed through the nodes before it,
+    # and the number of bars before it (``_nin``)
     def incoming(parent_in: bool) -> list[str]:
-        return [f"pow({_d(ds[s])}, CAST(_cb AS DOUBLE)) * {f'_in{s}' if parent_in else _d(seed)} + _bb{s} AS _in{s}"
+        vals = [f"pow({_d(ds[s])}, CAST(_cb AS DOUBLE)) * {f'_in{s}' if parent_in else seed_sql} + _bb{s} AS _in{s}"
                 for s in spans]
+        return vals + [("_nin + _cb" if parent_in else "_cb") + " AS _nin"]
 
     level_in = top_children.selectExpr(key, g[levels], *incoming(False))
     for lv, children in reversed(prefixes):
@@ -142,24 +153,32 @@ def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str =
     # ---- descent to bars -----------------------------------------------------------------------
     out = b.join(level_in, [key, g[1]])
     added = []
+    first = "_nin + _k = 0"  # the symbol's first bar: with a first-close seed its EMA is exactly the close
     for s in spans:
         d = _d(ds[s])
-        added.append(f"pow({d}, {k} + 1) * _in{s} + _l{s} AS {ema_col(s)}")
+        value = f"pow({d}, {k} + 1) * _in{s} + _l{s}"
+        if seed == "first_close":
+            value = f"CASE WHEN {first} THEN CAST({price} AS DOUBLE) ELSE {value} END"
+        added.append(f"{value} AS {ema_col(s)}")
         if with_previous:
             added.append(f"CASE WHEN _k = 0 THEN _in{s} ELSE pow({d}, {k}) * _in{s} + _lp{s} END AS prev_{ema_col(s)}")
+    if with_position:
+        added.append("_nin + _k + 1 AS bar_no")
     keep = [f"`{c}`" for c in b.columns if not (c.startswith("_") or c in g)]
     return out.selectExpr(*keep, *added)
 
 
 def crossovers(emas: DataFrame, fast: str = "ema38", slow: str = "ema100",
-               prev_fast: str = "prev_ema38", prev_slow: str = "prev_ema100") -> DataFrame:
+               prev_fast: str = "prev_ema38", prev_slow: str = "prev_ema100", min_bars: int = 0) -> DataFrame:
     """Buy when the fast EMA rises above the slow one, sell when it falls below.
 
     ``Buy!``: ``fast > slow`` now and ``fast <= slow`` on the previous bar; ``Sell!``: ``fast < slow``
     now and ``fast >= slow`` before. The previous values of a symbol's first bar are 0.
-    A row-wise filter over :func:`ema` output made ``with_previous=True``; no shuffle.
+    A row-wise filter over :func:`ema` output made ``with_previous=True``; no shuffle. With
+    ``min_bars`` (needs ``with_position=True``) advisories start at the ``min_bars``-th bar.
     """
     f, s_, pf, ps = (F.col(c) for c in (fast, slow, prev_fast, prev_slow))
     pf, ps = F.coalesce(pf, F.lit(0.0)), F.coalesce(ps, F.lit(0.0))
     msg = F.when((f > s_) & (pf <= ps), F.lit(BUY)).when((f < s_) & (pf >= ps), F.lit(SELL))
-    return emas.withColumn("message", msg).where(F.col("message").isNotNull())
+    out = emas.withColumn("message", msg).where(F.col("message").isNotNull())
+    return out.where(F.col("bar_no") >= min_bars) if min_bars else out

@@ -53,7 +53,7 @@ def static_levels(window: str, offset: str | None = None, horizon=HORIZON) -> in
 
 def trend(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, offset: str | None = None,
           levels: int | str | None = None, validate: bool = True, order_cols=None,
-          materialize: bool = True) -> Trend:
+          materialize: bool = True, seed: float | str = 0.0, min_bars: int = 0) -> Trend:
     """Bars, EMAs (with previous values) and crossover advisories of a batch tick feed."""
     spans = list(spans)
     t = valid_ticks(ticks) if validate else ticks
@@ -67,9 +67,9 @@ def trend(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, o
         levels = levels_for(r["lo"], r["hi"], BLOCK_BITS)
     elif levels == "static":
         levels = static_levels(window, offset)
-    e = ema(b, spans, levels=levels, with_previous=True)
+    e = ema(b, spans, levels=levels, seed=seed, with_previous=True, with_position=min_bars > 0)
     fast, slow = ema_col(min(spans[:2])), ema_col(max(spans[:2]))
-    adv = crossovers(e, fast, slow, f"prev_{fast}", f"prev_{slow}")
+    adv = crossovers(e, fast, slow, f"prev_{fast}", f"prev_{slow}", min_bars=min_bars)
     return Trend(b, e, adv)
 
 

@@ -34,35 +34,49 @@ def output_schema(spans=DEFAULT_SPANS) -> T.StructType:
 class EmaCrossoverProcessor(StatefulProcessor):
     """EMA of each span per symbol plus the fast/slow crossover of the first two spans."""
 
-    def __init__(self, spans=DEFAULT_SPANS, seed: float = 0.0, ttl_ms: int | None = None):
+    def __init__(self, spans=DEFAULT_SPANS, seed: float | str = 0.0, ttl_ms: int | None = None,
+                 min_bars: int = 0):
         self.spans = list(spans)
-        self.seed = float(seed)
+        self.seed = seed if seed == "first_close" else float(seed)
         self.ttl_ms = ttl_ms
+        self.min_bars = min_bars
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField(f"e{s}", T.DoubleType()) for s in self.spans])
+        schema = T.StructType([T.StructField(f"e{s}", T.DoubleType()) for s in self.spans]
+                              + [T.StructField("n", T.LongType())])
         self.state = handle.getValueState("ema", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         bars = sorted(rows, key=lambda r: r["window_start"])
-        cur = list(self.state.get()) if self.state.exists() else [self.seed] * len(self.spans)
+        if self.state.exists():
+            *cur, n = self.state.get()
+            cur = list(cur)
+        else:
+            first = float(bars[0]["close"]) if bars and self.seed == "first_close" else self.seed
+            cur, n = [first] * len(self.spans), 0
         fast, slow = 0, 1
         for r in bars:
             price = float(r["close"])
             prev = cur
-            cur = [price * alpha(s) + e * (1.0 - alpha(s)) for s, e in zip(self.spans, prev)]
+            n += 1
+            if n == 1 and self.seed == "first_close":
+                cur = [price] * len(self.spans)  # exactly the close, as the formula gives in exact arithmetic
+            else:
+                cur = [price * alpha(s) + e * (1.0 - alpha(s)) for s, e in zip(self.spans, prev)]
             msg = None
             if cur[fast] > cur[slow] and prev[fast] <= prev[slow]:
                 msg = BUY
             elif cur[fast] < cur[slow] and prev[fast] >= prev[slow]:
                 msg = SELL
+            if n < self.min_bars:
+                msg = None
             out = {"symbol": r["symbol"], "window_start": r["window_start"], "window_end": r["window_end"],
                    "trade_timestamp": r["trade_timestamp"], "close": price}
             out.update({ema_col(s): e for s, e in zip(self.spans, cur)})
             out["message"] = msg
             yield Row(**out)
         if bars:
-            self.state.update(tuple(cur))
+            self.state.update((*cur, n))
 
     def close(self) -> None:
         pass
