@@ -317,6 +317,27 @@ def q_split_roundtrip(spark, sf):
     return back.select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp"))
 
 
+# Fixed content of the day files written for ``day_files_roundtrip`` (text before the header and
+# the column descriptions; the scan must skip both).
+DAY_FILE_PREAMBLE = [f"Exchange day report, line {i + 1}, generated, not data" for i in range(11)]
+DAY_FILE_DESCRIPTION = {"ID": "Instrument id, share.region", "Last": "Last price, as text",
+                        "Trading date": "Date, dd-MM-yyyy", "Trading time": "Time, HH:mm:ss.ffffff"}
+DAY_FILE_ORDERS = {"FR": ["Trading time", "Last", "Extra", "ID", "Trading date", "SecType"]}
+
+
+def q_day_files_roundtrip(spark, sf):
+    """Ticks written as raw exchange day files (one per region and day: 11 preamble lines, header,
+    description line; one region with another column order), read back by the day-file scan."""
+    from ..session import scratch_path
+    from ..sinks.files import to_raw_rows, write_day_files
+    from ..sources.dayfile import read_day_files
+    path = scratch_path(spark, "dayfiles")
+    write_day_files(to_raw_rows(_ticks(spark, sf)), path, DAY_FILE_PREAMBLE, DAY_FILE_DESCRIPTION, DAY_FILE_ORDERS)
+    back = read_day_files(spark, path, path_glob="*.txt")
+    return (valid_ticks(back.ticks)
+            .select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp")))
+
+
 QUERIES: dict[str, Query] = {
     "ticks": q_ticks,
     "ticks_valid": q_ticks_valid,
@@ -360,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "ema_upsert_ignore": q_ema_upsert_ignore,
     "advisory_upsert_ignore": q_advisory_upsert_ignore,
     "split_roundtrip": q_split_roundtrip,
+    "day_files_roundtrip": q_day_files_roundtrip,
 }
 
 
@@ -497,6 +519,7 @@ FROM tbl JOIN vb USING (symbol) WHERE tbl.trade_timestamp BETWEEN vb.view_start
 SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE)) AS grid_time FROM vb""",
     "history_plus_live": _M1 + f"SELECT * FROM ({_EMA_TABLE})",
     "split_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
+    "day_files_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "ema_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_EMA_TABLE})",
     "advisory_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_ADV_TABLE})",
 }

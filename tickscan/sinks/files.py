@@ -48,3 +48,62 @@ def capture_batch(path: str):
     def _write(df: DataFrame, _batch_id: int) -> None:
         capture(df, path)
     return _write
+
+
+RAW_EXTRA_COLUMN = "Extra"
+
+
+def write_day_files(raw: DataFrame, path: str, preamble: list[str], description: dict[str, str] | None = None,
+                    orders: dict[str, list[str]] | None = None) -> None:
+    """Write raw rows (``to_raw_rows`` layout) as exchange day files: one file per region and trade
+    day, each with the preamble lines, a header, a description line, then the rows in trade order.
+
+    ``orders`` maps a region to its column order (default: the layout order). Lines are built as
+    text and written with one task per file, the file being the unit of the format (a day of one
+    region); rows are ordered inside the file by ``sortWithinPartitions``.
+    """
+    from ..schemas import RAW_REQUIRED_COLUMNS
+
+    def csv_cell(c):
+        s = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+        return F.when(s.contains(",") | s.contains('"'),
+                      F.concat(F.lit('"'), F.regexp_replace(s, '"', '""'), F.lit('"'))).otherwise(s)
+
+    base = RAW_REQUIRED_COLUMNS + [RAW_EXTRA_COLUMN]
+    desc = description or {}
+    rows = (raw.withColumn(RAW_EXTRA_COLUMN, F.lit("x"))
+               .withColumn("region", region_of("ID"))
+               .withColumn("day", F.regexp_replace(F.col("`Trading date`"), "-", "")))
+    orders = orders or {}
+    line = None
+    head = None
+    dline = None
+    for region, cols in list(orders.items()) + [(None, base)]:
+        cols = list(cols)
+        l_ = F.concat_ws(",", *[csv_cell(c) for c in cols])
+        h_ = F.lit(",".join(cols))
+        d_ = F.lit(",".join('"' + desc.get(c, c) + '"' for c in cols))
+        if region is None:
+            line = l_ if line is None else line.otherwise(l_)
+            head = h_ if head is None else head.otherwise(h_)
+            dline = d_ if dline is None else dline.otherwise(d_)
+        else:
+            cond = F.col("region") == F.lit(region)
+            line = F.when(cond, l_) if line is None else line.when(cond, l_)
+            head = F.when(cond, h_) if head is None else head.when(cond, h_)
+            dline = F.when(cond, d_) if dline is None else dline.when(cond, d_)
+    data = rows.select("region", "day", F.lit(2).alias("_part"), F.col("`Trading time`").alias("_t"),
+                       line.alias("value"))
+    keys = rows.select("region", "day").distinct()
+    pre = keys.select("region", "day", F.lit(0).alias("_part"), F.lit("").alias("_t"),
+                      F.inline(F.array(*[F.struct(F.lit(f"{i:02d}").alias("_o"), F.lit(t).alias("value"))
+                                         for i, t in enumerate(preamble)]))) \
+              .select("region", "day", "_part", F.col("_o").alias("_t"), "value")
+    hdr = (rows.select("region", "day", head.alias("h"), dline.alias("d")).distinct()
+               .select("region", "day", F.lit(1).alias("_part"),
+                       F.inline(F.array(F.struct(F.lit("0").alias("_t"), F.col("h").alias("value")),
+                                        F.struct(F.lit("1").alias("_t"), F.col("d").alias("value"))))))
+    lines = data.unionByName(pre).unionByName(hdr)
+    (lines.repartition("region", "day").sortWithinPartitions("region", "day", "_part", "_t")
+          .select("region", "day", "value")
+          .write.mode("overwrite").partitionBy("region", "day").text(path))
