@@ -41,3 +41,14 @@ def test_history_dispatch(spark):
     assert H.history("FR-ticks", "A.FR", ema, adv).count() == 0
     with pytest.raises(ValueError):
         H.history("FR-ema", None, ema, adv)
+
+
+def test_messages_and_routing(spark):
+    from tickscan.operators.latency import split_by_kind
+    ema = spark.createDataFrame([("A.FR", 1.0, 2.0, datetime(1969, 12, 31, 23, 59, 59, 250000))],
+                                "symbol string, ema38 double, ema100 double, trade_timestamp timestamp")
+    m = H.as_messages(ema).first()
+    assert (m["trade_ts"]["seconds"], m["trade_ts"]["nanos"]) == (-1, 250000000)
+    recs = spark.createDataFrame([("FR-ticks",), ("FR-ema",), ("NL-advisories",), ("x",)], "topic string")
+    parts = split_by_kind(recs)
+    assert {k: v.count() for k, v in parts.items()} == {"ticks": 1, "ema": 1, "advisories": 1, "unknown": 1}

@@ -12,7 +12,6 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.ticks import instant
 
@@ -108,7 +107,3 @@ def late_audit(ticks: DataFrame, batch_col: str = "batch", window: str = "1 minu
                                                  F.timestamp_micros("_wm_us").cast(ticks.schema["trade_timestamp"].dataType)))
                  .withColumn("late", F.coalesce(wend <= F.col("_wm_us"), F.lit(False)))
                  .drop("_wm_us"))
-
-
-def as_type(df: DataFrame, col: str, dtype: T.DataType) -> DataFrame:
-    return df.withColumn(col, F.col(col).cast(dtype))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ticks import (clock_label, delay_ms, display_value, epoch_ms, from_proto_ts,
+from ..functions.ticks import (delay_ms, display_value, epoch_ms, from_proto_ts,
                                parse_trade_ts, topic_name, to_proto_ts, wall_time)
 from ..operators import catalog as cat
 from ..operators import history as hist

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ticks import instant
 from ..operators.bars import bars as make_bars, duration_us
 from ..operators.clean import valid_ticks
 from ..operators.ema import BLOCK_BITS, crossovers, ema, ema_col, levels_for
@@ -28,16 +27,6 @@ class Trend:
     advisories: DataFrame
 
 
-def scan_levels(ticks: DataFrame, window: str, offset: str | None = None) -> int:
-    """EMA fold levels from the tick time range (one small aggregate over one column)."""
-    r = ticks.agg(F.min(F.unix_micros(instant("trade_timestamp"))).alias("lo"),
-                  F.max(F.unix_micros(instant("trade_timestamp"))).alias("hi")).first()
-    if r["lo"] is None:
-        return 1
-    size, off = duration_us(window), duration_us(offset)
-    return levels_for((r["lo"] - off) // size, (r["hi"] - off) // size, BLOCK_BITS)
-
-
 # Time range the default plan covers: window indices of these instants bound the fold levels, so
 # no job has to look at the data to size the plan (``levels="static"``).
 HORIZON = ("1900-01-01", "2200-01-01")
