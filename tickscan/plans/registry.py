@@ -270,6 +270,11 @@ def q_ema_viewport(spark, sf):
     return hist.viewport(_ema_table(spark, sf))
 
 
+def q_ema_viewport_shifted(spark, sf):
+    """The view port moved one step (15 minutes) back, as the chart's navigation does."""
+    return hist.viewport(_ema_table(spark, sf), shift_minutes=-15)
+
+
 def q_time_grid(spark, sf):
     return hist.time_grid(_ema_table(spark, sf))
 
@@ -376,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "ema_history": q_ema_history,
     "advisory_history": q_advisory_history,
     "ema_viewport": q_ema_viewport,
+    "ema_viewport_shifted": q_ema_viewport_shifted,
     "time_grid": q_time_grid,
     "history_plus_live": q_history_plus_live,
     "ema_upsert_ignore": q_ema_upsert_ignore,
@@ -433,9 +439,17 @@ SELECT {select} FROM tbl JOIN lt USING (symbol)
 WHERE tbl.trade_timestamp BETWEEN lt.latest - INTERVAL 100 MINUTE AND lt.latest"""
 
 
-_VIEW = """, tbl AS (""" + _EMA_TABLE + """),
-vb AS (SELECT symbol, max(trade_timestamp) - INTERVAL 15 MINUTE AS view_start,
-              max(trade_timestamp) - INTERVAL 15 MINUTE + INTERVAL 60 MINUTE AS view_end FROM tbl GROUP BY symbol)"""
+def _view(shift_minutes: int = 0) -> str:
+    return """, tbl AS (""" + _EMA_TABLE + f"""),
+vb AS (SELECT symbol, max(trade_timestamp) - INTERVAL 15 MINUTE + INTERVAL ({shift_minutes}) MINUTE AS view_start,
+              max(trade_timestamp) - INTERVAL 15 MINUTE + INTERVAL ({shift_minutes}) MINUTE + INTERVAL 60 MINUTE AS view_end
+       FROM tbl GROUP BY symbol)"""
+
+
+_VIEW = _view(0)
+_VIEW_SELECT = """
+SELECT tbl.symbol, tbl.ema38, tbl.ema100, tbl.trade_timestamp, vb.view_start, vb.view_end
+FROM tbl JOIN vb USING (symbol) WHERE tbl.trade_timestamp BETWEEN vb.view_start AND vb.view_end"""
 
 
 ORACLE: dict[str, str] = {
@@ -512,9 +526,8 @@ SELECT symbol, arg_max(ema38, trade_timestamp) AS ema38, arg_max(ema100, trade_t
     "advisory_history": _history_sql(_ADV_TABLE, """tbl.symbol, tbl.advice AS message, tbl.trade_timestamp,
        strftime(tbl.trade_timestamp, '%H:%M:%S') AS clock,
        CASE WHEN tbl.advice = 'Buy!' THEN 1 WHEN tbl.advice = 'Sell!' THEN -1 ELSE 0 END AS flag"""),
-    "ema_viewport": _M1 + _VIEW + """
-SELECT tbl.symbol, tbl.ema38, tbl.ema100, tbl.trade_timestamp, vb.view_start, vb.view_end
-FROM tbl JOIN vb USING (symbol) WHERE tbl.trade_timestamp BETWEEN vb.view_start AND vb.view_end""",
+    "ema_viewport": _M1 + _VIEW + _VIEW_SELECT,
+    "ema_viewport_shifted": _M1 + _view(-15) + _VIEW_SELECT,
     "time_grid": _M1 + _VIEW + """
 SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE)) AS grid_time FROM vb""",
     "history_plus_live": _M1 + f"SELECT * FROM ({_EMA_TABLE})",
