@@ -31,6 +31,19 @@ VTICKS = """vticks AS (
 
 BASE = TICKS + ",\n" + VTICKS
 
+# lineitem read as ticks; the unit price is rounded as Spark rounds a double: its shortest decimal
+# form, half up (via DECIMAL), so x.xx5 quotients round the same way in both engines
+LI_TICKS = f"""ticks AS (
+  SELECT 'P' || CAST(l_partkey % 500 AS VARCHAR) || '.' || ({_REGION_LIST})[l_suppkey % 3 + 1] AS id,
+         'E' AS sec_type,
+         CAST(round(CAST(CAST(l_extendedprice / l_quantity AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS px,
+         CAST(CAST(round(CAST(CAST(l_extendedprice / l_quantity AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS VARCHAR) AS last,
+         l_shipdate AS trade_timestamp, l_shipdate AS wallclock_timestamp, CAST(0 AS BIGINT) AS delay,
+         (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq
+  FROM lineitem)"""
+
+LI_BASE = LI_TICKS + ",\n" + VTICKS.replace("TRY_CAST(last AS DOUBLE) AS price", "px AS price")
+
 
 def bars_cte(window: str, offset: str | None = None, name: str = "bars", src: str = "vticks") -> str:
     size, off = duration_us(window), duration_us(offset)
@@ -61,7 +74,7 @@ def ema_ctes(spans=(38, 100), bars: str = "bars", name: str = "emas") -> str:
   FROM {name} r JOIN nb n ON n.symbol = r.symbol AND n.rn = r.rn + 1)"""
 
 
-def trend_with(window: str, spans=(38, 100), offset: str | None = None) -> str:
+def trend_with(window: str, spans=(38, 100), offset: str | None = None, base: str = BASE) -> str:
     """``WITH RECURSIVE`` head defining ticks, vticks, bars, nb, emas and advs (crossovers)."""
     f, s = min(spans[:2]), max(spans[:2])
     advs = f"""advs AS (
@@ -70,7 +83,7 @@ def trend_with(window: str, spans=(38, 100), offset: str | None = None) -> str:
               WHEN e{f} < e{s} AND p{f} >= p{s} THEN 'Sell!' END AS message
   FROM emas
   WHERE (e{f} > e{s} AND p{f} <= p{s}) OR (e{f} < e{s} AND p{f} >= p{s}))"""
-    return "WITH RECURSIVE " + ",\n".join([BASE, bars_cte(window, offset), ema_ctes(spans), advs]) + "\n"
+    return "WITH RECURSIVE " + ",\n".join([base, bars_cte(window, offset), ema_ctes(spans), advs]) + "\n"
 
 
 def with_base(*ctes: str) -> str:

@@ -343,6 +343,24 @@ def q_day_files_roundtrip(spark, sf):
             .select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp")))
 
 
+def _li(spark, sf):
+    from ..sources.tables import lineitem_as_ticks
+    return lineitem_as_ticks(spark, sf)
+
+
+def q_li_bars_1d(spark, sf):
+    """lineitem as ticks (1,500 symbols, many ticks per day, struct tie-break) -> daily bars."""
+    return bars(valid_ticks(_li(spark, sf)), "1 day").drop("w")
+
+
+def q_li_ema_1d(spark, sf):
+    return _ema_out(trend(_li(spark, sf), "1 day").emas)
+
+
+def q_li_crossovers_7d(spark, sf):
+    return trend(_li(spark, sf), "7 days").advisories.select("symbol", "window_start", "trade_timestamp", "message")
+
+
 QUERIES: dict[str, Query] = {
     "ticks": q_ticks,
     "ticks_valid": q_ticks_valid,
@@ -388,6 +406,9 @@ QUERIES: dict[str, Query] = {
     "advisory_upsert_ignore": q_advisory_upsert_ignore,
     "split_roundtrip": q_split_roundtrip,
     "day_files_roundtrip": q_day_files_roundtrip,
+    "li_bars_1d": q_li_bars_1d,
+    "li_ema_1d": q_li_ema_1d,
+    "li_crossovers_7d": q_li_crossovers_7d,
 }
 
 
@@ -533,6 +554,9 @@ SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE))
     "history_plus_live": _M1 + f"SELECT * FROM ({_EMA_TABLE})",
     "split_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "day_files_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
+    "li_bars_1d": "WITH " + O.LI_BASE + ",\n" + O.bars_cte("1 day") + "\nSELECT * FROM bars",
+    "li_ema_1d": O.trend_with("1 day", base=O.LI_BASE) + _ema_select(),
+    "li_crossovers_7d": O.trend_with("7 days", base=O.LI_BASE) + "SELECT symbol, window_start, trade_timestamp, message FROM advs",
     "ema_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_EMA_TABLE})",
     "advisory_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_ADV_TABLE})",
 }
