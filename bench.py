@@ -14,28 +14,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tickscan.operators import history as hist  # noqa: E402
-from tickscan.operators.bars import bars  # noqa: E402
-from tickscan.operators.clean import valid_ticks  # noqa: E402
 from tickscan.plans import registry as R  # noqa: E402
-from tickscan.plans.trend import trend  # noqa: E402
 from tickscan.session import get_session  # noqa: E402
-from tickscan.sources.tables import lineitem_as_ticks  # noqa: E402
-
-
-def li_bars(spark, sf):
-    return bars(valid_ticks(lineitem_as_ticks(spark, sf)), "1 day").drop("w")
-
-
-def li_ema(spark, sf):
-    t = trend(lineitem_as_ticks(spark, sf), "1 day")
-    return t.emas.select("symbol", "window_start", F.round("ema38", 6), F.round("ema100", 6))
-
-
-def li_crossovers(spark, sf):
-    return trend(lineitem_as_ticks(spark, sf), "7 days").advisories
 
 
 _TABLES: dict = {}
