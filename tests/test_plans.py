@@ -50,3 +50,19 @@ def test_no_python_udf_in_batch_plans(spark):
     for name in ["crossovers", "ema_history", "latency_stats", "bars_1m"]:
         p = plan(R.QUERIES[name](spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "FlatMapGroupsInPandas" not in p
+
+
+def test_bars_hash_aggregate_with_integer_seq(spark):
+    p = plan(bars(valid_ticks(events_as_ticks(spark, SF_SMALL)), "1 minute"))
+    assert "HashAggregate" in p and "SortAggregate" not in p
+
+
+def test_packed_ordering_breaks_ties_by_seq(spark):
+    from datetime import datetime
+    t = datetime(1969, 12, 31, 23, 59, 59)
+    ticks = spark.createDataFrame(
+        [("A.FR", t, -5, 1.0), ("A.FR", t, 7, 2.0), ("A.FR", t, 3, 3.0),
+         ("B.FR", datetime(2024, 1, 1), 9223372036854775807, 4.0), ("B.FR", datetime(2024, 1, 1), -9223372036854775808, 5.0)],
+        "id string, trade_timestamp timestamp, seq long, price double")
+    got = {r["symbol"]: r["close"] for r in bars(ticks, "1 minute").collect()}
+    assert got == {"A.FR": 2.0, "B.FR": 4.0}

@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ticks import instant
 
@@ -44,8 +45,23 @@ def window_index(ts, window: str, offset: str | None = None) -> Column:
 
 
 def _ordering(df: DataFrame, order_cols) -> Column:
+    """The "last tick" ordering: ``trade_timestamp`` then ``seq``.
+
+    With an integer ``seq`` the pair is packed exactly into one ``DECIMAL(38,0)``
+    (``micros * 10^20 + seq + 2^63``: micros stay below 10^18 in magnitude, the shifted seq below
+    2^64 < 10^20), which keeps ``max_by`` in a code-generated hash aggregate. A struct ordering
+    (e.g. a multi-column ``seq``) makes Spark sort every task's rows instead.
+    """
     cols = list(order_cols) if order_cols else ["trade_timestamp"] + (["seq"] if "seq" in df.columns else [])
-    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+    if len(cols) == 1:
+        return F.col(cols[0])
+    if (len(cols) == 2 and isinstance(df.schema[cols[1]].dataType, T.IntegralType)
+            and isinstance(df.schema[cols[0]].dataType, (T.TimestampType, T.TimestampNTZType))):
+        return F.expr(f"CAST(CAST(unix_micros(CAST(`{cols[0]}` AS TIMESTAMP)) AS DECIMAL(38,0)) "
+                      f"* CAST('100000000000000000000' AS DECIMAL(38,0)) "
+                      f"+ (CAST(`{cols[1]}` AS DECIMAL(38,0)) + CAST('9223372036854775808' AS DECIMAL(38,0))) "
+                      f"AS DECIMAL(38,0))")
+    return F.struct(*cols)
 
 
 def bars(ticks: DataFrame, window: str = "1 minute", offset: str | None = None,

@@ -13,8 +13,8 @@ def _order_cols(ticks: DataFrame):
 
 def last_price(ticks: DataFrame, key: str = "id", price: str = "price") -> DataFrame:
     """Price and trade time of each symbol's latest tick (one partial aggregate, no sort)."""
-    cols = _order_cols(ticks)
-    ordering = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+    from .bars import _ordering
+    ordering = _ordering(ticks, _order_cols(ticks))
     return (ticks.groupBy(F.col(key).alias("symbol"))
                  .agg(F.max_by(price, ordering).alias("last_price"),
                       F.max("trade_timestamp").alias("trade_timestamp")))
