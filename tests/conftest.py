@@ -12,10 +12,11 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tickscan.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="tickscan-test-ckpt-")
-    s = get_session("local[*]", 8, extra={"spark.ui.showConsoleProgress": "false",
-                                          "spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir comes from the environment's Spark settings when it names one; otherwise
+    # the package gives a local session a private folder (tickscan.session.shared_dir)
+    from tickscan.session import get_session, shared_dir
+    s = get_session("local[*]", 8, extra={"spark.ui.showConsoleProgress": "false"})
+    shared_dir(s)
     yield s
 
 
