@@ -52,3 +52,22 @@ def test_messages_and_routing(spark):
     recs = spark.createDataFrame([("FR-ticks",), ("FR-ema",), ("NL-advisories",), ("x",)], "topic string")
     parts = split_by_kind(recs)
     assert {k: v.count() for k, v in parts.items()} == {"ticks": 1, "ema": 1, "advisories": 1, "unknown": 1}
+
+
+def test_dead_letters_and_state_ttl(spark):
+    from tickscan.sources.kafka import split_decoded
+    from tickscan.streaming.state import EmaCrossoverProcessor
+    recs = spark.createDataFrame([("FR-ticks", bytearray(b"x"), ("A.FR",)), ("FR-ticks", bytearray(b"y"), None)],
+                                 "topic string, value binary, msg struct<id:string>")
+    good, dead = split_decoded(recs)
+    assert good.count() == 1 and dead.columns == ["topic", "value"] and dead.count() == 1
+
+    seen = {}
+
+    class Handle:
+        def getValueState(self, name, schema, ttl=None):
+            seen["ttl"] = ttl
+            return None
+
+    EmaCrossoverProcessor(ttl_ms=3_600_000).init(Handle())
+    assert seen["ttl"] == 3_600_000

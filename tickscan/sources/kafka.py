@@ -53,6 +53,11 @@ def decode(records: DataFrame, descriptor_file: str, message: str | None = None)
                                                    options={"mode": "PERMISSIVE"}))
 
 
+def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records that decoded, dead letters: the raw records whose value did not decode)."""
+    return decoded.where(F.col("msg").isNotNull()), decoded.where(F.col("msg").isNull()).drop("msg")
+
+
 def to_topic_frame(rows: DataFrame, key: str = "symbol", descriptor_file: str | None = None,
                    message: str | None = None) -> DataFrame:
     """``key`` = symbol bytes; ``value`` = protobuf bytes when a descriptor is given, JSON otherwise."""
