@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import OP7_SQL, op7_decontaminate
+from .license_scan import op2_license_scan
 from .ngram_jaccard import op5_ngram_jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_decontaminate": OP7_SQL,
+}
