@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import prepare, write_and_read
 
-__all__ = ["table", "keep", "parts", "connected_components", "prepare"]
+__all__ = ["table", "keep", "parts", "free_name", "with_field", "connected_components", "prepare"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +22,19 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return write_and_read(df, name)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores after it, so that no column of ``df`` has it (in any case)."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    """The schema of ``df`` and one more column."""
+    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -53,7 +65,3 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state = now
     return e.select(F.col("b").alias("node"), F.col("a").alias("comp")).union(
         e.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
-
-
-def ceil_div(a: int, b: int) -> int:
-    return math.ceil(a / b)

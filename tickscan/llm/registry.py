@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import OP7_SQL, op7_decontaminate
 from .license_scan import op2_license_scan
 from .ngram_jaccard import op5_ngram_jaccard_join
+from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
 }
