@@ -2,24 +2,49 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import prepare, write_and_read
 
-__all__ = ["table", "keep", "parts", "free_name", "with_field", "connected_components", "prepare"]
+__all__ = ["table", "keep", "drop", "parts", "free_name", "with_field", "connected_components", "prepare"]
+
+
+#: Rows that a Python task gets at once: bounds its memory when texts are long.
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read with Spark's reader only (the path may be in any store Spark knows)."""
     prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder in spark.checkpoint.dir and read it again: cuts the lineage."""
-    return write_and_read(df, name)
+    out = write_and_read(df, name)
+    release(df.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now, not when the driver next happens to
+    collect its garbage; between steps that each move the corpus this halves the disk in use."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -57,7 +82,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.join(low2, large.b == low2.k)
         out = (small.select(F.col("m").alias("a"), "b")
                .union(small.select(F.col("m").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-        e = keep(out, "cc")
+        old, e = e, keep(out, "cc")
+        drop(old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
                     F.count(F.when(F.col("a") > F.col("b"), 1))).first()
         if state == now:

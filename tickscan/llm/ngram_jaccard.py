@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, keep, parts
-from .words import chunks, column_bytes, lists, mix, sets_by_row, shingles, words_of
+from .common import connected_components, drop, keep, parts, table
+from .words import chunks, lists, mix, sets_by_row, shingles
 
 K = 4
 PERCENT = 85
@@ -61,7 +61,7 @@ def _features(percent: int, k: int, whole: bool):
                 for s in sets_by_row(off, h):
                     n.append(len(s))
                     key.append(set_key(s) if len(s) else 0)
-                    low.append(s if whole else s[:min(len(s), 2 * need(len(s), percent))])
+                    low.append(s if whole else s[:need(len(s), percent) * 3 // 2 + 2])
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(key, pa.int64()), lists(low)],
                     ["id", "n", "cls", "low"])
@@ -74,7 +74,7 @@ def features(docs: DataFrame, percent: int, k: int, whole: bool = False) -> Data
 
 def columns(reps: DataFrame, texts: DataFrame, percent: int, k: int, heavy: int) -> DataFrame:
     """(h, cls, n, pos): the columns of each class that the threshold makes it need."""
-    p = f"n - div({percent} * n + 99, 100) + 1".replace(f"div({percent} * n + 99, 100)", f"({percent} * n + 99) div 100")
+    p = f"n - ({percent} * n + 99) div 100 + 1"
     held = reps.select("cls", F.explode("low").alias("h"))
     many = keep(held.groupBy("h").count().where(F.col("count") > heavy).select("h"), "ngram-heavy")
     mine = held.join(many, "h").groupBy("cls").agg(F.array_sort(F.collect_set("h")).alias("last"))
@@ -86,7 +86,7 @@ def columns(reps: DataFrame, texts: DataFrame, percent: int, k: int, heavy: int)
         "cls", "rep", "n", "known",
         F.when(known, F.expr(f"slice(concat(first, last), 1, cast({p} as int))")).alias("pre")), "ngram-prefix")
     # sets whose low end is mostly heavy: order the whole set
-    short = split.where("not known").select(F.col("rep").alias("id"), F.col("cls").alias("c"))
+    short = keep(split.where("not known").select(F.col("rep").alias("id"), F.col("cls").alias("c")), "ngram-short")
     full = features(texts.join(short.select("id"), "id", "left_semi"), percent, k, whole=True).dropDuplicates(["cls"])
     full = full.join(short, F.expr("c = cls"), "left_semi")
     each = full.select("cls", "n", F.explode("low").alias("h")).join(many.withColumn("heavy", F.lit(1)), "h", "left")
@@ -94,28 +94,28 @@ def columns(reps: DataFrame, texts: DataFrame, percent: int, k: int, heavy: int)
              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("heavy", F.lit(0)).alias("w"), "h"))).alias("s"))
              .select("cls", "n", F.expr(f"slice(s.h, 1, cast({p} as int))").alias("pre")))
     pre = split.where("known").select("cls", "n", "pre").unionByName(whole)
-    return pre.select("cls", "n", F.posexplode("pre").alias("pos", "h"))
+    out = keep(pre.select("cls", "n", F.posexplode("pre").alias("pos", "h")), "ngram-columns")
+    drop(split, short, many)
+    return out
 
 
 def _compare(percent: int, k: int):
     def run(batches):
         block, pivot, key = None, None, None
         for b in batches:
-            buf, off = column_bytes(b.column("text"))
-            w = words_of(buf, off, "space")
-            o, h = shingles(w, k)
-            cls, blk, member = (b.column(c).to_pylist() for c in ("cls", "block", "member"))
             a, z = [], []
-            for i, s in enumerate(sets_by_row(o, h)):
-                if not member[i]:
-                    block, pivot, key = blk[i], s, cls[i]
-                    continue
-                if blk[i] != block or key == cls[i]:
-                    continue
-                both = len(np.intersect1d(pivot, s, assume_unique=True))
-                if 100 * both >= percent * (len(pivot) + len(s) - both):
-                    a.append(key)
-                    z.append(cls[i])
+            for rows, w in chunks(b, "text", "space"):
+                cls, blk, member = (rows.column(c).to_pylist() for c in ("cls", "block", "member"))
+                for i, s in enumerate(sets_by_row(*shingles(w, k))):
+                    if not member[i]:
+                        block, pivot, key = blk[i], s, cls[i]
+                        continue
+                    if blk[i] != block or key == cls[i]:
+                        continue
+                    both = len(np.intersect1d(pivot, s, assume_unique=True))
+                    if 100 * both >= percent * (len(pivot) + len(s) - both):
+                        a.append(key)
+                        z.append(cls[i])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
     return run
 
@@ -137,17 +137,20 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int,
 
 def jaccard_links(texts: DataFrame, reps: DataFrame, percent: int, k: int, heavy: int) -> DataFrame:
     """(a, b): verified links between classes that make up all components."""
-    cols = keep(columns(reps, texts, percent, k, heavy), "ngram-columns")
+    cols = columns(reps, texts, percent, k, heavy)
     banded = cols.withColumn("band", F.expr(f"cast(floor(ln(n) / -ln({percent} / 100.0)) as int)"))
     pivot = banded.groupBy("h", "band").agg(F.min("cls").alias("a"))
     star = (banded.join(pivot, ["h", "band"]).where("a <> cls")
             .select("a", F.col("cls").alias("b")).distinct())
-    first = keep(verified(keep(star, "ngram-star"), reps, texts, percent, k), "ngram-links")
+    star = keep(star, "ngram-star")
+    first = keep(verified(star, reps, texts, percent, k), "ngram-links")
+    drop(star)
     comp = keep(connected_components(first), "ngram-comp")
     named = (cols.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("comp", F.coalesce("comp", "cls")))
     mixed = named.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h")
     open_cols = keep(named.join(mixed, "h", "left_semi"), "ngram-open")
+    drop(cols)
     x = open_cols.select("h", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
     y = open_cols.select("h", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
     bound = (f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
@@ -169,16 +172,20 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = keep(features(docs, percent, k), "ngram-features")
     some = rows.where("n > 0 and id is not null")
     reps = keep(some.groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low")), "ngram-classes")
+    members = keep(rows.select("id", "n", "cls"), "ngram-rows")
+    drop(rows)
     # an id may stand on several rows with different texts: such a class needs the text of its own
     texts = docs.where("id is not null and text is not null")
     links = jaccard_links(texts, reps, percent, k, heavy)
+    small = keep(reps.select("cls", "rep"), "ngram-members")
+    drop(reps)
     comp = connected_components(links).withColumnRenamed("node", "cls")
     degree = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("n_links"))
-    named = reps.select("cls", "rep").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = small.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     known = (named.join(least, "comp").select("cls", "component_id")
              .join(degree, "cls", "left"))
-    out = rows.join(known, "cls", "left").select(
+    out = members.join(known, "cls", "left").select(
         "id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id")).alias("component_id"),
         F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"))
@@ -186,6 +193,5 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op5_ngram_jaccard_join(spark, sf_dir):
-    """One row per document: doc_id, n_shingles, component_id, n_links (4-word shingles, 85 %)."""
-    from .common import table
-    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+    """One row per document: doc_id, n_shingles, component_id (4-word shingles, 85 %)."""
+    return ngram_jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")

@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP7_SQL, op7_decontaminate
+from .html_text import op10_html_text
 from .license_scan import op2_license_scan
 from .ngram_jaccard import op5_ngram_jaccard_join
+from .substring_dedup import op1_substring_dedup
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLES: dict[str, str] = {
