@@ -3,8 +3,9 @@
 A linear classifier is trained with numpy from texts confirmed as toxic and from unlabelled texts.
 The risk of calling an unlabelled text negative is corrected by the class prior, since a share of
 the unlabelled texts is toxic; where the corrected negative risk falls below zero the step goes the
-other way (Kiryo and others, 2017). Features are the distinct words of the whole text and the first
-4, 5 and 6 bytes of longer words, which catches inflected insults.
+other way (Kiryo and others, 2017). Features are the distinct words of the whole text and the
+first bytes of longer words, counted by how many distinct words share them: this catches insults
+that are inflected.
 
 Only the fit sees a sample: at most ``MAX_TOXIC`` confirmed and ``MAX_UNLABELLED`` unlabelled
 documents, those of smallest hashed id, so what reaches the driver has a fixed bound. The fitted
@@ -33,7 +34,9 @@ MAX_UNLABELLED = 8000
 MAX_FEATURES = 20000
 #: A document with at least this score is rejected.
 THRESHOLD = 0.3
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: Bias of a model without confirmed texts.
+NEVER = -1000.0
 #: Documents of the sample that must hold a feature.
 LEAST_DOCS = 4
 
@@ -42,14 +45,26 @@ def fold(doc_id: Column, of: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 
 
+def _distinct(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first of each (row, hash), and how often it stands."""
+    _, at, n = np.unique(mix(h + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
+    return at, n
+
+
 def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature hash) of every word and prefix, with repeats."""
-    row, size = w.row(), w.end - w.start
-    rows, out = [row], [w.hash]
+    """(row, feature hash), each once: the distinct words of a row; the prefixes of its longer words,
+    and again as features of their own those that two and three distinct words share."""
+    at, _ = _distinct(w.row(), w.hash)
+    row, start, size = w.row()[at], w.start[at], (w.end - w.start)[at]
+    rows, out = [row], [w.hash[at]]
     for n in PREFIXES:
         long = np.flatnonzero(size > n)
-        rows.append(row[long])
-        out.append(mix(w.piece_hash(w.start[long], n) + np.uint64(n)))
+        h = mix(w.piece_hash(start[long], n) + np.uint64(n))
+        first, times = _distinct(row[long], h)
+        for least in (1, 2, 3):
+            some = first[times >= least]
+            rows.append(row[long][some])
+            out.append(mix(h[some] + np.uint64(least)))
     return np.concatenate(rows), np.concatenate(out).view(np.int64)
 
 
@@ -61,42 +76,53 @@ def _sample_features(batches):
             yield pa.RecordBatch.from_arrays([rows.column("toxic").cast(pa.int32()), lists(own)], ["toxic", "f"])
 
 
-def risk_fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05,
-             sparse: float = 2e-4, beta: float = 0.0) -> tuple[np.ndarray, np.ndarray, float]:
-    """(feature hashes, weights, bias) that lower the non-negative risk of the sample.
-
-    ``toxic`` tells confirmed rows from unlabelled ones; ``sparse`` is the weight of the L1 norm.
-    """
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    names, col, held = np.unique(flat, return_inverse=True, return_counts=True)
-    good = held >= LEAST_DOCS
-    new = np.cumsum(good) - 1
-    of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    use = good[col]
-    col, of_row, names = new[col[use]], of_row[use], names[good]
+def _descend(col, of_row, n_rows, toxic, prior, w, bias, steps, rate, sparse):
+    """Adam steps on the non-negative risk with an L1 proximal step."""
     n_pos, n_unl = int(toxic.sum()), int((~toxic).sum())
-    w, bias = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
-    if not n_pos or not n_unl or not len(names):
-        return names[:0], w[:0], -50.0 if not n_pos else bias
-    first, second, seen = np.zeros(len(names) + 1), np.zeros(len(names) + 1), 0
+    first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        z = np.bincount(of_row, w[col], len(rows)) + bias
+        z = np.bincount(of_row, w[col], n_rows) + bias
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         lost = np.logaddexp(0, z)  # loss of calling a row negative
-        negative = lost[~toxic].mean() - prior * lost[toxic].mean()
-        if negative >= -beta:
+        if lost[~toxic].mean() >= prior * lost[toxic].mean():
             g = np.where(toxic, prior * (p - 1) / n_pos - prior * p / n_pos, p / n_unl)
-        else:
+        else:  # the corrected negative risk is below zero: climb back
             g = np.where(toxic, prior * p / n_pos, -p / n_unl)
-        grad = np.append(np.bincount(col, g[of_row], len(names)), g.sum())
+        grad = np.append(np.bincount(col, g[of_row], len(w)), g.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
-        move = rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-4)
+        size = rate / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-4)
+        move = size * first / (1 - 0.9 ** step)
         w, bias = w - move[:-1], bias - move[-1]
-        shrink = rate * sparse / (np.sqrt(second[:-1] / (1 - 0.999 ** step)) + 1e-4)
-        w = np.sign(w) * np.maximum(np.abs(w) - shrink, 0)
-    strong = np.argsort(-np.abs(w))[:MAX_FEATURES]
-    strong = np.sort(strong[w[strong] != 0])
-    return names[strong], w[strong], bias
+        w = np.sign(w) * np.maximum(np.abs(w) - size[:-1] * sparse, 0)
+    return w, bias
+
+
+def risk_fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float, sparse: float = 1e-3,
+             steps: int = 100, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray, float]:
+    """(feature hashes, weights, bias) that lower the non-negative risk of the sample.
+
+    ``toxic`` tells confirmed rows from unlabelled ones. A first descent with an L1 norm of weight
+    ``sparse`` picks the features, a second one fits them nearly without it.
+    """
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    names, col, held = np.unique(flat, return_inverse=True, return_counts=True)
+    of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    bias = float(np.log(prior / (1 - prior)))
+
+    def only(good):
+        new, use = np.cumsum(good) - 1, good[col]
+        return names[good], new[col[use]], of_row[use]
+
+    names, col, of_row = only(held >= LEAST_DOCS)
+    if not toxic.any() or toxic.all() or not len(names):
+        return names[:0], np.zeros(0), bias if toxic.any() else NEVER
+    w, bias = _descend(col, of_row, len(rows), toxic, prior, np.zeros(len(names)), bias, steps, rate, sparse)
+    strong = np.zeros(len(names), bool)
+    strong[np.argsort(-np.abs(w))[:MAX_FEATURES]] = True
+    strong &= w != 0
+    names, col, of_row = only(strong)
+    w, bias = _descend(col, of_row, len(rows), toxic, prior, w[strong], bias, 3 * steps, rate, sparse / 40)
+    return names, w, bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior: float | None = None,
@@ -132,10 +158,9 @@ def _scores(model):
                 if len(names) and len(h):
                     at = np.minimum(np.searchsorted(names, h), len(names) - 1)
                     hit = names[at] == h
-                    pair = np.unique(np.stack([row[hit], at[hit]]), axis=1)  # a feature counts once a text
-                    z += np.bincount(pair[0], weight[pair[1]], len(rows))
+                    z += np.bincount(row[hit], weight[at[hit]], len(rows))
                 score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-                if bias <= -50:
+                if bias == NEVER:
                     score[:] = 0
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(score)], [*rows.schema.names, "_score"])
     return run
