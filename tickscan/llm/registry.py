@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op8_multiprobe_ann
 from .decontaminate import OP7_SQL, op7_decontaminate
 from .html_text import op10_html_text
 from .license_scan import op2_license_scan
+from .mixing import OP9_SQL, op9_mix_sources
 from .ngram_jaccard import op5_ngram_jaccard_join
+from .quality_kn import op6_quality_kn
 from .substring_dedup import op1_substring_dedup
 from .toxicity import op3_toxicity
 
@@ -18,10 +21,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_quality_kn": op6_quality_kn,
     "op7_decontaminate": op7_decontaminate,
+    "op8_multiprobe_ann": op8_multiprobe_ann,
+    "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
 }
 
 ORACLES: dict[str, str] = {
     "op7_decontaminate": OP7_SQL,
+    "op9_mix_sources": OP9_SQL,
 }
