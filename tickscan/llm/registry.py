@@ -15,11 +15,13 @@ from .ngram_jaccard import op5_ngram_jaccard_join
 from .quality_kn import op6_quality_kn
 from .substring_dedup import op1_substring_dedup
 from .toxicity import op3_toxicity
+from .trie_lm import op4_trie_lm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
+    "op4_trie_lm": op4_trie_lm,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_kn": op6_quality_kn,
     "op7_decontaminate": op7_decontaminate,
