@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop, keep, parts, table
+from .common import connected_components, drop, free_name, keep, parts, table
 from .words import chunks, lists, mix, sets_by_row, shingles
 
 K = 4
@@ -192,6 +192,17 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.withColumnRenamed("id", id_col)
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, repeated rows once. Rows
+    without words or without an id are never joined with others, so they all stay."""
+    first = (ngram_jaccard_join(docs, id_col, text_col, **how).where(F.col(id_col) == F.col("component_id"))
+             .select(F.col(id_col).cast("long").alias("_first")).distinct())
+    mark = free_name(docs, "text_key")
+    alone = docs.where(F.col(id_col).isNull())
+    kept = docs.join(first, docs[id_col].cast("long") == F.col("_first"), "left_semi").withColumn(mark, F.xxhash64(text_col))
+    return kept.dropDuplicates([id_col, mark]).drop(mark).unionByName(alone)
+
+
 def op5_ngram_jaccard_join(spark, sf_dir):
     """One row per document: doc_id, n_shingles, component_id (4-word shingles, 85 %)."""
     return ngram_jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")
