@@ -5,30 +5,34 @@ The EMA of span ``s`` steps once per non-empty bar: ``e_n = a*p_n + (1-a)*e_{n-1
 ``d = 1-a``, and affine maps compose, so the recurrence is a prefix scan that needs no single task
 to see a symbol's whole history:
 
-* **level 0** - bars are grouped into blocks of ``2**bits`` consecutive window indices,
-  partitioned by ``(symbol, block)``. Inside a block the EMA started from 0 is a plain window sum
-  ``d**k * sum_{i<=k} a*p_i*d**(-i)`` (``k < 64``, so the powers stay small), computed JVM-side.
+* **level 0** - bars are grouped into blocks of ``2**bits`` consecutive window indices and each block
+  is collected once as a sorted array, keyed by ``(symbol, block)``: the one shuffle of the bars. A
+  block's summary is its bar count and its EMA started from 0.
 * **levels 1..L** - block summaries ``(count, value)`` are folded per parent group of at most
   ``2**bits`` children (sorted array + ``aggregate``), giving each child the composition of the
   children before it; the top level folds the few remaining nodes of a symbol.
 * **descent** - each node's incoming value is ``d**(count before) * parent_in + value before``,
-  joined down level by level; a bar's EMA is ``d**(k+1) * block_in + local``.
+  joined down level by level;
+* **bars** - inside a block the recurrence ``e = a*p + (1-a)*e`` is stepped bar by bar, in order, from
+  the block's incoming value: the reference's own formula, so that rounding does not depend on a
+  bar's place in its block. (A closed form per bar makes the sign of the difference of two converged
+  EMAs noise, and a flat price then gives false crossovers.)
 
 So a symbol that holds a third of all bars is spread over its ``n/64`` blocks, every shuffle is
 keyed by ``(symbol, block)``, and no group at any level exceeds 64 members. The level count grows
 with ``log64`` of the history length in windows.
 
-The previous bar's EMAs (needed by the crossover rule) come for free: inside a block they are the
-lagged local values, and for a block's first bar they are the block's incoming value.
+The previous bar's EMAs (needed by the crossover rule) are the values of the same sequence: a block's
+first bar has the block's incoming value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import BUY, DEFAULT_SPANS, SELL
+from ..session import write_and_read
 
 BLOCK_BITS = 6
 
@@ -85,47 +89,48 @@ def _fold(nodes: DataFrame, group_cols: list[str], child: str, spans,
     return children, groups
 
 
+def blocks_of(bars: DataFrame, key: str = "symbol", order: str = "w", bits: int = BLOCK_BITS) -> DataFrame:
+    """``key, _g1, _bars``: the bars of each block as one array sorted by ``order``."""
+    rest = [c for c in bars.columns if c not in (key, order)]
+    elem = "struct(" + ", ".join([f"`{order}` AS _o"] + [f"`{c}`" for c in rest]) + ")"
+    return (bars.selectExpr(f"`{key}`", f"shiftright(`{order}`, {bits}) AS _g1", f"{elem} AS _bar")
+                .groupBy(key, "_g1").agg(F.array_sort(F.collect_list("_bar")).alias("_bars")))
+
+
 def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str = "w",
         price: str = "close", seed: float | str = 0.0, levels: int | None = None,
-        bits: int = BLOCK_BITS, with_previous: bool = False, with_position: bool = False) -> DataFrame:
+        bits: int = BLOCK_BITS, with_previous: bool = False, with_position: bool = False,
+        materialize: bool = False) -> DataFrame:
     """Add ``ema<span>`` columns (and ``prev_ema<span>`` / ``bar_no`` if asked) to ``bars``.
 
     ``order`` must be a long that is unique per ``key`` and increases with time (the window index
-    ``w`` of :func:`bars`). ``levels`` is derived from the range of ``order`` when not given (one
-    small aggregate job); pass it to keep the plan free of that extra job. ``seed`` is the value
-    before the first bar: a number (0 as in the reference) or ``"first_close"`` (each symbol starts
-    from its first close, a per-symbol aggregate joined at the top level). ``bar_no`` is the 1-based
-    position of the bar in its symbol's history, carried down the levels from the fold counts.
+    ``w`` of :func:`bars`). ``materialize`` writes the blocks once to the shared folder, so that the
+    upward fold and the final pass both read them. ``levels`` is derived from the range of the blocks
+    when not given (one small aggregate job). ``seed`` is the value before the first bar: a number (0
+    as in the reference) or ``"first_close"`` (each symbol starts from its first close, a per-symbol
+    aggregate joined at the top level). ``bar_no`` is the 1-based position of the bar in its symbol's
+    history, carried down the levels from the fold counts.
     """
     spans = list(spans)
+    blocks = blocks_of(bars, key, order, bits)
+    if materialize:
+        blocks = write_and_read(blocks, "bar-blocks")
     if levels is None:
-        r = bars.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-        levels = levels_for(r["lo"], r["hi"], bits)
+        r = blocks.agg(F.min("_g1").alias("lo"), F.max("_g1").alias("hi")).first()
+        levels = levels_for(r["lo"] << bits, r["hi"] << bits, bits) if r["lo"] is not None else 1
     g = [f"_g{i}" for i in range(levels + 1)]  # _g1 = block; _g<l+1> = parent of _g<l>
     ds = {s: 1.0 - alpha(s) for s in spans}
-    k = "CAST(_k AS DOUBLE)"
-
-    # ---- level 0: local EMAs inside each block, from 0 ------------------------------------------
-    win = f"PARTITION BY {key}, {g[1]} ORDER BY {order}"
-    b = bars.selectExpr("*", f"shiftright({order}, {bits}) AS {g[1]}")
-    b = b.selectExpr("*", f"row_number() OVER ({win}) - 1 AS _k")
-    locals_ = []
-    for s in spans:
-        if ds[s] == 0.0:  # span 1: the EMA is the price itself
-            locals_.append(f"CAST({price} AS DOUBLE) AS _l{s}")
-        else:
-            locals_.append(f"pow({_d(ds[s])}, {k}) * sum({_d(alpha(s))} * {price} * pow({_d(ds[s])}, -{k})) "
-                           f"OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _l{s}")
-    b = b.selectExpr("*", *locals_)
-    if with_previous:
-        b = b.selectExpr("*", *[f"lag(_l{s}) OVER ({win}) AS _lp{s}" for s in spans])
+    px = f"CAST(x.`{price}` AS DOUBLE)"
+
+    def stepped(acc: str, s) -> str:
+        return f"{px} * {_d(alpha(s))} + {acc} * {_d(ds[s])}"
 
     # ---- level 1..L: block summaries folded upward ----------------------------------------------
-    # Block summaries are folded straight from the bars (not from the windowed rows above), so both
-    # consumers read the same (symbol, block) shuffle and nothing upstream runs twice.
-    steps = bars.selectExpr(key, f"{order} AS _w", f"shiftright({order}, {bits}) AS {g[1]}", "CAST(1 AS BIGINT) AS _cnt",
-                            *[f"CAST({_d(alpha(s))} * {price} AS DOUBLE) AS _b{s}" for s in spans])
-    _, nodes = _fold(steps, [key, g[1]], "_w", spans, with_children=False)
+    zero = "named_struct(" + ", ".join(f"'e{s}', 0.0D" for s in spans) + ")"
+    local = "named_struct(" + ", ".join(f"'e{s}', {stepped(f'acc.e{s}', s)}" for s in spans) + ")"
+    nodes = blocks.selectExpr(f"`{key}`", "_g1", "CAST(size(_bars) AS BIGINT) AS _cnt",
+                              f"aggregate(_bars, {zero}, (acc, x) -> {local}) AS _e")
+    nodes = nodes.selectExpr(f"`{key}`", "_g1", "_cnt", *[f"_e.e{s} AS _b{s}" for s in spans])
     prefixes = []  # per level l (1..L): child prefix table keyed by (key, g[l]) with parent g[l+1]
     for lv in range(1, levels):
         nodes = nodes.selectExpr("*", f"shiftright({g[lv]}, {bits}) AS {g[lv + 1]}")
@@ -133,7 +138,8 @@ def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str =
         prefixes.append((lv, children))
     top_children, _ = _fold(nodes, [key], g[levels], spans)
     if seed == "first_close":
-        seeds = bars.groupBy(key).agg(F.min_by(price, order).cast("double").alias("_seed"))
+        first = blocks.selectExpr(f"`{key}`", "_g1", f"_bars[0].`{price}` AS _p")
+        seeds = first.groupBy(key).agg(F.min_by("_p", "_g1").cast("double").alias("_seed"))
         top_children = top_children.join(seeds, key)
         seed_sql = "_seed"
     else:
@@ -150,22 +156,33 @@ def ema(bars: DataFrame, spans=DEFAULT_SPANS, key: str = "symbol", order: str =
     for lv, children in reversed(prefixes):
         level_in = children.join(level_in, [key, g[lv + 1]]).selectExpr(key, g[lv], *incoming(True))
 
-    # ---- descent to bars -----------------------------------------------------------------------
-    out = b.join(level_in, [key, g[1]])
-    added = []
-    first = "_nin + _k = 0"  # the symbol's first bar: with a first-close seed its EMA is exactly the close
-    for s in spans:
-        d = _d(ds[s])
-        value = f"pow({d}, {k} + 1) * _in{s} + _l{s}"
-        if seed == "first_close":
-            value = f"CASE WHEN {first} THEN CAST({price} AS DOUBLE) ELSE {value} END"
-        added.append(f"{value} AS {ema_col(s)}")
-        if with_previous:
-            added.append(f"CASE WHEN _k = 0 THEN _in{s} ELSE pow({d}, {k}) * _in{s} + _lp{s} END AS prev_{ema_col(s)}")
+    # ---- bars: the recurrence in order from the block's incoming value -----------------------------
+    rest = [c for c in bars.columns if c not in (key, order)]
+    state = [("n", "_nin")] + [(f"e{s}", f"_in{s}") for s in spans]
+    row = ", ".join(["x AS bar", "acc.n + 1 AS n"] + [f"acc.e{s} AS p{s}" for s in spans])
+
+    def value(s) -> str:
+        # with a first-close seed the first bar's EMA is exactly the close
+        return (f"CASE WHEN acc.n = 0 THEN {px} ELSE {stepped(f'acc.e{s}', s)} END" if seed == "first_close"
+                else stepped(f"acc.e{s}", s))
+
+    new = ", ".join(f"{value(s)} AS e{s}" for s in spans)
+    bar_type = blocks.schema["_bars"].dataType.elementType.simpleString()
+    out_type = ("array<struct<bar:" + bar_type + ",n:bigint," + ",".join(f"p{s}:double" for s in spans) + ","
+                + ",".join(f"e{s}:double" for s in spans) + ">>")
+    start = "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in state) + f", 'out', CAST(array() AS {out_type}))"
+    done = f"struct({row}, {new})"
+    step = ("named_struct('n', acc.n + 1, " + ", ".join(f"'e{s}', {value(s)}" for s in spans)
+            + f", 'out', concat(acc.out, array({done})))")
+    run = (blocks.join(level_in, [key, "_g1"])
+                 .selectExpr(f"`{key}`", f"inline(aggregate(_bars, {start}, (acc, x) -> {step}, acc -> acc.out))"))
+    added = [f"e{s} AS {ema_col(s)}" for s in spans]
+    if with_previous:
+        added += [f"p{s} AS prev_{ema_col(s)}" for s in spans]
     if with_position:
-        added.append("_nin + _k + 1 AS bar_no")
-    keep = [f"`{c}`" for c in b.columns if not (c.startswith("_") or c in g)]
-    return out.selectExpr(*keep, *added)
+        added.append("n AS bar_no")
+    names = {order: "bar._o"} | {c: f"bar.`{c}`" for c in rest}
+    return run.selectExpr(*[f"`{c}`" if c == key else f"{names[c]} AS `{c}`" for c in bars.columns], *added)
 
 
 def crossovers(emas: DataFrame, fast: str = "ema38", slow: str = "ema100",

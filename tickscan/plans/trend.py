@@ -1,9 +1,9 @@
 """The analytics job as one declarative plan: ticks -> bars -> EMAs -> advisories.
 
-Batch form of the streaming job: the same operators, so a batch rerun over stored ticks gives the
-rows the stream wrote. The bars are written once to the shared folder (``spark.checkpoint.dir``)
-and read by both branches of the EMA scan; the fold depth comes from their window-index range.
-``levels="static"`` fixes it from the window size over a wide horizon instead.
+Batch form of the streaming job: the same operators and, inside each block of bars, the same
+recurrence in the same order. The blocks are written once to the shared folder
+(``spark.checkpoint.dir``) and read by both passes of the EMA scan; the fold depth comes from their
+range. ``levels="static"`` fixes it from the window size over a wide horizon instead.
 """
 
 from __future__ import annotations
@@ -11,13 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.bars import bars as make_bars, duration_us
 from ..operators.clean import valid_ticks
 from ..operators.ema import BLOCK_BITS, crossovers, ema, ema_col, levels_for
 from ..schemas import DEFAULT_SPANS, DEFAULT_WINDOW
-from ..session import write_and_read
 
 
 @dataclass
@@ -47,16 +45,11 @@ def trend(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, o
     spans = list(spans)
     t = valid_ticks(ticks) if validate else ticks
     b = make_bars(t, window, offset, order_cols=order_cols)
-    if materialize:
-        # the bars feed two branches of the EMA scan (in-block windows and block summaries) that
-        # prune different columns, so Spark would run the tick scan and bar aggregate twice
-        b = write_and_read(b, "bars")
-    if levels is None or levels == "data":
-        r = b.agg(F.min("w").alias("lo"), F.max("w").alias("hi")).first()
-        levels = levels_for(r["lo"], r["hi"], BLOCK_BITS)
+    if levels == "data":
+        levels = None
     elif levels == "static":
         levels = static_levels(window, offset)
-    e = ema(b, spans, levels=levels, seed=seed, with_previous=True, with_position=min_bars > 0)
+    e = ema(b, spans, levels=levels, seed=seed, with_previous=True, with_position=min_bars > 0, materialize=materialize)
     fast, slow = ema_col(min(spans[:2])), ema_col(max(spans[:2]))
     adv = crossovers(e, fast, slow, f"prev_{fast}", f"prev_{slow}", min_bars=min_bars)
     return Trend(b, e, adv)
