@@ -38,7 +38,6 @@ BENCH = {
     "ema_history": ema_history_all,
     "top_symbols": R.q_top_symbols,
     "latency_stats": R.q_latency_stats,
-    "late_audit": R.q_late_audit,
     "li_bars_1d": R.q_li_bars_1d,
     "li_ema_1d": R.q_li_ema_1d,
     "li_crossovers_7d": R.q_li_crossovers_7d,

@@ -61,6 +61,11 @@ def price_of(last) -> Column:
     return _c(last).try_cast("double")
 
 
+def whole_units(us: Column, size: int) -> Column:
+    """``floor(us / size)`` in whole numbers (a double quotient is exact only below 2**53)."""
+    return F.call_function("div", us - F.pmod(us, F.lit(size)), F.lit(size).cast("long"))
+
+
 def epoch_ms(ts) -> Column:
     return F.unix_millis(instant(ts))
 
@@ -68,13 +73,13 @@ def epoch_ms(ts) -> Column:
 def to_proto_ts(ts) -> Column:
     """Timestamp to ``{seconds, nanos}``; nanos stay non-negative for instants before 1970."""
     us = F.unix_micros(instant(ts))
-    return F.struct(F.floor(us / F.lit(1_000_000)).cast("long").alias("seconds"),
+    return F.struct(whole_units(us, 1_000_000).alias("seconds"),
                     (F.pmod(us, F.lit(1_000_000)) * 1000).cast("int").alias("nanos"))
 
 
 def from_proto_ts(proto) -> Column:
     p = _c(proto)
-    return F.timestamp_micros(p["seconds"] * 1_000_000 + F.floor(p["nanos"] / 1000).cast("long"))
+    return F.timestamp_micros(p["seconds"] * 1_000_000 + whole_units(p["nanos"].cast("long"), 1000))
 
 
 def clock_label(ts) -> Column:

@@ -1,4 +1,4 @@
-"""Event-time price bars (tumbling windows), and the late-row audit.
+"""Event-time price bars (tumbling windows).
 
 A bar is the last price of a symbol within one ``[start, end)`` window, with the trade time of
 that last tick. ``max_by`` is an incremental aggregate, so Catalyst plans a partial aggregate
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.ticks import instant
+from ..functions.ticks import instant, whole_units
 
 _UNITS_US = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -39,15 +39,13 @@ def duration_us(text: str | None) -> int:
 
 def window_index(ts, window: str, offset: str | None = None) -> Column:
     """0-based index of the tumbling window holding ``ts`` (window ``k`` starts at ``offset + k*size``)."""
-    size = duration_us(window)
-    off = duration_us(offset)
-    return F.floor((F.unix_micros(instant(ts)) - F.lit(off)) / F.lit(size)).cast("long")
+    return whole_units(F.unix_micros(instant(ts)) - F.lit(duration_us(offset)), duration_us(window))
 
 
 def _ordering(df: DataFrame, order_cols) -> Column:
     """The "last tick" ordering: ``trade_timestamp`` then ``seq``.
 
-    With an integer ``seq`` the pair is packed exactly into one ``DECIMAL(38,0)``
+    A NULL ``seq`` orders before all others. With an integer ``seq`` the pair is packed exactly into one ``DECIMAL(38,0)``
     (``micros * 10^20 + seq + 2^63``: micros stay below 10^18 in magnitude, the shifted seq below
     2^64 < 10^20), which keeps ``max_by`` in a code-generated hash aggregate. A struct ordering
     (e.g. a multi-column ``seq``) makes Spark sort every task's rows instead.
@@ -57,9 +55,10 @@ def _ordering(df: DataFrame, order_cols) -> Column:
         return F.col(cols[0])
     if (len(cols) == 2 and isinstance(df.schema[cols[1]].dataType, T.IntegralType)
             and isinstance(df.schema[cols[0]].dataType, (T.TimestampType, T.TimestampNTZType))):
+        seq = f"coalesce(CAST(`{cols[1]}` AS DECIMAL(38,0)), CAST('-9223372036854775808' AS DECIMAL(38,0)))"
         return F.expr(f"CAST(CAST(unix_micros(CAST(`{cols[0]}` AS TIMESTAMP)) AS DECIMAL(38,0)) "
                       f"* CAST('100000000000000000000' AS DECIMAL(38,0)) "
-                      f"+ (CAST(`{cols[1]}` AS DECIMAL(38,0)) + CAST('9223372036854775808' AS DECIMAL(38,0))) "
+                      f"+ ({seq} + CAST('9223372036854775808' AS DECIMAL(38,0))) "
                       f"AS DECIMAL(38,0))")
     return F.struct(*cols)
 
@@ -98,28 +97,3 @@ def bars(ticks: DataFrame, window: str = "1 minute", offset: str | None = None,
     end = F.timestamp_micros(F.col("w") * F.lit(size) + F.lit(off + size))
     return out.select("symbol", start.cast(ts_type).alias("window_start"), end.cast(ts_type).alias("window_end"),
                       "w", "close", "trade_timestamp", "ticks")
-
-
-def late_audit(ticks: DataFrame, batch_col: str = "batch", window: str = "1 minute",
-               offset: str | None = None, bound: str = "10 seconds") -> DataFrame:
-    """Which ticks a micro-batch stream with a ``bound`` watermark drops as late.
-
-    Ticks arrive in micro-batches numbered by ``batch_col``. The watermark used while batch ``b``
-    runs is ``max(trade_timestamp over batches < b) - bound``; a tick is dropped when its window
-    ends at or before it. Batch maxima are an aggregate over batch ids (one row per batch); their
-    running max is a window over that small table (one row per batch), joined back on the batch id;
-    AQE broadcasts it when its measured size allows.
-    """
-    size = duration_us(window)
-    off = duration_us(offset)
-    per_batch = ticks.groupBy(batch_col).agg(F.max(F.unix_micros(instant("trade_timestamp"))).alias("_bmax"))
-    from pyspark.sql import Window as W
-    prior = W.orderBy(batch_col).rowsBetween(W.unboundedPreceding, -1)
-    marks = per_batch.select(batch_col, (F.max("_bmax").over(prior) - F.lit(duration_us(bound))).alias("_wm_us"))
-    us = F.unix_micros(instant("trade_timestamp"))
-    wend = F.floor((us - F.lit(off)) / F.lit(size)) * F.lit(size) + F.lit(off + size)
-    return (ticks.join(marks, batch_col, "left")
-                 .withColumn("watermark", F.when(F.col("_wm_us").isNotNull(),
-                                                 F.timestamp_micros("_wm_us").cast(ticks.schema["trade_timestamp"].dataType)))
-                 .withColumn("late", F.coalesce(wend <= F.col("_wm_us"), F.lit(False)))
-                 .drop("_wm_us"))

@@ -1,10 +1,10 @@
 """History queries over the EMA and advisory tables, and the chart view port.
 
 The reference answers "the last 100 minutes of share X" with two statements (latest row, then a
-range). Here every symbol is answered in one pass: the latest time per symbol is a partial
-aggregate (one row per symbol), joined back to the table and used as a range filter. A ``share``
-filter is applied before the aggregate so it reaches the scan; on a table partitioned by
-``trade_date`` the range also becomes a partition filter.
+range). Here the latest time per symbol is a partial aggregate over two columns (one row per symbol,
+``share`` filtered in the scan); on a table partitioned by ``trade_date`` the distinct days that the
+ranges touch (a list bounded by the days of the table) then become a static partition filter, so the
+rows themselves are read from those days only.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ticks import advice_flag, clock_label, to_proto_ts
-from ..schemas import (HISTORY_LOOKBACK_MINUTES, VIEWPORT_GRID_MINUTES, VIEWPORT_LEAD_MINUTES,
+from ..schemas import (HISTORY_LOOKBACK_MINUTES, PARTITION_COLUMN, VIEWPORT_GRID_MINUTES, VIEWPORT_LEAD_MINUTES,
                        VIEWPORT_SPAN_MINUTES)
 
 
@@ -35,9 +35,19 @@ def latest(table: DataFrame, share: str | None = None) -> DataFrame:
              .select("symbol", *[F.col(f"_r.{c}").alias(c) for c in others]))
 
 
+def _only_days(t: DataFrame, bounds: DataFrame, first: Column, last: Column) -> DataFrame:
+    """``t`` limited to the days from ``first`` to ``last`` of any row of ``bounds``, if it has days."""
+    if PARTITION_COLUMN not in t.columns:
+        return t
+    day = F.explode(F.sequence(F.to_date(first), F.to_date(last))).alias("day")
+    days = [r["day"] for r in bounds.select(day).distinct().collect()]
+    return t.where(F.col(PARTITION_COLUMN).isin(days) if days else F.lit(False))
+
+
 def _last_range(table: DataFrame, share: str | None, lookback_minutes: float) -> DataFrame:
     t = _for_share(table, share)
     last = t.groupBy("symbol").agg(F.max("trade_timestamp").alias("_latest"))
+    t = _only_days(t, last, F.col("_latest") - _minutes(lookback_minutes), F.col("_latest"))
     return (t.join(last, "symbol")
              .where(F.col("trade_timestamp").between(F.col("_latest") - _minutes(lookback_minutes), F.col("_latest")))
              .drop("_latest"))
@@ -92,6 +102,7 @@ def viewport(ema_table: DataFrame, shift_minutes: int = 0, share: str | None = N
                .select("symbol",
                        (F.col("_latest") - _minutes(VIEWPORT_LEAD_MINUTES) + _minutes(shift_minutes)).alias("view_start")))
     bounds = bounds.withColumn("view_end", F.col("view_start") + _minutes(VIEWPORT_SPAN_MINUTES))
+    t = _only_days(t, bounds, F.col("view_start"), F.col("view_end"))
     return (t.join(bounds, "symbol")
              .where(F.col("trade_timestamp").between(F.col("view_start"), F.col("view_end"))))
 
@@ -109,5 +120,5 @@ def time_grid(ema_table: DataFrame, shift_minutes: int = 0, share: str | None =
 
 def history_plus_live(history_rows: DataFrame, live_rows: DataFrame,
                       key=("symbol", "trade_timestamp")) -> DataFrame:
-    """History followed by live rows for one chart; a row present in both is kept once."""
-    return history_rows.unionByName(live_rows).dropDuplicates(list(key))
+    """History followed by live rows for one chart; where both have a row, the history's is kept."""
+    return history_rows.unionByName(live_rows.join(history_rows.select(*key), list(key), "left_anti"))

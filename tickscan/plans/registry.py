@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ticks import (delay_ms, display_value, epoch_ms, from_proto_ts,
-                               parse_trade_ts, topic_name, to_proto_ts, wall_time)
+                               parse_trade_ts, region_of, topic_name, to_proto_ts, wall_time)
 from ..operators import catalog as cat
 from ..operators import history as hist
-from ..operators.bars import bars, late_audit
+from ..operators.bars import bars
+from ..operators.ema import crossovers
 from ..operators.clean import ingest_quality, region_job, start_align, valid_ticks
 from ..operators.latency import latency_stats, route_kind
 from ..operators.latest import last_price, price_direction
+from ..session import scratch_path, write_and_read
 from ..sources.tables import events_as_ticks, read_table
 from . import oracle as O
 from .trend import trend
@@ -31,8 +33,7 @@ SHARE = "CLICK.FR"
 REGION = "FR"
 SPLIT_DAY = "2024-01-16"      # history / live split and first table batch
 OVERLAP_DAY = "2024-01-10"    # the live feed and the second table batch start here
-ARRIVAL_PERIOD = "5 days"     # micro-batch length of the replayed feed
-FEED_LAG = {"NL": "2 hours"}  # one region's feed reaches the engine late
+BUMP = 1000.0                 # added to values of rows that must lose against stored ones
 
 
 def _ticks(spark, sf):
@@ -68,10 +69,9 @@ def _ema_rows(spark, sf):
 def _stored(spark, rows: DataFrame, writer) -> DataFrame:
     """Rows written through a history-table sink into a fresh table, read back (what history
     queries and subscribers read in production)."""
-    from ..session import scratch_path
     path = scratch_path(spark, "history-table")
     writer(rows, path)
-    return spark.read.parquet(path).drop("trade_date")
+    return spark.read.parquet(path)
 
 
 def _ema_table(spark, sf):
@@ -186,23 +186,6 @@ def q_latency_stats(spark, sf):
                     "avg_delay")
 
 
-def arrival_batches(ticks: DataFrame, period: str = ARRIVAL_PERIOD, lags=None) -> DataFrame:
-    """Arrival micro-batch of each tick: wall-clock time plus its region's feed lag, cut in periods."""
-    from ..operators.bars import duration_us
-    from ..functions.ticks import instant, region_of
-    lags = FEED_LAG if lags is None else lags
-    lag_us = F.lit(0)
-    for region, lag in lags.items():
-        lag_us = F.when(region_of("id") == region, F.lit(duration_us(lag))).otherwise(lag_us)
-    arrive = F.unix_micros(instant("wallclock_timestamp")) + lag_us
-    return ticks.withColumn("batch", F.floor(arrive / F.lit(duration_us(period))).cast("long"))
-
-
-def q_late_audit(spark, sf):
-    a = late_audit(arrival_batches(_valid(spark, sf)), "batch", "1 minute", None, "10 seconds")
-    return a.select("seq", "id", "batch", wall_time("watermark").alias("watermark"), "late")
-
-
 def q_ema(spark, sf):
     return _ema_out(_trend(spark, sf, "1 hour").emas)
 
@@ -237,25 +220,26 @@ def q_ema_display(spark, sf):
 
 
 def q_subscribe_share(spark, sf):
-    return hist._for_share(_ema_table(spark, sf), SHARE)
+    return hist._for_share(_ema_table(spark, sf), SHARE).drop("trade_date")
 
 
 def q_subscribe_all(spark, sf):
-    return hist._for_share(_ema_table(spark, sf), "ALL")
+    return hist._for_share(_ema_table(spark, sf), "ALL").drop("trade_date")
 
 
 def q_route_kind(spark, sf):
     t = _trend(spark, sf, "1 minute")
     v = _valid(spark, sf)
-    region_of_symbol = F.try_element_at(F.split("symbol", r"\."), F.lit(2))
+    emas = write_and_read(t.emas.select("symbol", "ema38", "ema100", "prev_ema38", "prev_ema100"), "ema-rows")
+    region_of_symbol = region_of("symbol")
     msgs = (v.select(topic_name(F.col("region"), "ticks").alias("topic"))
-             .unionByName(t.emas.select(topic_name(region_of_symbol, "ema").alias("topic")))
-             .unionByName(t.advisories.select(topic_name(region_of_symbol, "advisories").alias("topic"))))
+             .unionByName(emas.select(topic_name(region_of_symbol, "ema").alias("topic")))
+             .unionByName(crossovers(emas).select(topic_name(region_of_symbol, "advisories").alias("topic"))))
     return route_kind(msgs).groupBy("topic", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_ema_latest(spark, sf):
-    return hist.latest(_ema_table(spark, sf))
+    return hist.latest(_ema_table(spark, sf)).drop("trade_date")
 
 
 def q_ema_history(spark, sf):
@@ -267,53 +251,60 @@ def q_advisory_history(spark, sf):
 
 
 def q_ema_viewport(spark, sf):
-    return hist.viewport(_ema_table(spark, sf))
+    return hist.viewport(_ema_table(spark, sf)).drop("trade_date")
 
 
 def q_ema_viewport_shifted(spark, sf):
     """The view port moved one step (15 minutes) back, as the chart's navigation does."""
-    return hist.viewport(_ema_table(spark, sf), shift_minutes=-15)
+    return hist.viewport(_ema_table(spark, sf), shift_minutes=-15).drop("trade_date")
 
 
 def q_time_grid(spark, sf):
     return hist.time_grid(_ema_table(spark, sf))
 
 
+def _bumped(rows: DataFrame) -> DataFrame:
+    """The rows with other EMA values, to tell which of two rows with one key was kept."""
+    return rows.withColumns({c: F.round(F.col(c) + F.lit(BUMP), 6) for c in ("ema38", "ema100") if c in rows.columns})
+
+
 def q_history_plus_live(spark, sf):
-    e = _ema_rows(spark, sf)
+    """The live feed overlaps the history with other values: where both have a row, the stored one stays."""
+    e = write_and_read(_ema_rows(spark, sf), "ema-rows")
     old = e.where(F.col("trade_timestamp") < F.lit(SPLIT_DAY).cast("timestamp_ntz"))
-    live = e.where(F.col("trade_timestamp") >= F.lit(OVERLAP_DAY).cast("timestamp_ntz"))
+    live = _bumped(e.where(F.col("trade_timestamp") >= F.lit(OVERLAP_DAY).cast("timestamp_ntz")))
     return hist.history_plus_live(old, live)
 
 
-def _upsert_replay(spark, sf, rows: DataFrame, writer) -> DataFrame:
-    """Three writes into a fresh table: an early part, an overlapping later part, and a full replay."""
-    from ..session import scratch_path
+def _upsert_replay(spark, sf, rows: DataFrame, writer, later) -> DataFrame:
+    """Three writes into a fresh table: an early part, a later part that overlaps it with other values
+    (``later``), and a full replay. The first writer of a key must win."""
     path = scratch_path(spark, "history-table")
+    rows = write_and_read(rows, "table-rows")
     ts = F.col("trade_timestamp")
     writer(rows.where(ts < F.lit(SPLIT_DAY).cast("timestamp_ntz")), path)
-    writer(rows.where(ts >= F.lit(OVERLAP_DAY).cast("timestamp_ntz")), path)
+    writer(later(rows.where(ts >= F.lit(OVERLAP_DAY).cast("timestamp_ntz"))), path)
     writer(rows, path)
     return spark.read.parquet(path)
 
 
 def q_ema_upsert_ignore(spark, sf):
     from ..sinks.tables import write_ema_rows
-    t = _upsert_replay(spark, sf, _ema_rows(spark, sf), write_ema_rows)
+    t = _upsert_replay(spark, sf, _ema_rows(spark, sf), write_ema_rows, _bumped)
     return t.select("symbol", "ema38", "ema100", "trade_timestamp", F.col("trade_date").cast("string").alias("trade_date"))
 
 
 def q_advisory_upsert_ignore(spark, sf):
     from ..sinks.tables import write_advisories
     rows = _trend(spark, sf, "1 minute").advisories.select("symbol", "trade_timestamp", "message")
-    t = _upsert_replay(spark, sf, rows, write_advisories)
+    t = _upsert_replay(spark, sf, rows, write_advisories,
+                       lambda r: r.withColumn("message", F.concat("message", F.lit("?"))))
     return t.select("symbol", "advice", "trade_timestamp", F.col("trade_date").cast("string").alias("trade_date"))
 
 
 def q_split_roundtrip(spark, sf):
     """Ticks written as per-symbol CSV files (split by region and symbol, with header) and read back
     by header name; the valid ticks that come back."""
-    from ..session import scratch_path
     from ..sinks.files import split_by_symbol, to_raw_rows
     from ..sources.dayfile import read_symbol_files
     path = scratch_path(spark, "split")
@@ -333,7 +324,6 @@ DAY_FILE_ORDERS = {"FR": ["Trading time", "Last", "Extra", "ID", "Trading date",
 def q_day_files_roundtrip(spark, sf):
     """Ticks written as raw exchange day files (one per region and day: 11 preamble lines, header,
     description line; one region with another column order), read back by the day-file scan."""
-    from ..session import scratch_path
     from ..sinks.files import to_raw_rows, write_day_files
     from ..sources.dayfile import read_day_files
     path = scratch_path(spark, "dayfiles")
@@ -361,7 +351,53 @@ def q_li_crossovers_7d(spark, sf):
     return trend(_li(spark, sf), "7 days").advisories.select("symbol", "window_start", "trade_timestamp", "message")
 
 
+# Price paths laid over the events feed: every tick of every event goes to each of these symbols, so
+# each has the feed's whole history of 1-minute bars.
+FLAT_PRICES = {"FLAT100.FR": "100.0", "FLAT1037.FR": "10.37", "FLAT173.NL": "17.3", "PENNY.ETR": "0.01"}
+STEP_TICKS = 500  # ticks between two steps
+
+
+def _path_ticks(spark, sf, paths: dict[str, str]) -> DataFrame:
+    """The events feed with its ids and prices replaced: one copy for each id, priced by a SQL expression."""
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("id"), F.expr(f"CAST({p} AS STRING)").alias("last")) for i, p in paths.items()]))
+    t = _ticks(spark, sf).withColumn("_path", each)
+    return t.withColumns({"id": F.col("_path.id"), "last": F.col("_path.last")}).drop("_path")
+
+
+# Steps by arrival number: levels of round prices, and pennies up and down.
+STEP_PRICES = {"STEPS.FR": f"100.0D + 5 * ((seq div {STEP_TICKS}) % 4)", "PENNIES.NL": f"10.0D + 0.01D * ((seq div {STEP_TICKS}) % 2)"}
+STEP_PRICES_SQL = {"STEPS.FR": f"100.0::DOUBLE + 5 * ((seq // {STEP_TICKS}) % 4)",
+                   "PENNIES.NL": f"10.0::DOUBLE + 0.01::DOUBLE * ((seq // {STEP_TICKS}) % 2)"}
+
+
+def _path_crossovers(spark, sf, paths):
+    t = trend(_path_ticks(spark, sf, paths), "1 minute")
+    return t.advisories.select("symbol", "window_start", "trade_timestamp", "message")
+
+
+def q_crossovers_flat(spark, sf):
+    """Advisories of symbols whose price never moves: the first bar's only, however long the history."""
+    return _path_crossovers(spark, sf, FLAT_PRICES)
+
+
+def q_crossovers_steps(spark, sf):
+    """Advisories of prices that stand still for hundreds of bars between steps."""
+    return _path_crossovers(spark, sf, STEP_PRICES)
+
+
+def q_bars_null_seq(spark, sf):
+    """1-hour bars where every third tick has no arrival number: it orders before the others."""
+    t = _valid(spark, sf).withColumn("trade_timestamp", F.date_trunc("hour", "trade_timestamp").cast("timestamp_ntz"))
+    t = t.withColumn("seq", F.when(F.col("seq") % 3 != 0, F.col("seq")))
+    b = bars(t, "1 hour")
+    only = t.groupBy(F.col("id").alias("symbol"), F.col("trade_timestamp").alias("window_start")).agg(F.count("seq").alias("n_seq"))
+    return b.join(only.where("n_seq > 0"), ["symbol", "window_start"]).select("symbol", "window_start", "close", "ticks")
+
+
 QUERIES: dict[str, Query] = {
+    "crossovers_flat": q_crossovers_flat,
+    "crossovers_steps": q_crossovers_steps,
+    "bars_null_seq": q_bars_null_seq,
     "ticks": q_ticks,
     "ticks_valid": q_ticks_valid,
     "parse_trade_ts": q_parse_trade_ts,
@@ -384,7 +420,6 @@ QUERIES: dict[str, Query] = {
     "bars_offset": q_bars_offset,
     "ingest_quality": q_ingest_quality,
     "latency_stats": q_latency_stats,
-    "late_audit": q_late_audit,
     "ema": q_ema,
     "ema_scan": q_ema_scan,
     "ema_spans": q_ema_spans,
@@ -422,24 +457,13 @@ def _ema_select(spans=(38, 100)):
 
 _EMA_TABLE = "SELECT symbol, round(e38, 6) AS ema38, round(e100, 6) AS ema100, trade_timestamp FROM emas"
 _ADV_TABLE = "SELECT symbol, message AS advice, trade_timestamp FROM advs"
+_LATER = f"trade_timestamp >= TIMESTAMP '{SPLIT_DAY}'"
+_KEPT_EMA = ("symbol, " + ", ".join(f"CASE WHEN {_LATER} THEN round({c} + {BUMP}, 6) ELSE {c} END AS {c}" for c in ("ema38", "ema100"))
+             + ", trade_timestamp")
 _M1 = O.trend_with("1 minute")
 _H1 = O.trend_with("1 hour")
 
 
-def _late_sql():
-    from ..operators.bars import duration_us
-    period, lag, bound, size = (duration_us(ARRIVAL_PERIOD), duration_us(FEED_LAG["NL"]),
-                                duration_us("10 seconds"), duration_us("1 minute"))
-    return O.with_base(f"""arr AS (
-  SELECT *, (epoch_us(wallclock_timestamp) + CASE WHEN region = 'NL' THEN {lag} ELSE 0 END) // {period} AS batch
-  FROM vticks)""", """bmax AS (SELECT batch, max(epoch_us(trade_timestamp)) AS m FROM arr GROUP BY batch)""",
-        f"""marks AS (
-  SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {bound} AS wm FROM bmax)""") + f"""
-SELECT a.seq, a.id, a.batch, make_timestamp(m.wm) AS watermark,
-       coalesce((epoch_us(a.trade_timestamp) // {size}) * {size} + {size} <= m.wm, false) AS late
-FROM arr a JOIN marks m USING (batch)"""
-
-
 def _latency_sql():
     return O.with_base("""h AS (SELECT region, delay, count(*) AS c FROM vticks GROUP BY 1, 2)""",
                        """hc AS (SELECT region, delay, c,
@@ -473,7 +497,19 @@ SELECT tbl.symbol, tbl.ema38, tbl.ema100, tbl.trade_timestamp, vb.view_start, vb
 FROM tbl JOIN vb USING (symbol) WHERE tbl.trade_timestamp BETWEEN vb.view_start AND vb.view_end"""
 
 
+def _path_sql(paths: dict[str, str]) -> str:
+    """Recursive trend over the events feed copied to each id, with the price a SQL expression."""
+    ticks = " UNION ALL ".join(f"SELECT '{i}' AS id, CAST({p} AS DOUBLE) AS price, ts AS trade_timestamp, seq FROM ev" for i, p in paths.items())
+    base = f"ev AS (SELECT ts, event_id AS seq FROM events WHERE value IS NOT NULL),\nvticks AS ({ticks})"
+    return O.trend_with("1 minute", base=base) + "SELECT symbol, window_start, trade_timestamp, message FROM advs"
+
+
 ORACLE: dict[str, str] = {
+    "crossovers_flat": _path_sql(FLAT_PRICES),
+    "crossovers_steps": _path_sql(STEP_PRICES_SQL),
+    "bars_null_seq": O.with_base() + """SELECT id AS symbol, date_trunc('hour', trade_timestamp) AS window_start,
+       arg_max(price, CASE WHEN seq % 3 <> 0 THEN seq ELSE -1 END) AS close, count(*) AS ticks
+FROM vticks GROUP BY 1, 2 HAVING count(*) FILTER (WHERE seq % 3 <> 0) > 0""",
     "ticks": O.with_base() + "SELECT id, sec_type, last, trade_timestamp, wallclock_timestamp, delay FROM ticks",
     "ticks_valid": O.with_base() + "SELECT id, share, region, price, trade_timestamp FROM vticks",
     "parse_trade_ts": """SELECT seq, trading_date, trading_time,
@@ -515,7 +551,6 @@ FROM (SELECT DISTINCT region FROM vticks) r,
        count(*) FILTER (WHERE reason = 'bad_price') AS bad_price
 FROM chk GROUP BY region""",
     "latency_stats": _latency_sql(),
-    "late_audit": _late_sql(),
     "ema": _H1 + _ema_select(),
     "ema_scan": _M1 + _ema_select(),
     "ema_spans": O.trend_with("1 hour", SPANS_ALT) + _ema_select(SPANS_ALT),
@@ -551,14 +586,14 @@ SELECT symbol, arg_max(ema38, trade_timestamp) AS ema38, arg_max(ema100, trade_t
     "ema_viewport_shifted": _M1 + _view(-15) + _VIEW_SELECT,
     "time_grid": _M1 + _VIEW + """
 SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE)) AS grid_time FROM vb""",
-    "history_plus_live": _M1 + f"SELECT * FROM ({_EMA_TABLE})",
+    "history_plus_live": _M1 + f"SELECT {_KEPT_EMA} FROM ({_EMA_TABLE})",
     "split_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "day_files_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "li_bars_1d": "WITH " + O.LI_BASE + ",\n" + O.bars_cte("1 day") + "\nSELECT * FROM bars",
     "li_ema_1d": O.trend_with("1 day", base=O.LI_BASE) + _ema_select(),
     "li_crossovers_7d": O.trend_with("7 days", base=O.LI_BASE) + "SELECT symbol, window_start, trade_timestamp, message FROM advs",
-    "ema_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_EMA_TABLE})",
-    "advisory_upsert_ignore": _M1 + f"SELECT *, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_ADV_TABLE})",
+    "ema_upsert_ignore": _M1 + f"SELECT {_KEPT_EMA}, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_EMA_TABLE})",
+    "advisory_upsert_ignore": _M1 + f"SELECT symbol, CASE WHEN {_LATER} THEN advice || '?' ELSE advice END AS advice, trade_timestamp, CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS trade_date FROM ({_ADV_TABLE})",
 }
 
 
@@ -572,20 +607,10 @@ def _prepared(q: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    out = dict(QUERIES)
-    try:
-        from ..streaming.registry import STREAM_QUERIES
-        out.update(STREAM_QUERIES)
-    except ImportError:
-        pass
-    return {k: _prepared(v) for k, v in out.items()}
+    from ..streaming.registry import STREAM_QUERIES
+    return {k: _prepared(v) for k, v in (QUERIES | STREAM_QUERIES).items()}
 
 
 def all_oracles() -> dict[str, str]:
-    out = dict(ORACLE)
-    try:
-        from ..streaming.registry import STREAM_ORACLE
-        out.update(STREAM_ORACLE)
-    except ImportError:
-        pass
-    return out
+    from ..streaming.registry import STREAM_ORACLE
+    return ORACLE | STREAM_ORACLE

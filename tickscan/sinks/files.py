@@ -22,7 +22,7 @@ def to_raw_rows(ticks: DataFrame) -> DataFrame:
                         F.date_format(ts, "HH:mm:ss.SSSSSS").alias("Trading time"))
 
 
-def split_by_symbol(raw: DataFrame, path: str, by_region: bool = False, files_per_symbol: int | None = None,
+def split_by_symbol(raw: DataFrame, path: str, by_region: bool = False, files_per_symbol: int = 8,
                     id_col: str = "ID") -> None:
     """Write raw rows as CSV with a header, one folder per symbol (``symbol=<id>``), under one folder
     per region (``region=<r>``) when asked. The ``ID`` column stays in the files."""
@@ -31,15 +31,15 @@ def split_by_symbol(raw: DataFrame, path: str, by_region: bool = False, files_pe
     if by_region:
         df = df.withColumn("region", region_of(id_col))
         cols = ["region", "symbol"]
-    if files_per_symbol:
-        bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(files_per_symbol))
-        df = df.repartition(*[F.col(c) for c in cols], bucket)
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(files_per_symbol))
+    df = df.repartition(*[F.col(c) for c in cols], bucket)
     df.write.mode("overwrite").partitionBy(*cols).option("header", "true").csv(path)
 
 
 def capture(records: DataFrame, path: str, benchmark_col: str = "benchmark_timestamp") -> None:
-    """Append captured topic records, one folder per topic, stamped with the capture time."""
-    (records.withColumn(benchmark_col, F.current_timestamp())
+    """Append captured topic records as CSV, one folder per topic, stamped with the capture time in
+    milliseconds. Columns must be flat (:func:`~tickscan.sources.kafka.flat_message`)."""
+    (records.withColumn(benchmark_col, F.unix_millis(F.current_timestamp()))
             .write.mode("append").partitionBy("topic").option("header", "true").csv(path))
 
 

@@ -1,10 +1,15 @@
 """History tables: day-partitioned Parquet with insert-if-absent on ``(symbol, trade_timestamp)``.
 
 The reference stores EMA rows and advisories with ``ON CONFLICT DO NOTHING``, i.e. the first
-writer of a key wins and a replayed batch changes nothing. Here a batch is de-duplicated on the
+writer of a key wins and a replayed batch changes nothing. Here a batch is reduced to one row of each
 key, anti-joined against the rows already stored **in the days it touches only** (a static
 partition filter built from the batch's distinct days - a list bounded by the days one batch
-spans), and appended. One writer per table; a stream's ``foreachBatch`` is that writer.
+spans), and appended. One writer per table; a stream's ``foreachBatch`` is that writer. Within a
+stream only the first batch after a start can be a replay, so only that one reads the table
+(``check_stored``); later ones are appended as they are.
+
+A table exists if it has a day partition: success markers are not asked for, since committers may
+write none and a crash may lose them.
 """
 
 from __future__ import annotations
@@ -14,12 +19,22 @@ from pyspark.sql import functions as F
 
 from ..schemas import ADVISORY_TABLE_KEY, EMA_TABLE_KEY, PARTITION_COLUMN
 
+#: Files that one batch adds to a day at most; a day's rows are hashed by key over them.
+FILES_PER_DAY = 8
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a day partition (stops at the first)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    if not fs.exists(hpath):
+        return False
+    each = fs.listStatusIterator(hpath)
+    while each.hasNext():
+        if each.next().getPath().getName().startswith(PARTITION_COLUMN + "="):
+            return True
+    return False
 
 
 def with_partition(rows: DataFrame, ts_col: str = "trade_timestamp") -> DataFrame:
@@ -27,40 +42,45 @@ def with_partition(rows: DataFrame, ts_col: str = "trade_timestamp") -> DataFram
     return rows.withColumn(PARTITION_COLUMN, F.to_date(ts_col))
 
 
-def insert_if_absent(rows: DataFrame, path: str, key=EMA_TABLE_KEY, ts_col: str = "trade_timestamp") -> int:
+def first_of_key(rows: DataFrame, key, order: list[str] | None = None) -> DataFrame:
+    """One row of each key: the smallest by ``order``, then by the other columns (so always the same)."""
+    key, order = list(key), list(order or [])
+    rest = order + [c for c in rows.columns if c not in key and c not in order]
+    picked = rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_first"))
+    return picked.select(*[c if c in key else F.col(f"_first.{c}").alias(c) for c in rows.columns])
+
+
+def insert_if_absent(rows: DataFrame, path: str, key=EMA_TABLE_KEY, ts_col: str = "trade_timestamp",
+                     order: list[str] | None = None, check_stored: bool = True,
+                     files_per_day: int = FILES_PER_DAY) -> int:
     """Append the rows of ``rows`` whose key is not stored yet; returns the number of days touched."""
     spark = rows.sparkSession
     key = list(key)
-    batch = with_partition(rows, ts_col).dropDuplicates(key).persist()
+    batch = with_partition(first_of_key(rows, key, order), ts_col).persist()
     try:
-        return _insert(spark, batch, path, key)
+        days = [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
+        if not days:
+            return 0
+        new = batch
+        if check_stored and _exists(spark, path):
+            stored = spark.read.parquet(path).where(F.col(PARTITION_COLUMN).isin(days)).select(*key, PARTITION_COLUMN)
+            new = batch.join(stored, [*key, PARTITION_COLUMN], "left_anti")
+        # a day's rows go to a few tasks by key: neither one task for a hot day nor a file per task and day
+        bucket = F.pmod(F.xxhash64(*key), F.lit(files_per_day))
+        (new.repartition(PARTITION_COLUMN, bucket).sortWithinPartitions(PARTITION_COLUMN, *key)
+            .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
+        return len(days)
     finally:
         batch.unpersist()
 
 
-def _insert(spark: SparkSession, batch: DataFrame, path: str, key: list[str]) -> int:
-    days = [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
-    if not days:
-        return 0
-    if _exists(spark, path):
-        stored = (spark.read.parquet(path)
-                       .where(F.col(PARTITION_COLUMN).isin(days))
-                       .select(*key, PARTITION_COLUMN))
-        batch = batch.join(stored, [*key, PARTITION_COLUMN], "left_anti")
-    # No repartition by day: a hot day would land in one task. Each task writes its own rows,
-    # sorted so row groups are tight on (symbol, trade_timestamp) for the history range reads.
-    (batch.sortWithinPartitions(PARTITION_COLUMN, *key)
-          .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
-    return len(days)
-
-
-def write_ema_rows(ema_rows: DataFrame, path: str) -> int:
-    return insert_if_absent(ema_rows, path, EMA_TABLE_KEY)
+def write_ema_rows(ema_rows: DataFrame, path: str, **how) -> int:
+    return insert_if_absent(ema_rows, path, EMA_TABLE_KEY, **how)
 
 
-def write_advisories(advisories: DataFrame, path: str) -> int:
+def write_advisories(advisories: DataFrame, path: str, **how) -> int:
     """Advisories are stored with the message column named ``advice``."""
-    return insert_if_absent(advisories.withColumnRenamed("message", "advice"), path, ADVISORY_TABLE_KEY)
+    return insert_if_absent(advisories.withColumnRenamed("message", "advice"), path, ADVISORY_TABLE_KEY, **how)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -56,17 +56,14 @@ class TopicTicks:
     topics: list[str]
     descriptor_file: str
     starting: str = "latest"
+    extra: dict | None = None
+    dead_letters: DataFrame | None = field(default=None, init=False)
 
     def load(self, spark: SparkSession) -> DataFrame:
-        from .kafka import decode, kafka_reader
-        rec = decode(kafka_reader(spark, self.brokers, self.topics, self.starting), self.descriptor_file)
-        m = F.col("msg")
-        trade = F.timestamp_micros(m["trade_timestamp.seconds"] * 1_000_000 + F.floor(m["trade_timestamp.nanos"] / 1000))
-        wall = F.timestamp_micros(m["wallclock_timestamp.seconds"] * 1_000_000
-                                  + F.floor(m["wallclock_timestamp.nanos"] / 1000))
-        return rec.select(m["id"].alias("id"), m["sec_type"].alias("sec_type"), m["last"].alias("last"),
-                          trade.alias("trade_timestamp"), wall.alias("wallclock_timestamp"),
-                          m["delay"].alias("delay"), F.col("offset").alias("seq"))
+        from .kafka import decode, kafka_reader, split_decoded, topic_ticks
+        records = kafka_reader(spark, self.brokers, self.topics, self.starting, extra=self.extra)
+        good, self.dead_letters = split_decoded(decode(records, self.descriptor_file))
+        return topic_ticks(good)
 
 
 def with_delay(ticks: DataFrame) -> DataFrame:

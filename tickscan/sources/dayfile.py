@@ -41,8 +41,8 @@ class TickFiles:
 
 
 def numbered_lines(spark: SparkSession, paths, path_glob: str = "*.csv", recursive: bool = True) -> DataFrame:
-    """Text lines with ``file``, ``block`` (split offset), ``seq`` and ``line_no`` (exact within a
-    file's first split, NULL elsewhere)."""
+    """Text lines with ``file``, ``block`` (split offset), ``seq`` (grows with the line's place in its
+    file) and ``line_no`` (exact within a file's first split, NULL elsewhere)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     t = (spark.read.option("pathGlobFilter", path_glob).option("recursiveFileLookup", str(recursive).lower())
          .text(paths)
@@ -50,10 +50,20 @@ def numbered_lines(spark: SparkSession, paths, path_glob: str = "*.csv", recursi
                  "value", F.monotonically_increasing_id().alias("seq")))
     first = t.groupBy("file", "block").agg(F.min("seq").alias("_s0"))
     return (t.join(first, ["file", "block"])
-             .withColumn("line_no", F.when(F.col("block") == 0, F.col("seq") - F.col("_s0")))
+             .withColumn("seq", F.col("seq") - F.col("_s0"))
+             .withColumn("line_no", F.when(F.col("block") == 0, F.col("seq")))
+             # a block starts at least as many bytes into the file as there are lines before it
+             .withColumn("seq", F.col("block") + F.col("seq"))
              .drop("_s0"))
 
 
+def file_names(spark: SparkSession, paths, path_glob: str = "*.csv", recursive: bool = True) -> DataFrame:
+    """All input files, empty ones too (names only, no content is read)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", path_glob)
+            .option("recursiveFileLookup", str(recursive).lower()).load(paths).select(F.col("_metadata.file_path").alias("file")))
+
+
 def _split_header(line: str) -> list[str]:
     row = next(csv.reader(io.StringIO(line), delimiter=",", quotechar='"'), [])
     return [c.strip() for c in row]
@@ -63,9 +73,9 @@ def read_tick_files(spark: SparkSession, paths, layout=DAY_FILE, path_glob: str
     """Ticks from raw files; see the module doc. ``layout`` is (header line, first data line)."""
     header_at, data_from = layout
     lines = numbered_lines(spark, paths, path_glob)
-    # one header line per file reaches the driver
-    heads = [(r["file"], r["value"]) for r in
-             lines.where((F.col("block") == 0) & (F.col("line_no") == header_at)).select("file", "value").collect()]
+    # one header line per file reaches the driver; a file too short to have one has a NULL
+    head = lines.where((F.col("block") == 0) & (F.col("line_no") == header_at)).select("file", "value")
+    heads = [(r["file"], r["value"]) for r in file_names(spark, paths, path_glob).join(head, "file", "left").collect()]
     groups: dict[tuple, list[str]] = {}
     rejected = []
     for file, text in heads:

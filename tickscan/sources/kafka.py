@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.ticks import topic_kind
+from ..functions.ticks import from_proto_ts, topic_kind
 
 # Message names in the shared message definition, per topic kind.
 MESSAGE_BY_KIND = {"ticks": "FinancialTick", "ema": "EMAResult", "advisories": "BuyAdvisory"}
@@ -24,10 +25,12 @@ MESSAGE_BY_KIND = {"ticks": "FinancialTick", "ema": "EMAResult", "advisories": "
 
 def kafka_options(brokers: str, topics, starting: str = "latest", group: str | None = None,
                   extra: dict | None = None) -> dict[str, str]:
-    """Source options: one or many topics (comma list), start offsets, optional consumer group."""
+    """Source options: one or many topics (comma list), start offsets, optional consumer group.
+
+    Lost offsets fail the query (Spark's default); a caller who accepts the loss says so in ``extra``.
+    """
     topics = [topics] if isinstance(topics, str) else list(topics)
-    opts = {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(topics), "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+    opts = {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(topics), "startingOffsets": starting}
     if group:
         opts["kafka.group.id"] = group
     opts.update(extra or {})
@@ -35,12 +38,12 @@ def kafka_options(brokers: str, topics, starting: str = "latest", group: str | N
 
 
 def kafka_reader(spark: SparkSession, brokers: str, topics, starting: str = "latest",
-                 group: str | None = None, stream: bool = True) -> DataFrame:
+                 group: str | None = None, stream: bool = True, extra: dict | None = None) -> DataFrame:
     """Records of the topics with ``topic, partition, offset, timestamp, key, value`` and ``kind``."""
-    opts = kafka_options(brokers, topics, starting, group)
-    r = spark.readStream if stream else spark.read
     if not stream and starting == "latest":
-        opts["startingOffsets"] = "earliest"
+        raise ValueError("a batch read of topics needs a start before the latest offset")
+    opts = kafka_options(brokers, topics, starting, group, extra)
+    r = spark.readStream if stream else spark.read
     df = r.format("kafka").options(**opts).load()
     return df.withColumn("kind", topic_kind("topic"))
 
@@ -53,11 +56,35 @@ def decode(records: DataFrame, descriptor_file: str, message: str | None = None)
                                                    options={"mode": "PERMISSIVE"}))
 
 
+def decode_kinds(records: DataFrame, descriptor_file: str) -> dict[str, DataFrame]:
+    """Per kind, its records decoded with the kind's own message."""
+    return {kind: decode(records.where(F.col("kind") == kind), descriptor_file, message)
+            for kind, message in MESSAGE_BY_KIND.items()}
+
+
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records that decoded, dead letters: the raw records whose value did not decode)."""
     return decoded.where(F.col("msg").isNotNull()), decoded.where(F.col("msg").isNull()).drop("msg")
 
 
+def _flat(decoded: DataFrame, field: str):
+    """A field of ``msg``; a ``{seconds, nanos}`` struct becomes a timestamp."""
+    kind = decoded.schema["msg"].dataType[field].dataType
+    c = F.col("msg")[field]
+    return (from_proto_ts(c) if isinstance(kind, T.StructType) else c).alias(field)
+
+
+def flat_message(decoded: DataFrame, *kept: str) -> DataFrame:
+    """The columns ``kept`` and every field of ``msg``, without nesting (as the CSV capture needs)."""
+    return decoded.select(*kept, *[_flat(decoded, f.name) for f in decoded.schema["msg"].dataType.fields])
+
+
+def topic_ticks(decoded: DataFrame) -> DataFrame:
+    """Decoded tick records as ticks; the record's offset orders ticks of equal trade time."""
+    names = ("id", "sec_type", "last", "trade_timestamp", "wallclock_timestamp", "delay")
+    return decoded.select(*[_flat(decoded, n) for n in names], F.col("offset").alias("seq"))
+
+
 def to_topic_frame(rows: DataFrame, key: str = "symbol", descriptor_file: str | None = None,
                    message: str | None = None) -> DataFrame:
     """``key`` = symbol bytes; ``value`` = protobuf bytes when a descriptor is given, JSON otherwise."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.ticks import instant
+from ..functions.ticks import instant, region_of
 from ..operators.bars import bars as make_bars
 from ..operators.clean import quarantine, valid_ticks
 from ..schemas import DEFAULT_SPANS, DEFAULT_WINDOW, LATENESS_BOUND
@@ -31,9 +31,9 @@ STREAM_TICK_SCHEMA = ("id string, sec_type string, last string, trade_timestamp
 
 
 def read_tick_stream(spark: SparkSession, path: str, fmt: str = "parquet",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = None, schema: str = STREAM_TICK_SCHEMA) -> DataFrame:
     """A tick folder as a stream (the file stand-in for a tick topic)."""
-    r = spark.readStream.schema(STREAM_TICK_SCHEMA).format(fmt)
+    r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(path)
@@ -46,58 +46,87 @@ def stream_bars(ticks: DataFrame, window: str = DEFAULT_WINDOW, bound: str = LAT
 
 
 def trend_stream(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS,
-                 bound: str = LATENESS_BOUND, ttl_ms: int | None = None) -> DataFrame:
-    """One row per closed bar with ``ema<span>`` columns and the crossover ``message`` (or NULL)."""
+                 bound: str = LATENESS_BOUND, ttl_ms: int | None = None, seed: float | str = 0.0,
+                 min_bars: int = 0) -> DataFrame:
+    """One row per closed bar with ``ema<span>`` columns and the crossover ``message`` (or NULL).
+
+    A symbol's state is dropped ``ttl_ms`` after its last bar if given (processing time)."""
     b = stream_bars(ticks, window, bound)
     return (b.groupBy("symbol")
-             .transformWithState(EmaCrossoverProcessor(spans, ttl_ms=ttl_ms), output_schema(spans),
-                                 "Append", "None"))
+             .transformWithState(EmaCrossoverProcessor(spans, seed=seed, ttl_ms=ttl_ms, min_bars=min_bars),
+                                 output_schema(spans), "Append", "ProcessingTime" if ttl_ms else "None"))
 
 
-def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS) -> DataFrame:
+def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS, descriptor_file: str | None = None) -> DataFrame:
     """EMA rows and advisories of one micro-batch as topic records: ``topic`` (``<region>-ema`` or
-    ``<region>-advisories``), ``key`` (symbol bytes), ``value`` (JSON bytes)."""
+    ``<region>-advisories``), ``key`` (symbol bytes), ``value`` (protobuf bytes when a descriptor is
+    given, JSON otherwise)."""
     from ..functions.ticks import region_of, topic_name
-    from ..sources.kafka import to_topic_frame
+    from ..sources.kafka import MESSAGE_BY_KIND, to_topic_frame
     ema = batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp")
     adv = batch.where(F.col("message").isNotNull()).select("symbol", "trade_timestamp", "message")
-    return (to_topic_frame(ema).withColumn("topic", topic_name(region_of(F.col("key").cast("string")), "ema"))
-            .unionByName(to_topic_frame(adv)
-                         .withColumn("topic", topic_name(region_of(F.col("key").cast("string")), "advisories"))))
+
+    def routed(rows: DataFrame, kind: str) -> DataFrame:
+        frame = to_topic_frame(rows, descriptor_file=descriptor_file, message=MESSAGE_BY_KIND[kind])
+        return frame.withColumn("topic", topic_name(region_of(F.col("key").cast("string")), kind))
+
+    return routed(ema, "ema").unionByName(routed(adv, "advisories"))
 
 
 def write_batch(batch: DataFrame, ema_path: str, advisory_path: str, spans=DEFAULT_SPANS,
-                brokers: str | None = None) -> None:
+                brokers: str | None = None, descriptor_file: str | None = None, check_stored: bool = True) -> None:
     """Fan one micro-batch out to the EMA and advisory tables (both insert-if-absent) and, when
     ``brokers`` is given, to the per-region EMA and advisory topics."""
     batch = batch.persist()
     try:
-        write_ema_rows(batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp"), ema_path)
+        write_ema_rows(batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp"), ema_path,
+                       check_stored=check_stored)
         write_advisories(batch.where(F.col("message").isNotNull())
-                              .select("symbol", "trade_timestamp", "message"), advisory_path)
+                              .select("symbol", "trade_timestamp", "message"), advisory_path, check_stored=check_stored)
         if brokers:
-            (topic_frames(batch, spans).write.format("kafka")
+            (topic_frames(batch, spans, descriptor_file).write.format("kafka")
                 .option("kafka.bootstrap.servers", brokers).option("kafka.compression.type", "snappy").save())
     finally:
         batch.unpersist()
 
 
+def batch_writer(ema_path: str, advisory_path: str, spans=DEFAULT_SPANS, brokers: str | None = None,
+                 descriptor_file: str | None = None):
+    """``foreachBatch`` function. Only the first batch it sees can have been written before (a replay
+    after a failure, or a table that an earlier run filled), so only that one is checked against the
+    stored rows; the engine gives each later batch once."""
+    seen: set[int] = set()
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, ema_path, advisory_path, spans, brokers, descriptor_file, check_stored=(batch_id - 1) not in seen)
+        seen.clear()
+        seen.add(batch_id)
+    return write
+
+
 def start_job(ticks: DataFrame, ema_path: str, advisory_path: str, checkpoint: str,
               window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, bound: str = LATENESS_BOUND,
               processing_time: str = "5 seconds", quarantine_path: str | None = None,
-              brokers: str | None = None) -> list[StreamingQuery]:
-    """Start the job: EMA/advisory tables via ``foreachBatch``; optionally the quarantine as its own sink."""
-    out = trend_stream(ticks, window, spans, bound)
+              brokers: str | None = None, descriptor_file: str | None = None, region: str | None = None,
+              ttl_ms: int | None = None, seed: float | str = 0.0, min_bars: int = 0,
+              dead_letters: DataFrame | None = None, dead_letter_path: str | None = None) -> list[StreamingQuery]:
+    """Start the job: EMA/advisory tables via ``foreachBatch``; optionally the quarantine and the
+    undecodable topic records (``dead_letters``) as sinks of their own, one region only, and topics out."""
+    if region:
+        ticks = ticks.where(region_of("id") == region)
+    out = trend_stream(ticks, window, spans, bound, ttl_ms, seed, min_bars)
     q = (out.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint + "/trend")
-            .foreachBatch(lambda df, _id: write_batch(df, ema_path, advisory_path, spans, brokers))
+            .foreachBatch(batch_writer(ema_path, advisory_path, spans, brokers, descriptor_file))
             .trigger(processingTime=processing_time)
             .start())
     queries = [q]
-    if quarantine_path:
-        queries.append(quarantine(ticks).writeStream.format("parquet")
-                       .option("checkpointLocation", checkpoint + "/quarantine")
-                       .option("path", quarantine_path).trigger(processingTime=processing_time).start())
+    extra = [("quarantine", quarantine(ticks), quarantine_path)] if quarantine_path else []
+    if dead_letters is not None and dead_letter_path:
+        extra.append(("dead-letters", dead_letters, dead_letter_path))
+    for name, rows, path in extra:
+        queries.append(rows.writeStream.format("parquet").option("checkpointLocation", f"{checkpoint}/{name}")
+                       .option("path", path).trigger(processingTime=processing_time).start())
     return queries
 
 
@@ -207,20 +236,21 @@ class Replay:
 
 
 def capture_topics(spark: SparkSession, brokers: str, topics, out_path: str, checkpoint: str,
-                   starting: str = "earliest", descriptor_file: str | None = None) -> StreamingQuery:
-    """Capture topic records to CSV, one folder per topic, stamped with the capture time.
+                   starting: str = "earliest", descriptor_file: str | None = None) -> list[StreamingQuery]:
+    """Capture topic records to CSV, one folder per kind and topic, stamped with the capture time.
 
     Reads every record available now from ``starting`` and stops (a bounded run, like a capture of a
-    fixed duration over a replayed day). With a descriptor file the values are decoded per kind
-    into columns; otherwise key, value (text), topic, partition, offset and broker timestamp are kept.
+    fixed duration over a replayed day). With a descriptor file the values are decoded with
+    the message of their kind into flat columns, one query for each kind; otherwise key, value (text), topic, partition, offset and broker timestamp are kept.
     """
     from ..sinks.files import capture_batch
-    from ..sources.kafka import decode, kafka_reader
+    from ..sources.kafka import decode_kinds, flat_message, kafka_reader
     rec = kafka_reader(spark, brokers, topics, starting)
     if descriptor_file:
-        rec = decode(rec, descriptor_file).select("topic", "kind", "timestamp", "msg.*")
+        frames = {k: flat_message(d, "topic") for k, d in decode_kinds(rec, descriptor_file).items()}
     else:
-        rec = rec.select("topic", "kind", "partition", "offset", "timestamp",
-                         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    return (rec.writeStream.foreachBatch(capture_batch(out_path))
-               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        frames = {"records": rec.select("topic", "kind", "partition", "offset", "timestamp",
+                                        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))}
+    return [(f.writeStream.foreachBatch(capture_batch(f"{out_path}/{name}"))
+              .option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
+            for name, f in frames.items()]

@@ -16,16 +16,28 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ticks import wall_time
+from ..functions.ticks import instant, region_of, wall_time
 from ..operators.bars import duration_us
 from ..plans import oracle as O
-from ..plans.registry import ARRIVAL_PERIOD, FEED_LAG, arrival_batches, _late_sql
 from ..sources.tables import events_as_ticks
 from .job import Replay
 
+ARRIVAL_PERIOD = "5 days"     # micro-batch length of the replayed feed
+FEED_LAG = {"NL": "2 hours"}  # one region's feed reaches the engine late
+
 _RUNS: dict[tuple, object] = {}
 
 
+def arrival_batches(ticks: DataFrame, period: str = ARRIVAL_PERIOD, lags=None) -> DataFrame:
+    """Arrival micro-batch of each tick: wall-clock time plus its region's feed lag, cut in periods."""
+    lags = FEED_LAG if lags is None else lags
+    lag_us = F.lit(0)
+    for region, lag in lags.items():
+        lag_us = F.when(region_of("id") == region, F.lit(duration_us(lag))).otherwise(lag_us)
+    arrive = F.unix_micros(instant("wallclock_timestamp")) + lag_us
+    return ticks.withColumn("batch", F.floor(arrive / F.lit(duration_us(period))).cast("long"))
+
+
 def _memo(key, make):
     hit = _RUNS.get(key)
     if hit is not None and os.path.exists(hit[0].replace("file:", "")):
@@ -103,16 +115,16 @@ _EMA_CLOSED = _H1 + f"SELECT symbol, trade_timestamp, round(e38, 6) AS ema38, ro
 
 
 def _late_bars_sql() -> str:
-    late = _late_sql()
-    # the audit query ends in a SELECT over arr/marks; reuse its CTEs and keep the ticks not flagged late
-    head, select = late.rsplit("\nSELECT ", 1)
-    size = duration_us("1 minute")
-    return head + f""",
-audit AS (SELECT a.*, coalesce((epoch_us(a.trade_timestamp) // {size}) * {size} + {size} <= m.wm, false) AS late
-          FROM arr a JOIN marks m USING (batch)),
-kept AS (SELECT * FROM audit WHERE NOT late),
-""" + O.bars_cte("1 minute", src="kept") + f"""
-SELECT symbol, window_start, window_end, close, trade_timestamp, ticks FROM bars WHERE {_CLOSED}"""
+    """Bars of the ticks that a watermark of 10 s behind the maximum of earlier arrival batches lets in."""
+    period, lag, size = duration_us(ARRIVAL_PERIOD), duration_us(FEED_LAG["NL"]), duration_us("1 minute")
+    return O.with_base(f"""arr AS (
+  SELECT *, (epoch_us(wallclock_timestamp) + CASE WHEN region = 'NL' THEN {lag} ELSE 0 END) // {period} AS batch
+  FROM vticks)""", "bmax AS (SELECT batch, max(epoch_us(trade_timestamp)) AS m FROM arr GROUP BY batch)", f"""marks AS (
+  SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_BOUND} AS wm FROM bmax)""",
+        f"""kept AS (
+  SELECT a.* FROM arr a JOIN marks m USING (batch)
+  WHERE NOT coalesce((epoch_us(a.trade_timestamp) // {size}) * {size} + {size} <= m.wm, false))""",
+        O.bars_cte("1 minute", src="kept")) + f"SELECT symbol, window_start, window_end, close, trade_timestamp, ticks FROM bars WHERE {_CLOSED}"
 
 
 STREAM_ORACLE = {
