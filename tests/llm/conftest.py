@@ -1,0 +1,17 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tickscan.session import get_session, shared_dir
+    s = get_session("local[4]", 4, extra={"spark.ui.showConsoleProgress": "false"})
+    shared_dir(s)
+    yield s
+

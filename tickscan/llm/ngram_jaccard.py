@@ -10,9 +10,12 @@ before it is formed:
   hash. Counts for that order cover all classes;
 * product, first block: each column links its members to its smallest member of the same size
   band. Pairs are verified on the whole texts and united;
-* product, second block: columns that still hold members of different components give all pairs of
-  such members; overlap counts are summed for each pair and pairs below the bound that follows
-  from sizes and last common positions are discarded; the rest is verified too.
+* product, second block: columns that still hold members of different components; those with the same
+  members are one. Up to ``heavy`` members, all pairs of them that sizes and positions allow are
+  summed to overlap counts, pairs below the bound that follows from sizes and last common positions
+  are discarded, and the rest is verified. Columns with more members, which only texts made of
+  widespread passages have, are multiplied out in dense cells of bounded size: a cell's whole sets
+  become a 0/1 matrix, its product with itself the overlaps, and only a spanning forest leaves it.
 
 So no pair at or above the threshold is lost unless its two ends are linked already, and a group of
 near copies costs as many pairs as it has members. No class list or component goes to the driver.
@@ -35,9 +38,11 @@ from .words import chunks, lists, mix, sets_by_row, shingles
 K = 4
 PERCENT = 85
 #: An n-gram that more classes hold is ordered last.
-HEAVY = 32
+HEAVY = 16
 #: Members that one task compares with a pivot at once.
 BLOCK = 256
+#: Members and shingles of one cell of the dense product, about.
+CELL_ROWS, CELL_SHINGLES = 1024, 500_000
 
 
 def need(n: int, percent: int) -> int:
@@ -148,17 +153,89 @@ def jaccard_links(texts: DataFrame, reps: DataFrame, percent: int, k: int, heavy
     comp = keep(connected_components(first), "ngram-comp")
     named = (cols.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("comp", F.coalesce("comp", "cls")))
-    mixed = named.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h")
-    open_cols = keep(named.join(mixed, "h", "left_semi"), "ngram-open")
-    drop(cols)
-    x = open_cols.select("h", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-    y = open_cols.select("h", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
-    bound = (f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    product = (x.join(y, "h").where(f"a < b and ca <> cb and {bound}")
-               .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
+    # columns of the same members are told by the sum of the members' hashes
+    member = F.sum(F.xxhash64("cls").cast("decimal(38,0)"))
+    mixed = named.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"),
+                                   F.sum("n").alias("shingles"), member.alias("same")).where("lo < hi")
+    mixed = mixed.select("h", "size", "shingles", F.xxhash64("same", "size").alias("group"))
+    open_cols = keep(named.join(mixed, "h").groupBy("group", "size", "shingles", "cls", "n", "comp")
+                     .agg(F.count("*").alias("w"), F.max("pos").alias("pos")), "ngram-open")
+    drop(cols, comp)
+    light, dense = open_cols.where(F.col("size") <= heavy), keep(open_cols.where(F.col("size") > heavy), "ngram-dense")
+    x = light.select("group", "w", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
+    y = light.select("group", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
+    sizes = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    # what stands up to the last common column, and what may follow
+    places = f"(100 + {percent}) * (least(pa, pb) + 1 + least(na - pa - 1, nb - pb - 1)) >= {percent} * (na + nb)"
+    product = (x.join(y, "group").where(f"a < b and ca <> cb and {sizes} and {places}")
+               .groupBy("a", "b", "na", "nb").agg(F.sum("w").alias("overlap"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
+    # the light columns give all overlap up to the last of them, but for heavy ones: those come last
     rest = product.where(f"(100 + {percent}) * (overlap + least(na - pa - 1, nb - pb - 1)) >= {percent} * (na + nb)")
     second = verified(keep(rest.select("a", "b"), "ngram-rest"), reps, texts, percent, k)
-    return keep(first.union(second), "ngram-links")
+    out = keep(first.union(second).union(multiplied(dense, reps, texts, percent, k)), "ngram-links")
+    drop(open_cols, dense, first)
+    return out
+
+
+def _forest(sets: list[np.ndarray], cls: list[int], comp: list[int], percent: int) -> list[tuple[int, int]]:
+    """Pairs of ``cls`` that connect what the similarity of ``sets``, or a common ``comp``, connects."""
+    m, n = len(sets), np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(m), n)
+    _, col, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(held > 1) - 1
+    use = held[col] > 1
+    row, col = row[use], shared[col[use]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    both = np.zeros((m, m), np.float32)
+    for a in range(0, int(shared[-1]) + 1, 2048):
+        at = slice(*np.searchsorted(col, [a, a + 2048]))
+        part = np.zeros((m, 2048), np.float32)
+        part[row[at], col[at] - a] = 1
+        both += part @ part.T
+    comp = np.array(comp)
+    link = (100 + percent) * both >= percent * (n[:, None] + n[None, :])
+    link |= comp[:, None] == comp[None, :]
+    label = np.arange(m)
+    while True:
+        new = np.array([label[link[i]].min() for i in range(m)])
+        if (new == label).all():
+            return [(cls[j], cls[i]) for i, j in enumerate(label) if i != j]
+        label = new
+
+
+def _multiply(percent: int, k: int):
+    def run(batches):
+        cell, held = None, ([], [], [])
+        for b in batches:
+            out = []
+            for rows, w in chunks(b, "text", "space"):
+                cells, cls, comp = (rows.column(c).to_pylist() for c in ("cell", "cls", "comp"))
+                for i, s in enumerate(sets_by_row(*shingles(w, k))):
+                    if cells[i] != cell:
+                        if held[0]:
+                            out += _forest(*held, percent)
+                        cell, held = cells[i], ([], [], [])
+                    for x, v in zip(held, (s, cls[i], comp[i])):
+                        x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+        if held[0]:
+            out = _forest(*held, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+    return run
+
+
+def multiplied(dense: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
+    """(a, b): links among the members of each group of ``dense`` (group, size, shingles, cls, comp).
+    A group's members are dealt to parts of bounded size, and each pair of parts is one cell."""
+    cut = dense.withColumn("cuts", F.expr(f"1 + greatest(size div {CELL_ROWS}, shingles div {CELL_SHINGLES})"))
+    cut = cut.withColumn("own", F.expr("pmod(xxhash64(cls), cuts)"))
+    cut = cut.withColumn("other", F.explode(F.expr("sequence(0L, cuts - 1)")))
+    cells = cut.select(F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "cls", "comp")
+    rows = keep(cells.distinct().join(reps.select("cls", F.col("rep").alias("id")), "cls"), "ngram-cells")
+    dealt = (texts.join(rows, "id").select("cell", "cls", "comp", "text")
+             .repartition(parts(texts.sparkSession), "cell").sortWithinPartitions("cell", "cls"))
+    return dealt.mapInArrow(_multiply(percent, k), "a long, b long")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
