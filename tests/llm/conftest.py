@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 @pytest.fixture(scope="session")
 def spark():
     from tickscan.session import get_session, shared_dir
-    s = get_session("local[4]", 4, extra={"spark.ui.showConsoleProgress": "false"})
+    cores = int(os.environ.get("TEST_CORES", "4"))
+    s = get_session(f"local[{cores}]", cores, extra={"spark.ui.showConsoleProgress": "false"})
     shared_dir(s)
     yield s
 

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import drop, keep, parts, table
 
 K = 10
-TABLES = 20
+TABLES = 16
 HASHES = 4
-WIDTH = 0.8
+WIDTH = 1.0
 PROBES = 40
 SEED = 5
 BLOCK = 4096
