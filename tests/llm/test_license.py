@@ -24,7 +24,8 @@ def rows_of(df):
 ROWS = [(1, "Under the MIT License. under THE mit-license"), (2, "x apache license, version 2.0 y"), (3, "cc-by-nc cc by nc"), (4, None), (5, ""),
         (6, "under the mit licence"), (7, "This work is licensed under the GNU General Public License, version 3."), (8, "mit der mit und mit"),
         (None, "CC BY NC"), (1, "Under the MIT License. under THE mit-license"), (1, "other text"),
-        (9, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files")]
+        (9, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files to deal in the Software without restriction")]
 
 
 def test_brute(spark):

@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from .common import free_name, table, with_field
 from .words import Words, chunks, lists, mix
 
-MAX_TOXIC = 4000
-MAX_UNLABELLED = 8000
+MAX_TOXIC = 3000
+MAX_UNLABELLED = 6000
 MAX_FEATURES = 20000
 #: A document with at least this score is rejected.
 THRESHOLD = 0.3
