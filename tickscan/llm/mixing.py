@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, parts, table
+from .common import free_name, keep, parts, table
 
 ALPHA = 0.5
 SEED = 17
@@ -57,7 +57,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights
         alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """``docs`` repeated to the weights and shuffled, with copy (from 1), n_copies and shuffle_key."""
     name = {c: free_name(docs, c) for c in ("copy", "n_copies", "shuffle_key")}
-    r = rates(docs, source, weights, alpha).select(F.col("source").alias("_mix_source"), F.col("cdf").alias("_mix_cdf"))
+    # written first: its size is then known, and Spark broadcasts it while it is small
+    r = keep(rates(docs, source, weights, alpha), "mix-rates").select(F.col("source").alias("_mix_source"), F.col("cdf").alias("_mix_cdf"))
     u = uniform(F.lit(seed), docs[id_col]) / F.lit(float(1 << 52))
     drawn = docs.withColumn("_mix_u", u).join(r, docs[source].eqNullSafe(F.col("_mix_source")))
     drawn = drawn.withColumn(name["n_copies"], F.expr("size(filter(_mix_cdf, c -> _mix_u >= c))")).drop("_mix_cdf", "_mix_u", "_mix_source")
