@@ -36,16 +36,26 @@ def test_top2_limited_before_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_ema_has_no_window_over_symbol_alone(spark):
+def test_ema_shuffles_bars_once_by_block(spark):
     b = bars(valid_ticks(events_as_ticks(spark, SF_SMALL)), "1 minute")
     p = plan(ema(b, levels=2, with_previous=True))
-    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", p)
-    assert windows and all("_g1" in keys for keys in windows)
+    assert "Window [" not in p
     # every exchange of the scan is keyed by (symbol, block) or is the top fold over <= 64 nodes
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     assert all("_g" in k or re.fullmatch(r"symbol#\d+, \d+", k) or "w#" in k or "id#" in k for k in keys), keys
 
 
+def test_history_reads_only_the_days_it_needs(spark):
+    from tickscan.operators import history as hist
+    table = R._ema_table(spark, SF_SMALL)
+    for df in (hist.ema_history(table), hist.viewport(table), hist.viewport(table, shift_minutes=-15)):
+        assert re.search(r"PartitionFilters: \[[^\]]*trade_date#", plan(df))
+
+
+def test_sources_add_no_shuffle(spark):
+    assert "Exchange" not in plan(events_as_ticks(spark, SF_SMALL))
+
+
 def test_no_python_udf_in_batch_plans(spark):
     for name in ["crossovers", "ema_history", "latency_stats", "bars_1m"]:
         p = plan(R.QUERIES[name](spark, SF_SMALL))

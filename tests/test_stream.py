@@ -5,9 +5,10 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tickscan.plans.registry import arrival_batches
+from tickscan.streaming.registry import arrival_batches
 from tickscan.sources.tables import events_as_ticks
-from tickscan.streaming.job import Replay, write_batch
+from tickscan.streaming.job import write_batch
+from tickscan.streaming.replay import Replay
 
 
 def test_late_row_dropped(spark):

@@ -23,6 +23,7 @@ from __future__ import annotations
 import csv
 import io
 from dataclasses import dataclass
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +59,25 @@ def numbered_lines(spark: SparkSession, paths, path_glob: str = "*.csv", recursi
 
 
 def file_names(spark: SparkSession, paths, path_glob: str = "*.csv", recursive: bool = True) -> DataFrame:
-    """All input files, empty ones too (names only, no content is read)."""
+    """All input files that hold anything (names only, no content is read)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return (spark.read.format("binaryFile").option("pathGlobFilter", path_glob)
             .option("recursiveFileLookup", str(recursive).lower()).load(paths).select(F.col("_metadata.file_path").alias("file")))
 
 
+def empty_files(spark: SparkSession, paths, path_glob: str = "*.csv") -> list[str]:
+    """Names of input files of no bytes: Spark's scans leave them out, so the store is asked."""
+    jvm, found = spark.sparkContext._jvm, []
+    for path in [paths] if isinstance(paths, str) else list(paths):
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        each = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+        while each.hasNext():
+            f = each.next()
+            if f.getLen() == 0 and fnmatch(f.getPath().getName(), path_glob):
+                found.append(f.getPath().toString())
+    return found
+
+
 def _split_header(line: str) -> list[str]:
     row = next(csv.reader(io.StringIO(line), delimiter=",", quotechar='"'), [])
     return [c.strip() for c in row]
@@ -77,7 +91,7 @@ def read_tick_files(spark: SparkSession, paths, layout=DAY_FILE, path_glob: str
     head = lines.where((F.col("block") == 0) & (F.col("line_no") == header_at)).select("file", "value")
     heads = [(r["file"], r["value"]) for r in file_names(spark, paths, path_glob).join(head, "file", "left").collect()]
     groups: dict[tuple, list[str]] = {}
-    rejected = []
+    rejected = [(f, list(RAW_REQUIRED_COLUMNS)) for f in empty_files(spark, paths, path_glob)]
     for file, text in heads:
         cols = _split_header(text or "")
         missing = [c for c in RAW_REQUIRED_COLUMNS if c not in cols]

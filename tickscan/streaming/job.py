@@ -1,19 +1,13 @@
-"""The streaming analytics job and a replay harness for it.
+"""The streaming analytics job.
 
 ``trend_stream``: ticks (stream) -> checks -> watermark on trade time -> tumbling-window bars
 (append mode, late rows dropped) -> per-symbol keyed state (EMAs + crossover) -> one row per
 closed bar. ``start_job`` fans each micro-batch out to the EMA table and the advisory table
 (insert-if-absent, so a replayed batch after a failure changes nothing) inside ``foreachBatch``.
-
-``Replay`` feeds a stored tick table to the job in arrival micro-batches (one append per batch
-into the source folder, then ``processAllAvailable``), so late data, restarts and replays can be
-exercised deterministically on real tables.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +16,6 @@ from ..functions.ticks import instant, region_of
 from ..operators.bars import bars as make_bars
 from ..operators.clean import quarantine, valid_ticks
 from ..schemas import DEFAULT_SPANS, DEFAULT_WINDOW, LATENESS_BOUND
-from ..session import scratch_path
 from ..sinks.tables import write_advisories, write_ema_rows
 from .state import EmaCrossoverProcessor, output_schema
 
@@ -130,111 +123,6 @@ def start_job(ticks: DataFrame, ema_path: str, advisory_path: str, checkpoint: s
     return queries
 
 
-def drain(q: StreamingQuery, timeout_s: float = 120.0) -> None:
-    """Wait until the query has processed all input and run the follow-up batch that emits the
-    windows its last watermark closed."""
-    q.processAllAvailable()
-    last = q.lastProgress
-    target = (last["batchId"] + 1) if last else 0
-    t0 = time.time()
-    while time.time() - t0 < timeout_s:
-        p = q.lastProgress
-        if p and p["batchId"] >= target and p["numInputRows"] == 0:
-            return
-        time.sleep(0.2)
-        if q.exception():
-            raise q.exception()
-
-
-class _partitions:
-    """Run a stream with a given shuffle partition count (the state store keeps it per checkpoint)."""
-
-    def __init__(self, spark: SparkSession, n: int):
-        self.spark, self.n = spark, str(n)
-
-    def __enter__(self):
-        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-        self.spark.conf.set("spark.sql.shuffle.partitions", self.n)
-
-    def __exit__(self, *exc):
-        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
-
-
-class Replay:
-    """Feed a tick DataFrame with a ``batch`` column to a streaming job, one arrival batch at a time.
-
-    State partitions = the cluster's default parallelism (``state_partitions`` to override)."""
-
-    def __init__(self, spark: SparkSession, name: str = "replay", state_partitions: int | None = None):
-        self.spark = spark
-        self.state_partitions = state_partitions or spark.sparkContext.defaultParallelism
-        self.root = scratch_path(spark, name)
-        self.source = self.root + "/source"
-        self.ema_path = self.root + "/ema_results"
-        self.advisory_path = self.root + "/buy_advisories"
-        self.checkpoint = self.root + "/checkpoint"
-        # the source folder must exist before the stream starts
-        spark.createDataFrame([], STREAM_TICK_SCHEMA).write.mode("append").parquet(self.source)
-
-    def stage(self, ticks: DataFrame, b) -> None:
-        (ticks.where(F.col("batch") == F.lit(b))
-              .select("id", "sec_type", "last", instant("trade_timestamp").alias("trade_timestamp"),
-                      instant("wallclock_timestamp").alias("wallclock_timestamp"), "delay", "seq")
-              .write.mode("append").parquet(self.source))
-
-    def run(self, ticks: DataFrame, window: str, spans=DEFAULT_SPANS, bound: str = LATENESS_BOUND,
-            stop_after: int | None = None) -> None:
-        """Replay all batches; with ``stop_after``, stop the query after that many batches and restart it
-        from its checkpoint for the rest."""
-        batches = sorted(r[0] for r in ticks.select("batch").distinct().collect())
-
-        def start():
-            return start_job(read_tick_stream(self.spark, self.source), self.ema_path, self.advisory_path,
-                             self.checkpoint, window, spans, bound, processing_time="200 milliseconds")[0]
-
-        with _partitions(self.spark, self.state_partitions):
-            self._run(ticks, batches, start, stop_after)
-
-    def _run(self, ticks, batches, start, stop_after):
-        q = start()
-        try:
-            for i, b in enumerate(batches):
-                self.stage(ticks, b)
-                q.processAllAvailable()
-                if stop_after is not None and i + 1 == stop_after:
-                    q.stop()
-                    q = start()
-            drain(q)
-        finally:
-            q.stop()
-
-    def run_bars(self, ticks: DataFrame, window: str, bound: str = LATENESS_BOUND) -> DataFrame:
-        """Replay all batches through the bar stage alone (append mode, Parquet sink); returns the bars."""
-        out = self.root + "/bars"
-        with _partitions(self.spark, self.state_partitions):
-            self._run_bars(ticks, window, bound, out)
-        return self.spark.read.parquet(out)
-
-    def _run_bars(self, ticks, window, bound, out):
-        q = (stream_bars(read_tick_stream(self.spark, self.source), window, bound)
-             .writeStream.outputMode("append").format("parquet")
-             .option("checkpointLocation", self.checkpoint + "/bars").option("path", out)
-             .trigger(processingTime="200 milliseconds").start())
-        try:
-            for b in sorted(r[0] for r in ticks.select("batch").distinct().collect()):
-                self.stage(ticks, b)
-                q.processAllAvailable()
-            drain(q)
-        finally:
-            q.stop()
-
-    def ema_table(self) -> DataFrame:
-        return self.spark.read.parquet(self.ema_path)
-
-    def advisory_table(self) -> DataFrame:
-        return self.spark.read.parquet(self.advisory_path)
-
-
 def capture_topics(spark: SparkSession, brokers: str, topics, out_path: str, checkpoint: str,
                    starting: str = "earliest", descriptor_file: str | None = None) -> list[StreamingQuery]:
     """Capture topic records to CSV, one folder per kind and topic, stamped with the capture time.

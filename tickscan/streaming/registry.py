@@ -20,7 +20,7 @@ from ..functions.ticks import instant, region_of, wall_time
 from ..operators.bars import duration_us
 from ..plans import oracle as O
 from ..sources.tables import events_as_ticks
-from .job import Replay
+from .replay import Replay
 
 ARRIVAL_PERIOD = "5 days"     # micro-batch length of the replayed feed
 FEED_LAG = {"NL": "2 hours"}  # one region's feed reaches the engine late
