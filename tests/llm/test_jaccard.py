@@ -75,7 +75,8 @@ def test_all_pairs(spark):
 
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a"), (5, "A"), (6, "a b c"), (7, "a b c d e f"), (None, "a b c d e f"),
-            (8, "a b c d e f"), (8, "a b c d e f"), (9, "É b c d"), (10, "é b c d")]
+            (8, "a b c d e f"), (8, "a b c d e f"), (9, "É b c d"), (10, "é b c d"),
+            (11, " ".join(f"a{i}" for i in range(60))), (11, " ".join(f"b{i}" for i in range(60))), (12, " ".join(f"b{i}" for i in range(59)))]
     assert got(spark, rows) == brute(rows)
     assert ngram_jaccard_join(frame(spark, [])).collect() == []
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import prepare, write_and_read
+from ..session import prepare, scratch_path
 
 __all__ = ["table", "keep", "drop", "parts", "free_name", "with_field", "connected_components", "prepare"]
 
@@ -26,7 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder in spark.checkpoint.dir and read it again: cuts the lineage."""
-    out = write_and_read(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._kept_at = path
     release(df.sparkSession)
     return out
 
@@ -39,12 +42,11 @@ def release(spark: SparkSession) -> None:
 
 
 def drop(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more."""
+    """Delete tables that ``keep`` wrote and that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._kept_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:

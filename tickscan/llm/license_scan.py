@@ -80,10 +80,9 @@ def postings(docs: DataFrame, tmpl: DataFrame, rare: int = RARE) -> DataFrame:
     vocab = sorted({r["word"] for r in tmpl.select("word").distinct().collect()})  # fixed templates: some hundred words
     lit = F.array(*[F.lit(w) for w in vocab])
     df = (docs.select(F.explode(F.array_intersect(words(F.col("text")), lit)).alias("word")).groupBy("word").count())
-    n = docs.select(F.count("*").alias("n"))
     # some hundred rows from here on
-    idf = tmpl.select("word").distinct().join(df, "word", "left").crossJoin(F.broadcast(n)).select(
-        "word", F.log((F.col("n") + 1.0) / (F.coalesce("count", F.lit(0)) + 0.5)).alias("idf"))
+    idf = tmpl.select("word").distinct().join(df, "word", "left").select(
+        "word", F.log((docs.count() + 1.0) / (F.coalesce("count", F.lit(0)) + 0.5)).alias("idf"))
     rank = F.row_number().over(Window.partitionBy("t").orderBy(F.desc("idf"), "tpos"))
     # a base phrase is verified as a whole, so its rarest word finds all its places
     return tmpl.join(idf, "word").withColumn("rank", rank).where(F.col("rank") <= F.when(F.col("base"), 1).otherwise(rare))

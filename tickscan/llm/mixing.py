@@ -44,8 +44,8 @@ def rates(docs: DataFrame, source: str = "source", weights: DataFrame | None = N
     else:
         w = weights.select(F.col("source").alias("w_source"), F.col("weight").cast("double").alias("weight"))
         n = n.join(w, F.expr("source <=> w_source"), "left").withColumn("weight", F.coalesce("weight", F.lit(0.0))).drop("w_source")
-    total = n.agg(F.sum("n").alias("all_n"), F.sum("weight").alias("all_weight"))  # one row
-    r = n.crossJoin(F.broadcast(total)).select("source", F.expr("weight * all_n / all_weight / n").alias("rate")).where("rate > 0")
+    all_n, all_weight = n.agg(F.sum("n"), F.sum("weight")).first()
+    r = n.select("source", (F.col("weight") * F.lit(all_n) / F.lit(all_weight) / F.col("n")).alias("rate")).where("rate > 0")
     k = r.select("source", "rate", F.explode(F.expr(f"sequence(0, cast(rate + {DEVIATIONS} * sqrt(rate) + 40 as int))")).alias("k"))
     upto = Window.partitionBy("source").orderBy("k")
     p = k.withColumn("lp", F.expr("k * ln(rate) - rate") - F.sum(F.when(F.col("k") > 0, F.ln("k")).otherwise(0.0)).over(upto))

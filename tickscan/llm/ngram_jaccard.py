@@ -112,6 +112,8 @@ def _compare(percent: int, k: int):
             for rows, w in chunks(b, "text", "space"):
                 cls, blk, member = (rows.column(c).to_pylist() for c in ("cls", "block", "member"))
                 for i, s in enumerate(sets_by_row(*shingles(w, k))):
+                    if set_key(s) != cls[i]:  # another text of a repeated id
+                        continue
                     if not member[i]:
                         block, pivot, key = blk[i], s, cls[i]
                         continue
@@ -212,6 +214,8 @@ def _multiply(percent: int, k: int):
             for rows, w in chunks(b, "text", "space"):
                 cells, cls, comp = (rows.column(c).to_pylist() for c in ("cell", "cls", "comp"))
                 for i, s in enumerate(sets_by_row(*shingles(w, k))):
+                    if set_key(s) != cls[i]:  # another text of a repeated id
+                        continue
                     if cells[i] != cell:
                         if held[0]:
                             out += _forest(*held, percent)

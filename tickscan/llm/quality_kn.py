@@ -191,9 +191,9 @@ def quality(docs: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED,
     drop(model)
     unseen = scored.join(good.where(half == 1), "doc_id", "left_semi")
     by_lang = unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own")).withColumnRenamed("lang", "l")
-    all_langs = unseen.agg(F.percentile_approx("perplexity", quantile, 10000).alias("any"))
-    out = scored.join(by_lang, F.expr("lang <=> l"), "left").crossJoin(F.broadcast(all_langs))  # one row
-    return out.withColumn("threshold", F.coalesce("own", "any")).select(
+    any_lang = unseen.agg(F.percentile_approx("perplexity", quantile, 10000)).first()[0]
+    out = scored.join(by_lang, F.expr("lang <=> l"), "left")
+    return out.withColumn("threshold", F.coalesce("own", F.lit(any_lang).cast("double"))).select(
         "doc_id", "lang", "n_tokens", "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
 
