@@ -43,7 +43,7 @@ from .words import chunks, mix
 
 MU = 100.0
 SHARD_TOKENS = 2_000_000
-BATCH_TOKENS = 1_500_000
+BATCH_TOKENS = 1_000_000
 HOT = 65536
 #: Quantised log10: step and least value.
 STEP, LEAST = 1 / 4096, -3.0
@@ -56,8 +56,10 @@ def _gathered(batches, train: bool):
     info: list[pa.RecordBatch] = []
 
     def out():
-        row, u, w = (np.concatenate(x) for x in zip(*held))
-        return pa.Table.from_batches(info), row, u, w
+        nonlocal held, n, rows, info
+        pieces, docs = list(zip(*held)), pa.Table.from_batches(info)
+        held, n, rows, info = [], 0, 0, []
+        return docs, *(np.concatenate(pieces.pop(0)) for _ in range(3))
 
     for b in batches:
         for part, words in chunks(b, "text", "space"):
@@ -71,7 +73,6 @@ def _gathered(batches, train: bool):
             n, rows = n + len(w), rows + len(part)
             if n >= BATCH_TOKENS or rows > 60000:
                 yield out()
-                held, n, rows, info = [], 0, 0, []
     if held:
         yield out()
 
@@ -84,9 +85,11 @@ def _unigrams(batches):
 
 def _route(u: np.ndarray, w: np.ndarray, shards: int, hot: np.ndarray) -> np.ndarray:
     """Shard of each token: by its word; for hot words by word and context."""
-    spread = np.isin(w, hot)
-    key = np.where(spread, mix(w * np.uint64(0x9E3779B97F4A7C15) + u), mix(w ^ np.uint64(0x3333333333333333)))
-    return (key % np.uint64(shards)).astype(np.int64)
+    shard = (mix(w ^ np.uint64(0x3333333333333333)) % np.uint64(shards)).astype(np.int32)
+    if len(hot):
+        spread = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, w), len(hot) - 1)] == w)
+        shard[spread] = mix(w[spread] * np.uint64(0x9E3779B97F4A7C15) + u[spread]) % np.uint64(shards)
+    return shard
 
 
 def _context(u: np.ndarray) -> np.ndarray:
@@ -108,8 +111,10 @@ def _train_rows(shards: int, hot):
     def go(batches):
         for _, _, u, w in _gathered(batches, True):
             shard, c = _route(u, w, shards, hot.value[0]), _context(u)
+            del u
             order = np.lexsort((c, w, shard))
             shard, c, w = shard[order], c[order], w[order]
+            del order
             at = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]) | (shard[1:] != shard[:-1])]) if len(w) else np.zeros(0, int)
             n = np.diff(np.r_[at, len(w)]).astype(np.uint32)
             shard, c, w = shard[at], c[at], w[at]
@@ -212,9 +217,11 @@ def _query_rows(shards: int, hot):
         task = TaskContext.get()
         base = (task.partitionId() if task else 0) << 24
         for k, (info, row, u, w) in enumerate(_gathered(batches, False)):
-            shard, c = _route(u, w, shards, hot.value[0]), _context(u)
+            shard, c, row = _route(u, w, shards, hot.value[0]), _context(u), row.astype(np.uint16)
+            del u
             order = np.lexsort((c, w, shard))
-            shard, c, w, row = shard[order], c[order], w[order], row[order].astype(np.uint16)
+            shard, c, w, row = shard[order], c[order], w[order], row[order]
+            del order
             n = np.bincount(row, minlength=len(info)).astype(np.int64)
             rows = [{"shard": INFO - (base + k) % 1009, "batch": base + k, "n_rows": len(info), "words": n.tobytes(), "sizes": b"",
                      "contexts": b"", "docs": b"", "ids": info.column("id").to_pylist(), "held": info.column("held_out").to_pylist()}]
@@ -250,7 +257,7 @@ def _answer(model: dict):
             score = trie.log_joint(place, n, np.frombuffer(q["contexts"], np.uint32)) - np.log10(n + MU)
             sums = [np.bincount(doc, x, q["n_rows"]) for x in (np.log10(n + 0.1), score)]
             rows.append({"batch": q["batch"], "n_rows": q["n_rows"], "known": np.bincount(doc, n > 0, q["n_rows"]).astype(np.int32).tobytes(),
-                         "base": sums[0].tobytes(), "score": sums[1].tobytes()})
+                         "base": sums[0].tobytes(), "score": sums[1].astype(np.float32).tobytes()})
         return pa.Table.from_pylist(rows, SUM_ARROW)
     return go
 
@@ -266,7 +273,7 @@ def _finish(model: dict):
                 continue
             known += np.frombuffer(r["known"], np.int32)
             base += np.frombuffer(r["base"], np.float64)
-            score += np.frombuffer(r["score"], np.float64)
+            score += np.frombuffer(r["score"], np.float32)
         n = np.frombuffer(info["n"], np.int64)
         base = base - n * np.log10(model["tokens"] + 0.1 * (model["types"] + 1))
         return pa.Table.from_arrays([pa.array(info["ids"], pa.int64()), pa.array(info["held"], pa.bool_()), pa.array(n), pa.array(known),
