@@ -50,7 +50,7 @@ def test_odd_rows(spark):
 
 def test_risk_is_not_driven_below_zero():
     rng = np.random.default_rng(0)
-    rows = [np.unique(rng.integers(0, 40, 12)).astype(np.int64) for _ in range(300)]
+    rows = [np.unique(rng.integers(0, 40, 12)).astype(np.int32) for _ in range(300)]
     toxic = np.arange(300) < 60
     names, w, bias = X.risk_fit(rows, toxic, 0.2)
     z = np.array([bias + sum(w[names == f][0] for f in r if f in names) for r in rows])

@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from .common import free_name, table, with_field
 from .words import Words, chunks, lists, mix
 
-MAX_TOXIC = 3000
-MAX_UNLABELLED = 6000
+MAX_TOXIC = 2500
+MAX_UNLABELLED = 5000
 MAX_FEATURES = 20000
 #: A document with at least this score is rejected.
 THRESHOLD = 0.3
@@ -52,7 +52,7 @@ def _distinct(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature hash), each once: the distinct words of a row; the prefixes of its longer words,
+    """(row, feature), each once, a feature being 32 bits of its hash: the distinct words of a row; the prefixes of its longer words,
     and again as features of their own those that two and three distinct words share."""
     at, _ = _distinct(w.row(), w.hash)
     row, start, size = w.row()[at], w.start[at], (w.end - w.start)[at]
@@ -65,7 +65,7 @@ def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
             some = first[times >= least]
             rows.append(row[long][some])
             out.append(mix(h[some] + np.uint64(least)))
-    return np.concatenate(rows), np.concatenate(out).view(np.int64)
+    return np.concatenate(rows), (np.concatenate(out) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _sample_features(batches):
@@ -73,7 +73,7 @@ def _sample_features(batches):
         for rows, w in chunks(b, "text", "alnum"):
             row, h = features(w)
             own = [np.unique(h[row == i]) for i in range(len(rows))]
-            yield pa.RecordBatch.from_arrays([rows.column("toxic").cast(pa.int32()), lists(own)], ["toxic", "f"])
+            yield pa.RecordBatch.from_arrays([rows.column("toxic").cast(pa.int32()), lists(own, np.int32)], ["toxic", "f"])
 
 
 def _descend(col, of_row, n_rows, toxic, prior, w, bias, steps, rate, sparse):
@@ -104,16 +104,19 @@ def risk_fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float, sparse: fl
     ``toxic`` tells confirmed rows from unlabelled ones. A first descent with an L1 norm of weight
     ``sparse`` picks the features, a second one fits them nearly without it.
     """
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    names, col, held = np.unique(flat, return_inverse=True, return_counts=True)
-    of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    names, held = np.unique(flat, return_counts=True)
+    names = names[held >= LEAST_DOCS]
+    col = np.searchsorted(names, flat).astype(np.int32)
+    use = np.flatnonzero(names[np.minimum(col, len(names) - 1)] == flat) if len(names) else np.zeros(0, int)
+    of_row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[use]
+    col = col[use]
     bias = float(np.log(prior / (1 - prior)))
 
     def only(good):
         new, use = np.cumsum(good) - 1, good[col]
         return names[good], new[col[use]], of_row[use]
 
-    names, col, of_row = only(held >= LEAST_DOCS)
     if not toxic.any() or toxic.all() or not len(names):
         return names[:0], np.zeros(0), bias if toxic.any() else NEVER
     w, bias = _descend(col, of_row, len(rows), toxic, prior, np.zeros(len(names)), bias, steps, rate, sparse)
@@ -140,10 +143,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior:
     picked = pos.withColumn("toxic", F.lit(1)).union(unl.withColumn("toxic", F.lit(0)))
     # at most max_toxic + max_unlabelled ids
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", "text")
-    got = texts.mapInArrow(_sample_features, "toxic int, f array<long>").toArrow()
+    got = texts.mapInArrow(_sample_features, "toxic int, f array<int>").toArrow()
     toxic = got.column("toxic").to_numpy().astype(bool)
-    f = got.column("f").combine_chunks() if len(got) else pa.array([], pa.list_(pa.int64()))
-    off, flat = (f.offsets.to_numpy(), f.values.to_numpy()) if len(got) else (np.zeros(1, int), np.zeros(0, np.int64))
+    f = got.column("f").combine_chunks() if len(got) else pa.array([], pa.list_(pa.int32()))
+    off, flat = (f.offsets.to_numpy(), f.values.to_numpy()) if len(got) else (np.zeros(1, int), np.zeros(0, np.int32))
     return risk_fit([flat[off[i]:off[i + 1]] for i in range(len(off) - 1)], toxic, prior)
 
 
