@@ -287,3 +287,19 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op5_ngram_jaccard_join(spark, sf_dir):
     """One row per document: doc_id, n_shingles, component_id (4-word shingles, 85 %)."""
     return ngram_jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM dw WHERE len(w) > 0) t),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.id, link.b FROM reach JOIN link ON reach.r = link.a)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM documents d JOIN reach ON reach.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""

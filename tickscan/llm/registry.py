@@ -11,7 +11,7 @@ from .decontaminate import OP7_SQL, op7_decontaminate
 from .html_text import op10_html_text
 from .license_scan import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
-from .ngram_jaccard import op5_ngram_jaccard_join
+from .ngram_jaccard import OP5_SQL, op5_ngram_jaccard_join
 from .quality_kn import op6_quality_kn
 from .substring_dedup import op1_substring_dedup
 from .toxicity import op3_toxicity
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_ngram_jaccard_join": OP5_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_mix_sources": OP9_SQL,
 }
