@@ -128,17 +128,19 @@ def _keys(bands: int, rows: int, run: int, least: int):
 class _Text:
     """One document during comparison."""
 
-    def __init__(self, w: Words, row: int, run: int):
+    def __init__(self, w: Words, row: int, run: int, shared: dict):
         a, b = w.first[row], w.first[row + 1]
         self.n, self.words = b - a, w.hash[a:b]
         self.runs = rolling(self.words, run)
-        self.w, self.row = w, row
+        self.w, self.row, self.shared = w, row, shared
         self.paragraphs = None
 
     def paragraph(self, line: int):
         if self.paragraphs is None:
-            row, no, first, end = paragraphs(self.w, SHINGLE)
-            mine = row == self.row
+            if "lines" not in self.shared:  # once for all texts of the chunk
+                self.shared["lines"] = paragraphs(self.w, SHINGLE)
+            row, no, first, end = self.shared["lines"]
+            mine = slice(*np.searchsorted(row, [self.row, self.row + 1]))
             base = self.w.first[self.row]
             self.paragraphs = {int(i): (int(f - base), int(e - base)) for i, f, e in zip(no[mine], first[mine], end[mine])}
         at = self.paragraphs.get(line)
@@ -152,14 +154,15 @@ def _compare(percent: int, run: int):
             out = {k: [] for k in ("rid", "prid", "start", "end")}
             for part, w in chunks(batch, "text", "space"):
                 cols = {c: part.column(c).to_pylist() for c in ("block", "member", "rid", "lines")}
+                shared: dict = {}
                 for i in range(len(part)):
                     if not cols["member"][i]:
-                        block, pivot = cols["block"][i], _Text(w, i, run)
+                        block, pivot = cols["block"][i], _Text(w, i, run, shared)
                         known, prid = np.unique(pivot.runs), cols["rid"][i]
                         continue
                     if cols["block"][i] != block:
                         continue
-                    t = _Text(w, i, run)
+                    t = _Text(w, i, run, shared)
                     cover = np.zeros(t.n + 1, np.int32)
                     hit = np.flatnonzero(np.isin(t.runs, known))
                     np.add.at(cover, hit, 1)
