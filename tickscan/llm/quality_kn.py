@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .common import drop, keep, table
 from .words import Words, chunks, mix
 
-MAX_TRUSTED = 20000
+MAX_TRUSTED = 10000
 SHARD = 4_000_000
 QUANTILE = 0.98
 END = np.uint64(0x5E9D5E9D5E9D5E9D)
