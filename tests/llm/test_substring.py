@@ -58,3 +58,55 @@ def test_bands():
     for percent in (70, 80, 90):
         b, r = tune_bands(percent, 0.99)
         assert 1 - (1 - (percent / 100) ** r) ** b >= 0.99
+
+
+def words(seed):
+    rnd = random.Random(seed)
+    return lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+def test_pairs_behind_unlike_pivots(spark):
+    """A pair alike above the threshold, in buckets whose first holders are unlike templates."""
+    fresh, rnd = words(3), random.Random(3)
+    base = fresh(200)
+
+    def near(p, n):  # every run of equal words stays short of a passage
+        p = list(p)
+        for k in range(n):
+            p[(k * len(p)) // n + rnd.randrange(5)] = fresh(1)[0]
+        return p
+    own = near(base, 13)
+    rows = [(i, " ".join(near(base, 13))) for i in range(40)] + [(50, " ".join(own)), (51, " ".join(near(own, 3)))]
+    out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows), run=60).collect()}
+    text = dict(rows)
+    shingle = lambda t: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)}
+    for i, t in rows:
+        a = shingle(t)
+        want = any(100 * len(a & b) >= 80 * len(a | b) for j, u in rows if j < i for b in [shingle(u)])
+        assert (out[i]["n_removed"] == len(t.split())) == want, i
+    assert out[51]["n_removed"] == 200 and text[50] == out[50]["text"]
+
+
+def test_longer_passage_than_the_pivots(spark):
+    """B and C share a long passage, the first document only a part of it."""
+    fresh = words(5)
+    for part in (30, 60):
+        passage = fresh(160)
+        rows = [(1, " ".join(fresh(40) + passage[50:50 + part] + fresh(40))), (2, " ".join(fresh(30) + passage + fresh(20))),
+                (3, " ".join(fresh(60) + passage + fresh(45))), (4, " ".join(fresh(9) + passage[20:] + fresh(45)))]
+        out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows)).collect()}
+        assert out[3]["n_removed"] == 160 and out[4]["n_removed"] == 140 and not set(out[3]["text"].split()) & set(passage)
+
+
+def test_blocks_between_blank_lines(spark):
+    fresh = words(6)
+    block = fresh(90)
+    wrap = lambda x: "\n".join(" ".join(x[i:i + 9]) for i in range(0, len(x), 9))
+    rows = []
+    for i in range(4):
+        p = list(block)
+        for at in (0, 20, 44, 66):
+            p[at] = p[at] if i == 0 or at != 20 * i else fresh(1)[0]
+        rows.append((i, wrap(fresh(70)) + "\n\n" + wrap(p) + "\n\n" + wrap(fresh(60))))
+    out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows), run=80).collect()}
+    assert out[0]["n_removed"] == 0 and all(out[i]["n_removed"] == 90 for i in (1, 2, 3))

@@ -2,17 +2,20 @@
 
 Two kinds of keys find documents to compare:
 
-* paragraphs (lines of at least ``MIN_PARAGRAPH`` words): MinHash of their five-word shingles in
+* paragraphs (lines of at least ``MIN_PARAGRAPH`` words, and blocks of several lines between blank ones,
+  in texts without blank lines only those without such a line): MinHash of their five-word shingles in
   bands; ``tune_bands`` picks bands and rows for the wanted recall at the wanted similarity;
 * passages inside paragraphs, or across them: local MinHash, the smallest hash of ``RUN`` words in
   every window of ``RUN + 1`` such hashes, so that any common run of 2 * RUN words has a key in common.
 
 Each key links its holders to the first of them (smallest doc_id): a key held by many documents
-costs one row for each holder. Linked documents are compared on whole texts, pivots in blocks of
+costs one row for each holder. Holders of a passage key of at most ``FEW`` are all linked. Linked documents are compared on whole texts, pivots in blocks of
 bounded size: a paragraph is a repeat if the exact Jaccard similarity with the pivot's paragraph
 reaches the threshold, and a run of words is one if all its stretches of ``RUN`` words stand in the
-pivot. Paragraphs that collided but missed the pivot are compared once more with the next holder.
-A repeat is cut from the later document only, so its first occurrence always stays. The removals
+pivot. Where a run ends in a text but the text goes on, the run of ``RUN`` words over that end is a new
+key, if a key of more holders linked the two: texts that share more with each other than with their
+pivot share it too. Rounds go on until no new key links two texts. Paragraphs that collided but missed the pivot are compared with all earlier
+ones of their bucket, equal ones as one class, in cells of bounded size. A repeat is cut from the later document only, so its first occurrence always stays. The removals
 are clustered by connected components of the verified links.
 
 Defined cases: null or empty text is returned as it is; rows equal in id and text count as one
@@ -22,6 +25,8 @@ last in order; repeats inside one document stay; extra columns are kept; empty t
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +43,11 @@ SHINGLE = 5
 PERCENT = 80
 RECALL = 0.99
 BLOCK = 256
+FEW = 64
+#: Shingles on each side of a cell in which paragraphs of one bucket are compared.
+CELL = 65536
+#: Added to the line number of a block of lines.
+BLOCK_LINE = 1 << 30
 LAST = (1 << 63) - 1
 
 
@@ -55,8 +65,9 @@ def lines_of(w: Words) -> np.ndarray:
     return np.searchsorted(np.flatnonzero(w.buf == 10), w.start)
 
 
-def paragraphs(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, line in row, first word, end word) of the lines of at least ``least`` words."""
+def paragraphs(w: Words, least: int, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, line in row, first word, end word) of the lines of at least ``least`` words and of the
+    blocks of lines, by row; with ``every``, of all blocks of several lines."""
     if not len(w.start):
         z = np.zeros(0, np.int64)
         return z, z, z, z
@@ -64,8 +75,20 @@ def paragraphs(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     new = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (row[1:] != row[:-1])])
     end = np.r_[new[1:], len(line)]
     big = end - new >= least
-    new, end = new[big], end[big]
-    return row[new], line[new] - line[w.first[row[new]]], new, end
+    other = np.r_[True, row[new[1:]] != row[new[:-1]]]
+    gap = ~other & np.r_[False, line[new[1:]] - line[new[:-1]] > 1]
+    blank = np.zeros(len(w.first), bool)
+    blank[row[new[gap]]] = True
+    at = np.flatnonzero(other | gap)  # first lines of blocks
+    lines = np.diff(np.r_[at, len(new)])
+    last = end[np.r_[at[1:], len(new)] - 1]
+    whole = (lines > 1) & (last - new[at] >= least) & (every | blank[row[new[at]]] | ~np.logical_or.reduceat(big, at))
+    first = np.r_[new[big], new[at][whole]]
+    end = np.r_[end[big], last[whole]]
+    no = line[first] - line[w.first[row[first]]] + BLOCK_LINE * (np.arange(len(first)) >= big.sum())
+    order = np.argsort(row[first], kind="stable")
+    first = first[order]
+    return row[first], no[order], first, end[order]
 
 
 def local_minima(w: Words, run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +161,7 @@ class _Text:
     def paragraph(self, line: int):
         if self.paragraphs is None:
             if "lines" not in self.shared:  # once for all texts of the chunk
-                self.shared["lines"] = paragraphs(self.w, SHINGLE)
+                self.shared["lines"] = paragraphs(self.w, SHINGLE, True)
             row, no, first, end = self.shared["lines"]
             mine = slice(*np.searchsorted(row, [self.row, self.row + 1]))
             base = self.w.first[self.row]
@@ -151,9 +174,9 @@ def _compare(percent: int, run: int):
     def go(batches):
         block = pivot = known = None
         for batch in batches:
-            out = {k: [] for k in ("rid", "prid", "start", "end")}
+            out = {k: [] for k in ("ord", "rid", "prid", "start", "end", "met", "more")}
             for part, w in chunks(batch, "text", "space"):
-                cols = {c: part.column(c).to_pylist() for c in ("block", "member", "rid", "lines")}
+                cols = {c: part.column(c).to_pylist() for c in ("block", "member", "ord", "rid", "lines", "open")}
                 shared: dict = {}
                 for i in range(len(part)):
                     if not cols["member"][i]:
@@ -164,7 +187,8 @@ def _compare(percent: int, run: int):
                         continue
                     t = _Text(w, i, run, shared)
                     cover = np.zeros(t.n + 1, np.int32)
-                    hit = np.flatnonzero(np.isin(t.runs, known))
+                    same = np.isin(t.runs, known)
+                    hit, met = np.flatnonzero(same), []
                     np.add.at(cover, hit, 1)
                     np.add.at(cover, hit + run, -1)
                     for x in cols["lines"][i] or ():
@@ -174,31 +198,128 @@ def _compare(percent: int, run: int):
                             if 100 * both >= percent * (len(a[1]) + len(b[1]) - both):
                                 cover[b[0][0]] += 1
                                 cover[b[0][1]] -= 1
+                                met.append(x["line"])
                     held = np.r_[False, np.cumsum(cover[:-1]) > 0, False]
                     edge = np.flatnonzero(held[1:] != held[:-1])
                     if len(edge):
+                        beside = np.r_[same[1:], np.zeros(min(1, t.n), bool)][:len(same)] | np.r_[False, same[:-1]][:len(same)]
+                        out["ord"].append(cols["ord"][i])
+                        out["met"].append(np.array(met, np.int64))
+                        out["more"].append(np.unique(t.runs[beside & ~same & cols["open"][i]]).view(np.int64))
                         out["rid"].append(cols["rid"][i])
                         out["prid"].append(prid)
                         out["start"].append(edge[::2])
                         out["end"].append(edge[1::2])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["rid"], pa.int64()), pa.array(out["prid"], pa.int64()), lists(out["start"]), lists(out["end"])],
-                ["rid", "prid", "start", "end"])
+                [*(pa.array(out[c], pa.int64()) for c in ("ord", "rid", "prid")), *(lists(out[c]) for c in ("start", "end", "met", "more"))],
+                list(out))
     return go
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, percent: int, run: int) -> DataFrame:
-    """(rid, prid, start, end): the word spans of documents ``rid`` that repeat ``prid``; ``pairs``
-    holds (prid, rid, lines)."""
+    """(ord, rid, prid, start, end, met, more): the word spans of documents ``rid`` that repeat ``prid``,
+    the paragraphs that do, and for open pairs the runs over the ends of equal runs; ``pairs`` holds (prid, rid, lines, open)."""
     sizes = pairs.groupBy("prid").count()
     blocks = pairs.join(sizes, "prid").select(
-        "prid", "rid", "lines", F.xxhash64("prid", F.expr(f"pmod(xxhash64(rid), 1 + count div {BLOCK})")).alias("block"))
+        "prid", "rid", "lines", "open", F.xxhash64("prid", F.expr(f"pmod(xxhash64(rid), 1 + count div {BLOCK})")).alias("block"))
     none = F.lit(None).cast(blocks.schema["lines"].dataType)
-    rows = (blocks.select("block", F.lit(1).alias("member"), "rid", "lines")
-            .union(blocks.select("block", F.lit(0).alias("member"), F.col("prid").alias("rid"), none.alias("lines")).dropDuplicates(["block"])))
-    dealt = (texts.join(rows, "rid").select("block", "member", "rid", "text", "lines")
+    rows = (blocks.select("block", F.lit(1).alias("member"), "rid", "lines", "open")
+            .union(blocks.select("block", F.lit(0).alias("member"), F.col("prid").alias("rid"), none.alias("lines"), F.lit(False)).dropDuplicates(["block"])))
+    dealt = (texts.join(rows, "rid").select("block", "member", "ord", "rid", "text", "lines", "open")
              .repartition(parts(texts.sparkSession), "block").sortWithinPartitions("block", "member"))
-    return dealt.mapInArrow(_compare(percent, run), "rid long, prid long, start array<long>, end array<long>")
+    return dealt.mapInArrow(_compare(percent, run), "ord long, rid long, prid long, start array<long>, end array<long>, "
+                                                    "met array<long>, more array<long>")
+
+
+def _paragraph_sets(batches):
+    """The shingle sets of the wanted paragraphs, sorted."""
+    for batch in batches:
+        for part, w in chunks(batch, "text", "space"):
+            cols, shared, out = {c: part.column(c).to_pylist() for c in ("ord", "rid", "lines")}, {}, []
+            for i in range(len(part)):
+                t = _Text(w, i, RUN, shared)
+                for line in cols["lines"][i]:
+                    at, held = t.paragraph(line)
+                    out.append({"ord": cols["ord"][i], "rid": cols["rid"][i], "line": line, "start": int(at[0]), "end": int(at[1]),
+                                "size": len(held), "words": held.tobytes()})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([*((c, pa.int64()) for c in ("ord", "rid", "line", "start", "end", "size")),
+                                                             ("words", pa.binary())]))
+
+
+def _cell(percent: int):
+    """For each class asked for, the earliest class of the cell that is alike and earlier."""
+    def go(t: pa.Table) -> pa.Table:
+        sides = [t.filter(pa.array(t.column("asked").to_numpy() == x)) for x in (0, 1)]
+        sets = [[np.frombuffer(x, np.uint64) for x in side.column("words").to_pylist()] for side in sides]
+        out = []
+        if sets[0] and sets[1]:
+            flat = [np.concatenate(x) for x in sets]
+            size = [np.array([len(v) for v in x]) for x in sets]
+            row = [np.repeat(np.arange(len(x)), x) for x in size]
+            common = np.intersect1d(*flat)
+            both = np.zeros((len(size[1]), len(size[0])), np.float32)
+            at = [np.searchsorted(common, x) for x in flat]
+            at = [np.where(common[np.minimum(a, len(common) - 1)] == x, a, -1) if len(common) else np.full(len(x), -1) for a, x in zip(at, flat)]
+            for low in range(0, len(common), 2048):
+                grid = []
+                for k in (1, 0):
+                    mine = (at[k] >= low) & (at[k] < low + 2048)
+                    grid.append(np.zeros((len(size[k]), 2048), np.float32))
+                    grid[-1][row[k][mine], at[k][mine] - low] = 1
+                both += grid[0] @ grid[1].T
+            alike = 100 * both >= percent * (size[1][:, None] + size[0][None, :] - both)
+            early = [tuple(x) for x in zip(*(sides[0].column(c).to_pylist() for c in ("ord", "rid")))]
+            names = list(zip(*(sides[1].column(c).to_pylist() for c in ("cls", "ord", "rid"))))
+            for i, (cls, *own) in enumerate(names):
+                least = min((early[j] for j in np.flatnonzero(alike[i]) if early[j] < tuple(own)), default=None)
+                if least and least[1] != own[1]:
+                    out.append({"cls": cls, "pord": least[0], "prid": least[1]})
+        return pa.Table.from_pylist(out, pa.schema([(c, pa.int64()) for c in ("cls", "pord", "prid")]))
+    return go
+
+
+def _others(keys: DataFrame, met: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(rid, prid, start, end) of the paragraphs that missed the pivots of their keys and repeat
+    another earlier holder."""
+    held = keys.where("line >= 0").select("key", "ord", "rid", F.col("line").cast("long").alias("line"))
+    first = held.groupBy("key").agg(F.min(F.struct("ord", "rid")).alias("p"), F.count("*").alias("n")).where("n > 2").select("key", F.col("p.rid").alias("p_rid"))
+    missed = held.join(first, "key").where("rid <> p_rid").join(met, ["rid", "line"], "left_anti").select("key").distinct()
+    held = keep(held.join(missed, "key", "left_semi"), "repeat-open")
+    wanted = held.groupBy("rid").agg(F.collect_set("line").alias("lines"))
+    raw = texts.join(wanted, "rid").select("ord", "rid", "text", "lines").mapInArrow(
+        _paragraph_sets, "ord long, rid long, line long, start long, end long, size long, words binary")
+    sets = keep(raw.withColumn("cls", F.xxhash64("words")), "repeat-sets")
+    # equal paragraphs are one class, whose earliest document stands for it
+    lead = keep(sets.groupBy("cls").agg(F.min(F.struct("ord", "rid", "line")).alias("f"), F.min("size").alias("size"))
+                .select("cls", F.col("f.ord").alias("ord"), F.col("f.rid").alias("rid"), F.col("f.line").alias("line"), "size"), "repeat-classes")
+    in_key = held.join(sets.select("rid", "line", "cls"), ["rid", "line"]).select("key", "cls").distinct().join(lead.select("cls", "size"), "cls")
+    sums = in_key.groupBy("key").agg(F.expr(f"1 + sum(greatest(size, 256)) div {CELL}").alias("cells"), F.count("*").alias("n")).where("n > 1").select("key", "cells")
+    asked = sets.join(met, ["rid", "line"], "left_anti").select("cls").distinct().withColumn("open", F.lit(True))
+    placed = in_key.join(sums, "key").join(asked, "cls", "left").withColumn("own", F.expr("pmod(xxhash64(cls), cells)"))
+    each = F.explode(F.expr("sequence(cast(0 as bigint), cast(cells - 1 as bigint))"))
+    rows = (placed.select("key", "cls", F.lit(0).alias("asked"), F.col("own").cast("long").alias("i"), each.alias("j"))
+            .union(placed.where("open").select("key", "cls", F.lit(1), each.alias("i"), F.col("own").cast("long").alias("j"))))
+    words = lead.join(sets.select("cls", "rid", "line", "words"), ["cls", "rid", "line"]).select("cls", "ord", "rid", "words")
+    cells = rows.join(words, "cls").groupBy("key", "i", "j").applyInArrow(_cell(percent), "cls long, pord long, prid long")
+    links = cells.groupBy("cls").agg(F.min(F.struct("pord", "prid")).alias("m"))
+    out = (sets.select("cls", "rid", "line", "start", "end").join(lead.select("cls", F.col("rid").alias("f_rid")), "cls").join(links, "cls", "left")
+           .join(met, ["rid", "line"], "left_anti")
+           .select("rid", F.when(F.col("rid") != F.col("f_rid"), F.col("f_rid")).otherwise(F.col("m.prid")).alias("prid"),
+                   F.array("start").alias("start"), F.array("end").alias("end")).where("prid is not null"))
+    out = keep(out, "repeat-spans")
+    drop(held, sets, lead)
+    return out
+
+
+def _linked(held: DataFrame) -> DataFrame:
+    """(prid, rid, open) of the passage keys ``held`` (key, ord, rid): all pairs of few holders, else
+    each holder with the first."""
+    first = held.groupBy("key").agg(F.min(F.struct("ord", "rid")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    many = held.join(first.select("key", "p", (F.col("n") > FEW).alias("open")), "key").where("rid <> p.rid").select(F.col("p.rid").alias("prid"), "rid", "open")
+    some = held.join(first.where(f"n between 3 and {FEW}").select("key"), "key")
+    few = some.join(some.select("key", F.col("ord").alias("pord"), F.col("rid").alias("prid")), "key").where(
+        "rid <> prid and (pord < ord or pord = ord and prid < rid)").select("prid", "rid", F.lit(False))
+    return many.union(few)
 
 
 def repeats(texts: DataFrame, percent: int = PERCENT, run: int = RUN, least: int = MIN_PARAGRAPH,
@@ -206,23 +327,38 @@ def repeats(texts: DataFrame, percent: int = PERCENT, run: int = RUN, least: int
     """(rid, prid, start, end) for ``texts`` (ord, rid, text): verified repeats of earlier documents."""
     bands, rows = tune_bands(percent, recall)
     keys = keep(texts.mapInArrow(_keys(bands, rows, run, least), "key long, ord long, rid long, line int"), "repeat-keys")
-    found = None
-    for again in (False, True):
-        first = keys.groupBy("key").agg(F.min(F.struct("ord", "rid", "line")).alias("p"), F.count("*").alias("n")).where("n > 1")
-        pairs = (keys.join(first.select("key", "p"), "key").where("rid <> p.rid")
-                 .groupBy(F.col("p.rid").alias("prid"), "rid")
-                 .agg(F.collect_set(F.when(F.col("line") >= 0, F.struct(F.col("p.line").alias("pline"), "line"))).alias("lines")))
-        pairs = keep(pairs, "repeat-pairs")
-        part = keep(_compared(pairs, texts, percent, run), "repeat-spans")
-        if again:
-            drop(keys, pairs)
-            return keep(found.union(part), "repeat-spans")
-        # paragraph keys whose holder did not repeat the pivot, without the pivot itself
-        same = part.select("rid", F.col("prid").alias("p_rid")).distinct()
-        left = (keys.where("line >= 0").join(first.select("key", F.col("p.rid").alias("p_rid")), "key").where("rid <> p_rid")
-                .join(same, ["rid", "p_rid"], "left_anti").select("key", "ord", "rid", "line"))
-        found, old, keys = part, keys, keep(left, "repeat-keys")
-        drop(old, pairs)
+    runs = keys.where("line < 0").select("key", "ord", "rid")
+    held = keys.where("line >= 0")
+    first = held.groupBy("key").agg(F.min(F.struct("ord", "rid", "line")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    both = F.struct(F.col("p.line").alias("pline"), "line")
+    near = held.join(first.select("key", "p"), "key").where("rid <> p.rid").select(F.col("p.rid").alias("prid"), "rid", both.alias("both"), F.lit(False).alias("open"))
+    none = F.lit(None).cast(near.schema["both"].dataType)
+    pairs = (near.union(_linked(runs).select("prid", "rid", none, "open")).groupBy("prid", "rid")
+             .agg(F.collect_set("both").alias("lines"), F.max("open").alias("open")))
+    pairs = keep(pairs, "repeat-pairs")
+    found, done, seen = [keep(_compared(pairs, texts, percent, run), "repeat-spans")], [pairs], [runs]
+    none = F.lit(None).cast(pairs.schema["lines"].dataType)
+    kept = []
+    while True:
+        held = reduce(DataFrame.union, seen)
+        fresh = found[-1].select(F.explode("more").alias("key"), "ord", "rid").distinct()
+        fresh = keep(fresh.join(held.select("key", "rid"), ["key", "rid"], "left_anti").select("key", "ord", "rid"), "repeat-more")
+        kept.append(fresh)
+        held = held.join(fresh.select("key").distinct(), "key", "left_semi").union(fresh)
+        pairs = _linked(held).groupBy("prid", "rid").agg(F.max("open").alias("open"))
+        old = reduce(DataFrame.union, [x.select(F.col("prid").alias("a"), F.col("rid").alias("b"), F.col("open").alias("was")) for x in done])
+        pairs = pairs.join(old, F.expr("prid = a and rid = b and (was or not open)"), "left_anti")
+        pairs = keep(pairs.withColumn("lines", none), "repeat-pairs")
+        done.append(pairs)
+        seen.append(fresh)
+        if pairs.isEmpty():
+            break
+        found.append(keep(_compared(pairs, texts, percent, run), "repeat-spans"))
+    met = found[0].select("rid", F.explode("met").alias("line")).distinct()
+    found.append(_others(keys, met, texts, percent))
+    out = keep(reduce(DataFrame.union, [x.select("rid", "prid", "start", "end") for x in found]), "repeat-spans")
+    drop(keys, *done, *kept, *found)
+    return out
 
 
 def _cut(batches):
