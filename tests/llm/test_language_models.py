@@ -126,3 +126,19 @@ def test_quality_keeps_clean_texts(spark):
     assert len(kept & set(range(400))) >= 380 and not kept & set(range(400, 440))
     assert all(r["keep"] for r in Q.quality(docs, labels.limit(0)).collect())
     assert Q.quality(docs.limit(0), labels).collect() == []
+
+
+def test_trie_hot_word_in_one_context(spark):
+    """A word often seen, in one context only, is known in any other context and shard."""
+    rows = [(i, "alpha hot") for i in range(1, 60)] + [(100 + i, "new%d hot" % i) for i in range(40)]
+    docs = frame(spark, rows).select(F.col("doc_id").alias("id"), (F.col("doc_id") < 100).alias("learn"),
+                                     (F.col("doc_id") >= 100).alias("held_out"), "text")
+    trie, model, hot = M.train(docs, shard_tokens=10, hot_least=20)
+    assert model["shards"] > 10 and len(hot.value[0]) == 3
+    n, v = 3 * 59, 3
+    discount, p_hot = model["discount"], (59 - model["discount"]) / n
+    for r in M.score(docs, trie, model, hot).where("held_out").collect():
+        base = sum(math.log10((c + 0.1) / (n + 0.1 * (v + 1))) for c in (0, 59, 59))
+        score = (math.log10(M.MU * discount * v / n / (59 + M.MU)) + math.log10(M.MU * p_hot / M.MU)
+                 + math.log10((59 + M.MU * p_hot) / (59 + M.MU)))
+        assert r["n_known"] == 2 and abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-3

@@ -18,7 +18,8 @@ from an unlinked temporary file and answers all queries by successor search.
 
 Scale: the number of shards follows the number of training tokens (``SHARD_TOKENS``), so the model and
 what is gathered for it grow with the corpus and no shard does. A word that makes up more than one in
-``HOT`` of all tokens (there are at most ``HOT`` such words) is spread over all shards by its context.
+``HOT`` of all tokens (there are at most ``HOT`` such words) is spread over all shards by its context;
+its count is broadcast, as not every shard that is asked for it holds one of its pairs.
 Counts are pre-aggregated in map tasks; texts are never shuffled, only hashed tokens.
 
 Defined cases: null or empty text has one token, its end; a null doc_id is scored, never trained on;
@@ -242,7 +243,7 @@ SUM_ARROW = pa.schema([("batch", pa.int64()), ("n_rows", pa.int32()), *((x, pa.b
                        ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))])
 
 
-def _answer(model: dict):
+def _answer(model: dict, hot):
     """Partial sums of each batch's documents over the tokens of one shard."""
     def go(left: pa.Table, right: pa.Table) -> pa.Table:
         trie, rows = None, []
@@ -253,7 +254,13 @@ def _answer(model: dict):
             if trie is None:
                 trie = Trie(right.to_pylist()[0] if len(right) else EMPTY, model)
             size, doc = np.frombuffer(q["sizes"], np.uint32), np.frombuffer(q["docs"], np.uint16)
-            place, n = (np.repeat(x, size) for x in trie.count(np.frombuffer(q["words"], np.uint64)))
+            words = np.frombuffer(q["words"], np.uint64)
+            place, n = trie.count(words)
+            names, counts = hot.value
+            if len(names):
+                i = np.minimum(np.searchsorted(names, words), len(names) - 1)
+                n = np.where(names[i] == words, counts[i], n)
+            place, n = (np.repeat(x, size) for x in (place, n))
             score = trie.log_joint(place, n, np.frombuffer(q["contexts"], np.uint32)) - np.log10(n + MU)
             sums = [np.bincount(doc, x, q["n_rows"]) for x in (np.log10(n + 0.1), score)]
             rows.append({"batch": q["batch"], "n_rows": q["n_rows"], "known": np.bincount(doc, n > 0, q["n_rows"]).astype(np.int32).tobytes(),
@@ -282,8 +289,9 @@ def _finish(model: dict):
     return go
 
 
-def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS):
-    """The model table of ``texts`` (learn, text), its numbers, and the broadcast hot words."""
+def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS, hot_least: int = 1000):
+    """The model table of ``texts`` (learn, text), its numbers, and the broadcast hot words, those of
+    more than ``hot_least`` and more than one in ``HOT`` tokens."""
     spark = texts.sparkSession
     texts = texts.select("learn", "text")
     uni = keep(texts.mapInArrow(_unigrams, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "trie-unigrams")
@@ -293,7 +301,7 @@ def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS):
     model = {"tokens": max(1, tokens), "train_tokens": tokens, "types": types, "discount": discount,
              "unknown": discount * types / tokens if tokens else 1.0}
     # fewer than HOT words can have more than tokens / HOT of all tokens
-    often = uni.where(F.col("n") > max(1000, tokens // HOT)).toArrow()
+    often = uni.where(F.col("n") > max(hot_least, tokens // HOT)).toArrow()
     names, counts = often.column("w").to_numpy().view(np.uint64), often.column("n").to_numpy()
     order = np.argsort(names)
     hot = spark.sparkContext.broadcast((names[order], counts[order]))
@@ -307,7 +315,7 @@ def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS):
 def score(texts: DataFrame, trie: DataFrame, model: dict, hot) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for ``texts`` (id, held_out, text)."""
     asked = texts.select("id", "held_out", "text").mapInArrow(_query_rows(model["shards"], hot), QUERY_SCHEMA)
-    sums = asked.groupBy("shard").cogroup(trie.groupBy("shard")).applyInArrow(_answer(model), SUM_SCHEMA)
+    sums = asked.groupBy("shard").cogroup(trie.groupBy("shard")).applyInArrow(_answer(model, hot), SUM_SCHEMA)
     shape = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return sums.groupBy("batch").applyInArrow(_finish(model), shape)
 
