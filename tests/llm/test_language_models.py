@@ -142,3 +142,13 @@ def test_trie_hot_word_in_one_context(spark):
         score = (math.log10(M.MU * discount * v / n / (59 + M.MU)) + math.log10(M.MU * p_hot / M.MU)
                  + math.log10((59 + M.MU * p_hot) / (59 + M.MU)))
         assert r["n_known"] == 2 and abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-3
+
+
+def test_quality_learns_from_all_trusted_text(spark, monkeypatch):
+    """Words of every trusted document of the training half are in the model."""
+    ids = [i for i in range(25000) if zlib.crc32(str(i).encode()) % 2 == 0]
+    assert len(ids) > 12000
+    docs = frame(spark, [(i, "own%d" % i, "en") for i in ids], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    out = Q.quality(docs, labels).select("perplexity").distinct().collect()
+    assert max(r[0] for r in out) < 1.01 * min(r[0] for r in out)

@@ -1,7 +1,7 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney bigram model.
 
 The model is trained on trusted text: documents that labels call good, one half of them by a hash of
-the id and at most ``MAX_TRUSTED`` documents, those of smallest hash. Counts, continuation counts and
+the id. Counts, continuation counts and
 the three discounts are distributed aggregates. The log probability of a document is a sum over its
 words of two looked-up values,
 
@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from .common import drop, keep, table
 from .words import Words, chunks, mix
 
-MAX_TRUSTED = 10000
 SHARD = 4_000_000
+GATHER = 1_000_000
 QUANTILE = 0.98
 END = np.uint64(0x5E9D5E9D5E9D5E9D)
 
@@ -57,11 +57,24 @@ def pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _counts(batches):
+    """Counts of pairs, added up over about ``GATHER`` tokens of a task before they are shuffled."""
+    held, tokens = [], 0
+
+    def out():
+        u, x = (np.concatenate(v) for v in zip(*held))
+        key, at, n = np.unique(pair(u, x), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (u[at], x[at])] + [pa.array(n)], ["u", "w", "n"])
+
     for b in batches:
         for _, w in chunks(b, "text", "space"):
             _, u, x = bigrams(w)
-            key, at, n = np.unique(pair(u, x), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (u[at], x[at])] + [pa.array(n)], ["u", "w", "n"])
+            held.append((u, x))
+            tokens += len(x)
+            if tokens >= GATHER:
+                yield out()
+                held, tokens = [], 0
+    if held:
+        yield out()
 
 
 def _discounts(counts: DataFrame, col: str) -> tuple[float, float, float]:
@@ -84,7 +97,8 @@ def train(texts: DataFrame) -> tuple[DataFrame, float]:
     low = keep(bi.groupBy("w").agg(F.count("*").alias("before")), "kn-words")
     vocabulary, pairs = low.agg(F.count("*"), F.coalesce(F.sum("before"), F.lit(0))).first()
     if not vocabulary:
-        return texts.sparkSession.createDataFrame([], "key long, owner long, value double"), -1.0
+        drop(bi, low)
+        return keep(texts.sparkSession.createDataFrame([], "key long, owner long, value double"), "kn-model"), -1.0
     d1, d2 = _discounts(low, "before"), _discounts(bi, "n")
     freed = low.agg(F.sum(F.least("before", _less("before", d1)))).first()[0] / pairs
     unknown = freed / (vocabulary + 1)
@@ -179,14 +193,13 @@ def perplexity(texts: DataFrame, model: DataFrame, unknown: float, shard_rows: i
     return out.select(*by, F.col("_n").alias("n_tokens"), F.pow(F.lit(10.0), -F.col("_lp") / F.col("_n")).alias("perplexity"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED, quantile: float = QUANTILE,
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
             shard_rows: int = SHARD) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text, lang): doc_id, lang, n_tokens, perplexity, threshold, keep."""
     texts = docs.select("doc_id", "lang", "text")
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
-    picked = good.where(half == 0).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_trusted)
-    model, unknown = train(texts.join(F.broadcast(picked), "doc_id", "left_semi").select("text"))  # at most max_trusted ids
+    model, unknown = train(texts.join(good.where(half == 0), "doc_id", "left_semi").select("text"))
     scored = keep(perplexity(texts, model, unknown, shard_rows), "kn-scores")
     drop(model)
     unseen = scored.join(good.where(half == 1), "doc_id", "left_semi")
