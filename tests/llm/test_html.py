@@ -41,3 +41,21 @@ def test_rows(spark):
     out = sorted((tuple(r) for r in extract(pages).collect()), key=str)
     text = main_text(PAGE)
     assert out == sorted([(1, "u", text, len(text)), (None, None, "", 0), (1, "u", "", 0)], key=str)
+
+
+def test_head_without_end_tag():
+    assert main_text("<html><head><title>T</title><meta x><body><p>Some text, in the body.</p>") == "Some text, in the body."
+    assert main_text("<head><title>T</title><link a><p>Some text, without a body tag.</p>") == "Some text, without a body tag."
+    assert main_text("<head><title>T</title><style>p{}</style>Plain text") == "Plain text"
+
+
+def test_wrappers_with_listed_words():
+    p = "<p>A sentence, long enough to count, is here.</p>"
+    kept = "Title\n" + "\n".join(["A sentence, long enough to count, is here."] * 4)
+    side = "<div class=sidebar><p>A side story, long enough to count.</p></div>"
+    for start, end in (("<div class='layout sidebar-right'>", "</div>"), ("<form action=x>", "</form>"),
+                       ("<form><div id=menu-page>", "</div></form>")):
+        assert main_text("<body>" + start + "<div><h1>Title</h1>" + p * 4 + "</div>" + side + end + "</body>") == kept
+        assert main_text("<body>" + start + "<main><h2>Title</h2>" + p * 4 + "</main>" + side + end + "</body>") == kept
+    comments = "<div id=comments>" + "<p>A comment, long enough to count, is here.</p>" * 30 + "</div>"
+    assert main_text("<body><div><h1>Title</h1>" + p * 4 + "</div>" + comments) == kept

@@ -4,7 +4,10 @@ Each page is parsed on its own inside Arrow tasks (no shuffle): paragraphs pass
 length and commas to their ancestors, halved with each level; a container's points are discounted by
 the share of its text that stands in links. The best container is kept (its article or main element,
 if it is in one) with those siblings that score or read like it. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, hidden parts and reader comments are left out.
+notices, adverts, forms, scripts, styles, hidden parts and reader comments are left out; a form or an
+element with a class or id of such a part stays if it is a wrapper of the page: it holds most of the
+paragraphs, and a main or h1 element or (three or more of them) all there are. A head ends at its end
+tag, or at text or an element that can't stand in it.
 
 Defined cases: null or empty html gives empty text; unclosed or crossed tags, cut pages and pages of
 any length are parsed as far as they go; a page without any paragraph keeps its headings and other
@@ -31,6 +34,7 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template iframe object svg math canvas audio video select textarea button "
                     "title head datalist map".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 BOILERPLATE = frozenset("nav header footer aside form dialog menu fieldset".split())
 BLOCKS = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
@@ -51,33 +55,35 @@ INSIDE = frozenset("with has no without".split())
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "out", "points", "chars", "linked", "order")
+    __slots__ = ("tag", "parent", "kids", "out", "doubt", "points", "chars", "linked", "order")
 
-    def __init__(self, tag, parent, out):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag, parent, out, doubt=False):
+        self.tag, self.parent, self.out, self.doubt = tag, parent, out, doubt
         self.kids, self.points, self.chars, self.linked = [], 0.0, 0, 0
 
 
-def _outside(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in BOILERPLATE and not (tag == "header" and in_article):
-        return True
+def _outside(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """(outside the article, outside unless the element turns out to be a wrapper of the page)."""
+    if tag in BOILERPLATE and tag != "form" and not (tag == "header" and in_article):
+        return True, False
+    doubt = tag == "form"
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return False, doubt
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, False
         if name == "style" and re.search(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return True, False
         if name == "role" and value.lower() in ROLES:
-            return True
+            return True, False
         if name in ("class", "id"):
             for each in value.split():
                 words = {w.lower() for w in _PART.findall(each)}
                 if not words & INSIDE and (words & OUTSIDE or any(w.startswith(OUTSIDE_STEMS) for w in words)
                                            or "header" in words and not in_article):
-                    return True
-    return False
+                    doubt = True
+    return False, doubt
 
 
 def _parse(html: str) -> tuple[_Node, list]:
@@ -115,6 +121,8 @@ def _parse(html: str) -> tuple[_Node, list]:
         m = _MARKUP.search(html, at)
         if m is None or m.start() > at:
             piece = html[at:m.start() if m else n]
+            if open_[-1].tag == "head" and piece.strip():
+                close(len(open_) - 1)
             if not open_[-1].out:
                 text.append(piece)
                 linked += len(piece) if links else 0
@@ -152,11 +160,14 @@ def _parse(html: str) -> tuple[_Node, list]:
                 if any(x.tag in BLOCKS for x in open_[i:]):
                     flush()
                 close(i)
+        if open_[-1].tag == "head" and tag not in IN_HEAD:
+            close(len(open_) - 1)
         up = open_[-1]
         attrs = m["attrs"] or m["attrs2"] or ""
         if attrs.endswith("/") and tag not in BLOCKS:
             continue
-        node = _Node(tag, up, up.out or tag in SKIPPED or _outside(tag, attrs, articles > 0))
+        out, doubt = _outside(tag, attrs, articles > 0)
+        node = _Node(tag, up, up.out or tag in SKIPPED or out, doubt)
         up.kids.append(node)
         open_.append(node)
         links += tag == "a"
@@ -171,6 +182,27 @@ def _ancestors(node):
         node = node.parent
 
 
+def _sure(blocks) -> list:
+    """The blocks without those in doubtful elements that are no wrappers of the page."""
+    if not any(x.doubt for b in blocks for x in _ancestors(b[0])):
+        return blocks
+    held, total, chains = {}, [0, 0], []
+    for node, text, linked in blocks:
+        chars = len(text) if node.tag not in HEADINGS and len(text) >= 25 and linked < 0.5 * len(text) else 0
+        above = list(_ancestors(node))
+        chains.append([x for x in above if x.doubt])
+        total = [total[0] + chars, total[1] + (chars > 0)]
+        marked = False
+        for x in above:
+            marked = marked or x.tag in ("main", "h1")
+            if x.doubt:
+                h = held.setdefault(id(x), [0, 0, False])
+                h[0], h[1], h[2] = h[0] + chars, h[1] + (chars > 0), h[2] or marked
+    wrapper = {k for k, (chars, n, marked) in held.items()
+               if 2 * chars > total[0] and (marked or chars == total[0] and n >= 3)}
+    return [b for b, chain in zip(blocks, chains) if all(id(x) in wrapper for x in chain)]
+
+
 def _score(blocks) -> _Node | None:
     """Pass points up the tree; the container of most points after the discount for links."""
     seen = {}
@@ -196,6 +228,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root, blocks = _parse(html)
+    blocks = _sure(blocks)
     best = _score(blocks)
     if best is None:
         best = next((x for b in blocks for x in _ancestors(b[0]) if x.tag in ("article", "main")), root)
