@@ -13,6 +13,7 @@ from .license_scan import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
 from .ngram_jaccard import OP5_SQL, op5_ngram_jaccard_join
 from .quality_kn import op6_quality_kn
+from .runs import op11_runs
 from .substring_dedup import op1_substring_dedup
 from .toxicity import op3_toxicity
 from .trie_lm import op4_trie_lm
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multiprobe_ann": op8_multiprobe_ann,
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
+    "op11_runs": op11_runs,
 }
 
 ORACLES: dict[str, str] = {
