@@ -10,6 +10,7 @@ from .ann import op8_multiprobe_ann
 from .decontaminate import OP7_SQL, op7_decontaminate
 from .html_text import op10_html_text
 from .license_scan import op2_license_scan
+from .merkle import OP12_SQL, op12_merkle_manifest
 from .mixing import OP9_SQL, op9_mix_sources
 from .ngram_jaccard import OP5_SQL, op5_ngram_jaccard_join
 from .quality_kn import op6_quality_kn
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
     "op11_runs": op11_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op5_ngram_jaccard_join": OP5_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_mix_sources": OP9_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
