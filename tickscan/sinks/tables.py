@@ -1,40 +1,38 @@
 """History tables: day-partitioned Parquet with insert-if-absent on ``(symbol, trade_timestamp)``.
 
 The reference stores EMA rows and advisories with ``ON CONFLICT DO NOTHING``, i.e. the first
-writer of a key wins and a replayed batch changes nothing. Here a batch is reduced to one row of each
-key, anti-joined against the rows already stored **in the days it touches only** (a static
-partition filter built from the batch's distinct days - a list bounded by the days one batch
-spans), and appended. One writer per table; a stream's ``foreachBatch`` is that writer. Within a
-stream only the first batch after a start can be a replay, so only that one reads the table
-(``check_stored``); later ones are appended as they are.
-
-A table exists if it has a day partition: success markers are not asked for, since committers may
-write none and a crash may lose them.
+writer of a key wins, whatever the batch and whoever wrote before. Here every insert is checked:
+a batch is reduced to one row of each key, the table's ledger (``sinks/ledger.py``) names the few files
+of the days it touches that may hold one of its keys, and only those are opened and anti-joined. What
+is left is appended and indexed. A batch with a token (the stream's id and batch number) that the
+ledger has is skipped whole. One writer per table; a stream's ``foreachBatch`` is that writer.
+
+A crash at any point leaves rows that the next insert finds: files without an index row are opened,
+and the token is written last.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ADVISORY_TABLE_KEY, EMA_TABLE_KEY, PARTITION_COLUMN
+from . import ledger
 
 #: Files that one batch adds to a day at most; a day's rows are hashed by key over them.
 FILES_PER_DAY = 8
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a day partition (stops at the first)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    each = fs.listStatusIterator(hpath)
-    while each.hasNext():
-        if each.next().getPath().getName().startswith(PARTITION_COLUMN + "="):
-            return True
-    return False
+class Inserted(NamedTuple):
+    """What an insert did: days touched, files stored in them before, files it opened, whether the
+    batch was known."""
+
+    days: int
+    stored: int
+    opened: int
+    known: bool
 
 
 def with_partition(rows: DataFrame, ts_col: str = "trade_timestamp") -> DataFrame:
@@ -51,37 +49,49 @@ def first_of_key(rows: DataFrame, key, order: list[str] | None = None) -> DataFr
 
 
 def insert_if_absent(rows: DataFrame, path: str, key=EMA_TABLE_KEY, ts_col: str = "trade_timestamp",
-                     order: list[str] | None = None, check_stored: bool = True,
-                     files_per_day: int = FILES_PER_DAY) -> int:
-    """Append the rows of ``rows`` whose key is not stored yet; returns the number of days touched."""
+                     order: list[str] | None = None, token: str | None = None,
+                     files_per_day: int = FILES_PER_DAY) -> Inserted:
+    """Append the rows of ``rows`` whose key is not stored yet. ``token`` names the batch for good."""
     spark = rows.sparkSession
     key = list(key)
+    if token and ledger.has_batch(spark, path, token):
+        return Inserted(0, 0, 0, True)
     batch = with_partition(first_of_key(rows, key, order), ts_col).persist()
     try:
         days = [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
-        if not days:
-            return 0
-        new = batch
-        if check_stored and _exists(spark, path):
-            stored = spark.read.parquet(path).where(F.col(PARTITION_COLUMN).isin(days)).select(*key, PARTITION_COLUMN)
+        before = ledger.candidates(batch, path, days, key, ts_col)
+        new, ask = batch, before.to_open()
+        if ask:
+            stored = ledger.read_files(spark, path, ask).select(*key, PARTITION_COLUMN)
             new = batch.join(stored, [*key, PARTITION_COLUMN], "left_anti")
-        # a day's rows go to a few tasks by key: neither one task for a hot day nor a file per task and day
-        bucket = F.pmod(F.xxhash64(*key), F.lit(files_per_day))
-        (new.repartition(PARTITION_COLUMN, bucket).sortWithinPartitions(PARTITION_COLUMN, *key)
-            .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
-        return len(days)
+        if days:
+            # a day's rows go to a few tasks by key: neither one task for a hot day nor a file per task and day
+            bucket = F.pmod(F.xxhash64(*key), F.lit(files_per_day))
+            (new.repartition(PARTITION_COLUMN, bucket).sortWithinPartitions(PARTITION_COLUMN, *key)
+                .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
+            after = ledger.day_files(spark, path, days)
+            ledger.write_index(spark, path, {f: p for f, p in after.items() if f in before.unlisted or f not in before.files},
+                               key, ts_col, batch)
+        if token:
+            ledger.mark_batch(spark, path, token)
+        return Inserted(len(days), len(before.files), len(ask), False)
     finally:
         batch.unpersist()
 
 
-def write_ema_rows(ema_rows: DataFrame, path: str, **how) -> int:
+def write_ema_rows(ema_rows: DataFrame, path: str, **how) -> Inserted:
     return insert_if_absent(ema_rows, path, EMA_TABLE_KEY, **how)
 
 
-def write_advisories(advisories: DataFrame, path: str, **how) -> int:
+def write_advisories(advisories: DataFrame, path: str, **how) -> Inserted:
     """Advisories are stored with the message column named ``advice``."""
     return insert_if_absent(advisories.withColumnRenamed("message", "advice"), path, ADVISORY_TABLE_KEY, **how)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def latest_times(spark: SparkSession, path: str) -> DataFrame:
+    """(symbol, latest) from the side table that the sink keeps; the table itself is not read."""
+    return ledger.read_latest(spark, path)

@@ -67,15 +67,15 @@ def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS, descriptor_file: str | N
 
 
 def write_batch(batch: DataFrame, ema_path: str, advisory_path: str, spans=DEFAULT_SPANS,
-                brokers: str | None = None, descriptor_file: str | None = None, check_stored: bool = True) -> None:
-    """Fan one micro-batch out to the EMA and advisory tables (both insert-if-absent) and, when
-    ``brokers`` is given, to the per-region EMA and advisory topics."""
+                brokers: str | None = None, descriptor_file: str | None = None, token: str | None = None) -> None:
+    """Fan one micro-batch out to the EMA and advisory tables (both insert-if-absent, by ``token`` if
+    given) and, when ``brokers`` is given, to the per-region EMA and advisory topics."""
     batch = batch.persist()
     try:
         write_ema_rows(batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp"), ema_path,
-                       check_stored=check_stored)
+                       token=token)
         write_advisories(batch.where(F.col("message").isNotNull())
-                              .select("symbol", "trade_timestamp", "message"), advisory_path, check_stored=check_stored)
+                              .select("symbol", "trade_timestamp", "message"), advisory_path, token=token)
         if brokers:
             (topic_frames(batch, spans, descriptor_file).write.format("kafka")
                 .option("kafka.bootstrap.servers", brokers).option("kafka.compression.type", "snappy").save())
@@ -85,15 +85,13 @@ def write_batch(batch: DataFrame, ema_path: str, advisory_path: str, spans=DEFAU
 
 def batch_writer(ema_path: str, advisory_path: str, spans=DEFAULT_SPANS, brokers: str | None = None,
                  descriptor_file: str | None = None):
-    """``foreachBatch`` function. Only the first batch it sees can have been written before (a replay
-    after a failure, or a table that an earlier run filled), so only that one is checked against the
-    stored rows; the engine gives each later batch once."""
-    seen: set[int] = set()
-
+    """``foreachBatch`` function. Every batch is checked against the stored rows (through the tables'
+    ledgers), since a table may have been filled by an earlier stream, a backfill or a batch that died
+    half way. A batch's token is the stream's id, which its checkpoint keeps, and the batch number."""
     def write(df: DataFrame, batch_id: int) -> None:
-        write_batch(df, ema_path, advisory_path, spans, brokers, descriptor_file, check_stored=(batch_id - 1) not in seen)
-        seen.clear()
-        seen.add(batch_id)
+        stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        token = f"{stream}-{batch_id}" if stream else None
+        write_batch(df, ema_path, advisory_path, spans, brokers, descriptor_file, token)
     return write
 
 
