@@ -13,6 +13,7 @@ from .license_scan import op2_license_scan
 from .merkle import OP12_SQL, op12_merkle_manifest
 from .mixing import OP9_SQL, op9_mix_sources
 from .ngram_jaccard import OP5_SQL, op5_ngram_jaccard_join
+from .packing import op13_best_fit_packing
 from .quality_kn import op6_quality_kn
 from .runs import op11_runs
 from .substring_dedup import op1_substring_dedup
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
     "op11_runs": op11_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
