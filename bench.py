@@ -28,12 +28,13 @@ _TABLES: dict = {}
 def ema_table_write(spark, sf):
     """The 1-minute EMA rows written through the insert-if-absent sink into a fresh table, read back."""
     _TABLES[sf] = R._ema_table(spark, sf)
-    return _TABLES[sf]
+    return _TABLES[sf][0]
 
 
 def ema_history_all(spark, sf):
     """History look-back of every symbol over the table that ``ema_table_write`` stored: the read only."""
-    return hist.ema_history(_TABLES[sf])
+    table, times = _TABLES[sf]
+    return hist.ema_history(table, times=times)
 
 
 def stream_bars(spark, sf):

@@ -7,10 +7,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tickscan.plans import registry as R
 from tickscan.sources.tables import TABLES
 
-BATCH_KEYS = [k for k in E.queries() if not k.startswith("stream_")]
-STREAM_KEYS = [k for k in E.queries() if k.startswith("stream_")]
+# The core's own queries; those of the training-data operators are tested in tests/llm.
+BATCH_KEYS = [k for k in R.all_queries() if not k.startswith("stream_")]
+STREAM_KEYS = [k for k in R.all_queries() if k.startswith("stream_")]
 
 
 def norm(df: pd.DataFrame) -> pd.DataFrame:
@@ -39,15 +41,16 @@ def duck():
 
 
 def check(spark, duck, key):
-    got = E.queries()[key](spark, SF_SMALL).toPandas()
-    want = duck.execute(E.oracle_sql()[key]).df()
+    got = R.all_queries()[key](spark, SF_SMALL).toPandas()
+    want = duck.execute(R.all_oracles()[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert digest(got) == digest(want)
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(R.all_queries()) == set(R.all_oracles())
+    assert set(R.all_queries()) <= set(E.queries()) and set(R.all_oracles()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", BATCH_KEYS)

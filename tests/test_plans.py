@@ -47,11 +47,35 @@ def test_ema_shuffles_bars_once_by_block(spark):
 
 def test_history_reads_only_the_days_it_needs(spark):
     from tickscan.operators import history as hist
-    table = R._ema_table(spark, SF_SMALL)
-    for df in (hist.ema_history(table), hist.viewport(table), hist.viewport(table, shift_minutes=-15)):
+    table, times = R._ema_table(spark, SF_SMALL)
+    for df in (hist.ema_history(table), hist.viewport(table), hist.viewport(table, shift_minutes=-15),
+               hist.ema_history(table, times=times), hist.latest(table, times=times)):
         assert re.search(r"PartitionFilters: \[[^\]]*trade_date#", plan(df))
 
 
+def test_history_by_the_side_table(spark):
+    """No job while the plan is built, no scan of the table for the latest times, days pruned while it runs."""
+    from tickscan.operators import history as hist
+    table, times = R._ema_table(spark, SF_SMALL)
+    path = table.inputFiles()[0].split("/trade_date=")[0].split("/")[-1]
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "")
+    frames = [hist.ema_history(table, times=times), hist.ema_history(table, "CLICK.FR", times=times),
+              hist.viewport(table, times=times), hist.latest(table, times=times)]
+    built = list(sc.statusTracker().getJobIdsForGroup("building"))
+    sc.setJobGroup("running", "")
+    assert built == []
+    for df in frames:
+        df.collect()
+        p = plan(df)
+        scans = re.findall(rf"FileScan parquet[^\n]*?Location: InMemoryFileIndex[^\n]*?{path}(?!/_latest)[^\n]*ReadSchema", p)
+        assert all("dynamicpruning" in x or "Subquery" in x or "subquery" in x for x in scans), scans
+        # days of the latest rows only
+        read = {r["trade_date"] for r in df.select("trade_date").distinct().collect()} if "trade_date" in df.columns else set()
+        assert len(read) <= 3
+    assert path not in plan(hist.time_grid(table, times=times)).replace(f"{path}/_latest", "")
+
+
 def test_sources_add_no_shuffle(spark):
     assert "Exchange" not in plan(events_as_ticks(spark, SF_SMALL))
 

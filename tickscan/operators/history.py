@@ -1,10 +1,11 @@
 """History queries over the EMA and advisory tables, and the chart view port.
 
 The reference answers "the last 100 minutes of share X" with two statements (latest row, then a
-range). Here the latest time per symbol is a partial aggregate over two columns (one row per symbol,
-``share`` filtered in the scan); on a table partitioned by ``trade_date`` the distinct days that the
-ranges touch (a list bounded by the days of the table) then become a static partition filter, so the
-rows themselves are read from those days only.
+range). Here the latest time of each symbol comes from the side table that the sink keeps
+(``latest_times``, a few rows for each symbol) if one is given, else from a partial aggregate over two
+columns of the table. Each symbol's range becomes its days, one row for each, and joins the table on
+symbol and ``trade_date``: partitions are pruned while the query runs, by the days themselves where Spark
+broadcasts the ranges and by the first and last of them in any case. Building a plan runs no job.
 """
 
 from __future__ import annotations
@@ -27,44 +28,53 @@ def _for_share(df: DataFrame, share: str | None) -> DataFrame:
     return df.where(F.col("symbol") == F.lit(share))
 
 
-def latest(table: DataFrame, share: str | None = None) -> DataFrame:
-    """Each symbol's latest row (the whole row)."""
+def _times(table: DataFrame, share: str | None, times: DataFrame | None) -> DataFrame:
+    """(symbol, _latest), from the side table ``times`` (symbol, latest) if given."""
+    if times is not None:
+        return _for_share(times, share).select("symbol", F.col("latest").alias("_latest"))
+    return _for_share(table, share).groupBy("symbol").agg(F.max("trade_timestamp").alias("_latest"))
+
+
+def _in_ranges(table: DataFrame, ranges: DataFrame, low: str, high: str) -> DataFrame:
+    """Rows of ``table`` from ``low`` to ``high`` (both inclusive) of their symbol's row in ``ranges``."""
+    keys = ["symbol"]
+    if PARTITION_COLUMN in table.columns:
+        # the comparison also tells Spark that the ranges are worth pruning partitions by
+        ranges = (ranges.where(F.col(low) <= F.col(high))
+                  .withColumn(PARTITION_COLUMN, F.explode(F.sequence(F.to_date(low), F.to_date(high)))))
+        ends = ranges.agg(F.min(PARTITION_COLUMN).alias("a"), F.max(PARTITION_COLUMN).alias("b"))
+        table = table.where(F.col(PARTITION_COLUMN).between(ends.select("a").scalar(), ends.select("b").scalar()))
+        keys.append(PARTITION_COLUMN)
+    return table.join(ranges, keys).where(F.col("trade_timestamp").between(F.col(low), F.col(high)))
+
+
+def latest(table: DataFrame, share: str | None = None, times: DataFrame | None = None) -> DataFrame:
+    """Each symbol's latest row (the whole row); with ``times`` only their days are read."""
+    if times is not None:
+        return _in_ranges(_for_share(table, share), _times(table, share, times), "_latest", "_latest").select(*table.columns)
     t = _for_share(table, share)
     others = [c for c in t.columns if c != "symbol"]
     return (t.groupBy("symbol").agg(F.max_by(F.struct(*others), "trade_timestamp").alias("_r"))
              .select("symbol", *[F.col(f"_r.{c}").alias(c) for c in others]))
 
 
-def _only_days(t: DataFrame, bounds: DataFrame, first: Column, last: Column) -> DataFrame:
-    """``t`` limited to the days from ``first`` to ``last`` of any row of ``bounds``, if it has days."""
-    if PARTITION_COLUMN not in t.columns:
-        return t
-    day = F.explode(F.sequence(F.to_date(first), F.to_date(last))).alias("day")
-    days = [r["day"] for r in bounds.select(day).distinct().collect()]
-    return t.where(F.col(PARTITION_COLUMN).isin(days) if days else F.lit(False))
-
-
-def _last_range(table: DataFrame, share: str | None, lookback_minutes: float) -> DataFrame:
-    t = _for_share(table, share)
-    last = t.groupBy("symbol").agg(F.max("trade_timestamp").alias("_latest"))
-    t = _only_days(t, last, F.col("_latest") - _minutes(lookback_minutes), F.col("_latest"))
-    return (t.join(last, "symbol")
-             .where(F.col("trade_timestamp").between(F.col("_latest") - _minutes(lookback_minutes), F.col("_latest")))
-             .drop("_latest"))
+def _last_range(table: DataFrame, share: str | None, lookback_minutes: float, times: DataFrame | None) -> DataFrame:
+    last = _times(table, share, times).withColumn("_first", F.col("_latest") - _minutes(lookback_minutes))
+    return _in_ranges(_for_share(table, share), last, "_first", "_latest").drop("_first", "_latest")
 
 
 def ema_history(ema_table: DataFrame, share: str | None = None,
-                lookback_minutes: float = HISTORY_LOOKBACK_MINUTES) -> DataFrame:
+                lookback_minutes: float = HISTORY_LOOKBACK_MINUTES, times: DataFrame | None = None) -> DataFrame:
     """EMA rows from (latest - lookback) to latest, both inclusive, per symbol, oldest first."""
-    return (_last_range(ema_table, share, lookback_minutes)
+    return (_last_range(ema_table, share, lookback_minutes, times)
             .select("symbol", "ema38", "ema100", "trade_timestamp")
             .orderBy("symbol", "trade_timestamp"))
 
 
 def advisory_history(advisory_table: DataFrame, share: str | None = None,
-                     lookback_minutes: float = HISTORY_LOOKBACK_MINUTES) -> DataFrame:
+                     lookback_minutes: float = HISTORY_LOOKBACK_MINUTES, times: DataFrame | None = None) -> DataFrame:
     """Advisories in the same look-back; ``advice`` read back as ``message``, with clock label and flag."""
-    return (_last_range(advisory_table, share, lookback_minutes)
+    return (_last_range(advisory_table, share, lookback_minutes, times)
             .select("symbol", F.col("advice").alias("message"), "trade_timestamp",
                     clock_label("trade_timestamp").alias("clock"),
                     advice_flag(F.col("advice")).alias("flag"))
@@ -94,28 +104,24 @@ def as_messages(ema_table: DataFrame) -> DataFrame:
     return ema_table.select("symbol", "ema38", "ema100", to_proto_ts("trade_timestamp").alias("trade_ts"))
 
 
-def viewport(ema_table: DataFrame, shift_minutes: int = 0, share: str | None = None) -> DataFrame:
+def _views(table: DataFrame, shift_minutes: int, share: str | None, times: DataFrame | None) -> DataFrame:
+    """(symbol, view_start, view_end): one hour from 15 minutes before the latest row, moved."""
+    start = F.col("_latest") - _minutes(VIEWPORT_LEAD_MINUTES) + _minutes(shift_minutes)
+    views = _times(table, share, times).select("symbol", start.alias("view_start"))
+    return views.withColumn("view_end", F.col("view_start") + _minutes(VIEWPORT_SPAN_MINUTES))
+
+
+def viewport(ema_table: DataFrame, shift_minutes: int = 0, share: str | None = None, times: DataFrame | None = None) -> DataFrame:
     """Rows in each symbol's chart view: one hour from 15 minutes before its latest row, moved by
     ``shift_minutes``. Adds ``view_start`` and ``view_end``."""
-    t = _for_share(ema_table, share)
-    bounds = (t.groupBy("symbol").agg(F.max("trade_timestamp").alias("_latest"))
-               .select("symbol",
-                       (F.col("_latest") - _minutes(VIEWPORT_LEAD_MINUTES) + _minutes(shift_minutes)).alias("view_start")))
-    bounds = bounds.withColumn("view_end", F.col("view_start") + _minutes(VIEWPORT_SPAN_MINUTES))
-    t = _only_days(t, bounds, F.col("view_start"), F.col("view_end"))
-    return (t.join(bounds, "symbol")
-             .where(F.col("trade_timestamp").between(F.col("view_start"), F.col("view_end"))))
+    return _in_ranges(_for_share(ema_table, share), _views(ema_table, shift_minutes, share, times), "view_start", "view_end")
 
 
-def time_grid(ema_table: DataFrame, shift_minutes: int = 0, share: str | None = None) -> DataFrame:
+def time_grid(ema_table: DataFrame, shift_minutes: int = 0, share: str | None = None, times: DataFrame | None = None) -> DataFrame:
     """Axis ticks every 5 minutes inside each symbol's view port (both ends included)."""
-    t = _for_share(ema_table, share)
-    bounds = (t.groupBy("symbol").agg(F.max("trade_timestamp").alias("_latest"))
-               .select("symbol",
-                       (F.col("_latest") - _minutes(VIEWPORT_LEAD_MINUTES) + _minutes(shift_minutes)).alias("view_start")))
-    bounds = bounds.withColumn("view_end", F.col("view_start") + _minutes(VIEWPORT_SPAN_MINUTES))
     step = F.make_dt_interval(mins=F.lit(VIEWPORT_GRID_MINUTES))
-    return bounds.select("symbol", F.explode(F.sequence("view_start", "view_end", step)).alias("grid_time"))
+    return _views(ema_table, shift_minutes, share, times).select(
+        "symbol", F.explode(F.sequence("view_start", "view_end", step)).alias("grid_time"))
 
 
 def history_plus_live(history_rows: DataFrame, live_rows: DataFrame,

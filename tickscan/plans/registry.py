@@ -66,12 +66,13 @@ def _ema_rows(spark, sf):
     return t.emas.select("symbol", _r6("ema38"), _r6("ema100"), "trade_timestamp")
 
 
-def _stored(spark, rows: DataFrame, writer) -> DataFrame:
-    """Rows written through a history-table sink into a fresh table, read back (what history
-    queries and subscribers read in production)."""
+def _stored(spark, rows: DataFrame, writer) -> tuple[DataFrame, DataFrame]:
+    """Rows written through a history-table sink into a fresh table: the table (what history queries
+    and subscribers read in production) and the sink's side table of latest times."""
+    from ..sinks.tables import latest_times
     path = scratch_path(spark, "history-table")
     writer(rows, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), latest_times(spark, path)
 
 
 def _ema_table(spark, sf):
@@ -220,11 +221,11 @@ def q_ema_display(spark, sf):
 
 
 def q_subscribe_share(spark, sf):
-    return hist._for_share(_ema_table(spark, sf), SHARE).drop("trade_date")
+    return hist._for_share(_ema_table(spark, sf)[0], SHARE).drop("trade_date")
 
 
 def q_subscribe_all(spark, sf):
-    return hist._for_share(_ema_table(spark, sf), "ALL").drop("trade_date")
+    return hist._for_share(_ema_table(spark, sf)[0], "ALL").drop("trade_date")
 
 
 def q_route_kind(spark, sf):
@@ -239,28 +240,34 @@ def q_route_kind(spark, sf):
 
 
 def q_ema_latest(spark, sf):
-    return hist.latest(_ema_table(spark, sf)).drop("trade_date")
+    table, times = _ema_table(spark, sf)
+    return hist.latest(table, times=times).drop("trade_date")
 
 
 def q_ema_history(spark, sf):
-    return hist.ema_history(_ema_table(spark, sf))
+    table, times = _ema_table(spark, sf)
+    return hist.ema_history(table, times=times)
 
 
 def q_advisory_history(spark, sf):
-    return hist.advisory_history(_advisory_table(spark, sf))
+    table, times = _advisory_table(spark, sf)
+    return hist.advisory_history(table, times=times)
 
 
 def q_ema_viewport(spark, sf):
-    return hist.viewport(_ema_table(spark, sf)).drop("trade_date")
+    table, times = _ema_table(spark, sf)
+    return hist.viewport(table, times=times).drop("trade_date")
 
 
 def q_ema_viewport_shifted(spark, sf):
     """The view port moved one step (15 minutes) back, as the chart's navigation does."""
-    return hist.viewport(_ema_table(spark, sf), shift_minutes=-15).drop("trade_date")
+    table, times = _ema_table(spark, sf)
+    return hist.viewport(table, shift_minutes=-15, times=times).drop("trade_date")
 
 
 def q_time_grid(spark, sf):
-    return hist.time_grid(_ema_table(spark, sf))
+    table, times = _ema_table(spark, sf)
+    return hist.time_grid(table, times=times)
 
 
 def _bumped(rows: DataFrame) -> DataFrame:
@@ -333,6 +340,29 @@ def q_day_files_roundtrip(spark, sf):
             .select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp")))
 
 
+QUOTED_SPLIT_BYTES = 2048
+
+
+def q_day_files_quoted(spark, sf):
+    """Day files whose ignored column holds line ends, commas and quotes, read in splits of 2 KB, most of
+    which start inside a record."""
+    from ..sinks.files import to_raw_rows, write_day_files
+    from ..sources.dayfile import read_day_files
+    path = scratch_path(spark, "dayfiles")
+    time = F.col("Trading time")
+    note = (F.when(F.crc32(time.cast("binary")) % 3 == 0, F.concat(F.lit('two\nlines, "of" '), time, F.lit("\r\n")))
+            .when(F.crc32(time.cast("binary")) % 3 == 1, F.concat(F.lit('5" x'), time)).otherwise(F.lit("x")))
+    write_day_files(to_raw_rows(_ticks(spark, sf)), path, DAY_FILE_PREAMBLE, DAY_FILE_DESCRIPTION, DAY_FILE_ORDERS, note)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(QUOTED_SPLIT_BYTES))
+    try:  # the body is scanned here
+        back = read_day_files(spark, path, path_glob="*.txt")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    return (valid_ticks(back.ticks)
+            .select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp")))
+
+
 def _li(spark, sf):
     from ..sources.tables import lineitem_as_ticks
     return lineitem_as_ticks(spark, sf)
@@ -441,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "advisory_upsert_ignore": q_advisory_upsert_ignore,
     "split_roundtrip": q_split_roundtrip,
     "day_files_roundtrip": q_day_files_roundtrip,
+    "day_files_quoted": q_day_files_quoted,
     "li_bars_1d": q_li_bars_1d,
     "li_ema_1d": q_li_ema_1d,
     "li_crossovers_7d": q_li_crossovers_7d,
@@ -588,6 +619,7 @@ SELECT symbol, arg_max(ema38, trade_timestamp) AS ema38, arg_max(ema100, trade_t
 SELECT symbol, unnest(generate_series(view_start, view_end, INTERVAL 5 MINUTE)) AS grid_time FROM vb""",
     "history_plus_live": _M1 + f"SELECT {_KEPT_EMA} FROM ({_EMA_TABLE})",
     "split_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
+    "day_files_quoted": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "day_files_roundtrip": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "li_bars_1d": "WITH " + O.LI_BASE + ",\n" + O.bars_cte("1 day") + "\nSELECT * FROM bars",
     "li_ema_1d": O.trend_with("1 day", base=O.LI_BASE) + _ema_select(),

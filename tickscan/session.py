@@ -109,4 +109,21 @@ def write_and_read(df, name: str, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._written_at = path
+    return out
+
+
+def drop_written(*tables) -> None:
+    """Delete tables that ``write_and_read`` wrote and that nothing reads any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def folder_exists(path: str) -> bool:
+    """Whether ``path`` is there, in any store Spark knows."""
+    sc = SparkSession.getActiveSession().sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)

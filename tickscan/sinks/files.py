@@ -8,7 +8,7 @@ hashing rows into that many buckets per symbol.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ticks import region_of
@@ -54,11 +54,12 @@ RAW_EXTRA_COLUMN = "Extra"
 
 
 def write_day_files(raw: DataFrame, path: str, preamble: list[str], description: dict[str, str] | None = None,
-                    orders: dict[str, list[str]] | None = None) -> None:
+                    orders: dict[str, list[str]] | None = None, extra: Column | None = None) -> None:
     """Write raw rows (``to_raw_rows`` layout) as exchange day files: one file per region and trade
     day, each with the preamble lines, a header, a description line, then the rows in trade order.
 
-    ``orders`` maps a region to its column order (default: the layout order). Lines are built as
+    ``orders`` maps a region to its column order (default: the layout order); ``extra`` fills the
+    column that readers ignore. Lines are built as
     text and written with one task per file, the file being the unit of the format (a day of one
     region); rows are ordered inside the file by ``sortWithinPartitions``.
     """
@@ -66,12 +67,12 @@ def write_day_files(raw: DataFrame, path: str, preamble: list[str], description:
 
     def csv_cell(c):
         s = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-        return F.when(s.contains(",") | s.contains('"'),
+        return F.when(s.rlike('[,"\r\n]'),
                       F.concat(F.lit('"'), F.regexp_replace(s, '"', '""'), F.lit('"'))).otherwise(s)
 
     base = RAW_REQUIRED_COLUMNS + [RAW_EXTRA_COLUMN]
     desc = description or {}
-    rows = (raw.withColumn(RAW_EXTRA_COLUMN, F.lit("x"))
+    rows = (raw.withColumn(RAW_EXTRA_COLUMN, F.lit("x") if extra is None else extra)
                .withColumn("region", region_of("ID"))
                .withColumn("day", F.regexp_replace(F.col("`Trading date`"), "-", "")))
     orders = orders or {}

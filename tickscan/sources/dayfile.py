@@ -8,20 +8,15 @@ Two layouts are read:
 
 Only five columns are needed, found **by name** (``ID, SecType, Last, Trading date,
 Trading time``); others are ignored. A file lacking one of them is rejected (listed, not read)
-and the others go on. Files are read once per distinct header and combined by column name, so
-files with other column orders bind correctly.
-
-The leading lines are removed exactly, without a driver pass over the data: lines are read as
-text with their file and split offset; ``monotonically_increasing_id`` numbers rows inside a
-split, and subtracting the split's first id gives the line number within the first split of each
-file (the only split that can hold the leading lines). Rows are then parsed with ``from_csv``.
-Only the header lines (one per file) reach the driver.
+and the others go on.
+
+Files are cut into records by ``sources/records.py`` (quoted cells may hold line ends), in one scan
+of their bytes. The header of each file becomes one row, (file, place of each needed column), that
+the records of the file join; nothing of a file reaches the driver but the names of empty ones.
 """
 
 from __future__ import annotations
 
-import csv
-import io
 from dataclasses import dataclass
 from fnmatch import fnmatch
 
@@ -30,8 +25,9 @@ from pyspark.sql import functions as F
 
 from ..functions.ticks import parse_trade_ts
 from ..schemas import RAW_PREAMBLE_LINES, RAW_REQUIRED_COLUMNS
+from .records import Records, cells, read_records
 
-DAY_FILE = (RAW_PREAMBLE_LINES, RAW_PREAMBLE_LINES + 2)   # header line index, first data line index
+DAY_FILE = (RAW_PREAMBLE_LINES, RAW_PREAMBLE_LINES + 2)   # number of the header record, of the first data record
 SYMBOL_FILE = (0, 1)
 
 
@@ -39,23 +35,12 @@ SYMBOL_FILE = (0, 1)
 class TickFiles:
     ticks: DataFrame          # id, sec_type, last, trade_timestamp, wallclock_timestamp, delay, seq, file
     rejected: DataFrame       # file, missing (array of missing column names)
+    unclosed: DataFrame       # file, record, lines: a quote that is never closed (see sources/records.py)
+    source: Records
 
-
-def numbered_lines(spark: SparkSession, paths, path_glob: str = "*.csv", recursive: bool = True) -> DataFrame:
-    """Text lines with ``file``, ``block`` (split offset), ``seq`` (grows with the line's place in its
-    file) and ``line_no`` (exact within a file's first split, NULL elsewhere)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    t = (spark.read.option("pathGlobFilter", path_glob).option("recursiveFileLookup", str(recursive).lower())
-         .text(paths)
-         .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                 "value", F.monotonically_increasing_id().alias("seq")))
-    first = t.groupBy("file", "block").agg(F.min("seq").alias("_s0"))
-    return (t.join(first, ["file", "block"])
-             .withColumn("seq", F.col("seq") - F.col("_s0"))
-             .withColumn("line_no", F.when(F.col("block") == 0, F.col("seq")))
-             # a block starts at least as many bytes into the file as there are lines before it
-             .withColumn("seq", F.col("block") + F.col("seq"))
-             .drop("_s0"))
+    def release(self) -> None:
+        """Delete what was written for the frames above when they are no longer needed."""
+        self.source.release()
 
 
 def file_names(spark: SparkSession, paths, path_glob: str = "*.csv", recursive: bool = True) -> DataFrame:
@@ -78,51 +63,34 @@ def empty_files(spark: SparkSession, paths, path_glob: str = "*.csv") -> list[st
     return found
 
 
-def _split_header(line: str) -> list[str]:
-    row = next(csv.reader(io.StringIO(line), delimiter=",", quotechar='"'), [])
-    return [c.strip() for c in row]
+def ticks_of(records: DataFrame, heads: DataFrame) -> DataFrame:
+    """Ticks of data records (file, record, value); ``heads`` has (h_file, places) of each file."""
+    r = records.join(heads, F.col("file") == F.col("h_file")).withColumn("c", cells(F.col("value")))
+    c = {name: F.try_element_at("c", F.col("places")[i].cast("int")) for i, name in enumerate(RAW_REQUIRED_COLUMNS)}
+    text = {name: F.when(v != "", v) for name, v in c.items()}  # an empty cell is no value
+    return r.select(
+        F.trim(text["ID"]).alias("id"), text["SecType"].alias("sec_type"), F.trim(text["Last"]).alias("last"),
+        parse_trade_ts(text["Trading date"], text["Trading time"]).alias("trade_timestamp"),
+        F.lit(None).cast("timestamp").alias("wallclock_timestamp"), F.lit(None).cast("long").alias("delay"),
+        F.col("record").alias("seq"), "file")
 
 
 def read_tick_files(spark: SparkSession, paths, layout=DAY_FILE, path_glob: str = "*.csv") -> TickFiles:
-    """Ticks from raw files; see the module doc. ``layout`` is (header line, first data line)."""
+    """Ticks from raw files; see the module doc. ``layout`` is (header record, first data record)."""
     header_at, data_from = layout
-    lines = numbered_lines(spark, paths, path_glob)
-    # one header line per file reaches the driver; a file too short to have one has a NULL
-    head = lines.where((F.col("block") == 0) & (F.col("line_no") == header_at)).select("file", "value")
-    heads = [(r["file"], r["value"]) for r in file_names(spark, paths, path_glob).join(head, "file", "left").collect()]
-    groups: dict[tuple, list[str]] = {}
-    rejected = [(f, list(RAW_REQUIRED_COLUMNS)) for f in empty_files(spark, paths, path_glob)]
-    for file, text in heads:
-        cols = _split_header(text or "")
-        missing = [c for c in RAW_REQUIRED_COLUMNS if c not in cols]
-        if missing:
-            rejected.append((file, missing))
-        else:
-            groups.setdefault(tuple(cols), []).append(file)
-    body = lines.where((F.col("block") > 0) | (F.col("line_no") >= data_from))
-    parts = []
-    for cols, files in groups.items():
-        # positional names for from_csv, then pick the five needed columns by their header name
-        ddl = ", ".join(f"`c{i}` string" for i in range(len(cols)))
-        pos = {name: i for i, name in reversed(list(enumerate(cols)))}  # first occurrence wins
-        parsed = (body.where(F.col("file").isin(files))
-                      .select("file", "seq", F.from_csv("value", ddl, {"quote": '"', "mode": "PERMISSIVE"}).alias("r")))
-        c = {name: F.col(f"r.c{pos[name]}") for name in RAW_REQUIRED_COLUMNS}
-        parts.append(parsed.select(
-            F.trim(c["ID"]).alias("id"), c["SecType"].alias("sec_type"), F.trim(c["Last"]).alias("last"),
-            parse_trade_ts(c["Trading date"], c["Trading time"]).alias("trade_timestamp"),
-            F.lit(None).cast("timestamp").alias("wallclock_timestamp"),
-            F.lit(None).cast("long").alias("delay"),
-            "seq", "file"))
-    if parts:
-        ticks = parts[0]
-        for p in parts[1:]:
-            ticks = ticks.unionByName(p)
-    else:
-        ticks = spark.createDataFrame([], "id string, sec_type string, last string, trade_timestamp timestamp, "
-                                          "wallclock_timestamp timestamp, delay bigint, seq bigint, file string")
-    rej = spark.createDataFrame(rejected, "file string, missing array<string>")
-    return TickFiles(ticks, rej)
+    source = read_records(spark, paths, path_glob)
+    head = source.records.where(F.col("record") == header_at).select(F.col("file").alias("h_file"), cells(F.col("value")).alias("names"))
+    names = F.transform(F.coalesce("names", F.array().cast("array<string>")), lambda n: F.trim(n))
+    all_files = file_names(spark, paths, path_glob)
+    empty = spark.createDataFrame([(f,) for f in empty_files(spark, paths, path_glob)], "file string")
+    heads = (all_files.union(empty).distinct().join(head, F.col("file") == F.col("h_file"), "left")
+             .select("file", names.alias("names")))
+    missing = F.array_except(F.array(*[F.lit(c) for c in RAW_REQUIRED_COLUMNS]), F.col("names"))
+    heads = heads.select("file", missing.alias("missing"),
+                         F.array(*[F.array_position("names", F.lit(c)) for c in RAW_REQUIRED_COLUMNS]).alias("places"))
+    data = source.records.where((F.col("record") >= data_from) & (F.col("value") != ""))
+    good = heads.where("size(missing) = 0").select(F.col("file").alias("h_file"), "places")
+    return TickFiles(ticks_of(data, good), heads.where("size(missing) > 0").select("file", "missing"), source.unclosed, source)
 
 
 def read_day_files(spark: SparkSession, paths, path_glob: str = "*.csv") -> TickFiles:

@@ -11,14 +11,13 @@ The oracle side is the batch semantics restricted to the windows the final water
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ticks import instant, region_of, wall_time
 from ..operators.bars import duration_us
 from ..plans import oracle as O
+from ..session import folder_exists
 from ..sources.tables import events_as_ticks
 from .replay import Replay
 
@@ -40,7 +39,7 @@ def arrival_batches(ticks: DataFrame, period: str = ARRIVAL_PERIOD, lags=None) -
 
 def _memo(key, make):
     hit = _RUNS.get(key)
-    if hit is not None and os.path.exists(hit[0].replace("file:", "")):
+    if hit is not None and folder_exists(hit[0]):
         return hit[1]
     val = make()
     _RUNS[key] = val
@@ -100,7 +99,20 @@ def q_stream_restart(spark, sf):
     return _ema_out(_trend_run(spark, sf, stop_after=3).ema_table())
 
 
+def q_stream_upsert_again(spark, sf):
+    """The job run twice over the feed into the same tables, the second time without its checkpoint and
+    with doubled prices: the first writer of each key stays."""
+    def make():
+        first = Replay(spark, "first-replay")
+        first.run(_feed(spark, sf, False), "1 hour")
+        again = Replay(spark, "second-replay", tables=first)
+        again.run(_feed(spark, sf, False).withColumn("last", (F.col("last").cast("double") * 2).cast("string")), "1 hour")
+        return (first.root, first)
+    return _ema_out(_memo(("again", sf), make).ema_table())
+
+
 STREAM_QUERIES = {
+    "stream_upsert_again": q_stream_upsert_again,
     "stream_bars": q_stream_bars,
     "stream_late_drop": q_stream_late_drop,
     "stream_ema": q_stream_ema,
@@ -128,6 +140,7 @@ def _late_bars_sql() -> str:
 
 
 STREAM_ORACLE = {
+    "stream_upsert_again": _EMA_CLOSED,
     "stream_bars": O.with_base(O.bars_cte("1 hour")) + f"SELECT * EXCLUDE (ticks), ticks FROM bars WHERE {_CLOSED}",
     "stream_late_drop": _late_bars_sql(),
     "stream_ema": _EMA_CLOSED,

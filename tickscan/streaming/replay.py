@@ -52,15 +52,17 @@ class _partitions:
 class Replay:
     """Feed a tick DataFrame with a ``batch`` column to a streaming job, one arrival batch at a time.
 
-    State partitions = the cluster's default parallelism (``state_partitions`` to override)."""
+    State partitions = the cluster's default parallelism (``state_partitions`` to override). With
+    ``tables``, the rows go to the tables of that other replay, whose checkpoint is not used."""
 
-    def __init__(self, spark: SparkSession, name: str = "replay", state_partitions: int | None = None):
+    def __init__(self, spark: SparkSession, name: str = "replay", state_partitions: int | None = None,
+                 tables: Replay | None = None):
         self.spark = spark
         self.state_partitions = state_partitions or spark.sparkContext.defaultParallelism
         self.root = scratch_path(spark, name)
         self.source = self.root + "/source"
-        self.ema_path = self.root + "/ema_results"
-        self.advisory_path = self.root + "/buy_advisories"
+        self.ema_path = tables.ema_path if tables else self.root + "/ema_results"
+        self.advisory_path = tables.advisory_path if tables else self.root + "/buy_advisories"
         self.checkpoint = self.root + "/checkpoint"
         # the source folder must exist before the stream starts
         spark.createDataFrame([], STREAM_TICK_SCHEMA).write.mode("append").parquet(self.source)
