@@ -6,9 +6,9 @@ full pieces and a last shorter one. Whole pieces are packed:
 1. Pieces go by a hash to groups of about ``GROUP`` pieces; a full piece is a sequence of its own.
 2. Each group starts from best fit, longest first, and is bettered by swap-based local search: the
    emptiest bin gives to another underfull bin by moving a piece there, by exchanging one piece for
-   a smaller one, or two for a smaller one. Each step raises the sum of squared fills; a bin that
+   a smaller one, two for a smaller one, or one for two smaller ones. Each step raises the sum of squared fills; a bin that
    has given all is gone. The search ends at the lower bound of total length / capacity, or
-   when ``TRIES`` bins in a row have no step left.
+   when ``TRIES`` bins in a row have no step left, or after ``STEPS`` steps.
 3. The underfull bins of all groups are dealt anew by a hash of the bin, into fewer groups, and
    bettered alike, until one group held them all or a round empties no bin.
 
@@ -48,6 +48,8 @@ TOKENIZER = "word_bpe_49k.json"
 GROUP = 20_000
 #: Donor bins without a step after which a group's search ends.
 TRIES = 32
+#: Steps of a group's search at most.
+STEPS = 5_000
 #: Words whose ids a task remembers.
 KNOWN_WORDS = 200_000
 
@@ -174,8 +176,8 @@ class Search:
         return np.where(ok, 2 * d * (f - self.fill[donor] + d), 0)
 
     def _step(self, donor: int) -> bool:
-        """The best move, or else exchange of one, or else exchange of two for one; False if none
-        raises the squared fills."""
+        """The best move, or else exchange of one, or else of two for one, or else of one for two; False
+        if none raises the squared fills."""
         mine = sorted(self.held[donor])
         by_size = {int(self.size[i]): (i,) for i in mine}
         under = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
@@ -198,33 +200,59 @@ class Search:
                     gain = self._gain(x - size, at, donor)
                     k = int(np.argmax(gain))
                     if gain[k] > best:
-                        best, do = gain[k], (got, int(items[k]), int(at[k]))
+                        best, do = gain[k], (got, (int(items[k]),), int(at[k]))
                 if do:
                     break
+            if do is None and by_size:  # one for two smaller ones of another bin
+                first, second = self._pairs(under, max(by_size))
+                if len(first):
+                    size, at = self.size[first] + self.size[second], self.bin[first]
+                    for x, got in by_size.items():
+                        gain = self._gain(x - size, at, donor)
+                        k = int(np.argmax(gain))
+                        if gain[k] > best:
+                            best, do = gain[k], (got, (int(first[k]), int(second[k])), int(at[k]))
         if do is None:
             return False
         gives, takes, b = do
-        if takes is not None:
-            self._place(takes, donor)
+        for i in takes or ():
+            self._place(i, donor)
         for i in gives:
             self._place(i, b)
         return True
 
-    def run(self, tries: int = TRIES) -> np.ndarray:
+    def _pairs(self, bins: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two pieces of one bin that are smaller together than ``below``, one for each sum in a bin."""
+        out: list[tuple[int, int]] = []
+        for b in bins.tolist():
+            mine = sorted((i for i in self.held[b] if self.size[i] < below), key=lambda i: (self.size[i], i))
+            sums = {}
+            for k, i in enumerate(mine):
+                for j in mine[k + 1:]:
+                    both = int(self.size[i] + self.size[j])
+                    if both >= below:
+                        break
+                    sums.setdefault(both, (i, j))
+            out += sums.values()
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+
+    def run(self, tries: int = TRIES, steps: int = STEPS) -> np.ndarray:
         """The bins of the pieces at the end."""
         least = -(-int(self.size.sum()) // self.capacity)
         stuck: set[int] = set()
-        while np.count_nonzero(self.fill) > least and len(stuck) < tries:
+        while np.count_nonzero(self.fill) > least and len(stuck) < tries and steps:
             open_bins = [b for b in np.flatnonzero((self.fill > 0) & (self.fill < self.capacity)).tolist() if b not in stuck]
             if len(open_bins) + len(stuck) < 2 or not open_bins:
                 break
             donor = min(open_bins, key=lambda b: (self.fill[b], b))
-            while self.fill[donor] and self._step(donor):
-                pass
+            before = steps
+            while self.fill[donor] and steps and self._step(donor):
+                steps -= 1
+            if steps < before:
+                stuck.clear()  # others may have a step again
             if self.fill[donor]:
                 stuck.add(donor)
-            else:
-                stuck.clear()
         return self.bin
 
 

@@ -37,13 +37,19 @@ class ParquetTicks:
 
 @dataclass
 class DayFileTicks:
-    """Raw exchange day files or per-symbol files (batch)."""
+    """Raw exchange day files or per-symbol files; as a stream (one folder) with the checkpoint of the
+    query that reads it."""
     paths: list[str]
     per_symbol: bool = False
+    checkpoint: str | None = None
     rejected: DataFrame | None = field(default=None, init=False)
 
     def load(self, spark: SparkSession) -> DataFrame:
-        from .dayfile import read_day_files, read_symbol_files
+        from .dayfile import DAY_FILE, SYMBOL_FILE, read_day_files, read_symbol_files
+        if self.checkpoint:
+            from .daystream import stream_day_files
+            [path] = self.paths
+            return stream_day_files(spark, path, self.checkpoint, layout=SYMBOL_FILE if self.per_symbol else DAY_FILE).drop("file")
         out = (read_symbol_files if self.per_symbol else read_day_files)(spark, self.paths)
         self.rejected = out.rejected
         return out.ticks.drop("file")

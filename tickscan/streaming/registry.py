@@ -11,6 +11,8 @@ The oracle side is the batch semantics restricted to the windows the final water
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,7 +113,46 @@ def q_stream_upsert_again(spark, sf):
     return _ema_out(_memo(("again", sf), make).ema_table())
 
 
+DAY_FILE_BYTES = 4  # a trigger admits this part of all day files
+
+
+def q_stream_day_files(spark, sf):
+    """Raw day files of the feed read as a stream a quarter at a time, stopped inside a file and started
+    again from its checkpoint; the valid ticks."""
+    from ..operators.clean import valid_ticks
+    from ..plans.registry import DAY_FILE_DESCRIPTION, DAY_FILE_PREAMBLE
+    from ..session import scratch_path
+    from ..sinks.files import to_raw_rows, write_day_files
+    from ..sources.daystream import stream_day_files
+
+    def make():
+        root = scratch_path(spark, "day-stream")
+        write_day_files(to_raw_rows(events_as_ticks(spark, sf)), f"{root}/in", DAY_FILE_PREAMBLE, DAY_FILE_DESCRIPTION)
+        size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/in").agg(F.sum("length")).first()[0]
+
+        def start():
+            ticks = stream_day_files(spark, f"{root}/in", f"{root}/check", "*.txt", max_bytes=size // DAY_FILE_BYTES, range_bytes=size // 32)
+            return (ticks.writeStream.format("parquet").option("path", f"{root}/ticks").option("checkpointLocation", f"{root}/check")
+                    .trigger(processingTime="100 milliseconds").start())
+
+        q = start()
+        try:
+            while not q.lastProgress or q.lastProgress["numInputRows"] == 0:
+                if q.exception():
+                    raise q.exception()
+                time.sleep(0.1)
+            q.stop()
+            q = start()
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        return (root, f"{root}/ticks")
+    out = valid_ticks(spark.read.parquet(_memo(("day-files", sf), make)))
+    return out.select("id", "region", "last", "price", wall_time("trade_timestamp").alias("trade_timestamp"))
+
+
 STREAM_QUERIES = {
+    "stream_day_files": q_stream_day_files,
     "stream_upsert_again": q_stream_upsert_again,
     "stream_bars": q_stream_bars,
     "stream_late_drop": q_stream_late_drop,
@@ -140,6 +181,7 @@ def _late_bars_sql() -> str:
 
 
 STREAM_ORACLE = {
+    "stream_day_files": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "stream_upsert_again": _EMA_CLOSED,
     "stream_bars": O.with_base(O.bars_cte("1 hour")) + f"SELECT * EXCLUDE (ticks), ticks FROM bars WHERE {_CLOSED}",
     "stream_late_drop": _late_bars_sql(),
