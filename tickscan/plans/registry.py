@@ -12,15 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ticks import (delay_ms, display_value, epoch_ms, from_proto_ts,
+from ..functions.ticks import (delay_ms, display_value, epoch_ms, from_proto_ts, instant,
                                parse_trade_ts, region_of, topic_name, to_proto_ts, wall_time)
 from ..operators import catalog as cat
 from ..operators import history as hist
 from ..operators.bars import bars
 from ..operators.ema import crossovers
 from ..operators.clean import ingest_quality, region_job, start_align, valid_ticks
-from ..operators.latency import latency_stats, route_kind
+from ..operators.latency import (PERCENTILES, RANK_ERROR, latency_sketches, latency_stats, merge_sketches, message_latency,
+                                 route_kind, sketch_percentiles)
 from ..operators.latest import last_price, price_direction
+from ..schemas import LATENESS_BOUND
 from ..session import scratch_path, write_and_read
 from ..sources.tables import events_as_ticks, read_table
 from . import oracle as O
@@ -187,6 +189,78 @@ def q_latency_stats(spark, sf):
                     "avg_delay")
 
 
+def _captured(spark, sf) -> DataFrame:
+    """Messages of all three kinds with the time at which a reader gets them: a tick when it arrives, an
+    EMA or advisory when its 1-hour window can close (its end and the lateness bound)."""
+    t = _trend(spark, sf, "1 hour")
+    closed = (F.col("window_end") + F.expr(f"INTERVAL {LATENESS_BOUND}")).alias("benchmark_timestamp")
+    rows = write_and_read(t.emas.select("symbol", "window_end", "trade_timestamp", "prev_ema38", "prev_ema100", "ema38", "ema100"), "ema-rows")
+    adv = crossovers(rows)
+    return (_valid(spark, sf).select(topic_name(F.col("region"), "ticks").alias("topic"), "trade_timestamp",
+                                     F.col("wallclock_timestamp").alias("benchmark_timestamp"))
+            .unionByName(rows.select(topic_name(region_of("symbol"), "ema").alias("topic"), "trade_timestamp", closed))
+            .unionByName(adv.select(topic_name(region_of("symbol"), "advisories").alias("topic"), "trade_timestamp", closed)))
+
+
+def q_latency_by_kind(spark, sf):
+    """Latency of ticks, EMA rows and advisories by region and kind, exact."""
+    s = latency_stats(message_latency(_captured(spark, sf)), ["region", "kind"])
+    return s.select("region", "kind", *[_long(c) for c in ("n", "min_delay", "max_delay", "p50_delay", "p95_delay", "p99_delay")],
+                    "avg_delay")
+
+
+def q_latency_sketch(spark, sf):
+    """Percentiles from stored daily sketches merged over all days: whether each is within the stated
+    error of its rank among the messages."""
+    m = write_and_read(message_latency(_captured(spark, sf)).select("region", "kind", "day", "delay"), "latency")
+    stored = write_and_read(latency_sketches(m), "latency-sketches")
+    got = sketch_percentiles(merge_sketches(stored)).withColumnsRenamed({"region": "r", "kind": "k"})
+    at = m.join(got, (F.col("region") == F.col("r")) & (F.col("kind") == F.col("k")))
+    within = []
+    for q in PERCENTILES:
+        p = F.col(f"p{int(round(q * 100))}_delay")
+        low, high = F.count(F.when(F.col("delay") < p, 1)) / F.first("n"), F.count(F.when(F.col("delay") <= p, 1)) / F.first("n")
+        within.append(((low - RANK_ERROR <= q) & (high + RANK_ERROR >= q)).alias(f"p{int(round(q * 100))}_within"))
+    return at.groupBy("region", "kind").agg(F.first("n").alias("n"), F.max("delay").alias("max_delay"), *within)
+
+
+DAMAGED = 7  # records whose trade time in milliseconds ends in this digit are cut short by a byte
+
+
+def q_topic_roundtrip(spark, sf):
+    """Messages of all three kinds as binary topic records, some damaged, read back: their fields, and
+    the damaged ones as dead letters."""
+    from ..functions.wire import to_wire
+    from ..sources.kafka import MESSAGE_BY_KIND, decode_kinds, split_decoded
+    emas = _trend(spark, sf, "1 hour").emas
+    rows = write_and_read(emas.select("symbol", "trade_timestamp", *[f"{p}ema{s}" for p in ("", "prev_") for s in (38, 100)],
+                                      "window_start"), "ema-rows")
+    at, arrive = instant("trade_timestamp").alias("trade_timestamp"), instant("wallclock_timestamp").alias("wallclock_timestamp")
+    frames = {"ticks": _valid(spark, sf).select("id", "sec_type", "last", at, arrive, "delay"),
+              "ema": rows.select("symbol", _r6("ema38"), _r6("ema100"), at),
+              "advisories": crossovers(rows).select("symbol", at, "message")}
+    records = None
+    for kind, f in frames.items():
+        value = to_wire(F.struct(*f.columns), MESSAGE_BY_KIND[kind])
+        r = f.select(F.col(f.columns[0]).cast("binary").alias("key"), value.alias("value"), F.lit(kind).alias("kind"),
+                     topic_name(region_of(f.columns[0]), kind).alias("topic"), (epoch_ms("trade_timestamp") % 10 == DAMAGED).alias("cut"))
+        records = r if records is None else records.unionByName(r)
+    short = F.expr("substring(value, 1, length(value) - 1)")
+    records = records.withColumn("value", F.when(F.col("cut"), short).otherwise(F.col("value")))
+    texts = {"ticks": ["id", "sec_type", "last"], "ema": ["symbol"], "advisories": ["symbol", "message"]}
+    numbers = {"ticks": ["delay"], "ema": ["ema38", "ema100"], "advisories": []}
+    out = None
+    for kind, decoded in decode_kinds(records).items():
+        good, dead = split_decoded(decoded)
+        m, key = F.col("msg"), F.col("key").cast("string").alias("key")
+        x = [m[c].cast("double") for c in numbers[kind]] + [F.lit(None).cast("double")] * 2
+        read = good.select("topic", key, F.concat_ws("|", *[m[c] for c in texts[kind]]).alias("texts"), x[0].alias("x"), x[1].alias("y"),
+                           wall_time(m["trade_timestamp"]).alias("trade_timestamp"), F.lit(True).alias("ok"))
+        lost = dead.select("topic", key, *[F.lit(None).cast(t).alias(c) for c, t in read.dtypes[2:-1]], F.lit(False).alias("ok"))
+        out = read.unionByName(lost) if out is None else out.unionByName(read).unionByName(lost)
+    return out
+
+
 def q_ema(spark, sf):
     return _ema_out(_trend(spark, sf, "1 hour").emas)
 
@@ -450,6 +524,9 @@ QUERIES: dict[str, Query] = {
     "bars_offset": q_bars_offset,
     "ingest_quality": q_ingest_quality,
     "latency_stats": q_latency_stats,
+    "latency_by_kind": q_latency_by_kind,
+    "latency_sketch": q_latency_sketch,
+    "topic_roundtrip": q_topic_roundtrip,
     "ema": q_ema,
     "ema_scan": q_ema_scan,
     "ema_spans": q_ema_spans,
@@ -509,6 +586,34 @@ SELECT region, CAST(any_value(n) AS BIGINT) AS n, CAST(min(delay) AS BIGINT) AS
 FROM hc GROUP BY region"""
 
 
+_CAPTURED = """, messages AS (
+  SELECT region, 'ticks' AS kind, trade_timestamp, wallclock_timestamp AS arrival FROM vticks
+  UNION ALL SELECT split_part(symbol, '.', 2), 'ema', trade_timestamp, window_end + INTERVAL 10 SECOND FROM emas
+  UNION ALL SELECT split_part(symbol, '.', 2), 'advisories', trade_timestamp, window_end + INTERVAL 10 SECOND FROM advs),
+lat AS (SELECT region, kind, epoch_us(arrival) // 1000 - epoch_us(trade_timestamp) // 1000 AS delay FROM messages)"""
+
+
+def _latency_kind_sql():
+    return _H1 + _CAPTURED + """, h AS (SELECT region, kind, delay, count(*) AS c FROM lat GROUP BY 1, 2, 3),
+hc AS (SELECT region, kind, delay, c, sum(c) OVER (PARTITION BY region, kind ORDER BY delay ROWS UNBOUNDED PRECEDING) AS cum,
+              sum(c) OVER (PARTITION BY region, kind) AS n FROM h)
+SELECT region, kind, CAST(any_value(n) AS BIGINT) AS n, CAST(min(delay) AS BIGINT) AS min_delay, CAST(max(delay) AS BIGINT) AS max_delay,
+       CAST(min(delay) FILTER (WHERE cum >= ceil(0.5 * n)) AS BIGINT) AS p50_delay,
+       CAST(min(delay) FILTER (WHERE cum >= ceil(0.95 * n)) AS BIGINT) AS p95_delay,
+       CAST(min(delay) FILTER (WHERE cum >= ceil(0.99 * n)) AS BIGINT) AS p99_delay,
+       round(sum(delay * c) / any_value(n), 6) AS avg_delay
+FROM hc GROUP BY region, kind"""
+
+
+_TOPIC_SQL = _H1 + f""", m AS (
+  SELECT region || '-ticks' AS topic, id AS key, id || '|' || sec_type || '|' || last AS texts, CAST(delay AS DOUBLE) AS x, NULL::DOUBLE AS y, trade_timestamp FROM vticks
+  UNION ALL SELECT split_part(symbol, '.', 2) || '-ema', symbol, symbol, round(e38, 6), round(e100, 6), trade_timestamp FROM emas
+  UNION ALL SELECT split_part(symbol, '.', 2) || '-advisories', symbol, symbol || '|' || message, NULL, NULL, trade_timestamp FROM advs),
+k AS (SELECT *, epoch_us(trade_timestamp) // 1000 % 10 <> {DAMAGED} AS ok FROM m)
+SELECT topic, key, CASE WHEN ok THEN texts END AS texts, CASE WHEN ok THEN x END AS x, CASE WHEN ok THEN y END AS y,
+       CASE WHEN ok THEN trade_timestamp END AS trade_timestamp, ok FROM k"""
+
+
 def _history_sql(table_sql: str, select: str) -> str:
     return _M1 + f""", tbl AS ({table_sql}), lt AS (SELECT symbol, max(trade_timestamp) AS latest FROM tbl GROUP BY symbol)
 SELECT {select} FROM tbl JOIN lt USING (symbol)
@@ -582,6 +687,11 @@ FROM (SELECT DISTINCT region FROM vticks) r,
        count(*) FILTER (WHERE reason = 'bad_price') AS bad_price
 FROM chk GROUP BY region""",
     "latency_stats": _latency_sql(),
+    "latency_by_kind": _latency_kind_sql(),
+    "latency_sketch": _H1 + _CAPTURED + """
+SELECT region, kind, count(*) AS n, max(delay) AS max_delay, true AS p50_within, true AS p95_within, true AS p99_within
+FROM lat GROUP BY 1, 2""",
+    "topic_roundtrip": _TOPIC_SQL,
     "ema": _H1 + _ema_select(),
     "ema_scan": _M1 + _ema_select(),
     "ema_spans": O.trend_with("1 hour", SPANS_ALT) + _ema_select(SPANS_ALT),

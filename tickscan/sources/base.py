@@ -57,10 +57,10 @@ class DayFileTicks:
 
 @dataclass
 class TopicTicks:
-    """Tick topics (stream), decoded with the message descriptor."""
+    """Tick topics (stream), decoded with the message descriptor if there is one."""
     brokers: str
     topics: list[str]
-    descriptor_file: str
+    descriptor_file: str | None = None
     starting: str = "latest"
     extra: dict | None = None
     dead_letters: DataFrame | None = field(default=None, init=False)

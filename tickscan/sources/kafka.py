@@ -2,8 +2,8 @@
 
 The tick, EMA and advisory topics carry one protobuf message per record, keyed by the symbol.
 ``kafka_reader`` builds the ``readStream`` for one or many topics; ``decode`` turns the binary
-value into columns with ``from_protobuf`` (needs the ``spark-protobuf`` package and a descriptor
-file), keeping undecodable records as a dead-letter column instead of failing the query.
+value into columns, with ``from_protobuf`` (needs the ``spark-protobuf`` package and a descriptor
+file) or by the package's own codec of the three messages, keeping undecodable records as a dead-letter column instead of failing the query.
 ``to_topic_frame`` shapes rows into the ``key``/``value`` layout the Kafka sink writes.
 
 Spark's Kafka sink is at-least-once; consumers de-duplicate on ``(symbol, trade_timestamp)``,
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ticks import from_proto_ts, topic_kind
+from ..functions.wire import from_wire, to_wire
 
 # Message names in the shared message definition, per topic kind.
 MESSAGE_BY_KIND = {"ticks": "FinancialTick", "ema": "EMAResult", "advisories": "BuyAdvisory"}
@@ -48,15 +49,18 @@ def kafka_reader(spark: SparkSession, brokers: str, topics, starting: str = "lat
     return df.withColumn("kind", topic_kind("topic"))
 
 
-def decode(records: DataFrame, descriptor_file: str, message: str | None = None) -> DataFrame:
-    """Decode ``value`` with ``from_protobuf`` (PERMISSIVE: bad records give NULL ``msg``)."""
-    from pyspark.sql.protobuf.functions import from_protobuf
+def decode(records: DataFrame, descriptor_file: str | None = None, message: str | None = None) -> DataFrame:
+    """Decode ``value`` to ``msg`` (NULL for bad records): with ``from_protobuf`` and a descriptor file,
+    or without one by the package's own reading of the three messages (``functions/wire.py``)."""
     name = message or MESSAGE_BY_KIND["ticks"]
+    if descriptor_file is None:
+        return records.withColumn("msg", from_wire(F.col("value"), name))
+    from pyspark.sql.protobuf.functions import from_protobuf
     return records.withColumn("msg", from_protobuf("value", name, descFilePath=descriptor_file,
                                                    options={"mode": "PERMISSIVE"}))
 
 
-def decode_kinds(records: DataFrame, descriptor_file: str) -> dict[str, DataFrame]:
+def decode_kinds(records: DataFrame, descriptor_file: str | None = None) -> dict[str, DataFrame]:
     """Per kind, its records decoded with the kind's own message."""
     return {kind: decode(records.where(F.col("kind") == kind), descriptor_file, message)
             for kind, message in MESSAGE_BY_KIND.items()}
@@ -86,12 +90,15 @@ def topic_ticks(decoded: DataFrame) -> DataFrame:
 
 
 def to_topic_frame(rows: DataFrame, key: str = "symbol", descriptor_file: str | None = None,
-                   message: str | None = None) -> DataFrame:
-    """``key`` = symbol bytes; ``value`` = protobuf bytes when a descriptor is given, JSON otherwise."""
+                   message: str | None = None, binary: bool = False) -> DataFrame:
+    """``key`` = symbol bytes; ``value`` = protobuf bytes when a descriptor is given or ``binary`` is set
+    (then by ``functions/wire.py``), JSON otherwise."""
     payload = F.struct(*[F.col(c) for c in rows.columns])
     if descriptor_file:
         from pyspark.sql.protobuf.functions import to_protobuf
         value = to_protobuf(payload, message or MESSAGE_BY_KIND["ema"], descFilePath=descriptor_file)
+    elif binary:
+        value = to_wire(payload, message or MESSAGE_BY_KIND["ema"])
     else:
         value = F.to_json(payload).cast("binary")
     return rows.select(F.col(key).cast("binary").alias("key"), value.alias("value"))

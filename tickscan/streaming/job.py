@@ -50,17 +50,17 @@ def trend_stream(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_S
                                  output_schema(spans), "Append", "ProcessingTime" if ttl_ms else "None"))
 
 
-def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS, descriptor_file: str | None = None) -> DataFrame:
+def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS, descriptor_file: str | None = None, binary: bool = False) -> DataFrame:
     """EMA rows and advisories of one micro-batch as topic records: ``topic`` (``<region>-ema`` or
     ``<region>-advisories``), ``key`` (symbol bytes), ``value`` (protobuf bytes when a descriptor is
-    given, JSON otherwise)."""
+    given or ``binary`` is set, JSON otherwise)."""
     from ..functions.ticks import region_of, topic_name
     from ..sources.kafka import MESSAGE_BY_KIND, to_topic_frame
     ema = batch.select("symbol", *[f"ema{s}" for s in spans], "trade_timestamp")
     adv = batch.where(F.col("message").isNotNull()).select("symbol", "trade_timestamp", "message")
 
     def routed(rows: DataFrame, kind: str) -> DataFrame:
-        frame = to_topic_frame(rows, descriptor_file=descriptor_file, message=MESSAGE_BY_KIND[kind])
+        frame = to_topic_frame(rows, descriptor_file=descriptor_file, message=MESSAGE_BY_KIND[kind], binary=binary)
         return frame.withColumn("topic", topic_name(region_of(F.col("key").cast("string")), kind))
 
     return routed(ema, "ema").unionByName(routed(adv, "advisories"))
@@ -77,7 +77,9 @@ def write_batch(batch: DataFrame, ema_path: str, advisory_path: str, spans=DEFAU
         write_advisories(batch.where(F.col("message").isNotNull())
                               .select("symbol", "trade_timestamp", "message"), advisory_path, token=token)
         if brokers:
-            (topic_frames(batch, spans, descriptor_file).write.format("kafka")
+            # the topics carry the three messages in binary form, for the default spans' fields
+            binary = descriptor_file is None and tuple(spans) == DEFAULT_SPANS
+            (topic_frames(batch, spans, descriptor_file, binary).write.format("kafka")
                 .option("kafka.bootstrap.servers", brokers).option("kafka.compression.type", "snappy").save())
     finally:
         batch.unpersist()
@@ -122,17 +124,17 @@ def start_job(ticks: DataFrame, ema_path: str, advisory_path: str, checkpoint: s
 
 
 def capture_topics(spark: SparkSession, brokers: str, topics, out_path: str, checkpoint: str,
-                   starting: str = "earliest", descriptor_file: str | None = None) -> list[StreamingQuery]:
+                   starting: str = "earliest", descriptor_file: str | None = None, decoded: bool = False) -> list[StreamingQuery]:
     """Capture topic records to CSV, one folder per kind and topic, stamped with the capture time.
 
     Reads every record available now from ``starting`` and stops (a bounded run, like a capture of a
-    fixed duration over a replayed day). With a descriptor file the values are decoded with
+    fixed duration over a replayed day). With a descriptor file or ``decoded`` the values are decoded with
     the message of their kind into flat columns, one query for each kind; otherwise key, value (text), topic, partition, offset and broker timestamp are kept.
     """
     from ..sinks.files import capture_batch
     from ..sources.kafka import decode_kinds, flat_message, kafka_reader
     rec = kafka_reader(spark, brokers, topics, starting)
-    if descriptor_file:
+    if descriptor_file or decoded:
         frames = {k: flat_message(d, "topic") for k, d in decode_kinds(rec, descriptor_file).items()}
     else:
         frames = {"records": rec.select("topic", "kind", "partition", "offset", "timestamp",
