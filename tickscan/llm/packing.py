@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import keep, table
-from .runs import word_ids
+from .runs import split_words
 from .words import CHUNK_BYTES, column_bytes
 
 CAPACITY = 2048
@@ -50,44 +50,61 @@ GROUP = 20_000
 TRIES = 32
 #: Steps of a group's search at most.
 STEPS = 5_000
-#: Words whose ids a task remembers.
-KNOWN_WORDS = 200_000
+#: Words of a generation whose ids a process remembers (about 60 MB).
+KNOWN_WORDS = 300_000
 
-_known: dict[str, tuple] = {}
+class Words:
+    """A tokenizer and the ids of the words that it met lately, in two generations: a word that is met
+    again moves to the young one, which becomes the old one when it is full."""
 
-
-def _tokenizer(path: str | None) -> tuple:
-    """(tokenizer, ids by word) of this process."""
-    name = path or TOKENIZER
-    if name not in _known:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        if path is None:
-            import public_tokenizers
-            path = public_tokenizers.path(TOKENIZER)
-        _known[name] = (Tokenizer.from_file(path), {})
-    return _known[name]
+        self.encoder = Tokenizer.from_file(path)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of the distinct ``words`` as little-endian 32-bit integers."""
+        if len(self.young) > KNOWN_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for w in words:
+            if w not in young:
+                held = old.get(w)
+                if held is None:
+                    new.append(w)
+                else:
+                    young[w] = held
+        for w, e in zip(new, self.encoder.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+            young[w] = np.array(e.ids, "<u4").tobytes()
+        return [young[w] for w in words]
+
+
+def _tokenizer(path: str | None) -> Words:
+    """The words of this process. They are held by the tokenizers module, since this one is sent to the
+    tasks anew and its own variables with it."""
+    import tokenizers
+    known = tokenizers.__dict__.setdefault("_met_words", {})
+    if path is None:
+        import public_tokenizers
+        path = public_tokenizers.path(TOKENIZER)
+    if path not in known:
+        known[path] = Words(path)
+    return known[path]
 
 
 def token_ids(buf: np.ndarray, offsets: np.ndarray, tokenizer: str | None = None, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets by row) of the texts in ``buf``, each with its end id."""
-    encoder, known = _tokenizer(tokenizer)
-    first, code, data, cut = word_ids(buf, offsets)
-    n = int(code.max()) + 1 if len(code) else 0
-    at = np.zeros(n, np.int64)
-    at[code[::-1]] = np.arange(len(code))[::-1]  # a place of each word
-    names = [data[cut[i]:cut[i + 1]].tobytes() for i in at.tolist()]
-    new = [w for w in names if w not in known]
-    if len(known) + len(new) > KNOWN_WORDS:
-        known.clear()
-        new = names
-    for w, e in zip(new, encoder.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-        known[w] = np.array(e.ids, np.uint32)
-    each = [known[w] for w in names] + [np.array([end_id], np.uint32)]
-    size = np.array([len(x) for x in each], np.int64)
+    first, words, _, _ = split_words(buf, offsets)
+    code = words.indices.to_numpy(zero_copy_only=False)
+    each = _tokenizer(tokenizer).ids(words.dictionary.to_pylist())
+    each.append(np.array([end_id], "<u4").tobytes())
+    size = np.fromiter(map(len, each), np.int64, len(each)) // 4
     start = np.cumsum(size) - size
-    flat = np.concatenate(each)
-    code = np.insert(code, first[1:], n)
+    flat = np.frombuffer(b"".join(each), "<u4")
+    code = np.insert(code, first[1:], len(each) - 1)
     count = size[code]
     to = np.cumsum(count)
     ids = flat[np.repeat(start[code] - (to - count), count) + np.arange(to[-1] if len(to) else 0)]

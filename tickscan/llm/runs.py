@@ -40,9 +40,9 @@ MIN_LENGTH, MIN_EXPONENT = 6, 4
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def word_ids(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first, ids, data, cut) of the texts in ``buf``: the n + 1 word offsets by row, a number for
-    each word (equal for equal bytes), and the words' bytes with their offsets."""
+def split_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """(first, words, data, cut) of the texts in ``buf``: the n + 1 word offsets by row, the words by
+    their distinct bytes, and their bytes with their offsets."""
     sep = SEPARATORS["space"][buf]
     starts = np.empty(len(buf), bool)
     starts[:1] = True
@@ -55,8 +55,13 @@ def word_ids(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     before = np.cumsum(word) - word
     cut = np.append(before[at], len(data)).astype(np.int64)
     held = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cut), pa.py_buffer(data)])
-    ids = held.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.searchsorted(at, offsets), ids, data, cut
+    return np.searchsorted(at, offsets), held.dictionary_encode(), data, cut
+
+
+def word_ids(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``split_words`` with a number for each word, equal for equal bytes."""
+    first, words, data, cut = split_words(buf, offsets)
+    return first, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), data, cut
 
 
 def _named(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
