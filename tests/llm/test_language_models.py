@@ -152,3 +152,30 @@ def test_quality_learns_from_all_trusted_text(spark, monkeypatch):
     labels = docs.select("doc_id", F.lit(1).alias("quality"))
     out = Q.quality(docs, labels).select("perplexity").distinct().collect()
     assert max(r[0] for r in out) < 1.01 * min(r[0] for r in out)
+
+
+def test_quality_rows_that_share_an_id_and_many_shards(spark, monkeypatch):
+    """Rows that share id, language and number of tokens keep their own perplexity, for any number of
+    shards and of tokens gathered; equal rows score alike; very long and odd texts pass."""
+    rnd = random.Random(4)
+    rows = [(i, text(rnd, 60), "en") for i in range(60)]
+    rows += [(777, rows[0][1], "en"), (777, " ".join(reversed(rows[0][1].split(" "))), "en"), (None, rows[1][1], "en"),
+             (None, " ".join("zz%d" % k for k in range(len(rows[1][1].split()))), "en"), (5, rows[5][1], "en"), (5, rows[5][1], "en"),
+             (900, "la " * 200_000, "en"), (901, None, None), (902, "", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = docs.withColumn("keys", F.lit("clash")).withColumn("uid", F.lit(None).cast("int"))
+    model, unknown = Q.train(docs.where("doc_id < 40").select("text"))
+    seen = []
+    for gather, shard_rows in ((1_000_000, 10_000_000), (100, 50)):
+        monkeypatch.setattr(Q, "GATHER", gather)
+        monkeypatch.setattr(Q, "GATHER_SHARD", 1)
+        monkeypatch.setattr(Q, "HOT", gather // 10)
+        out = Q.perplexity(texts, model, unknown, shard_rows)
+        assert out.columns == ["doc_id", "lang", "keys", "uid", "n_tokens", "perplexity"]
+        seen.append(sorted((tuple(r) for r in out.collect()), key=str))
+    assert len(seen[0]) == len(rows) == len(seen[1])
+    assert all(a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 * a[5] for a, b in zip(*seen))
+    for i in (777, None):
+        own = [r[5] for r in seen[0] if r[0] == i]
+        assert len(own) == 2 and abs(own[0] - own[1]) > 0.01 * own[0]
+    assert len({r[5] for r in seen[0] if r[0] == 5}) == 1 and len([r for r in seen[0] if r[0] == 5]) == 3

@@ -1,22 +1,30 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney bigram model.
 
 The model is trained on trusted text: documents that labels call good, one half of them by a hash of
-the id. Counts, continuation counts and
-the three discounts are distributed aggregates. The log probability of a document is a sum over its
-words of two looked-up values,
+the id. Counts, continuation counts and the three discounts are distributed aggregates. The log
+probability of a document splits into a sum over its words and one over its pairs of words,
 
-    log p(w | u) = log p_cont(w) + (seen: log p(w | u) - log p_cont(w); else: log backoff(u)),
+    log p(w | u) = log p_cont(w) + log backoff(u) + (seen: gain(u, w)),
+    gain(u, w) = log(1 + (n(u, w) - discount) / (freed(u) * p_cont(w))),
 
-so the count tables can be cut into shards by hash: shards of at most ``SHARD`` rows are joined with
-the texts one after the other, each broadcast having that fixed bound, and every shard adds its part
-of each document's sum. Texts are not shuffled. The threshold of a language is a quantile of the
-perplexity of its other half of trusted documents, which the model has not seen; a language
-without any takes that of all trusted documents.
+and every word of a text is a context once and a successor once. So both are looked up by one key: the model
+is a table of (key, value), cut by the key into shards of about ``SHARD`` rows. Texts are tokenised
+once; their distinct words and pairs, with counts, go to the shards of their keys and meet them there (a
+join of counts, sharded on both sides); what comes back is one partial sum for each document and
+shard. The ``HOT`` commonest words of the model are looked up before and not sent.
+
+Work goes in ``SLICES``: pairs by key while the model is made, documents by a hash while they are
+scored, so that only a part of the shuffled rows is on disk at a time. The number of shards follows the model; a
+task holds one shard and the keys of one slice that ask for it.
+
+The threshold of a language is a quantile of the perplexity of its other half of trusted documents,
+which the model has not seen (``percentile_approx`` at an accuracy of 1/10,000 in rank); a language
+without any takes that of all trusted documents. A document whose perplexity equals the threshold is kept.
 
 Defined cases: null or empty text has one token, its end; null language is a language of its own;
-rows that repeat an id are judged each on their own text; rows with null id are scored, never
-trained on; without trusted text every document is kept and its perplexity is that of a uniform
-choice; empty tables and extra columns are harmless.
+rows that repeat an id are judged each on their own text, and equal rows alike; rows with null id are
+scored, never trained on; without trusted text every document is kept and its perplexity is that of a
+uniform choice; empty tables and extra columns are harmless.
 """
 
 from __future__ import annotations
@@ -25,15 +33,23 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import drop, keep, table
+from .common import drop, keep, prepare, table
 from .words import Words, chunks, mix
 
-SHARD = 4_000_000
-GATHER = 1_000_000
+SHARD = 1_000_000
+SLICES = 6
+#: Words looked up from a broadcast of their values.
+HOT = 65_536
+#: Tokens gathered in a task before they are sent, at least; with many shards so many for each.
+GATHER, GATHER_SHARD = 1_000_000, 64
+#: Model values are whole numbers of this step (of log10).
+STEP = 2.0 ** -27
 QUANTILE = 0.98
 END = np.uint64(0x5E9D5E9D5E9D5E9D)
 
@@ -56,25 +72,29 @@ def pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _counts(batches):
-    """Counts of pairs, added up over about ``GATHER`` tokens of a task before they are shuffled."""
-    held, tokens = [], 0
+def _counts(part: int, of: int):
+    """Counts of the pairs of one slice, added up over about ``GATHER`` tokens of a task before they are
+    shuffled."""
+    def go(batches):
+        held, tokens = [], 0
 
-    def out():
-        u, x = (np.concatenate(v) for v in zip(*held))
-        key, at, n = np.unique(pair(u, x), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (u[at], x[at])] + [pa.array(n)], ["u", "w", "n"])
+        def out():
+            u, x = (np.concatenate(v) for v in zip(*held))
+            _, at, n = np.unique(pair(u, x), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (u[at], x[at])] + [pa.array(n)], ["u", "w", "n"])
 
-    for b in batches:
-        for _, w in chunks(b, "text", "space"):
-            _, u, x = bigrams(w)
-            held.append((u, x))
-            tokens += len(x)
-            if tokens >= GATHER:
-                yield out()
-                held, tokens = [], 0
-    if held:
-        yield out()
+        for b in batches:
+            for _, w in chunks(b, "text", "space"):
+                _, u, x = bigrams(w)
+                mine = pair(u, x) % np.uint64(of) == np.uint64(part)
+                held.append((u[mine], x[mine]))
+                tokens += int(mine.sum())
+                if tokens >= GATHER:
+                    yield out()
+                    held, tokens = [], 0
+        if held:
+            yield out()
+    return go
 
 
 def _discounts(counts: DataFrame, col: str) -> tuple[float, float, float]:
@@ -91,106 +111,173 @@ def _less(col: str, d: tuple[float, float, float]):
 
 
 def train(texts: DataFrame) -> tuple[DataFrame, float]:
-    """(key, value) rows of the model: log10 p_cont by word, log10 backoff by context, and the gain of
-    seen bigrams by pair; and log10 p_cont of an unknown word. Key spaces are told apart by hashing."""
-    bi = keep(texts.mapInArrow(_counts, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "kn-bigrams")
+    """The model as rows (key, value, seen), and log10 p_cont of an unknown word. A word's value is what it
+    adds to a document above an unknown one, ``seen`` its count; a pair's is its gain."""
+    slices = [keep(texts.mapInArrow(_counts(k, SLICES), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "kn-bigrams")
+              for k in range(SLICES)]
+    bi = reduce(DataFrame.union, slices)
     low = keep(bi.groupBy("w").agg(F.count("*").alias("before")), "kn-words")
     vocabulary, pairs = low.agg(F.count("*"), F.coalesce(F.sum("before"), F.lit(0))).first()
     if not vocabulary:
-        drop(bi, low)
-        return keep(texts.sparkSession.createDataFrame([], "key long, owner long, value double"), "kn-model"), -1.0
+        drop(low, *slices)
+        return keep(texts.sparkSession.createDataFrame([], MODEL), "kn-model"), -1.0
     d1, d2 = _discounts(low, "before"), _discounts(bi, "n")
     freed = low.agg(F.sum(F.least("before", _less("before", d1)))).first()[0] / pairs
     unknown = freed / (vocabulary + 1)
     p_cont = low.select("w", ((F.col("before") - F.least("before", _less("before", d1))) / pairs + unknown).alias("p"))
-    ctx = bi.groupBy("u").agg(F.sum("n").alias("all"), F.sum(_less("n", d2)).alias("freed")).select(
-        "u", "all", (F.col("freed") / F.col("all")).alias("backoff"))
-    seen = bi.join(ctx, "u").join(p_cont, "w").select(
-        "u", "w", F.log10(F.greatest(F.col("n") - _less("n", d2), F.lit(0.0)) / F.col("all") + F.col("backoff") * F.col("p")).alias("lp"),
-        F.log10("p").alias("lq"))
-    # the keys must be those that _sums makes, so they are made by the same functions
-    rows = (p_cont.select(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("u"), "w", F.log10("p").alias("value"))
-            .union(ctx.select(F.lit(1), "u", F.lit(0).cast("long"), F.log10("backoff")))
-            .union(seen.select(F.lit(2), "u", "w", F.col("lp") - F.col("lq"))))
-    model = keep(rows.mapInArrow(_model_keys, "key long, owner long, value double"), "kn-model")
-    drop(bi, low)
+    ctx = bi.groupBy("u").agg(F.sum("n").alias("seen"), F.sum(_less("n", d2)).alias("freed"))
+    # each token follows one and is followed by one, so every word is in both
+    words = keep(p_cont.join(ctx, F.col("w") == F.col("u")).select("w", "p", "seen", "freed"), "kn-words")
+    value = F.log10("p") + F.log10(F.col("freed") / F.col("seen")) - F.lit(float(np.log10(unknown)))
+    parts = [keep(words.select(F.col("w").alias("u"), F.lit(None).cast("long").alias("w"), value.alias("value"), "seen")
+                  .mapInArrow(_model_keys, MODEL), "kn-model")]
+    left = words.select(F.col("w").alias("u"), "freed")
+    right = words.select("w", "p")
+    for part in slices:
+        gain = F.log10(1 + F.greatest(F.col("n") - _less("n", d2), F.lit(0.0)) / (F.col("freed") * F.col("p")))
+        rows = part.join(left, "u").join(right, "w").select("u", "w", gain.alias("value"), F.lit(None).cast("long").alias("seen"))
+        parts.append(keep(rows.mapInArrow(_model_keys, MODEL), "kn-model"))
+        drop(part)
+    drop(low, words)
+    model = reduce(DataFrame.union, parts)
+    model._parts = parts
     return model, float(np.log10(unknown))
 
 
-def word_key(w):
-    return mix(w ^ np.uint64(0x1111111111111111))
+MODEL = "key long, value int, seen long"
 
 
-def context_key(u):
-    return mix(u ^ np.uint64(0x2222222222222222))
+def word_key(w):
+    return mix(w ^ np.uint64(0x1111111111111111))
 
 
 def _model_keys(batches):
     for b in batches:
-        kind = b.column("kind").to_numpy()
-        u, w = (b.column(c).to_numpy().view(np.uint64) for c in "uw")
-        owner = np.where(kind == 0, word_key(w), context_key(u))
-        key = np.where(kind == 2, pair(u, w), owner)
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((owner >> np.uint64(1)).view(np.int64)), b.column("value")],
-                                         ["key", "owner", "value"])
+        u = b.column("u").to_numpy().view(np.uint64)
+        pairs = b.column("w").is_valid().to_numpy(zero_copy_only=False)
+        w = b.column("w").fill_null(0).to_numpy().view(np.uint64)
+        key = np.where(pairs, pair(u, w), word_key(u))
+        value = np.rint(b.column("value").to_numpy() / STEP).clip(-2.0 ** 31, 2.0 ** 31 - 1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(value), b.column("seen")], ["key", "value", "seen"])
+
+
+def _look(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The value of each asked key, 0 if the table (sorted by key) has none."""
+    if not len(keys):
+        return np.zeros(len(asked))
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0) * STEP
 
 
-def _owned(key: np.ndarray, shard: int, shards: int) -> np.ndarray:
-    return (key >> np.uint64(1)) % np.uint64(shards) == np.uint64(shard)
+def _of_shard(key: np.ndarray, shards: int) -> np.ndarray:
+    return ((key >> np.uint64(1)) % np.uint64(shards)).astype(np.int64)
 
 
-def _look(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(held, value) of each asked key; sorted first, so that the table is read in order."""
-    order = np.argsort(asked)
-    at = np.minimum(np.searchsorted(keys, asked[order]), len(keys) - 1)
-    held, out = np.empty(len(asked), bool), np.zeros(len(asked))
-    held[order] = keys[at] == asked[order]
-    out[order] = np.where(held[order], values[at], 0)
-    return held, out
+def _entries(w: Words, row: np.ndarray, u: np.ndarray, x: np.ndarray):
+    """(row, key, count) of the distinct words and pairs of each row."""
+    key = np.concatenate([word_key(x), pair(u, x)])
+    row = np.concatenate([row, row])
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])])
+    return row[at], key[at], np.diff(np.r_[at, len(key)])
 
 
-def _sums(shared, shard: int, shards: int, unknown: float):
+def _asked(shards: int, hot, unknown: float, by: list[str], schema: pa.Schema):
+    """Texts to rows for the shards: one for each document, with what needs no shard, and one for each
+    shard that holds some of the keys of the documents gathered."""
     def go(batches):
-        keys, values = shared.value
+        task = TaskContext.get()
+        uid = (task.partitionId() if task else 0) << 33
+        names, values = hot.value
+        held, tokens, first = [], 0, uid
+        enough = max(GATHER, GATHER_SHARD * shards)
+
+        def sent():
+            row, key, n = (np.concatenate(v) for v in zip(*held))
+            shard = _of_shard(key, shards)
+            order = np.lexsort((key, shard))
+            shard, row, key, n = shard[order], row[order], key[order], n[order]
+            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, int)
+            rows = [{"shard": int(shard[a]), "uid": first, "keys": key[a:z].tobytes(), "rows": row[a:z].astype(np.uint32).tobytes(),
+                     "counts": n[a:z].astype(np.uint32).tobytes()} for a, z in zip(edge[:-1], edge[1:])]
+            return pa.RecordBatch.from_pylist(rows, schema)
+
         for b in batches:
-            for rows, w in chunks(b, "text", "space"):
+            for part, w in chunks(b, "text", "space"):
                 row, u, x = bigrams(w)
-                total = np.zeros(len(rows))
-                mine = _owned(word_key(x), shard, shards)
-                if len(keys):
-                    held, v = _look(keys, values, word_key(x[mine]).view(np.int64))
-                    total += np.bincount(row[mine], np.where(held, v, unknown), len(rows))
+                n = w.counts() + 1
+                row, key, count = _entries(w, row, u, x)
+                if len(names):
+                    at = np.minimum(np.searchsorted(names, key), len(names) - 1)
+                    common = names[at] == key
+                    base = np.bincount(row[common], values[at[common]] * STEP * count[common], len(n))
+                    row, key, count = row[~common], key[~common], count[~common]
                 else:
-                    total += np.bincount(row[mine], np.full(mine.sum(), unknown), len(rows))
-                mine = _owned(context_key(u), shard, shards)
-                if len(keys):
-                    back, b_value = _look(keys, values, context_key(u[mine]).view(np.int64))
-                    seen, gain = _look(keys, values, pair(u[mine], x[mine]).view(np.int64))
-                    total += np.bincount(row[mine], np.where(seen, gain, b_value), len(rows))
+                    base = np.zeros(len(n))
+                ids = uid + np.arange(len(n))
+                empty = pa.nulls(len(n), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(w.counts() + 1), pa.array(total)], [*rows.schema.names, "_n", "_lp"])
+                    [pa.array(ids % shards), pa.array(ids), empty, empty, empty, pa.array(n), pa.array(base + n * unknown),
+                     *[part.column(c).cast(schema.field(k + 7).type) for k, c in enumerate(by)]], schema=schema)
+                held.append((row + (uid - first), key, count))
+                uid, tokens = uid + len(n), tokens + len(key)
+                if tokens >= enough:
+                    yield sent()
+                    held, tokens, first = [], 0, uid
+        if held:
+            yield sent()
+    return go
+
+
+def _answered(schema: pa.Schema):
+    """One shard: documents pass, keys become partial sums of their documents."""
+    def go(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left):
+            return schema.empty_table()
+        own = left.filter(left.column("keys").is_null())
+        order = np.argsort(keys := right.column("key").to_numpy().view(np.uint64))
+        keys, values = keys[order], right.column("value").to_numpy()[order]
+        uids, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for q in left.filter(left.column("keys").is_valid()).select(["uid", "keys", "rows", "counts"]).to_batches(max_chunksize=64):
+            for uid, k, r, c in zip(*(q.column(i).to_pylist() for i in range(4))):
+                got = _look(keys, values, np.frombuffer(k, np.uint64)) * np.frombuffer(c, np.uint32)
+                total = np.bincount(np.frombuffer(r, np.uint32), got)
+                some = np.flatnonzero(total)
+                uids.append(uid + some)
+                sums.append(total[some])
+        uid, lp = np.concatenate(uids), np.concatenate(sums)
+        part = pa.Table.from_arrays([pa.array(uid), pa.nulls(len(uid), pa.int64()), pa.array(lp),
+                                     *[pa.nulls(len(uid), f.type) for f in list(schema)[3:]]], schema=schema)
+        return pa.concat_tables([own.select(schema.names).cast(schema), part])
     return go
 
 
 def perplexity(texts: DataFrame, model: DataFrame, unknown: float, shard_rows: int = SHARD) -> DataFrame:
-    """``texts`` (key columns and text) with n_tokens and perplexity, the text dropped."""
-    spark = texts.sparkSession
-    rows = model.count()
-    shards = max(1, -(-rows // shard_rows))
+    """``texts`` (key columns and text) with n_tokens and perplexity, the text dropped; a written table."""
+    spark = prepare(texts.sparkSession)
+    shards = max(1, -(-model.count() // shard_rows))
     by = [c for c in texts.columns if c != "text"]
-    sums = []
-    for shard in range(shards):
-        got = model.where(F.col("owner") % shards == shard).select("key", "value").toArrow()  # about shard_rows rows
-        keys, values = got.column("key").to_numpy(), got.column("value").to_numpy()
-        order = np.argsort(keys)
-        shared = spark.sparkContext.broadcast((keys[order], values[order]))
-        shape = T.StructType([*texts.schema.fields, T.StructField("_n", T.LongType()), T.StructField("_lp", T.DoubleType())])
-        sums.append(texts.mapInArrow(_sums(shared, shard, shards, unknown), shape).drop("text"))
-    out = reduce(DataFrame.union, sums)
-    if shards > 1:
-        out = out.groupBy(*by, "_n").agg((F.sum("_lp") / F.count("*") * shards).alias("_lp"), (F.count("*") / shards).alias("_rows"))
-        out = out.withColumn("_each", F.explode(F.expr("sequence(1, cast(_rows as int))"))).drop("_rows", "_each")
-    return out.select(*by, F.col("_n").alias("n_tokens"), F.pow(F.lit(10.0), -F.col("_lp") / F.col("_n")).alias("perplexity"))
+    common = model.where("seen is not null").orderBy(F.desc("seen"), "key").limit(HOT).select("key", "value").toArrow()
+    names, values = common.column("key").to_numpy().view(np.uint64), common.column("value").to_numpy()
+    hot = spark.sparkContext.broadcast((np.sort(names), values[np.argsort(names)]))
+    info = [T.StructField(f"by_{i}", texts.schema[c].dataType) for i, c in enumerate(by)]
+    sums = [T.StructField("uid", T.LongType()), T.StructField("n", T.LongType()), T.StructField("lp", T.DoubleType())]
+    binary = [T.StructField(c, T.BinaryType()) for c in ("keys", "rows", "counts")]
+    shape = T.StructType([T.StructField("shard", T.LongType()), sums[0], *binary, *sums[1:], *info])
+    out = T.StructType([*sums, *info])
+    held = model.select((F.shiftrightunsigned("key", 1) % shards).alias("shard"), "key", "value")
+    done = []
+    for k in range(SLICES):
+        mine = texts.where(F.pmod(F.xxhash64(*texts.columns, F.lit(5)), F.lit(SLICES)) == k)
+        asked = mine.mapInArrow(_asked(shards, hot, unknown, by, to_arrow_schema(shape)), shape)
+        found = asked.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_answered(to_arrow_schema(out)), out)
+        each = found.groupBy("uid").agg(F.sum("lp").alias("lp"), F.max("n").alias("n"), *[F.max(f.name).alias(f.name) for f in info])
+        done.append(keep(each.select(*[F.col(f.name).alias(c) for f, c in zip(info, by)], F.col("n").alias("n_tokens"),
+                                     F.pow(F.lit(10.0), -F.col("lp") / F.col("n")).alias("perplexity")), "kn-scores"))
+    scored = reduce(DataFrame.union, done)
+    scored._parts = done
+    return scored
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
@@ -200,8 +287,8 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
     model, unknown = train(texts.join(good.where(half == 0), "doc_id", "left_semi").select("text"))
-    scored = keep(perplexity(texts, model, unknown, shard_rows), "kn-scores")
-    drop(model)
+    scored = perplexity(texts, model, unknown, shard_rows)
+    drop(*getattr(model, "_parts", [model]))
     unseen = scored.join(good.where(half == 1), "doc_id", "left_semi")
     by_lang = unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own")).withColumnRenamed("lang", "l")
     any_lang = unseen.agg(F.percentile_approx("perplexity", quantile, 10000)).first()[0]
