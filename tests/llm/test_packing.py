@@ -50,7 +50,7 @@ def test_query(spark):
 
 
 ODD = ["", " \n", "Don't STOP", "a b c\x85d", "é ́e", "ΑΣ ΣΑΣ.", "İI ǅ", "<|endoftext|>x <|startoftext|>", "日本 語x1234",
-       "x" * 5000, "'s 't ' s", "👩‍👩‍👧 a\x1cb\x0bc", "don 't"]
+       "x" * 5000, "'s 't ' s", "👩‍👩‍👧 a\x1cb\x0bc", "don 't", "Stop.", "a.b, c..;x! 1,5. é, '.", "x,", ",y .,", "it's, 's.t", "A\u030a, K, <|STARTOFTEXT|>, B", "ABC,"]
 
 
 def test_ids_of_odd_texts():
@@ -60,8 +60,8 @@ def test_ids_of_odd_texts():
     assert [ids[ends[i]:ends[i + 1]].tolist() for i in range(len(ODD))] == [ids_of(t) for t in ODD]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(), max_size=6))
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text() | st.text("aB1'.,;!? é<|>\u0301", max_size=12), max_size=6))
 def test_ids_of_any_texts(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     data = [t.encode() for t in texts]
@@ -111,6 +111,7 @@ def test_rounds(spark):
     pieces = spark.createDataFrame(list(enumerate(sizes)), "uid long, length long")
     rows = pack(pieces, group=300).join(pieces, "uid").collect()
     assert len(rows) == 3000
-    assert layout(rows) <= -(-sum(sizes) // CAPACITY) * 1.01 + 1
+    together = len(set(best_fit(np.array([x for x in sizes if x < CAPACITY], np.int64)).tolist())) + sizes.count(CAPACITY)
+    assert layout(rows) <= 1.005 * together  # ten groups and their rounds do as well as one
     wide = spark.range(500).select(F.col("id").alias("uid"), F.lit(1025).cast("long").alias("length"))
     assert layout(pack(wide, group=100).join(wide, "uid").collect()) == 500

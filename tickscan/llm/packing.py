@@ -15,8 +15,8 @@ full pieces and a last shorter one. Whole pieces are packed:
 A task holds one group: sizes and numbers of its pieces, never texts or ids. Pieces are written once
 before they are dealt out, so that all later steps see the same numbers.
 
-Words between ASCII white space are tokenised once and looked up from then on: the tokenizer drops
-white space and no rule of it reaches across, so a text's ids are those of its words in a row (the
+Words between ASCII white space, without stops and commas at their ends, are tokenised once and looked
+up from then on: the tokenizer drops white space and cuts there too, no rule of it reaches across, so a text's ids are those of its words in a row (the
 tests compare). Strings of special tokens become what the tokenizer's file makes of them.
 
 Defined cases: null and empty texts are the end id alone, a piece of one token; rows that repeat an
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from .common import keep, table
 from .runs import split_words
-from .words import CHUNK_BYTES, column_bytes
+from .words import CHUNK_BYTES, SEPARATORS, column_bytes
 
 CAPACITY = 2048
 END_ID = 0
@@ -50,8 +50,14 @@ GROUP = 20_000
 TRIES = 32
 #: Steps of a group's search at most.
 STEPS = 5_000
-#: Words of a generation whose ids a process remembers (about 60 MB).
-KNOWN_WORDS = 300_000
+#: Words of a generation whose ids a process remembers (about 120 MB).
+KNOWN_WORDS = 600_000
+_BYTE = np.arange(256)
+STOP = np.isin(_BYTE, list(b".,;:!?"))
+ALNUM = ((_BYTE >= 0x30) & (_BYTE <= 0x39)) | ((_BYTE >= 0x41) & (_BYTE <= 0x5A)) | ((_BYTE >= 0x61) & (_BYTE <= 0x7A))
+LOWER = np.where((_BYTE >= 0x41) & (_BYTE <= 0x5A), _BYTE + 0x20, _BYTE).astype(np.uint8)
+#: What the tokenizer's special tokens begin with: they are told from other text before it is lower-cased.
+SPECIAL = b"<|"
 
 class Words:
     """A tokenizer and the ids of the words that it met lately, in two generations: a word that is met
@@ -95,9 +101,28 @@ def _tokenizer(path: str | None) -> Words:
     return known[path]
 
 
+def _stops(buf: np.ndarray) -> np.ndarray:
+    """Where stops and commas at a word's end follow a letter or digit: the tokenizer's rules cut there
+    too, and fewer distinct words are left."""
+    out, stop = np.zeros(len(buf), bool), STOP[buf]
+    at = np.flatnonzero(stop)
+    at = at[at > 0]
+    at = at[~stop[at - 1] & ALNUM[buf[at - 1]]]
+    other = np.flatnonzero(~stop)
+    after = np.searchsorted(other, at)
+    inside = after < len(other)
+    last = at[~inside]
+    at = at[inside]
+    out[at[SEPARATORS["space"][buf[other[after[inside]]]]]] = True
+    out[last] = True
+    return out
+
+
 def token_ids(buf: np.ndarray, offsets: np.ndarray, tokenizer: str | None = None, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets by row) of the texts in ``buf``, each with its end id."""
-    first, words, _, _ = split_words(buf, offsets)
+    if not ((buf[:-1] == SPECIAL[0]) & (buf[1:] == SPECIAL[1])).any():
+        buf = LOWER[buf]  # as the tokenizer does after its special tokens
+    first, words, _, _ = split_words(buf, offsets, _stops(buf))
     code = words.indices.to_numpy(zero_copy_only=False)
     each = _tokenizer(tokenizer).ids(words.dictionary.to_pylist())
     each.append(np.array([end_id], "<u4").tobytes())

@@ -40,15 +40,17 @@ MIN_LENGTH, MIN_EXPONENT = 6, 4
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def split_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]:
+def split_words(buf: np.ndarray, offsets: np.ndarray, also: np.ndarray | None = None) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]:
     """(first, words, data, cut) of the texts in ``buf``: the n + 1 word offsets by row, the words by
-    their distinct bytes, and their bytes with their offsets."""
+    their distinct bytes, and their bytes with their offsets. A word is cut again where ``also`` says so."""
     sep = SEPARATORS["space"][buf]
     starts = np.empty(len(buf), bool)
     starts[:1] = True
     starts[1:] = sep[:-1]
     edge = offsets[:-1]
     starts[edge[edge < len(buf)]] = True
+    if also is not None:
+        starts |= also
     word = ~sep
     at = np.flatnonzero(starts & word)
     data = buf[word]
