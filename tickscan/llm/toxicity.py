@@ -8,8 +8,10 @@ first bytes of longer words, counted by how many distinct words share them: this
 that are inflected.
 
 Only the fit sees a sample: at most ``MAX_TOXIC`` confirmed and ``MAX_UNLABELLED`` unlabelled
-documents, those of smallest hashed id, so what reaches the driver has a fixed bound. The fitted
-model is a sorted list of at most ``MAX_FEATURES`` feature hashes with weights; every task scores
+documents, those of smallest hashed id. The documents of the sample that hold a feature are counted on
+the executors first; the ``MAX_CANDIDATES`` features that most of them hold (at least ``LEAST_DOCS``)
+are the only ones that reach the driver, so that its memory is bounded by documents times candidates,
+whatever the texts. The fitted model is a sorted list of at most ``MAX_FEATURES`` feature hashes with weights; every task scores
 whole texts with it, without a shuffle.
 
 Defined cases: null or empty text has no features and gets the score of the bias; a null doc_id is
@@ -32,6 +34,9 @@ from .words import Words, chunks, lists, mix
 MAX_TOXIC = 2500
 MAX_UNLABELLED = 5000
 MAX_FEATURES = 20000
+MAX_CANDIDATES = 300_000
+#: Entries of the sample handled at once by the fit.
+CHUNK = 1 << 20
 #: A document with at least this score is rejected.
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6, 7, 8)
@@ -68,12 +73,36 @@ def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), (np.concatenate(out) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _sample_features(batches):
+def _held_by(batches):
+    """(feature, documents that hold it) by chunk of texts."""
     for b in batches:
-        for rows, w in chunks(b, "text", "alnum"):
+        for _, w in chunks(b, "text", "alnum"):
             row, h = features(w)
-            own = [np.unique(h[row == i]) for i in range(len(rows))]
-            yield pa.RecordBatch.from_arrays([rows.column("toxic").cast(pa.int32()), lists(own, np.int32)], ["toxic", "f"])
+            _, first = np.unique((row.astype(np.uint64) << np.uint64(32)) | h.view(np.uint32), return_index=True)
+            f, n = np.unique(h[first], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(n)], ["f", "n"])
+
+
+def _sample_features(names):
+    def go(batches):
+        for b in batches:
+            for rows, w in chunks(b, "text", "alnum"):
+                row, h = features(w)
+                known = names.value
+                if len(known):
+                    held = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                    row, h = row[held], h[held]
+                own = [np.unique(h[row == i]) for i in range(len(rows))]
+                yield pa.RecordBatch.from_arrays([rows.column("toxic").cast(pa.int32()), lists(own, np.int32)], ["toxic", "f"])
+    return go
+
+
+def _spread(of: np.ndarray, value: np.ndarray, by: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``value[by]`` for each of ``n`` places ``of``."""
+    out = np.zeros(n)
+    for a in range(0, len(of), CHUNK):
+        out += np.bincount(of[a:a + CHUNK], value[by[a:a + CHUNK]], n)
+    return out
 
 
 def _descend(col, of_row, n_rows, toxic, prior, w, bias, steps, rate, sparse):
@@ -81,14 +110,14 @@ def _descend(col, of_row, n_rows, toxic, prior, w, bias, steps, rate, sparse):
     n_pos, n_unl = int(toxic.sum()), int((~toxic).sum())
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        z = np.bincount(of_row, w[col], n_rows) + bias
+        z = _spread(of_row, w, col, n_rows) + bias
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         lost = np.logaddexp(0, z)  # loss of calling a row negative
         if lost[~toxic].mean() >= prior * lost[toxic].mean():
             g = np.where(toxic, prior * (p - 1) / n_pos - prior * p / n_pos, p / n_unl)
         else:  # the corrected negative risk is below zero: climb back
             g = np.where(toxic, prior * p / n_pos, -p / n_unl)
-        grad = np.append(np.bincount(col, g[of_row], len(w)), g.sum())
+        grad = np.append(_spread(col, g, of_row, len(w)), g.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
         size = rate / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-4)
         move = size * first / (1 - 0.9 ** step)
@@ -143,7 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior:
     picked = pos.withColumn("toxic", F.lit(1)).union(unl.withColumn("toxic", F.lit(0)))
     # at most max_toxic + max_unlabelled ids
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", "text")
-    got = texts.mapInArrow(_sample_features, "toxic int, f array<int>").toArrow()
+    common = (texts.mapInArrow(_held_by, "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)
+              .orderBy(F.desc("n"), "f").limit(MAX_CANDIDATES).select("f").toArrow())
+    names = docs.sparkSession.sparkContext.broadcast(np.sort(common.column("f").to_numpy()))
+    got = texts.mapInArrow(_sample_features(names), "toxic int, f array<int>").toArrow()
     toxic = got.column("toxic").to_numpy().astype(bool)
     f = got.column("f").combine_chunks() if len(got) else pa.array([], pa.list_(pa.int32()))
     off, flat = (f.offsets.to_numpy(), f.values.to_numpy()) if len(got) else (np.zeros(1, int), np.zeros(0, np.int32))
