@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 from llm_support import SF
+from pyspark.sql import functions as F
 
 from tickscan.llm import ann as A
 from tickscan.llm.registry import QUERIES
@@ -57,3 +58,31 @@ def test_copies_and_odd_vectors(spark):
     assert A.search(df.limit(0), df.limit(0)).collect() == []
     few = df.where("vec_id < 3")
     assert len(A.search(few, few).collect()) == 6
+
+
+def recall(spark, rows, queries, **how):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in A.search(df, df.where(F.col("vec_id").isin(queries)), **how).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert all(len(got[q]) == 10 for q in queries)
+    return sum(len({i for _, i in brute(rows, q, 10)} & set(got[q])) for q in queries) / (10 * len(queries))
+
+
+def test_any_scale_and_clusters(spark):
+    """Vectors times 10 and 0.05 are searched like the given ones; clusters; rows far from all others."""
+    given = [(r[0], [float(x) for x in r[1]]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    queries = [i for i, _ in given if i % 100 == 0]
+    for scale in (10.0, 0.05):
+        assert recall(spark, [(i, [scale * x for x in v]) for i, v in given], queries) >= 0.9
+    g = np.random.default_rng(2)
+    centres = g.normal(size=(20, 16)) * 5
+    rows = [(i, (centres[i % 20] + g.normal(size=16) * 0.3).tolist()) for i in range(2000)] + [(5000 + i, (np.eye(16)[i] * 1000).tolist()) for i in range(3)]
+    assert recall(spark, rows, [i for i in range(0, 2000, 50)] + [5000]) >= 0.9
+
+
+def test_few_finds_are_filled_up(spark):
+    """With cells far too narrow each query still gets its exact 10 nearest."""
+    g = np.random.default_rng(3)
+    rows = [(i, g.normal(size=8).tolist()) for i in range(300)]
+    assert recall(spark, rows, [0, 7, 90], width=1e-3) == 1.0

@@ -1,6 +1,7 @@
 """Licence scan: base places against brute force, labels by templates."""
 import re
 
+from pyspark.sql import functions as F
 from llm_support import SF, UPPER, frame
 
 from tickscan.llm.license_scan import BASE, scan
@@ -40,3 +41,17 @@ def test_given_table_and_empty(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     assert rows_of(scan(docs)) == sorted(((r[0], *brute(r[1])) for r in docs.collect()), key=str)
     assert scan(frame(spark, [])).collect() == []
+
+
+def test_repeated_rows_change_nothing(spark):
+    """Labels and score of a text do not depend on how often its row stands there; long texts, clashing names."""
+    half = "redistribution and use in source and binary forms or so"
+    whole = ROWS[-1][1]
+    docs = [(1, half), (2, half), (2, half), (2, half), (2, half), (3, whole), (4, whole), (4, whole), (None, whole), (None, whole),
+            (5, "word " * 100_000 + "under the mit license " + "word " * 100_000)]
+    df = frame(spark, docs).withColumn("key", F.lit(1)).withColumn("labels", F.lit("x")).withColumn("start", F.lit(0))
+    got = {}
+    for r in scan(df).collect():
+        got.setdefault(r["doc_id"], set()).add((r["labels"], r["score"], r["n_base"], r["first_word"]))
+    assert got[1] == got[2] == {("", 0.0, 0, None)} and got[3] == got[4] == got[None] and {x[0] for x in got[3]} == {"mit"}
+    assert got[5] == {("mit", 1.0, 1, 100_000)}

@@ -1,6 +1,7 @@
 """Poisson replication: its SQL, weights, odd rows."""
 import duckdb
 from llm_support import SF
+from pyspark.sql import functions as F
 
 from tickscan.llm.mixing import mix, rates
 from tickscan.llm.registry import ORACLES, QUERIES
@@ -35,3 +36,14 @@ def test_order_and_odd_rows(spark):
     keys = [r["shuffle_key"] for r in out.collect()]
     assert keys == sorted(keys)
     assert mix(docs.limit(0)).collect() == []
+
+
+def test_rows_without_id_draw_each_for_itself(spark):
+    docs = spark.createDataFrame([(None, "same", "a")] * 2000 + [(i, "t", "b") for i in range(500)], "doc_id long, text string, source string")
+    w = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "source string, weight double")
+    out = mix(docs, weights=w)
+    own = out.where("source = 'a'")
+    assert abs(own.count() - 1250) < 130
+    held = [r[0] for r in own.select(F.spark_partition_id().alias("p")).groupBy("p").count().select("count").collect()]
+    assert len(held) >= 6 and max(held) < 2 * sum(held) / len(held)
+    assert sorted(map(str, out.collect())) == sorted(map(str, mix(docs, weights=w).collect()))

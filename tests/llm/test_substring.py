@@ -3,6 +3,7 @@ import random
 
 from llm_support import frame
 
+from tickscan.llm import substring_dedup as S
 from tickscan.llm.substring_dedup import substring_dedup, tune_bands
 
 
@@ -110,3 +111,72 @@ def test_blocks_between_blank_lines(spark):
         rows.append((i, wrap(fresh(70)) + "\n\n" + wrap(p) + "\n\n" + wrap(fresh(60))))
     out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows), run=80).collect()}
     assert out[0]["n_removed"] == 0 and all(out[i]["n_removed"] == 90 for i in (1, 2, 3))
+
+
+def runs_cut(rows, run):
+    """Brute force: by row, which words lie in a run of ``run`` words that an earlier document holds."""
+    order = sorted({(i is None, i or 0, t) for i, t in rows if t})
+    first = {}
+    for key in order:
+        w = key[2].lower().split()
+        for k in range(len(w) - run + 1):
+            first.setdefault(tuple(w[k:k + run]), key)
+    out = []
+    for i, t in rows:
+        w, gone = (t or "").lower().split(), set()
+        for k in range(len(w) - run + 1):
+            if first[tuple(w[k:k + run])][:2] != (i is None, i or 0) or first[tuple(w[k:k + run])][2] != t:
+                gone |= set(range(k, k + run))
+        out.append((i, t, len(gone)))
+    return out
+
+
+def test_passages_against_brute_force(spark, monkeypatch):
+    """Runs of equal words of texts made of few passages, by shards, batches and shared runs of any size."""
+    rnd = random.Random(12)
+    fresh = words(12)
+    pool = [fresh(rnd.randrange(4, 30)) for _ in range(12)]
+    rows = [(i, " ".join(x for _ in range(rnd.randrange(1, 6)) for x in (rnd.choice(pool) if rnd.random() < 0.6 else fresh(9)))) for i in range(120)]
+    rows += [(None, rows[3][1]), (None, rows[4][1] + " x"), (7, rows[9][1]), (500, ""), (501, None), (502, "la " * 40_000)]
+    rows += [(600, " ".join(pool[0] + pool[1]))] * 20
+    want = runs_cut(rows, 10)
+    for gather, shard, many in ((S.GATHER, S.SHARD, S.MANY), (200, 100, 3)):
+        monkeypatch.setattr(S, "GATHER", gather)
+        monkeypatch.setattr(S, "SHARD", shard)
+        monkeypatch.setattr(S, "MANY", many)
+        monkeypatch.setattr(S, "GATHER_SHARD", 1)
+        out = substring_dedup(frame(spark, rows), run=10, least=10**6)
+        got = sorted(((r["doc_id"], r["text"], r["n_words"] and r["n_removed"]) for r in out.collect()), key=str)
+        assert sorted((str(i), n) for i, _, n in want) == sorted((str(i), n or 0) for i, _, n in got)
+
+
+def test_equal_rows_make_no_more_rows(spark):
+    p = " ".join(words(4)(60))
+    runs = S.equal_runs(frame(spark, [(1, 11, p), (2, 22, p)], "ord long, rid long, text string"))
+    assert sum(r.count() for r in runs) <= S.SLICES
+    out = substring_dedup(frame(spark, [(1, p)] + [(2, p)] * 20)).collect()
+    assert sorted(r["n_removed"] for r in out) == [0] + [60] * 20 and {r["component_id"] for r in out} == {1}
+
+
+def test_wrapped_block_beside_a_long_line(spark):
+    fresh = words(15)
+    block = fresh(90)
+    wrap = lambda x: "\n".join(" ".join(x[i:i + 9]) for i in range(0, len(x), 9))
+    changed = [*block[:40], *fresh(1), *block[41:]]
+    rows = [(1, wrap(block) + "\n" + " ".join(fresh(60))), (2, " ".join(fresh(60)) + "\n" + wrap(changed))]
+    out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows), run=80).collect()}
+    assert out[1]["n_removed"] == 0 and out[2]["n_removed"] == 90
+
+
+def test_components_join_all_alike_paragraphs(spark):
+    """B is alike to A and to C, A and C are not: all three are one component."""
+    fresh = words(16)
+    a = fresh(200)
+    b, c = list(a), list(a)
+    for k in range(4):
+        b[20 + k * 45] = c[20 + k * 45] = fresh(1)[0]
+    for k in range(5):
+        c[5 + k * 38] = fresh(1)[0]
+    rows = [(1, " ".join(a)), (3, " ".join(b)), (2, " ".join(c)), (9, " ".join(fresh(100)))]
+    out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows), run=150).collect()}
+    assert [out[i]["component_id"] for i in (1, 2, 3, 9)] == [1, 1, 1, 9]

@@ -107,7 +107,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
                      & (F.slice("w", F.greatest(F.col("start") + p["kpos"], F.lit(0)) + 1, F.size(p["kwords"])) == p["kwords"]))
     verified = votes.join(shape, "t").where(right)
     aligned = (verified.groupBy("id", "key", "t", "start", "label", "base", "size", "all_idf")
-               .agg(F.sum("idf").alias("got"))
+               # each word of the template votes once, however often its row is repeated
+               .agg(F.collect_set(F.struct("tpos", "idf")).alias("votes"))
+               .withColumn("got", F.aggregate("votes", F.lit(0.0), lambda a, v: a + v["idf"]))
                .withColumn("score", F.when(F.col("base"), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.col("got") / F.col("all_idf"))))
                .where(F.col("base") | (F.col("score") >= cover)))
     place = F.struct("label", "start", "size", F.round("score", 6).alias("score"))

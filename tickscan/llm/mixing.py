@@ -11,7 +11,8 @@ Without given weights a source of n documents weighs n ** ``ALPHA``; the mix the
 documents as the input, on average. Counts cover all documents; the rates (one row for each source)
 are joined, never collected.
 
-Defined cases: null source is a source of its own; a null id hashes like the empty text; rows that
+Defined cases: null source is a source of its own; a row with null id draws by its text and its place in
+the input, so that such rows draw each for itself (and alike on every run over the same files); rows that
 repeat an id get equal numbers of copies; a source that given weights leave out gets no copies;
 null or empty texts are documents like others; empty tables give no rows; extra columns are kept,
 and the added columns get underscores where names clash.
@@ -59,13 +60,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights
     name = {c: free_name(docs, c) for c in ("copy", "n_copies", "shuffle_key")}
     # written first: its size is then known, and Spark broadcasts it while it is small
     r = keep(rates(docs, source, weights, alpha), "mix-rates").select(F.col("source").alias("_mix_source"), F.col("cdf").alias("_mix_cdf"))
-    u = uniform(F.lit(seed), docs[id_col]) / F.lit(float(1 << 52))
-    drawn = docs.withColumn("_mix_u", u).join(r, docs[source].eqNullSafe(F.col("_mix_source")))
+    body = F.coalesce(docs["text"], F.lit("")) if "text" in docs.columns else F.lit("")
+    own = F.when(docs[id_col].isNull(), F.concat(F.md5(body), F.lit("#"), F.monotonically_increasing_id().cast("string")))
+    drawn = docs.withColumn("_mix_key", F.coalesce(docs[id_col].cast("string"), own))
+    u = uniform(F.lit(seed), F.col("_mix_key")) / F.lit(float(1 << 52))
+    drawn = drawn.withColumn("_mix_u", u).join(r, docs[source].eqNullSafe(F.col("_mix_source")))
     drawn = drawn.withColumn(name["n_copies"], F.expr("size(filter(_mix_cdf, c -> _mix_u >= c))")).drop("_mix_cdf", "_mix_u", "_mix_source")
     every = drawn.where(F.col(name["n_copies"]) > 0).withColumn(name["copy"], F.explode(F.sequence(F.lit(1), F.col(name["n_copies"]))))
-    every = every.withColumn(name["shuffle_key"], uniform(F.lit(seed + 1), F.col(id_col), F.col(name["copy"])))
+    every = every.withColumn(name["shuffle_key"], uniform(F.lit(seed + 1), F.col("_mix_key"), F.col(name["copy"])))
     return (every.repartitionByRange(parts(docs.sparkSession), name["shuffle_key"])
-            .sortWithinPartitions(name["shuffle_key"], id_col, name["copy"]))
+            .sortWithinPartitions(name["shuffle_key"], id_col, name["copy"]).drop("_mix_key"))
 
 
 def op9_mix_sources(spark, sf_dir):

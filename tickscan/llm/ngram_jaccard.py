@@ -78,7 +78,8 @@ def features(docs: DataFrame, percent: int, k: int, whole: bool = False) -> Data
 
 
 def columns(reps: DataFrame, texts: DataFrame, percent: int, k: int, heavy: int) -> DataFrame:
-    """(h, cls, n, pos): the columns of each class that the threshold makes it need."""
+    """(h, cls, n, pos): the columns of each class that the threshold makes it need. Deletes ``reps``
+    (cls, rep, n, low), the widest table, once its sets are cut."""
     p = f"n - ({percent} * n + 99) div 100 + 1"
     held = reps.select("cls", F.explode("low").alias("h"))
     many = keep(held.groupBy("h").count().where(F.col("count") > heavy).select("h"), "ngram-heavy")
@@ -90,6 +91,7 @@ def columns(reps: DataFrame, texts: DataFrame, percent: int, k: int, heavy: int)
     split = keep(split.withColumn("known", known).select(
         "cls", "rep", "n", "known",
         F.when(known, F.expr(f"slice(concat(first, last), 1, cast({p} as int))")).alias("pre")), "ngram-prefix")
+    drop(reps)
     # sets whose low end is mostly heavy: order the whole set
     short = keep(split.where("not known").select(F.col("rep").alias("id"), F.col("cls").alias("c")), "ngram-short")
     full = features(texts.join(short.select("id"), "id", "left_semi"), percent, k, whole=True).dropDuplicates(["cls"])
@@ -142,9 +144,8 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int,
     return dealt.mapInArrow(_compare(percent, k), "a long, b long")
 
 
-def jaccard_links(texts: DataFrame, reps: DataFrame, percent: int, k: int, heavy: int) -> DataFrame:
-    """(a, b): verified links between classes that make up all components."""
-    cols = columns(reps, texts, percent, k, heavy)
+def jaccard_links(texts: DataFrame, cols: DataFrame, reps: DataFrame, percent: int, k: int, heavy: int) -> DataFrame:
+    """(a, b): verified links between classes that make up all components; ``cols`` is deleted."""
     banded = cols.withColumn("band", F.expr(f"cast(floor(ln(n) / -ln({percent} / 100.0)) as int)"))
     pivot = banded.groupBy("h", "band").agg(F.min("cls").alias("a"))
     star = (banded.join(pivot, ["h", "band"]).where("a <> cls")
@@ -257,9 +258,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     drop(rows)
     # an id may stand on several rows with different texts: such a class needs the text of its own
     texts = docs.where("id is not null and text is not null")
-    links = jaccard_links(texts, reps, percent, k, heavy)
     small = keep(reps.select("cls", "rep"), "ngram-members")
-    drop(reps)
+    links = jaccard_links(texts, columns(reps, texts, percent, k, heavy), small, percent, k, heavy)
     comp = connected_components(links).withColumnRenamed("node", "cls")
     degree = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("n_links"))
     named = small.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
