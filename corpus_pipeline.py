@@ -4,7 +4,8 @@ Each stage calls one operator of ``tickscan.llm`` on all that its predecessor ke
 written as Parquet to the folder in spark.checkpoint.dir and read again as the next one's docs:
 
 1. toxicity: documents that the classifier rejects go;
-2. ngram_jaccard: one document of each group of near duplicates stays, that of the smallest id;
+2. ngram_jaccard: one document of each group of near duplicates stays, that of the smallest id (five
+   words and a similarity of 0.8, the general rule for near duplicates; the query op5 has its own);
 3. substring_dedup: passages that stand in an earlier document are cut from the text (n_chars
    follows); a document of which nothing is left goes;
 4. decontaminate: documents contaminated with benchmark items go;
@@ -32,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_first(docs)
+    return keep_first(docs, k=5, percent=80)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
