@@ -14,9 +14,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.ticks import instant, region_of
 from ..operators.bars import bars as make_bars
+from ..operators.bars import duration_us
 from ..operators.clean import quarantine, valid_ticks
+from ..operators.history import latest
 from ..schemas import DEFAULT_SPANS, DEFAULT_WINDOW, LATENESS_BOUND
-from ..sinks.tables import write_advisories, write_ema_rows
+from ..session import folder_exists
+from ..sinks.tables import latest_times, read_table, write_advisories, write_ema_rows
 from .state import EmaCrossoverProcessor, output_schema
 
 STREAM_TICK_SCHEMA = ("id string, sec_type string, last string, trade_timestamp timestamp, "
@@ -40,14 +43,35 @@ def stream_bars(ticks: DataFrame, window: str = DEFAULT_WINDOW, bound: str = LAT
 
 def trend_stream(ticks: DataFrame, window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS,
                  bound: str = LATENESS_BOUND, ttl_ms: int | None = None, seed: float | str = 0.0,
-                 min_bars: int = 0) -> DataFrame:
+                 min_bars: int = 0, initial: DataFrame | None = None) -> DataFrame:
     """One row per closed bar with ``ema<span>`` columns and the crossover ``message`` (or NULL).
 
-    A symbol's state is dropped ``ttl_ms`` after its last bar if given (processing time)."""
+    A symbol's state is dropped ``ttl_ms`` after its last bar if given (processing time). ``initial``
+    (:func:`history_state`) is where symbols start from in a new checkpoint; ticks of the bars it covers
+    are left out by :func:`after_history`."""
     b = stream_bars(ticks, window, bound)
     return (b.groupBy("symbol")
              .transformWithState(EmaCrossoverProcessor(spans, seed=seed, ttl_ms=ttl_ms, min_bars=min_bars),
-                                 output_schema(spans), "Append", "ProcessingTime" if ttl_ms else "None"))
+                                 output_schema(spans), "Append", "ProcessingTime" if ttl_ms else "None",
+                                 initialState=None if initial is None else initial.groupBy("symbol")))
+
+
+def history_state(ema_table: DataFrame, spans=DEFAULT_SPANS, times: DataFrame | None = None) -> DataFrame:
+    """(symbol, e<span>..., n): the state after each symbol's stored rows, one bar each. Its last row
+    holds the EMAs (rounding of stored values goes on with them); ``times`` finds it without a scan."""
+    last = latest(ema_table, times=times).select("symbol", *[F.col(f"ema{s}").alias(f"e{s}") for s in spans])
+    return last.join(ema_table.groupBy("symbol").agg(F.count("*").alias("n")), "symbol")
+
+
+def after_history(ticks: DataFrame, times: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
+    """``ticks`` (a stream) without those of windows that the history (symbol, latest) covers already:
+    each up to the end of the one that holds the symbol's latest stored time."""
+    size = duration_us(window)
+    at = F.unix_micros(instant("trade_timestamp"))
+    upto = times.select(F.col("symbol").alias("_symbol"), F.unix_micros(instant("latest")).alias("_us"))
+    upto = upto.select("_symbol", (F.col("_us") - F.pmod("_us", F.lit(size)) + size).alias("_end"))
+    return (ticks.join(upto, F.col("id") == F.col("_symbol"), "left").where(F.col("_end").isNull() | (at >= F.col("_end")))
+            .drop("_symbol", "_end"))
 
 
 def topic_frames(batch: DataFrame, spans=DEFAULT_SPANS, descriptor_file: str | None = None, binary: bool = False) -> DataFrame:
@@ -101,13 +125,21 @@ def start_job(ticks: DataFrame, ema_path: str, advisory_path: str, checkpoint: s
               window: str = DEFAULT_WINDOW, spans=DEFAULT_SPANS, bound: str = LATENESS_BOUND,
               processing_time: str = "5 seconds", quarantine_path: str | None = None,
               brokers: str | None = None, descriptor_file: str | None = None, region: str | None = None,
-              ttl_ms: int | None = None, seed: float | str = 0.0, min_bars: int = 0,
+              ttl_ms: int | None = None, seed: float | str = 0.0, min_bars: int = 0, from_history: bool = False,
               dead_letters: DataFrame | None = None, dead_letter_path: str | None = None) -> list[StreamingQuery]:
     """Start the job: EMA/advisory tables via ``foreachBatch``; optionally the quarantine and the
-    undecodable topic records (``dead_letters``) as sinks of their own, one region only, and topics out."""
+    undecodable topic records (``dead_letters``) as sinks of their own, one region only, and topics out.
+
+    ``from_history``: a job whose checkpoint is gone goes on from the EMA table instead of zero. What
+    the history covers is fixed when the job first starts and kept beside the checkpoint for restarts."""
+    spark = ticks.sparkSession
     if region:
         ticks = ticks.where(region_of("id") == region)
-    out = trend_stream(ticks, window, spans, bound, ttl_ms, seed, min_bars)
+    initial = None
+    if from_history:
+        initial, times = _bootstrap(spark, ema_path, checkpoint, spans)
+        ticks = after_history(ticks, times, window)
+    out = trend_stream(ticks, window, spans, bound, ttl_ms, seed, min_bars, initial)
     q = (out.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint + "/trend")
             .foreachBatch(batch_writer(ema_path, advisory_path, spans, brokers, descriptor_file))
@@ -123,6 +155,17 @@ def start_job(ticks: DataFrame, ema_path: str, advisory_path: str, checkpoint: s
     return queries
 
 
+def _bootstrap(spark: SparkSession, ema_path: str, checkpoint: str, spans) -> tuple[DataFrame, DataFrame]:
+    """(initial state, latest times) of the EMA table as the job first found it, written beside the
+    checkpoint: one row for each symbol."""
+    at = f"{checkpoint}/history"
+    if not folder_exists(f"{at}/state/_SUCCESS"):
+        table, times = read_table(spark, ema_path), latest_times(spark, ema_path)
+        times.write.mode("overwrite").parquet(f"{at}/times")
+        history_state(table, spans, times).write.mode("overwrite").parquet(f"{at}/state")
+    return spark.read.parquet(f"{at}/state"), spark.read.parquet(f"{at}/times")
+
+
 def capture_topics(spark: SparkSession, brokers: str, topics, out_path: str, checkpoint: str,
                    starting: str = "earliest", descriptor_file: str | None = None, decoded: bool = False) -> list[StreamingQuery]:
     """Capture topic records to CSV, one folder per kind and topic, stamped with the capture time.

@@ -113,6 +113,29 @@ def q_stream_upsert_again(spark, sf):
     return _ema_out(_memo(("again", sf), make).ema_table())
 
 
+def q_state_table(spark, sf):
+    """The keyed state of the finished job as a table: each symbol's EMAs and number of bars."""
+    from .inspect import ema_state
+    s = ema_state(spark, _trend_run(spark, sf).checkpoint + "/trend")
+    return s.select("symbol", F.round("ema38", 6).alias("ema38"), F.round("ema100", 6).alias("ema100"), "bars")
+
+
+HISTORY_SPLIT = "2024-01-15 00:00:00"  # the first run's feed ends here, inside the second one
+
+
+def q_stream_bootstrap(spark, sf):
+    """The job run over the first half of the feed; then, its checkpoint lost, a new one from the stored
+    history over the whole feed: the rows of an uninterrupted run."""
+    def make():
+        feed = _feed(spark, sf, False)
+        first = Replay(spark, "half-replay")
+        first.run(feed.where(F.col("trade_timestamp") < F.lit(HISTORY_SPLIT).cast("timestamp_ntz")), "1 hour")
+        again = Replay(spark, "bootstrap-replay", tables=first)
+        again.run(feed, "1 hour", from_history=True)
+        return (first.root, first)
+    return _ema_out(_memo(("bootstrap", sf), make).ema_table())
+
+
 DAY_FILE_BYTES = 4  # a trigger admits this part of all day files
 
 
@@ -152,6 +175,8 @@ def q_stream_day_files(spark, sf):
 
 
 STREAM_QUERIES = {
+    "stream_bootstrap": q_stream_bootstrap,
+    "stream_state_table": q_state_table,
     "stream_day_files": q_stream_day_files,
     "stream_upsert_again": q_stream_upsert_again,
     "stream_bars": q_stream_bars,
@@ -181,6 +206,9 @@ def _late_bars_sql() -> str:
 
 
 STREAM_ORACLE = {
+    "stream_bootstrap": _EMA_CLOSED,
+    "stream_state_table": _H1 + f"""SELECT symbol, round(arg_max(e38, window_start), 6) AS ema38, round(arg_max(e100, window_start), 6) AS ema100,
+       count(*) AS bars FROM emas WHERE {_CLOSED} GROUP BY symbol""",
     "stream_day_files": O.with_base() + "SELECT id, region, last, price, trade_timestamp FROM vticks",
     "stream_upsert_again": _EMA_CLOSED,
     "stream_bars": O.with_base(O.bars_cte("1 hour")) + f"SELECT * EXCLUDE (ticks), ticks FROM bars WHERE {_CLOSED}",

@@ -79,14 +79,15 @@ class Replay:
         self.feed.where(F.col("batch") == F.lit(b)).drop("batch").write.mode("append").parquet(self.source)
 
     def run(self, ticks: DataFrame, window: str, spans=DEFAULT_SPANS, bound: str = LATENESS_BOUND,
-            stop_after: int | None = None) -> None:
+            stop_after: int | None = None, from_history: bool = False) -> None:
         """Replay all batches; with ``stop_after``, stop the query after that many batches and restart it
         from its checkpoint for the rest."""
         batches = self.arrivals(ticks)
 
         def start():
             return start_job(read_tick_stream(self.spark, self.source), self.ema_path, self.advisory_path,
-                             self.checkpoint, window, spans, bound, processing_time="200 milliseconds")[0]
+                             self.checkpoint, window, spans, bound, processing_time="200 milliseconds",
+                             from_history=from_history)[0]
 
         with _partitions(self.spark, self.state_partitions):
             self._run(batches, start, stop_after)

@@ -19,6 +19,15 @@ from ..operators.ema import alpha, ema_col
 from ..schemas import BUY, DEFAULT_SPANS, SELL
 
 
+#: Name of the state variable, by which a checkpoint is read (``streaming/inspect.py``).
+STATE_NAME = "ema"
+
+
+def state_schema(spans=DEFAULT_SPANS) -> T.StructType:
+    """A symbol's state: the EMA of each span and the number of bars."""
+    return T.StructType([*[T.StructField(f"e{s}", T.DoubleType()) for s in spans], T.StructField("n", T.LongType())])
+
+
 def output_schema(spans=DEFAULT_SPANS) -> T.StructType:
     return T.StructType([
         T.StructField("symbol", T.StringType()),
@@ -42,12 +51,17 @@ class EmaCrossoverProcessor(StatefulProcessor):
         self.min_bars = min_bars
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField(f"e{s}", T.DoubleType()) for s in self.spans]
-                              + [T.StructField("n", T.LongType())])
-        self.state = handle.getValueState("ema", schema, self.ttl_ms)
+        self.state = handle.getValueState(STATE_NAME, state_schema(self.spans), self.ttl_ms)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Take up a symbol where stored history left it: (symbol, e<span>..., n)."""
+        row = initialState
+        self.state.update((*[float(row[f"e{s}"]) for s in self.spans], int(row["n"])))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         bars = sorted(rows, key=lambda r: r["window_start"])
+        if not bars:  # only an initial state
+            return
         if self.state.exists():
             *cur, n = self.state.get()
             cur = list(cur)
