@@ -8,6 +8,8 @@ All live in folders of the table whose names start with an underscore, which Spa
   opened by every insert into their day, and indexed by it.
 * ``_latest/``: (symbol, latest) of every batch written and file indexed; a symbol's latest time is the
   greatest of its few rows here, so history queries need no scan of the table for it.
+* ``_compacted/`` and ``_swaps/``: files that stand for several small ones, and which for which
+  (``sinks/compact.py``); a table's files are those of its days, as swapped.
 * ``_batches/<token>``: an empty file for each batch whose rows and index are in, put there by one
   rename. A batch that finds its token does nothing.
 
@@ -19,6 +21,7 @@ that a day with many files costs a key only those that overlap its own hour.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -33,6 +36,7 @@ KEYS_PER_PAGE = 2_730
 PAGE_BITS = 32_768
 SLOT_SECONDS = 3_600
 INDEX, BATCHES, LATEST = "_index", "_batches", "_latest"
+COMPACTED, SWAPS = "_compacted", "_swaps"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -40,21 +44,56 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def day_files(spark: SparkSession, path: str, days: list) -> dict[str, str]:
-    """Data files of the given days: full path by name relative to the table (one listing a day)."""
+def listed(spark: SparkSession, folder: str) -> dict[str, tuple[str, int]]:
+    """(full path, bytes) by name of the data files in a folder, if it is there."""
+    fs, p = _fs(spark, folder)
     out = {}
-    for d in days:
-        fs, p = _fs(spark, f"{path}/{PARTITION_COLUMN}={d}")
-        if not fs.exists(p):
-            continue
+    if fs.exists(p):
         each = fs.listStatusIterator(p)
         while each.hasNext():
-            f = each.next().getPath()
-            if not f.getName().startswith(("_", ".")):
-                out[f"{PARTITION_COLUMN}={d}/{f.getName()}"] = f.toString()
+            f = each.next()
+            if f.isFile() and not f.getPath().getName().startswith(("_", ".")):
+                out[f.getPath().getName()] = (f.getPath().toString(), f.getLen())
+    return out
+
+
+def swaps(spark: SparkSession, path: str) -> dict[str, dict]:
+    """The committed swaps by marker name: {"add": names, "remove": names}."""
+    out = {}
+    for name, (file, _) in listed(spark, f"{path}/{SWAPS}").items():
+        text = "\n".join(r[0] for r in spark.read.text(file).collect())
+        out[name] = json.loads(text)
     return out
 
 
+def days_of(spark: SparkSession, path: str) -> list[str]:
+    """The days that the table has a folder for."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(PARTITION_COLUMN + "="))
+
+
+def sized_files(spark: SparkSession, path: str, days: list) -> dict[str, tuple[str, int]]:
+    """(full path, bytes) of the data files of the given days by name relative to the table."""
+    swapped = swaps(spark, path)
+    gone = {n for s in swapped.values() for n in s["remove"]}
+    added = {n for s in swapped.values() for n in s["add"]}
+    out = {}
+    for d in days:
+        day = f"{PARTITION_COLUMN}={d}"
+        out |= {f"{day}/{n}": f for n, f in listed(spark, f"{path}/{day}").items()}
+        if added:
+            out |= {f"{day}/{n}": f for n, f in listed(spark, f"{path}/{COMPACTED}/{day}").items() if f"{day}/{n}" in added}
+    return {n: f for n, f in out.items() if n not in gone}
+
+
+def day_files(spark: SparkSession, path: str, days: list) -> dict[str, str]:
+    """Data files of the given days: full path by name relative to the table."""
+    return {n: f for n, (f, _) in sized_files(spark, path, days).items()}
+
+
 def has_batch(spark: SparkSession, path: str, token: str) -> bool:
     fs, p = _fs(spark, f"{path}/{BATCHES}/{token}")
     return fs.exists(p)
@@ -111,9 +150,8 @@ def write_index(spark: SparkSession, path: str, files: dict[str, str], key: list
     index row is never read for it again."""
     rows = None
     if files:
-        rows = read_files(spark, path, files)
-        name = F.regexp_extract("_metadata.file_path", rf"({PARTITION_COLUMN}=[^/]*/[^/]*)$", 1)
-        rows = rows.select(*key, PARTITION_COLUMN, F.url_decode(name).alias("file"))
+        name = F.regexp_extract(F.input_file_name(), rf"({PARTITION_COLUMN}=[^/]*/[^/]*)$", 1)
+        rows = read_files(spark, path, files).select(*key, PARTITION_COLUMN, F.url_decode(name).alias("file"))
     latest = latest_rows(batch, ts_col) if batch is not None else None
     if rows is not None:
         latest = latest_rows(rows, ts_col).union(latest) if latest is not None else latest_rows(rows, ts_col)
@@ -129,7 +167,13 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str, files: dict[str, str]) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(*files.values())
+    """The rows of the given data files, with their day."""
+    parts = []
+    for base in (path, f"{path}/{COMPACTED}"):
+        mine = [f for f in files.values() if (f"/{COMPACTED}/" in f) == (base != path)]
+        if mine:
+            parts.append(spark.read.option("basePath", base).parquet(*mine))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 @dataclass
