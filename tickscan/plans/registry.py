@@ -754,5 +754,5 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracles() -> dict[str, str]:
-    from ..streaming.registry import STREAM_ORACLE
-    return ORACLE | STREAM_ORACLE
+    from ..streaming.registry import STREAM_ORACLE, stream_oracle
+    return ORACLE | STREAM_ORACLE | stream_oracle(ORACLE["price_direction"], _KEPT_EMA, _EMA_TABLE, SHARE)

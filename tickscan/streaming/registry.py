@@ -120,6 +120,68 @@ def q_state_table(spark, sf):
     return s.select("symbol", F.round("ema38", 6).alias("ema38"), F.round("ema100", 6).alias("ema100"), "bars")
 
 
+def q_stream_price_direction(spark, sf):
+    """Direction of the last two ticks of each symbol from the live state, after a feed whose last batches
+    bring late ticks."""
+    from .job import read_tick_stream
+    from .live import by_batch, price_direction_stream
+
+    def make():
+        r = Replay(spark, "direction-replay")
+        out = r.root + "/directions"
+        q = (price_direction_stream(read_tick_stream(spark, r.source)).writeStream.outputMode("update").foreachBatch(by_batch(out))
+             .option("checkpointLocation", r.checkpoint).trigger(processingTime="200 milliseconds").start())
+        # arrival in another order than trade time: later batches bring earlier ticks too
+        feed = events_as_ticks(spark, sf)
+        feed = feed.withColumn("batch", F.when(F.col("seq") % 7 == 0, F.lit(2)).when(F.col("seq") % 3 == 0, F.lit(0)).otherwise(F.lit(1)))
+        try:
+            for b in r.arrivals(feed):
+                r.stage(b)
+                q.processAllAvailable()
+        finally:
+            q.stop()
+        return (r.root, out)
+    t = spark.read.parquet(_memo(("direction", sf), make))
+    last = t.groupBy("symbol").agg(F.max_by(F.struct("last_price", "previous_price", "direction"), "batch").alias("r"))
+    return last.select("symbol", "r.*")
+
+
+def q_stream_chart(spark, sf):
+    """The charts of one share and of all: stored rows, then a live feed that repeats some of them with other
+    values."""
+    from ..plans.registry import OVERLAP_DAY, SHARE, SPLIT_DAY, _bumped, _ema_rows
+    from ..session import scratch_path, write_and_read
+    from .live import start_chart
+
+    def make():
+        root = scratch_path(spark, "chart")
+        e = write_and_read(_ema_rows(spark, sf).withColumn("trade_timestamp", instant("trade_timestamp")), "ema-rows")
+        old = write_and_read(e.where(F.col("trade_timestamp") < F.lit(SPLIT_DAY).cast("timestamp")), "chart-history")
+        live = _bumped(e.where(F.col("trade_timestamp") >= F.lit(OVERLAP_DAY).cast("timestamp")))
+        live = write_and_read(live.withColumn("batch", F.floor(F.unix_seconds("trade_timestamp") / (5 * 86400))), "chart-live")
+        e.limit(0).write.parquet(f"{root}/in")
+        feed = spark.readStream.schema(e.schema).parquet(f"{root}/in")
+        charts = {name: start_chart(feed, old, f"{root}/{name}", f"{root}/check-{name}", name, processing_time="200 milliseconds")
+                  for name in (SHARE, "ALL")}
+        try:
+            for b in sorted(r[0] for r in live.select("batch").distinct().collect()):
+                part = live.where(F.col("batch") == b).drop("batch")
+                part.unionByName(part.limit(50)).write.mode("append").parquet(f"{root}/in")  # some rows come twice
+                for q in charts.values():
+                    q.processAllAvailable()
+        finally:
+            for q in charts.values():
+                q.stop()
+        return (root, (root, list(charts)))
+    root, names = _memo(("chart", sf), make)
+    out = None
+    for name in names:
+        rows = spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("chart"), "symbol", "ema38", "ema100",
+                                                           wall_time("trade_timestamp").alias("trade_timestamp"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 HISTORY_SPLIT = "2024-01-15 00:00:00"  # the first run's feed ends here, inside the second one
 
 
@@ -175,6 +237,8 @@ def q_stream_day_files(spark, sf):
 
 
 STREAM_QUERIES = {
+    "stream_price_direction": q_stream_price_direction,
+    "stream_chart": q_stream_chart,
     "stream_bootstrap": q_stream_bootstrap,
     "stream_state_table": q_state_table,
     "stream_day_files": q_stream_day_files,
@@ -188,7 +252,7 @@ STREAM_QUERIES = {
 
 _BOUND = duration_us("10 seconds")
 _CLOSED = f"epoch_us(window_end) <= (SELECT max(epoch_us(trade_timestamp)) FROM vticks) - {_BOUND}"
-_H1 = O.trend_with("1 hour")
+_H1, _M1 = O.trend_with("1 hour"), O.trend_with("1 minute")
 _EMA_CLOSED = _H1 + f"SELECT symbol, trade_timestamp, round(e38, 6) AS ema38, round(e100, 6) AS ema100 FROM emas WHERE {_CLOSED}"
 
 
@@ -205,6 +269,15 @@ def _late_bars_sql() -> str:
         O.bars_cte("1 minute", src="kept")) + f"SELECT symbol, window_start, window_end, close, trade_timestamp, ticks FROM bars WHERE {_CLOSED}"
 
 
+def stream_oracle(direction_sql: str, kept_ema: str, ema_table: str, share: str) -> dict[str, str]:
+    """SQL of the stream queries that state what a batch query states."""
+    return {
+        "stream_price_direction": direction_sql,
+        "stream_chart": _M1 + f"""SELECT chart, symbol, ema38, ema100, trade_timestamp FROM (SELECT {kept_ema} FROM ({ema_table})) t,
+  (VALUES ('{share}'), ('ALL')) c(chart) WHERE chart = 'ALL' OR symbol = chart""",
+    }
+
+
 STREAM_ORACLE = {
     "stream_bootstrap": _EMA_CLOSED,
     "stream_state_table": _H1 + f"""SELECT symbol, round(arg_max(e38, window_start), 6) AS ema38, round(arg_max(e100, window_start), 6) AS ema100,
