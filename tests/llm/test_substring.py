@@ -175,8 +175,8 @@ def test_components_join_all_alike_paragraphs(spark):
     b, c = list(a), list(a)
     for k in range(4):
         b[20 + k * 45] = c[20 + k * 45] = fresh(1)[0]
-    for k in range(5):
-        c[5 + k * 38] = fresh(1)[0]
+    for k in range(4):
+        c[5 + k * 45] = fresh(1)[0]
     rows = [(1, " ".join(a)), (3, " ".join(b)), (2, " ".join(c)), (9, " ".join(fresh(100)))]
     out = {r["doc_id"]: r for r in substring_dedup(frame(spark, rows), run=150).collect()}
     assert [out[i]["component_id"] for i in (1, 2, 3, 9)] == [1, 1, 1, 9]

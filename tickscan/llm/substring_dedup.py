@@ -123,7 +123,8 @@ def minhash(w: Words, first: np.ndarray, end: np.ndarray, bands: int, rows: int)
 # -- runs of equal words ------------------------------------------------------------------------
 
 SENT = "shard long, hashes binary, places binary, docs binary, firsts binary, hot long"
-FOUND = "rid long, prid long, places binary, hash long, docs binary"
+FOUND = "bucket long, rids binary, prids binary, places binary, hash long, docs binary, holder long"
+REPEATS = "rid long, prids array<long>, places binary"
 
 
 def _batch_rows(hashes: np.ndarray, row: np.ndarray, at: np.ndarray, ords: np.ndarray, rids: np.ndarray, shards: int):
@@ -186,69 +187,91 @@ def _runs_sent(run: int, part: int, of: int, shards: int):
     return go
 
 
-def _places_rows(rid: np.ndarray, prid: np.ndarray, place: np.ndarray) -> list[dict]:
-    """(rid, prid, places): a row for each document and first holder."""
-    order = np.lexsort((prid, rid))
-    rid, prid, place = rid[order], prid[order], place[order]
-    edge = np.flatnonzero(np.r_[True, (rid[1:] != rid[:-1]) | (prid[1:] != prid[:-1]), True]) if len(rid) else np.zeros(1, int)
-    return [{"rid": int(rid[a]), "prid": int(prid[a]), "places": place[a:z].astype(np.uint32).tobytes()} for a, z in zip(edge[:-1], edge[1:])]
+def _bucketed(rid: np.ndarray, prid: np.ndarray, place: np.ndarray, buckets: int) -> list[dict]:
+    """Repeats dealt to the buckets of their documents, a row for each bucket."""
+    of = (mix(rid.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    of, rid, prid, place = of[order], rid[order], prid[order], place[order].astype(np.uint32)
+    edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True]) if len(of) else np.zeros(1, int)
+    return [{"bucket": int(of[a]), "rids": rid[a:z].tobytes(), "prids": prid[a:z].tobytes(), "places": place[a:z].tobytes()}
+            for a, z in zip(edge[:-1], edge[1:])]
 
 
-_FOUND_ARROW = pa.schema([("rid", pa.int64()), ("prid", pa.int64()), ("places", pa.binary()), ("hash", pa.int64()), ("docs", pa.binary())])
+_FOUND_ARROW = pa.schema([("bucket", pa.int64()), ("rids", pa.binary()), ("prids", pa.binary()), ("places", pa.binary()),
+                          ("hash", pa.int64()), ("docs", pa.binary()), ("holder", pa.int64())])
 
 
-def _first_holders(t: pa.Table) -> pa.Table:
+def _first_holders(buckets: int):
     """One shard: the runs that stand in an earlier document; the first holder of each run that a batch
     sent once; rows of shared runs pass."""
-    out = [{"hash": h, "places": p, "docs": d} for h, p, d in zip(*(t.filter(t.column("hot").is_valid()).column(c).to_pylist() for c in ("hot", "places", "docs")))]
-    sent = t.filter(t.column("hashes").is_valid())
-    if len(sent):
-        parts = []
-        for h, p, d, o in zip(*(sent.column(c).to_pylist() for c in ("hashes", "places", "docs", "firsts"))):
-            place, inside = np.frombuffer(p, np.uint32).reshape(2, -1)
-            parts.append((np.frombuffer(h, np.uint64), place, np.frombuffer(d, np.int64)[inside], np.frombuffer(o, np.int64)[inside]))
-        h, place, rid, first = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-        again = np.r_[False, s[1:] == s[:-1]] if len(s) else np.zeros(0, bool)
-        some = order[again | np.r_[again[1:], False] | (place[order] & 1 == 1)]  # of more than one holder, or asked for
-        h, place, rid, first = h[some], place[some], rid[some], first[some]
-        order = np.lexsort((rid, first, h))
-        h, place, rid = h[order], place[order], rid[order]
-        new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-        holder = np.repeat(rid[new], np.diff(np.r_[new, len(h)]))
-        repeat = (rid != holder) & (place & 1 == 0)
-        out += _places_rows(rid[repeat], holder[repeat], place[repeat] >> 1)
-        asked = np.flatnonzero(place & 1)
-        answer, at = np.unique(h[asked], return_index=True)
-        out += [{"hash": x, "prid": p} for x, p in zip(answer.view(np.int64).tolist(), holder[asked[at]].tolist())]
-    return pa.Table.from_pylist(out, _FOUND_ARROW)
-
-
-def _shared_places(batches):
-    """(prid, docs, places) of runs that many documents of a batch share."""
-    for b in batches:
-        rows = []
-        for prid, d, p in zip(*(b.column(c).to_pylist() for c in ("prid", "docs", "places"))):
-            rid, place = np.frombuffer(d, np.int64), np.frombuffer(p, np.uint32)
-            later = rid != prid
-            rows += _places_rows(rid[later], np.full(int(later.sum()), prid), place[later])
-        yield pa.RecordBatch.from_pylist([r | {"hash": None, "docs": None} for r in rows], _FOUND_ARROW).select(["rid", "prid", "places"])
+    def go(t: pa.Table) -> pa.Table:
+        shared = t.filter(t.column("hot").is_valid())
+        out = [{"hash": h, "places": p, "docs": d} for h, p, d in zip(*(shared.column(c).to_pylist() for c in ("hot", "places", "docs")))]
+        sent = t.filter(t.column("hashes").is_valid())
+        if len(sent):
+            parts = []
+            for h, p, d, o in zip(*(sent.column(c).to_pylist() for c in ("hashes", "places", "docs", "firsts"))):
+                place, inside = np.frombuffer(p, np.uint32).reshape(2, -1)
+                parts.append((np.frombuffer(h, np.uint64), place, np.frombuffer(d, np.int64)[inside], np.frombuffer(o, np.int64)[inside]))
+            h, place, rid, first = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(h, kind="stable")
+            s = h[order]
+            again = np.r_[False, s[1:] == s[:-1]] if len(s) else np.zeros(0, bool)
+            some = order[again | np.r_[again[1:], False] | (place[order] & 1 == 1)]  # of more than one holder, or asked for
+            h, place, rid, first = h[some], place[some], rid[some], first[some]
+            order = np.lexsort((rid, first, h))
+            h, place, rid = h[order], place[order], rid[order]
+            new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+            holder = np.repeat(rid[new], np.diff(np.r_[new, len(h)]))
+            repeat = (rid != holder) & (place & 1 == 0)
+            out += _bucketed(rid[repeat], holder[repeat], place[repeat] >> 1, buckets)
+            asked = np.flatnonzero(place & 1)
+            answer, at = np.unique(h[asked], return_index=True)
+            out += [{"hash": x, "holder": p} for x, p in zip(answer.view(np.int64).tolist(), holder[asked[at]].tolist())]
+        return pa.Table.from_pylist(out, _FOUND_ARROW)
+    return go
+
+
+def _shared_places(buckets: int):
+    """The repeats of runs (holder, docs, places) that many documents of a batch share."""
+    def go(batches):
+        for b in batches:
+            parts = [(np.zeros(0, np.int64),) * 3]
+            for holder, d, p in zip(*(b.column(c).to_pylist() for c in ("holder", "docs", "places"))):
+                rid, place = np.frombuffer(d, np.int64), np.frombuffer(p, np.uint32)
+                later = rid != holder
+                parts.append((rid[later], np.full(int(later.sum()), holder), place[later]))
+            rows = _bucketed(*(np.concatenate(x) for x in zip(*parts)), buckets)
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(list(_FOUND_ARROW)[:4]))
+    return go
+
+
+def _by_document(t: pa.Table) -> pa.Table:
+    """One bucket: a row for each document, with the first holders and places of its repeats."""
+    kinds = {"rids": np.int64, "prids": np.int64, "places": np.uint32}
+    rid, prid, place = (np.concatenate([np.frombuffer(x, k) for x in t.column(c).to_pylist()]) for c, k in kinds.items())
+    order = np.argsort(rid, kind="stable")
+    rid, prid, place = rid[order], prid[order], place[order]
+    edge = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1], True])
+    rows = [{"rid": int(rid[a]), "prids": np.unique(prid[a:z]), "places": np.unique(place[a:z]).tobytes()} for a, z in zip(edge[:-1], edge[1:])]
+    return pa.Table.from_pylist(rows, pa.schema([("rid", pa.int64()), ("prids", pa.list_(pa.int64())), ("places", pa.binary())]))
 
 
 def equal_runs(texts: DataFrame, run: int = RUN) -> list[DataFrame]:
-    """Written tables (rid, prid, places) for ``texts`` (ord, rid, text): the places of the runs of
-    document ``rid`` whose first holder is the earlier document ``prid``."""
+    """Written tables (rid, prids, places) for ``texts`` (ord, rid, text), a row for each document with
+    repeats: the places of its runs of words whose first holder is another, earlier document, and those
+    documents."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // (WORD_BYTES * SLICES * SHARD)))
     done = []
     for k in range(SLICES):
         sent = texts.mapInArrow(_runs_sent(run, k, SLICES, shards), SENT)
-        found = keep(sent.groupBy("shard").applyInArrow(_first_holders, FOUND), "repeat-runs")
-        answers = found.where("hash is not null and docs is null").select("hash", "prid")
-        shared = found.where("docs is not null").select("hash", "docs", "places").join(answers, "hash").select("prid", "docs", "places")
-        own = found.where("hash is null").select("rid", "prid", "places")
-        done.append(keep(own.union(shared.mapInArrow(_shared_places, "rid long, prid long, places binary")), "repeat-places"))
+        found = keep(sent.groupBy("shard").applyInArrow(_first_holders(shards), FOUND), "repeat-runs")
+        answers = found.where("holder is not null").select("hash", "holder")
+        shared = found.where("docs is not null").select("hash", "docs", "places").join(answers, "hash").select("holder", "docs", "places")
+        own = found.where("bucket is not null").select("bucket", "rids", "prids", "places")
+        dealt = own.union(shared.mapInArrow(_shared_places(shards), "bucket long, rids binary, prids binary, places binary"))
+        done.append(keep(dealt.groupBy("bucket").applyInArrow(_by_document, REPEATS), "repeat-places"))
         drop(found)
     return done
 
@@ -414,7 +437,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs = equal_runs(texts, run)
     places = reduce(DataFrame.union, runs)
     edges = (spans.select(F.col("prid").alias("a"), F.col("rid").alias("b")).union(alike)
-             .union(places.select(F.col("prid").alias("a"), F.col("rid").alias("b"))).distinct())
+             .union(places.select(F.explode("prids").alias("a"), F.col("rid").alias("b"))).distinct())
     comp = keep(connected_components(edges), "repeat-comp")
     ids = docs.select(rid.alias("node"), F.col(id_col).cast("long").alias("id")).distinct().join(comp, "node")
     ids = keep(ids, "repeat-ids")
