@@ -21,9 +21,57 @@ def test_container_without_article():
     assert main_text(html) == "Title\n" + "\n".join(["A sentence, long enough to count, is here."] * 3)
 
 
-def test_link_lists_inside_the_article_go():
-    html = "<main><p>Some text, with a comma, and enough words.</p><ul><li><a>one link</a></li><li><a>two links</a></li></ul></main>"
-    assert main_text(html) == "Some text, with a comma, and enough words."
+def test_links_of_the_article_stay():
+    links = "<ul><li><a>one link</a></li><li><a>two links</a></li></ul>"
+    html = "<main><p>Some text, with a comma, and enough words.</p>%s</main>"
+    assert main_text(html % links) == "Some text, with a comma, and enough words.\none link\ntwo links"
+    assert main_text(html % f"<nav>{links}</nav>") == main_text(html % f"<div class=menu>{links}</div>") == "Some text, with a comma, and enough words."
+    table = "<table><tr><td><a>cell one</a></td><td><a>cell two</a></td></tr></table>"
+    assert main_text(html % table).endswith("\ncell one\ncell two")
+    assert main_text(html % "<div><p><a>A whole paragraph that is one link</a></p></div>").endswith("\nA whole paragraph that is one link")
+
+
+P = "A sentence, long enough to count, is here."
+
+
+def body(inner):
+    return main_text(f"<html><head><title>T</title></head><body><div id=header><h1>Site</h1></div>{inner}<div id=footer>End of page</div></body></html>")
+
+
+def test_heads_of_the_article():
+    post = "<div class=post>" + f"<p>{P}</p>" * 3 + "</div>"
+    want = "The title\n" + "\n".join([P] * 3)
+    for head in ("<div class='post-header'><h1>The title</h1></div>", "<div class=entry-header><h2>The title</h2></div>", "<h1>The title</h1>",
+                 "<hgroup><h1>The title</h1></hgroup>"):
+        assert body(f"<div>{head}{post}</div>") == want
+    assert body(f"<article><header><h1>The title</h1></header>{post}</article>") == want
+
+
+def test_words_that_articles_are_about():
+    long = "The share of the market, which had been small, grew by a third within the year, said the company."
+    assert body(f"<article><p>{P}</p><section class='market-share'><h2>Shares</h2><p>{long}</p></section></article>") == f"{P}\nShares\n{long}"
+    assert body(f"<article><p>{P}</p><div class='share'><a>Share this</a> <a>Mail this</a></div></article>") == P
+    assert body(f"<article><p>{P}</p><div class='share-menu'><p>Tell others</p></div></article>") == P
+
+
+def test_more_shapes():
+    three = "\n".join([P] * 3)
+    ps = f"<p>{P}</p>" * 3
+    shapes = {
+        f"<div class=content>{ps}<div class=related><p>{P} Read more, and more, and more of it.</p></div></div>": three,
+        f"<main><div class=newsletter><p>{P}</p></div>{ps}</main>": three,
+        f"<div role=main>{ps}</div><div role=complementary>{ps}</div>": three,
+        f"<article>{ps}<pre>a = 1</pre><table><tr><th>k</th><td>v</td></tr></table></article>": three + "\na = 1\nk\nv",
+        f"<article>{ps}<figure><img><figcaption>A caption</figcaption></figure></article>": three + "\nA caption",
+        f"<article>{ps}<dl><dt>Term</dt><dd>Meaning</dd></dl></article>": three + "\nTerm\nMeaning",
+        f"<article>{ps}<details><summary>More</summary><p>Hidden by choice only.</p></details></article>": three + "\nMore\nHidden by choice only.",
+        f"<article>{ps}<div style='display: none'>Secret</div><button>Go</button><div hidden>x</div></article>": three,
+        f"<table><tr><td><a>m1</a><br><a>m2</a></td><td>{ps}</td></tr></table>": three,
+        f"<article><h1>T</h1>{ps}<section class=comments><p>{P}</p></section></article>": "T\n" + three,
+        f"<article>{ps}<ol class=references><li><a>First source</a></li><li><a>Second source</a></li></ol></article>": three + "\nFirst source\nSecond source",
+    }
+    for html, want in shapes.items():
+        assert body(html) == want, html
 
 
 def test_broken_pages():
@@ -59,3 +107,7 @@ def test_wrappers_with_listed_words():
         assert main_text("<body>" + start + "<main><h2>Title</h2>" + p * 4 + "</main>" + side + end + "</body>") == kept
     comments = "<div id=comments>" + "<p>A comment, long enough to count, is here.</p>" * 30 + "</div>"
     assert main_text("<body><div><h1>Title</h1>" + p * 4 + "</div>" + comments) == kept
+
+
+def test_empty_table(spark):
+    assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []

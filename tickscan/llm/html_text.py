@@ -52,37 +52,49 @@ OUTSIDE = frozenset("ad ads adv advert banner comment comments reply replies res
                     "modal overlay sponsor sponsored promo promotion skip".split())
 OUTSIDE_STEMS = ("advert", "comment", "sponsor", "cookie", "newsletter", "breadcrumb", "sidebar", "disqus", "recommend")
 INSIDE = frozenset("with has no without".split())
+#: Of those, words that an article may be about.
+AMBIGUOUS = frozenset("share sharing menu login signup subscription promotion alert social".split())
+#: With one of these, "header" is that of the article.
+OF_ARTICLE = frozenset("post article entry story page content title headline chapter section".split())
+#: Characters of a paragraph that tells a part to read from one to click.
+PARAGRAPH = 80
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "out", "doubt", "points", "chars", "linked", "order")
+    __slots__ = ("tag", "parent", "kids", "out", "doubt", "points", "chars", "linked", "heads")
 
-    def __init__(self, tag, parent, out, doubt=False):
+    def __init__(self, tag, parent, out, doubt=0):
         self.tag, self.parent, self.out, self.doubt = tag, parent, out, doubt
-        self.kids, self.points, self.chars, self.linked = [], 0.0, 0, 0
+        self.kids, self.points, self.chars, self.linked, self.heads = [], 0.0, 0, 0, 0
 
 
-def _outside(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """(outside the article, outside unless the element turns out to be a wrapper of the page)."""
+def _outside(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
+    """(outside the article, 2: outside unless the element turns out to be a wrapper of the page, 1: or
+    to hold a paragraph of its own)."""
     if tag in BOILERPLATE and tag != "form" and not (tag == "header" and in_article):
-        return True, False
-    doubt = tag == "form"
+        return True, 0
+    doubt = 2 if tag == "form" else 0
     if not attrs or tag in ("html", "body", "article", "main"):
         return False, doubt
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True, False
+            return True, 0
         if name == "style" and re.search(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True, False
+            return True, 0
         if name == "role" and value.lower() in ROLES:
-            return True, False
+            return True, 0
         if name in ("class", "id"):
             for each in value.split():
                 words = {w.lower() for w in _PART.findall(each)}
-                if not words & INSIDE and (words & OUTSIDE or any(w.startswith(OUTSIDE_STEMS) for w in words)
-                                           or "header" in words and not in_article):
-                    doubt = True
+                if words & INSIDE:
+                    continue
+                if words & OUTSIDE - AMBIGUOUS or any(w.startswith(OUTSIDE_STEMS) for w in words):
+                    doubt = 2
+                elif "header" in words and not in_article and not words & OF_ARTICLE:
+                    doubt = 2
+                elif words & AMBIGUOUS:
+                    doubt = max(doubt, 1 if in_article else 2)
     return False, doubt
 
 
@@ -196,10 +208,11 @@ def _sure(blocks) -> list:
         for x in above:
             marked = marked or x.tag in ("main", "h1")
             if x.doubt:
-                h = held.setdefault(id(x), [0, 0, False])
+                h = held.setdefault(id(x), [0, 0, False, False])
                 h[0], h[1], h[2] = h[0] + chars, h[1] + (chars > 0), h[2] or marked
-    wrapper = {k for k, (chars, n, marked) in held.items()
-               if 2 * chars > total[0] and (marked or chars == total[0] and n >= 3)}
+                h[3] = h[3] or x.doubt == 1 and chars >= PARAGRAPH
+    wrapper = {k for k, (chars, n, marked, read) in held.items()
+               if read or 2 * chars > total[0] and (marked or chars == total[0] and n >= 3)}
     return [b for b, chain in zip(blocks, chains) if all(id(x) in wrapper for x in chain)]
 
 
@@ -210,6 +223,7 @@ def _score(blocks) -> _Node | None:
         for x in _ancestors(node):
             x.chars += len(text)
             x.linked += linked
+            x.heads += len(text) if node.tag in ("h1", "h2") else 0
         if node.tag in HEADINGS or len(text) < 25:
             continue
         points = (1 + text.count(",") + min(3.0, len(text) / 100)) * (1 - linked / len(text))
@@ -234,8 +248,13 @@ def main_text(html: str | None) -> str:
         best = next((x for b in blocks for x in _ancestors(b[0]) if x.tag in ("article", "main")), root)
     kept = {id(best)}
     worth = best.points * (1 - best.linked / max(1, best.chars))
+    whole = best.tag in ("article", "main")
+    before = True
     for x in best.parent.kids if best.parent and best.tag not in ("article", "main", "body") else ():
         share = x.linked / max(1, x.chars)
+        before = before and x is not best
+        if before and 2 * x.heads >= x.chars > 0 and share < 0.5:  # the head of the container
+            kept.add(id(x))
         if x.points * (1 - share) >= max(2.0, 0.2 * worth) or x.tag == "p" and share < 0.25 and x.chars >= 80 or x.tag in HEADINGS and share < 0.5:
             kept.add(id(x))
     out = []
@@ -245,8 +264,8 @@ def main_text(html: str | None) -> str:
             if id(x) in kept:
                 inside = True
                 break
-            # a list or box of links inside the article
-            if x.tag in ("ul", "ol", "dl", "table", "div", "section") and x.linked > 0.5 * x.chars:
+            # a list or box of links in a container that nothing marks as the article
+            if not whole and x.tag in ("ul", "ol", "dl", "table", "div", "section") and x.linked > 0.8 * x.chars:
                 break
         if inside:
             out.append(text)
