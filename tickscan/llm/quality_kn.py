@@ -43,7 +43,7 @@ from .common import drop, keep, prepare, table
 from .words import Words, chunks, mix
 
 SHARD = 1_000_000
-SLICES = 6
+SLICES = 8
 #: Words looked up from a broadcast of their values.
 HOT = 65_536
 #: Tokens gathered in a task before they are sent, at least; with many shards so many for each.
@@ -230,54 +230,100 @@ def _asked(shards: int, hot, unknown: float, by: list[str], schema: pa.Schema):
     return go
 
 
-def _answered(schema: pa.Schema):
-    """One shard: documents pass, keys become partial sums of their documents."""
+def _answered(schema: pa.Schema, shards: int):
+    """One shard: documents pass, keys become partial sums of their documents, dealt to buckets of
+    documents."""
     def go(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return schema.empty_table()
         own = left.filter(left.column("keys").is_null())
-        order = np.argsort(keys := right.column("key").to_numpy().view(np.uint64))
-        keys, values = keys[order], right.column("value").to_numpy()[order]
+        uid = own.column("uid")
+        bucket = pa.array(_of_bucket(uid.to_numpy(), shards))
+        empty = pa.nulls(len(own), pa.binary())
+        docs = pa.Table.from_arrays([bucket, uid, own.column("n"), own.column("lp"), empty, empty, *[own.column(f.name) for f in list(schema)[6:]]], schema=schema)
+        keys, values = (np.frombuffer(right.column(c)[0].as_py(), k) for c, k in (("keys", np.uint64), ("values", np.int32))) if len(right) else (np.zeros(0),) * 2
         uids, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
         for q in left.filter(left.column("keys").is_valid()).select(["uid", "keys", "rows", "counts"]).to_batches(max_chunksize=64):
-            for uid, k, r, c in zip(*(q.column(i).to_pylist() for i in range(4))):
+            for first, k, r, c in zip(*(q.column(i).to_pylist() for i in range(4))):
                 got = _look(keys, values, np.frombuffer(k, np.uint64)) * np.frombuffer(c, np.uint32)
                 total = np.bincount(np.frombuffer(r, np.uint32), got)
                 some = np.flatnonzero(total)
-                uids.append(uid + some)
+                uids.append(first + some)
                 sums.append(total[some])
         uid, lp = np.concatenate(uids), np.concatenate(sums)
-        part = pa.Table.from_arrays([pa.array(uid), pa.nulls(len(uid), pa.int64()), pa.array(lp),
-                                     *[pa.nulls(len(uid), f.type) for f in list(schema)[3:]]], schema=schema)
-        return pa.concat_tables([own.select(schema.names).cast(schema), part])
+        to = _of_bucket(uid, shards)
+        order = np.argsort(to, kind="stable")
+        to, uid, lp = to[order], uid[order], lp[order]
+        edge = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True]) if len(to) else np.zeros(1, int)
+        rows = [{"bucket": int(to[a]), "uids": uid[a:z].tobytes(), "sums": lp[a:z].tobytes()} for a, z in zip(edge[:-1], edge[1:])]
+        return pa.concat_tables([docs, pa.Table.from_pylist(rows, schema)])
     return go
 
 
+def _of_bucket(uid: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(uid.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _summed(schema: pa.Schema):
+    """One bucket: the documents with all their sums."""
+    def go(t: pa.Table) -> pa.Table:
+        docs, parts = t.filter(t.column("uid").is_valid()), t.filter(t.column("uids").is_valid())
+        uid, lp = docs.column("uid").to_numpy(), docs.column("lp").to_numpy().copy()
+        order = np.argsort(uid)
+        if len(parts):
+            asked = np.concatenate([np.frombuffer(x, np.int64) for x in parts.column("uids").to_pylist()])
+            value = np.concatenate([np.frombuffer(x, np.float64) for x in parts.column("sums").to_pylist()])
+            lp += np.bincount(order[np.searchsorted(uid[order], asked)], value, len(lp))
+        return pa.Table.from_arrays([docs.column("n"), pa.array(lp), *[docs.column(f.name) for f in list(schema)[2:]]], schema=schema)
+    return go
+
+
+def _packed(t: pa.Table) -> pa.Table:
+    order = np.argsort(key := t.column("key").to_numpy().view(np.uint64))
+    return pa.table({"shard": t.column("shard").slice(0, 1), "keys": pa.array([key[order].tobytes()], pa.binary()),
+                     "values": pa.array([t.column("value").to_numpy()[order].astype(np.int32).tobytes()], pa.binary())})
+
+
+class Shards:
+    """A model cut by key: a written table with one row for each shard (its sorted keys and their values), and
+    the commonest words."""
+
+    def __init__(self, model: DataFrame, shard_rows: int = SHARD):
+        spark = prepare(model.sparkSession)
+        self.n = max(1, -(-model.count() // shard_rows))
+        held = model.select((F.shiftrightunsigned("key", 1) % self.n).alias("shard"), "key", "value")
+        self.table = keep(held.groupBy("shard").applyInArrow(_packed, "shard long, keys binary, values binary"), "kn-shards")
+        common = model.where("seen is not null").orderBy(F.desc("seen"), "key").limit(HOT).select("key", "value").toArrow()
+        names, values = common.column("key").to_numpy().view(np.uint64), common.column("value").to_numpy()
+        self.hot = spark.sparkContext.broadcast((np.sort(names), values[np.argsort(names)]))
+
+
 def perplexity(texts: DataFrame, model: DataFrame, unknown: float, shard_rows: int = SHARD) -> DataFrame:
     """``texts`` (key columns and text) with n_tokens and perplexity, the text dropped; a written table."""
-    spark = prepare(texts.sparkSession)
-    shards = max(1, -(-model.count() // shard_rows))
+    shards = Shards(model, shard_rows)
+    out = scores(texts, shards, unknown)
+    drop(shards.table)
+    return out
+
+
+def scores(texts: DataFrame, shards: Shards, unknown: float) -> DataFrame:
+    """``perplexity`` with a model that is cut already."""
     by = [c for c in texts.columns if c != "text"]
-    common = model.where("seen is not null").orderBy(F.desc("seen"), "key").limit(HOT).select("key", "value").toArrow()
-    names, values = common.column("key").to_numpy().view(np.uint64), common.column("value").to_numpy()
-    hot = spark.sparkContext.broadcast((np.sort(names), values[np.argsort(names)]))
     info = [T.StructField(f"by_{i}", texts.schema[c].dataType) for i, c in enumerate(by)]
-    sums = [T.StructField("uid", T.LongType()), T.StructField("n", T.LongType()), T.StructField("lp", T.DoubleType())]
-    binary = [T.StructField(c, T.BinaryType()) for c in ("keys", "rows", "counts")]
-    shape = T.StructType([T.StructField("shard", T.LongType()), sums[0], *binary, *sums[1:], *info])
-    out = T.StructType([*sums, *info])
-    held = model.select((F.shiftrightunsigned("key", 1) % shards).alias("shard"), "key", "value")
+    uid, n, lp = T.StructField("uid", T.LongType()), T.StructField("n", T.LongType()), T.StructField("lp", T.DoubleType())
+    binary = lambda *names: [T.StructField(c, T.BinaryType()) for c in names]
+    shape = T.StructType([T.StructField("shard", T.LongType()), uid, *binary("keys", "rows", "counts"), n, lp, *info])
+    found = T.StructType([T.StructField("bucket", T.LongType()), uid, n, lp, *binary("uids", "sums"), *info])
+    out = T.StructType([n, lp, *info])
     done = []
     for k in range(SLICES):
         mine = texts.where(F.pmod(F.xxhash64(*texts.columns, F.lit(5)), F.lit(SLICES)) == k)
-        asked = mine.mapInArrow(_asked(shards, hot, unknown, by, to_arrow_schema(shape)), shape)
-        found = asked.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_answered(to_arrow_schema(out)), out)
-        each = found.groupBy("uid").agg(F.sum("lp").alias("lp"), F.max("n").alias("n"), *[F.max(f.name).alias(f.name) for f in info])
+        asked = mine.mapInArrow(_asked(shards.n, shards.hot, unknown, by, to_arrow_schema(shape)), shape)
+        parts = asked.groupBy("shard").cogroup(shards.table.groupBy("shard")).applyInArrow(_answered(to_arrow_schema(found), shards.n), found)
+        each = parts.groupBy("bucket").applyInArrow(_summed(to_arrow_schema(out)), out)
         done.append(keep(each.select(*[F.col(f.name).alias(c) for f, c in zip(info, by)], F.col("n").alias("n_tokens"),
                                      F.pow(F.lit(10.0), -F.col("lp") / F.col("n")).alias("perplexity")), "kn-scores"))
-    scored = reduce(DataFrame.union, done)
-    scored._parts = done
-    return scored
+    return reduce(DataFrame.union, done)
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
@@ -287,8 +333,10 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
     model, unknown = train(texts.join(good.where(half == 0), "doc_id", "left_semi").select("text"))
-    scored = perplexity(texts, model, unknown, shard_rows)
+    shards = Shards(model, shard_rows)
     drop(*getattr(model, "_parts", [model]))
+    scored = scores(texts, shards, unknown)
+    drop(shards.table)
     unseen = scored.join(good.where(half == 1), "doc_id", "left_semi")
     by_lang = unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own")).withColumnRenamed("lang", "l")
     any_lang = unseen.agg(F.percentile_approx("perplexity", quantile, 10000)).first()[0]
