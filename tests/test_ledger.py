@@ -96,7 +96,7 @@ def test_many_keys_and_pages(spark, tmpdir_path):
     assert read_table(spark, e).where("ema38 = 2").count() == 0
     half = rows.withColumn("trade_timestamp", F.col("trade_timestamp") + F.expr("INTERVAL 500 MILLISECONDS"))
     asked = half.withColumn("trade_date", F.to_date("trade_timestamp"))
-    assert ledger.candidates(asked.limit(40), e, ["2024-01-01"], ["symbol", "trade_timestamp"], "trade_timestamp").files
+    assert ledger.candidates(asked, e, ledger.day_spans(asked, "trade_timestamp"), ["symbol", "trade_timestamp"], "trade_timestamp").files
     insert_if_absent(half, e)
     count_is(spark, e, 2 * n)
     assert insert_if_absent(rows.limit(0), e).days == 0

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import PARTITION_COLUMN
 
@@ -129,6 +130,17 @@ def index_rows(rows: DataFrame, key: list[str], ts_col: str) -> DataFrame:
     return size.join(page, F.col("file") == F.col("_f")).drop("_f")
 
 
+INDEX_SCHEMA = ("file string, n long, low_symbol string, high_symbol string, low_us long, high_us long, pages long, "
+                f"filter map<long,binary>, {PARTITION_COLUMN} date")
+
+
+def day_spans(batch: DataFrame, ts_col: str) -> list:
+    """(day, low_symbol, high_symbol, low_us, high_us) of each day of a batch: as many rows as it has days."""
+    return batch.groupBy(PARTITION_COLUMN).agg(
+        F.min("symbol").alias("low_symbol"), F.max("symbol").alias("high_symbol"),
+        F.min(_instant_us(ts_col)).alias("low_us"), F.max(_instant_us(ts_col)).alias("high_us")).collect()
+
+
 def latest_rows(rows: DataFrame, ts_col: str) -> DataFrame:
     """(symbol, latest): the side table's rows for ``rows``."""
     return rows.groupBy("symbol").agg(F.max(ts_col).alias("latest"))
@@ -140,18 +152,18 @@ def read_index(spark: SparkSession, path: str, days: list) -> DataFrame | None:
     held = [h for h in held if fs.exists(_fs(spark, h)[1])]
     if not held:
         return None
-    return spark.read.option("basePath", f"{path}/{INDEX}").parquet(*held)
+    return spark.read.schema(INDEX_SCHEMA).option("basePath", f"{path}/{INDEX}").parquet(*held)
 
 
 def write_index(spark: SparkSession, path: str, files: dict[str, str], key: list[str], ts_col: str,
-                batch: DataFrame | None = None) -> None:
+                batch: DataFrame | None = None, schema: T.StructType | None = None) -> None:
     """Index the given data files (their key columns are read once more) and put the latest times of
     their rows and of ``batch`` into the side table. The side table comes first: a file that has an
     index row is never read for it again."""
     rows = None
     if files:
         name = F.regexp_extract(F.input_file_name(), rf"({PARTITION_COLUMN}=[^/]*/[^/]*)$", 1)
-        rows = read_files(spark, path, files).select(*key, PARTITION_COLUMN, F.url_decode(name).alias("file"))
+        rows = read_files(spark, path, files, schema).select(*key, PARTITION_COLUMN, F.url_decode(name).alias("file"))
     latest = latest_rows(batch, ts_col) if batch is not None else None
     if rows is not None:
         latest = latest_rows(rows, ts_col).union(latest) if latest is not None else latest_rows(rows, ts_col)
@@ -166,13 +178,15 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{LATEST}").groupBy("symbol").agg(F.max("latest").alias("latest"))
 
 
-def read_files(spark: SparkSession, path: str, files: dict[str, str]) -> DataFrame:
-    """The rows of the given data files, with their day."""
+def read_files(spark: SparkSession, path: str, files: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
+    """The rows of the given data files, with their day; with ``schema`` those columns, without a job
+    that looks for them."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     parts = []
     for base in (path, f"{path}/{COMPACTED}"):
         mine = [f for f in files.values() if (f"/{COMPACTED}/" in f) == (base != path)]
         if mine:
-            parts.append(spark.read.option("basePath", base).parquet(*mine))
+            parts.append(reader.option("basePath", base).parquet(*mine))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -188,17 +202,25 @@ class Candidates:
         return self.unlisted | self.hit
 
 
-def candidates(batch: DataFrame, path: str, days: list, key: list[str], ts_col: str) -> Candidates:
-    """The stored files that an insert of ``batch`` (with its day column) must look into."""
+def candidates(batch: DataFrame, path: str, spans: list, key: list[str], ts_col: str) -> Candidates:
+    """The stored files that an insert of ``batch`` (with its day column and ``day_spans``) must look into."""
     spark = batch.sparkSession
+    days = [r[PARTITION_COLUMN] for r in spans]
     files = day_files(spark, path, days)
     index = read_index(spark, path, days) if files else None
     if index is None:
         return Candidates(files, dict(files), {})
-    listed = {r["file"] for r in index.select("file").collect()}  # names of one batch's days
-    span = batch.agg(F.min("symbol"), F.max("symbol"), F.min(_instant_us(ts_col)), F.max(_instant_us(ts_col))).first()
-    near = index.where((F.col("low_symbol") <= span[1]) & (F.col("high_symbol") >= span[0])
-                       & (F.col("low_us") <= span[3]) & (F.col("high_us") >= span[2])).dropDuplicates(["file"])
+    # one short row for each file of the batch's days
+    held = index.select(PARTITION_COLUMN, "file", "low_symbol", "high_symbol", "low_us", "high_us").collect()
+    span = {r[PARTITION_COLUMN]: r for r in spans}
+    near = {r["file"] for r in held if r["file"] in files and (s := span.get(r[PARTITION_COLUMN])) is not None
+            and r["low_symbol"] <= s["high_symbol"] and r["high_symbol"] >= s["low_symbol"]
+            and r["low_us"] <= s["high_us"] and r["high_us"] >= s["low_us"]}
+    known = {r["file"] for r in held}
+    unlisted = {f: p for f, p in files.items() if f not in known}
+    if not near:
+        return Candidates(files, unlisted, {})
+    near = index.where(F.col("file").isin(list(near))).dropDuplicates(["file"])
     slot = SLOT_SECONDS * 1_000_000
     near = near.withColumn("_slot", F.explode(F.sequence(F.expr(f"low_us div {slot}"), F.expr(f"high_us div {slot}"))))
     near = near.withColumnRenamed(PARTITION_COLUMN, "_day")
@@ -213,4 +235,4 @@ def candidates(batch: DataFrame, path: str, days: list, key: list[str], ts_col:
         held &= F.coalesce(F.getbit(byte, at % 8), F.lit(0)) == 1  # a page without any bit is not stored
     hit = met.withColumn("_bits", _bits(F.col("pages"), key)).where(held).select("file").distinct()
     hit = {r["file"] for r in hit.collect()}
-    return Candidates(files, {f: p for f, p in files.items() if f not in listed}, {f: p for f, p in files.items() if f in hit})
+    return Candidates(files, unlisted, {f: p for f, p in files.items() if f in hit})

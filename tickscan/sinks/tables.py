@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ADVISORY_TABLE_KEY, EMA_TABLE_KEY, PARTITION_COLUMN
 from . import ledger
@@ -58,11 +59,13 @@ def insert_if_absent(rows: DataFrame, path: str, key=EMA_TABLE_KEY, ts_col: str
         return Inserted(0, 0, 0, True)
     batch = with_partition(first_of_key(rows, key, order), ts_col).persist()
     try:
-        days = [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
-        before = ledger.candidates(batch, path, days, key, ts_col)
+        spans = ledger.day_spans(batch, ts_col)
+        days = [r[PARTITION_COLUMN] for r in spans]
+        keys = T.StructType([batch.schema[c] for c in [*key, PARTITION_COLUMN]])
+        before = ledger.candidates(batch, path, spans, key, ts_col)
         new, ask = batch, before.to_open()
         if ask:
-            stored = ledger.read_files(spark, path, ask).select(*key, PARTITION_COLUMN)
+            stored = ledger.read_files(spark, path, ask, keys)
             new = batch.join(stored, [*key, PARTITION_COLUMN], "left_anti")
         if days:
             # a day's rows go to a few tasks by key: neither one task for a hot day nor a file per task and day
@@ -71,7 +74,7 @@ def insert_if_absent(rows: DataFrame, path: str, key=EMA_TABLE_KEY, ts_col: str
                 .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
             after = ledger.day_files(spark, path, days)
             ledger.write_index(spark, path, {f: p for f, p in after.items() if f in before.unlisted or f not in before.files},
-                               key, ts_col, batch)
+                               key, ts_col, batch, keys)
         if token:
             ledger.mark_batch(spark, path, token)
         return Inserted(len(days), len(before.files), len(ask), False)
