@@ -90,3 +90,16 @@ def test_day_file_over_small_splits(spark, tmpdir_path):
     assert [r["last"] for r in got] == [str(i) for i in range(50)] and [r["seq"] for r in got] == list(range(13, 63))
     assert {os.path.basename(r["file"]): len(r["missing"]) for r in out.rejected.collect()} == {"z.csv": 5}
     out.release()
+
+
+def test_small_splits_share_tasks(spark, tmpdir_path):
+    """The number of tasks, each writing a file, does not follow the number of splits."""
+    rows = [f'{i},"two\nlines, of ""{i}""",x' for i in range(1000)]
+    write(tmpdir_path, "a.csv", "\n".join(rows) + "\n")
+    with split_small(spark, 100):
+        found = read_records(spark, tmpdir_path)
+    blocks = found.written.select("block").distinct().count()
+    assert blocks > 200 and len(found.written.inputFiles()) <= 5 * spark.sparkContext.defaultParallelism
+    assert [r.value for r in found.records.orderBy("record").collect()] == rows
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+    found.release()

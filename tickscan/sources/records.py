@@ -8,6 +8,9 @@ blocks' maps along a file, a few numbers for each block, gives every block's tru
 number of records before it, and with them each line's record number. Records of one line, nearly all,
 are taken as they are; only lines of longer ones are brought together.
 
+A task scans many blocks, however small Spark's splits are: ``TASK_BYTES`` of text, or as much as gives
+every core some tasks. The number of tasks (and of files written) follows the bytes and not the splits.
+
 The body is scanned once and written once (``Lines.written``); blocks and records are read from that.
 A record of more than ``MAX_RECORD_LINES`` lines means a quote that nobody closes: it is listed in
 ``Records.unclosed`` with its number of lines and not put together.
@@ -31,6 +34,10 @@ from pyspark.sql import functions as F
 from ..session import drop_written, write_and_read
 
 MAX_RECORD_LINES = 10_000
+#: Text that a scanning task reads at least, if every core has ``TASKS_PER_CORE`` tasks.
+TASK_BYTES = 64 << 20
+TASKS_PER_CORE = 4
+MAX_TASKS = "spark.sql.files.maxPartitionNum"
 ROW_SCHEMA = ("file string, block long, line long, value string, before0 int, before1 int, after0 int, after1 int, "
               "count0 long, count1 long")
 
@@ -83,8 +90,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not len(batch):
             continue
-        t = pa.table(batch)
-        file, block = t["file"].combine_chunks(), t["block"].combine_chunks()
+        t, found = pa.table(batch), []
+        file, block, value = (t[c].combine_chunks() for c in ("file", "block", "value"))
         same = np.ones(len(t), bool)
         if len(t) > 1:
             same[1:] = pc.and_(pc.equal(file.slice(1), file.slice(0, len(t) - 1)),
@@ -94,12 +101,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             here = (file[a].as_py(), block[a].as_py())
             if here != place:
                 place, line, state, count = here, 0, [0, 1], [0, 0]
-            part = t.slice(a, b - a)
-            cols = _follow(part["value"].combine_chunks(), state, count)
-            lines = pa.array(np.arange(line, line + b - a))
+            found.append((np.arange(line, line + b - a), *_follow(value.slice(a, b - a), state, count)))
             line += b - a
-            yield pa.RecordBatch.from_arrays([part["file"].combine_chunks(), part["block"].combine_chunks(), lines, part["value"].combine_chunks(),
-                                              *[pa.array(c) for c in cols]], names)
+        lines, *cols = (pa.array(np.concatenate(c)) for c in zip(*found))
+        yield pa.RecordBatch.from_arrays([file, block, lines, value, *cols], names)
 
 
 @dataclass
@@ -117,10 +122,19 @@ def read_records(spark: SparkSession, paths, path_glob: str = "*.csv", recursive
                  max_lines: int = MAX_RECORD_LINES) -> Records:
     """The CSV records of all files under ``paths``, as text."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    text = (spark.read.option("pathGlobFilter", path_glob).option("recursiveFileLookup", str(recursive).lower())
-            .option("lineSep", "\n").text(paths)
+    files = lambda: spark.read.option("pathGlobFilter", path_glob).option("recursiveFileLookup", str(recursive).lower())
+    size = files().format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
+    text = (files().option("lineSep", "\n").text(paths)
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"))
-    lines = write_and_read(text.mapInArrow(_scan, ROW_SCHEMA), "lines", spark)
+    held = spark.conf.get(MAX_TASKS, None)
+    spark.conf.set(MAX_TASKS, str(max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))))
+    try:
+        lines = write_and_read(text.mapInArrow(_scan, ROW_SCHEMA), "lines", spark)
+    finally:
+        if held is None:
+            spark.conf.unset(MAX_TASKS)
+        else:
+            spark.conf.set(MAX_TASKS, held)
     return cut_records(lines, max_lines)
 
 
