@@ -57,3 +57,12 @@ def test_elias_fano(values, asked, shift):
     q = np.array([x >> shift for x in asked] + asked, np.uint64)
     q = np.concatenate([q, v, v + np.uint64(1)])
     assert (e.successor(q) == np.searchsorted(v, q)).all()
+
+@given(values=st.lists(st.integers(0, 2**64 - 1), max_size=60), asked=st.lists(st.integers(0, 2**64 - 1), max_size=20),
+       shift=st.integers(0, 63))
+@settings(max_examples=200, deadline=None)
+def test_elias_fano_find(values, asked, shift):
+    v = np.sort(np.array([x >> shift for x in values], np.uint64))
+    e = EliasFano(np.frombuffer(encode(v), np.uint8))
+    q = np.concatenate([np.array([x >> shift for x in asked] + asked, np.uint64), v, v + np.uint64(1)])
+    assert (e.find(q) == np.where(np.isin(q, v), np.searchsorted(v, q), -1)).all()

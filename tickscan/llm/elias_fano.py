@@ -11,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 _HEAD = 4  # n, bytes of a low part, words of the bitmap, largest high part
+#: Place of the k-th (from 0) one of each byte; 0 if it has fewer.
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
 
 
 def encode(values: np.ndarray) -> bytes:
@@ -44,11 +46,18 @@ class EliasFano:
         """Place in the bitmap of the rank-th (from 0) one or zero."""
         word = np.searchsorted(before, rank, "right") - 1
         out = np.empty(len(rank), np.int64)
+        bits = np.asarray(self.bits).view(np.uint64)
         for a in range(0, len(rank), 65536):
             w = word[a:a + 65536]
-            b = np.unpackbits(np.asarray(self.bits).reshape(-1, 8)[w], axis=1, bitorder="little") == bit
-            inside = np.cumsum(b, axis=1, dtype=np.uint8) == (rank[a:a + 65536] - before[w] + 1)[:, None]
-            out[a:a + 65536] = 64 * w + np.argmax(inside, axis=1)
+            x = bits[w] if bit else ~bits[w]
+            left, at = rank[a:a + 65536] - before[w], np.zeros(len(w), np.int64)
+            for half in (32, 16, 8):  # the half of the word that holds it, down to a byte
+                n = np.bitwise_count(x & np.uint64((1 << half) - 1)).astype(np.int64)
+                up = left >= n
+                left -= np.where(up, n, 0)
+                at += np.where(up, half, 0)
+                x = np.where(up, x >> np.uint64(half), x)
+            out[a:a + 65536] = 64 * w + at + _IN_BYTE[(x & np.uint64(0xFF)).astype(np.int64), left]
         return out
 
     def _low(self, at: np.ndarray) -> np.ndarray:
@@ -67,9 +76,22 @@ class EliasFano:
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """First place whose value is at least x; n if there is none."""
+        return self._search(x)[0]
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """First place whose value is x; -1 if there is none."""
+        at, last, want = self._search(x)
+        here = np.flatnonzero(at < last)  # values of the same high part
+        here = here[self._low(at[here]) == want[here]]
+        out = np.full(len(at), -1, np.int64)
+        out[here] = at[here]
+        return out
+
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first place whose value is at least x, end of the values with x's high part, x's low part)."""
         x = np.asarray(x, np.uint64)
         if not len(x) or not self.n:
-            return np.zeros(len(x), np.int64)
+            return np.zeros(len(x), np.int64), np.zeros(len(x), np.int64), x
         high = x >> np.uint64(8 * self.low) if self.low < 8 else np.zeros(len(x), np.uint64)
         beyond = high > np.uint64(self.top)
         h = np.minimum(high, np.uint64(self.top)).astype(np.int64)
@@ -77,7 +99,7 @@ class EliasFano:
         last = np.where(h < self.top, self._pick(self.zeros, np.minimum(h, max(self.top - 1, 0)), 0) - h, self.n)
         low_mask = (np.uint64(1) << np.uint64(8 * self.low)) - np.uint64(1) if self.low < 8 else np.uint64(0xFFFFFFFFFFFFFFFF)
         want = x & low_mask
-        lo, hi = first, last
+        lo, hi = first, last.copy()
         while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
@@ -86,4 +108,4 @@ class EliasFano:
             less = self._low(mid) < want[open_]
             lo[open_] = np.where(less, mid + 1, lo[open_])
             hi[open_] = np.where(less, hi[open_], mid)
-        return np.where(beyond, self.n, lo)
+        return np.where(beyond, self.n, lo), np.where(beyond, 0, last), want

@@ -184,13 +184,11 @@ class Trie:
 
     def count(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place or -1, training count) of each word."""
-        at = self.words.successor(words)
-        held = np.flatnonzero(at < self.words.n)
-        held = held[self.words.select(at[held]) == words[held]]
-        place, n = np.full(len(words), -1), np.zeros(len(words), np.int64)
-        place[held] = at[held]
-        upto = self.counts.select(at[held]).astype(np.int64)
-        before = np.where(at[held] > 0, self.counts.select(np.maximum(at[held] - 1, 0)).astype(np.int64), 0)
+        place, n = self.words.find(words), np.zeros(len(words), np.int64)
+        held = np.flatnonzero(place >= 0)
+        at = place[held]
+        upto = self.counts.select(at).astype(np.int64)
+        before = np.where(at > 0, self.counts.select(np.maximum(at - 1, 0)).astype(np.int64), 0)
         n[held] = upto - before
         return place, n
 
@@ -198,14 +196,16 @@ class Trie:
         m = self.model
         return np.where(n > 0, (n - m["discount"]) / m["tokens"], m["unknown"])
 
-    def log_joint(self, place: np.ndarray, n: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """log10(c(u, w) + MU * p(w)) of each pair, w given by place and count."""
-        out = np.log10(MU * self.unigram(n))
-        known = np.flatnonzero(place >= 0)
-        x = (place[known].astype(np.uint64) << np.uint64(32)) | context[known]
-        at = self.contexts.successor(x)
-        inside = np.flatnonzero(at < self.contexts.n)
-        inside = inside[self.contexts.select(at[inside]) == x[inside]]
+    def log_joint(self, place: np.ndarray, n: np.ndarray, size: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """log10(c(u, w) + MU * p(w)) of each pair: words by place and count, and for each the ``size``
+        contexts that follow one another in ``context``, sorted."""
+        out = np.repeat(np.log10(MU * self.unigram(n)), size)
+        of = np.repeat(place, size)
+        known = np.flatnonzero(of >= 0)
+        x = (of[known].astype(np.uint64) << np.uint64(32)) | context[known]
+        first, times = _runs(x)
+        at = np.repeat(self.contexts.find(x[first]), times)
+        inside = np.flatnonzero(at >= 0)
         out[known[inside]] = self.values[at[inside]] * STEP + LEAST
         return out
 
@@ -260,10 +260,9 @@ def _answer(model: dict, hot):
             if len(names):
                 i = np.minimum(np.searchsorted(names, words), len(names) - 1)
                 n = np.where(names[i] == words, counts[i], n)
-            place, n = (np.repeat(x, size) for x in (place, n))
-            score = trie.log_joint(place, n, np.frombuffer(q["contexts"], np.uint32)) - np.log10(n + MU)
-            sums = [np.bincount(doc, x, q["n_rows"]) for x in (np.log10(n + 0.1), score)]
-            rows.append({"batch": q["batch"], "n_rows": q["n_rows"], "known": np.bincount(doc, n > 0, q["n_rows"]).astype(np.int32).tobytes(),
+            score = trie.log_joint(place, n, size, np.frombuffer(q["contexts"], np.uint32)) - np.repeat(np.log10(n + MU), size)
+            sums = [np.bincount(doc, x, q["n_rows"]) for x in (np.repeat(np.log10(n + 0.1), size), score)]
+            rows.append({"batch": q["batch"], "n_rows": q["n_rows"], "known": np.bincount(doc, np.repeat(n > 0, size), q["n_rows"]).astype(np.int32).tobytes(),
                          "base": sums[0].tobytes(), "score": sums[1].astype(np.float32).tobytes()})
         return pa.Table.from_pylist(rows, SUM_ARROW)
     return go
