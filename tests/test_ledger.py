@@ -100,3 +100,11 @@ def test_many_keys_and_pages(spark, tmpdir_path):
     insert_if_absent(half, e)
     count_is(spark, e, 2 * n)
     assert insert_if_absent(rows.limit(0), e).days == 0
+
+
+def test_few_rows_few_files(spark, tmpdir_path):
+    """A batch adds files to a day by its rows there, not by the most there may be."""
+    e = os.path.join(tmpdir_path, "e")
+    write_ema_rows(ema(spark, [(f"S{j}.FR", j, 1.0) for j in range(200)]), e)
+    assert len(ledger.day_files(spark, e, ledger.days_of(spark, e))) == 1
+    count_is(spark, e, 200)

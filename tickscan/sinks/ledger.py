@@ -135,9 +135,9 @@ INDEX_SCHEMA = ("file string, n long, low_symbol string, high_symbol string, low
 
 
 def day_spans(batch: DataFrame, ts_col: str) -> list:
-    """(day, low_symbol, high_symbol, low_us, high_us) of each day of a batch: as many rows as it has days."""
+    """(day, n, low_symbol, high_symbol, low_us, high_us) of each day of a batch: as many rows as it has days."""
     return batch.groupBy(PARTITION_COLUMN).agg(
-        F.min("symbol").alias("low_symbol"), F.max("symbol").alias("high_symbol"),
+        F.count("*").alias("n"), F.min("symbol").alias("low_symbol"), F.max("symbol").alias("high_symbol"),
         F.min(_instant_us(ts_col)).alias("low_us"), F.max(_instant_us(ts_col)).alias("high_us")).collect()
 
 

@@ -24,6 +24,8 @@ from . import ledger
 
 #: Files that one batch adds to a day at most; a day's rows are hashed by key over them.
 FILES_PER_DAY = 8
+#: Rows of a day that a batch writes to one file before it takes another: a small batch adds one file a day.
+ROWS_PER_FILE = 50_000
 
 
 class Inserted(NamedTuple):
@@ -69,7 +71,8 @@ def insert_if_absent(rows: DataFrame, path: str, key=EMA_TABLE_KEY, ts_col: str
             new = batch.join(stored, [*key, PARTITION_COLUMN], "left_anti")
         if days:
             # a day's rows go to a few tasks by key: neither one task for a hot day nor a file per task and day
-            bucket = F.pmod(F.xxhash64(*key), F.lit(files_per_day))
+            files = min(files_per_day, max(1, -(-max(r["n"] for r in spans) // ROWS_PER_FILE)))
+            bucket = F.pmod(F.xxhash64(*key), F.lit(files))
             (new.repartition(PARTITION_COLUMN, bucket).sortWithinPartitions(PARTITION_COLUMN, *key)
                 .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
             after = ledger.day_files(spark, path, days)
