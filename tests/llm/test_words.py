@@ -58,6 +58,7 @@ def test_elias_fano(values, asked, shift):
     q = np.concatenate([q, v, v + np.uint64(1)])
     assert (e.successor(q) == np.searchsorted(v, q)).all()
 
+
 @given(values=st.lists(st.integers(0, 2**64 - 1), max_size=60), asked=st.lists(st.integers(0, 2**64 - 1), max_size=20),
        shift=st.integers(0, 63))
 @settings(max_examples=200, deadline=None)
