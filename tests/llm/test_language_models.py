@@ -2,10 +2,14 @@
 import collections
 import math
 import random
+import types
 import zlib
 
+import numpy as np
+import pyarrow as pa
 from llm_support import frame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickscan.llm import quality_kn as Q
 from tickscan.llm import trie_lm as M
@@ -179,3 +183,62 @@ def test_quality_rows_that_share_an_id_and_many_shards(spark, monkeypatch):
         own = [r[5] for r in seen[0] if r[0] == i]
         assert len(own) == 2 and abs(own[0] - own[1]) > 0.01 * own[0]
     assert len({r[5] for r in seen[0] if r[0] == 5}) == 1 and len([r for r in seen[0] if r[0] == 5]) == 3
+
+
+def test_quality_moves_trusted_texts_once_and_holds_the_model_once(spark, monkeypatch):
+    """Pairs are counted from written texts, not from a join repeated for each slice; a part of the model is
+    deleted when it is packed."""
+    real_keep, real_drop, plans, live, most = Q.keep, Q.drop, [], [], []
+
+    def keep(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        out = real_keep(df, name)
+        live.append((name, out._kept_at))
+        if name == "kn-shards":
+            most.append(len([1 for n, _ in live if n in ("kn-model", "kn-shards")]))
+        return out
+
+    def drop(*tables):
+        live[:] = [x for x in live if x[1] not in {t._kept_at for t in tables}]
+        real_drop(*tables)
+
+    monkeypatch.setattr(Q, "keep", keep)
+    monkeypatch.setattr(Q, "drop", drop)
+    rows = [r for r in corpus() if r[0] is not None]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    assert Q.quality(docs, labels, shard_rows=100).count() == len(rows)
+    counted = [p for n, p in plans if n == "kn-bigrams"]
+    assert len(counted) == Q.SLICES and not any("Join" in p for p in counted)
+    assert len(most) > 1 and max(most) <= Q.SLICES + 2
+    assert {n for n, _ in live} == {"kn-scores"}
+
+
+def test_quality_sums_take_less_than_the_keys_asked(monkeypatch):
+    """With so many shards that a document has few keys in each, the sums that come back are smaller than
+    what was sent, and complete."""
+    rnd = random.Random(2)
+    texts = [text(rnd, 100, 4000) for _ in range(300)]
+    shards, hot = 97, types.SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(0, np.int32)))
+    shape, found, out = map(to_arrow_schema, Q._shapes([]))
+    asks = list(Q._asked(shards, hot, -1.0, [], shape)([pa.RecordBatch.from_pydict({"text": texts})]))
+    asked = pa.Table.from_batches(asks)
+    want = [len(t.split()) + 1 for t in texts]
+    one, parts = int(1 / Q.STEP), []
+    for k in range(shards):
+        left = asked.filter(pa.compute.equal(asked["shard"], k))
+        sent = [Q._restored_keys(x) for x in left["keys"].drop_null().to_pylist()]
+        key = np.unique(np.concatenate([np.zeros(0, np.uint64), *sent]))
+        assert (Q._of_shard(key, shards) == k).all()
+        pieces = [p for p in (key[::2], key[1::2]) if len(p)]  # as from two parts of a model; each key is worth 1
+        right = pa.table({"shard": pa.array([k] * len(pieces), pa.int64()), "keys": pa.array([Q._squeezed_keys(p) for p in pieces], pa.binary()),
+                          "values": pa.array([Q._squeezed(np.full(len(p), one, np.int32)) for p in pieces], pa.binary())})
+        parts.append(Q._answered(found, shards)(left, right))
+    back = pa.concat_tables(parts)
+    size = lambda t, *names: sum(len(x) for c in names for x in t[c].drop_null().to_pylist())
+    assert size(back, "rows", "sums") < size(asked, "keys", "rows", "counts")
+    assert size(back, "rows", "sums") < 8 * sum(len(set(t.split())) + len(set(pairs(t))) for t in texts)
+    got = [Q._summed(out)(back.filter(pa.compute.equal(back["bucket"], k))) for k in np.unique(back["bucket"].to_numpy())]
+    got = [(n, lp) for t in got for n, lp in zip(t["n"].to_pylist(), t["lp"].to_pylist())]
+    # a word and a pair for each token, less one for the token itself
+    assert sorted(got) == sorted((n, float(n)) for n in want)

@@ -8,14 +8,18 @@ probability of a document splits into a sum over its words and one over its pair
     gain(u, w) = log(1 + (n(u, w) - discount) / (freed(u) * p_cont(w))),
 
 and every word of a text is a context once and a successor once. So both are looked up by one key: the model
-is a table of (key, value), cut by the key into shards of about ``SHARD`` rows. Texts are tokenised
+is a table of (key, value), cut by ranges of the key into shards of about ``SHARD`` rows. Texts are tokenised
 once; their distinct words and pairs, with counts, go to the shards of their keys and meet them there (a
 join of counts, sharded on both sides); what comes back is one partial sum for each document and
 shard. The ``HOT`` commonest words of the model are looked up before and not sent.
 
 Work goes in ``SLICES``: pairs by key while the model is made, documents by a hash while they are
 scored, so that only a part of the shuffled rows is on disk at a time. The number of shards follows the model; a
-task holds one shard and the keys of one slice that ask for it.
+task holds one shard and the keys of one slice that ask for it. Trusted texts are joined with their labels
+once and written, in ``DEALS``. What is sent between documents and shards are columns of whole numbers,
+one row for each block of documents gathered and shard: sorted keys as differences, the documents as places in
+their block, the sums as steps of ``STEP``; so with many shards, when a document has a sum in nearly every
+shard that it asks, the sums stay smaller than the keys asked.
 
 The threshold of a language is a quantile of the perplexity of its other half of trusted documents,
 which the model has not seen (``percentile_approx`` at an accuracy of 1/10,000 in rank); a language
@@ -44,6 +48,7 @@ from .words import Words, chunks, mix
 
 SHARD = 1_000_000
 SLICES = 8
+DEALS = 2
 #: Words looked up from a broadcast of their values.
 HOT = 65_536
 #: Tokens gathered in a task before they are sent, at least; with many shards so many for each.
@@ -86,7 +91,7 @@ def _counts(part: int, of: int):
         for b in batches:
             for _, w in chunks(b, "text", "space"):
                 _, u, x = bigrams(w)
-                mine = pair(u, x) % np.uint64(of) == np.uint64(part)
+                mine = _of_shard(pair(u, x), of) == part
                 held.append((u[mine], x[mine]))
                 tokens += int(mine.sum())
                 if tokens >= GATHER:
@@ -110,17 +115,26 @@ def _less(col: str, d: tuple[float, float, float]):
     return F.when(F.col(col) == 1, d[0]).when(F.col(col) == 2, d[1]).otherwise(d[2])
 
 
+def counted(texts: DataFrame) -> list[DataFrame]:
+    """Counts of the pairs of all texts, in written slices; ``texts`` is read once for each."""
+    return [keep(texts.mapInArrow(_counts(k, SLICES), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "kn-bigrams")
+            for k in range(SLICES)]
+
+
 def train(texts: DataFrame) -> tuple[DataFrame, float]:
     """The model as rows (key, value, seen), and log10 p_cont of an unknown word. A word's value is what it
     adds to a document above an unknown one, ``seen`` its count; a pair's is its gain."""
-    slices = [keep(texts.mapInArrow(_counts(k, SLICES), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "kn-bigrams")
-              for k in range(SLICES)]
+    return fitted(counted(texts))
+
+
+def fitted(slices: list[DataFrame]) -> tuple[DataFrame, float]:
+    """The model of counted pairs, which are deleted."""
     bi = reduce(DataFrame.union, slices)
     low = keep(bi.groupBy("w").agg(F.count("*").alias("before")), "kn-words")
     vocabulary, pairs = low.agg(F.count("*"), F.coalesce(F.sum("before"), F.lit(0))).first()
     if not vocabulary:
         drop(low, *slices)
-        return keep(texts.sparkSession.createDataFrame([], MODEL), "kn-model"), -1.0
+        return keep(bi.sparkSession.createDataFrame([], MODEL), "kn-model"), -1.0
     d1, d2 = _discounts(low, "before"), _discounts(bi, "n")
     freed = low.agg(F.sum(F.least("before", _less("before", d1)))).first()[0] / pairs
     unknown = freed / (vocabulary + 1)
@@ -162,30 +176,49 @@ def _model_keys(batches):
 
 
 def _look(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """The value of each asked key, 0 if the table (sorted by key) has none."""
+    """The value of each asked key in steps, 0 if the table (sorted by key) has none."""
     if not len(keys):
-        return np.zeros(len(asked))
+        return np.zeros(len(asked), np.int64)
     at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where(keys[at] == asked, values[at], 0) * STEP
+    return np.where(keys[at] == asked, values[at], 0).astype(np.int64)
 
 
 def _of_shard(key: np.ndarray, shards: int) -> np.ndarray:
-    return ((key >> np.uint64(1)) % np.uint64(shards)).astype(np.int64)
+    """Equal ranges of the keys; ``Shards`` has the same for columns."""
+    return (((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
+def _squeezed(a: np.ndarray) -> bytes:
+    """Whole numbers as bytes, the first byte of all, the second of all and so on: small numbers take little."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T)
+    return len(a).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _restored(data: bytes, kind) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
 
+def _squeezed_keys(keys: np.ndarray) -> bytes:
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)))
 
-def _entries(w: Words, row: np.ndarray, u: np.ndarray, x: np.ndarray):
-    """(row, key, count) of the distinct words and pairs of each row."""
-    key = np.concatenate([word_key(x), pair(u, x)])
-    row = np.concatenate([row, row])
-    order = np.lexsort((key, row))
+
+def _restored_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_restored(data, np.uint64), dtype=np.uint64)
+
+
+def _entries(row: np.ndarray, key: np.ndarray):
+    """(row, key, count) of the distinct words and pairs of each row, sorted by key."""
+    order = np.argsort(key, kind="stable")  # the rows of equal keys ascend already
     row, key = row[order], key[order]
     at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])])
-    return row[at], key[at], np.diff(np.r_[at, len(key)])
+    return row[at], key[at], np.diff(np.r_[at, len(key)]).astype(np.uint32)
 
 
 def _asked(shards: int, hot, unknown: float, by: list[str], schema: pa.Schema):
     """Texts to rows for the shards: one for each document, with what needs no shard, and one for each
-    shard that holds some of the keys of the documents gathered."""
+    shard that holds some of the keys of a block of documents gathered."""
     def go(batches):
         task = TaskContext.get()
         uid = (task.partitionId() if task else 0) << 33
@@ -194,34 +227,32 @@ def _asked(shards: int, hot, unknown: float, by: list[str], schema: pa.Schema):
         enough = max(GATHER, GATHER_SHARD * shards)
 
         def sent():
-            row, key, n = (np.concatenate(v) for v in zip(*held))
+            row, key, n = _entries(*(np.concatenate(v) for v in zip(*held)))
             shard = _of_shard(key, shards)
-            order = np.lexsort((key, shard))
-            shard, row, key, n = shard[order], row[order], key[order], n[order]
-            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, int)
-            rows = [{"shard": int(shard[a]), "uid": first, "keys": key[a:z].tobytes(), "rows": row[a:z].astype(np.uint32).tobytes(),
-                     "counts": n[a:z].astype(np.uint32).tobytes()} for a, z in zip(edge[:-1], edge[1:])]
+            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+            rows = [{"shard": int(shard[a]), "block": first, "keys": _squeezed_keys(key[a:z]), "rows": _squeezed(row[a:z]),
+                     "counts": _squeezed(n[a:z])} for a, z in zip(edge[:-1], edge[1:])]
             return pa.RecordBatch.from_pylist(rows, schema)
 
         for b in batches:
             for part, w in chunks(b, "text", "space"):
                 row, u, x = bigrams(w)
                 n = w.counts() + 1
-                row, key, count = _entries(w, row, u, x)
+                key = word_key(x)
                 if len(names):
                     at = np.minimum(np.searchsorted(names, key), len(names) - 1)
-                    common = names[at] == key
-                    base = np.bincount(row[common], values[at[common]] * STEP * count[common], len(n))
-                    row, key, count = row[~common], key[~common], count[~common]
+                    rare = names[at] != key
+                    base = np.bincount(row[~rare], values[at[~rare]] * STEP, len(n))
                 else:
-                    base = np.zeros(len(n))
+                    rare, base = np.ones(len(key), bool), np.zeros(len(n))
                 ids = uid + np.arange(len(n))
                 empty = pa.nulls(len(n), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids % shards), pa.array(ids), empty, empty, empty, pa.array(n), pa.array(base + n * unknown),
-                     *[part.column(c).cast(schema.field(k + 7).type) for k, c in enumerate(by)]], schema=schema)
-                held.append((row + (uid - first), key, count))
-                uid, tokens = uid + len(n), tokens + len(key)
+                    [pa.array(ids % shards), pa.array(np.full(len(n), first)), pa.array(ids), empty, empty, empty, pa.array(n), pa.array(base + n * unknown),
+                     *[part.column(c).cast(schema.field(k + 8).type) for k, c in enumerate(by)]], schema=schema)
+                row = (row + (uid - first)).astype(np.uint32)
+                held.append((np.concatenate([row[rare], row]), np.concatenate([key[rare], pair(u, x)])))
+                uid, tokens = uid + len(n), tokens + len(held[-1][0])
                 if tokens >= enough:
                     yield sent()
                     held, tokens, first = [], 0, uid
@@ -232,89 +263,100 @@ def _asked(shards: int, hot, unknown: float, by: list[str], schema: pa.Schema):
 
 def _answered(schema: pa.Schema, shards: int):
     """One shard: documents pass, keys become partial sums of their documents, dealt to buckets of
-    documents."""
+    blocks."""
     def go(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return schema.empty_table()
-        own = left.filter(left.column("keys").is_null())
-        uid = own.column("uid")
-        bucket = pa.array(_of_bucket(uid.to_numpy(), shards))
+        own = left.filter(left.column("uid").is_valid())
+        bucket = pa.array(_of_bucket(own.column("block").to_numpy(), shards))
         empty = pa.nulls(len(own), pa.binary())
-        docs = pa.Table.from_arrays([bucket, uid, own.column("n"), own.column("lp"), empty, empty, *[own.column(f.name) for f in list(schema)[6:]]], schema=schema)
-        keys, values = (np.frombuffer(right.column(c)[0].as_py(), k) for c, k in (("keys", np.uint64), ("values", np.int32))) if len(right) else (np.zeros(0),) * 2
-        uids, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for q in left.filter(left.column("keys").is_valid()).select(["uid", "keys", "rows", "counts"]).to_batches(max_chunksize=64):
-            for first, k, r, c in zip(*(q.column(i).to_pylist() for i in range(4))):
-                got = _look(keys, values, np.frombuffer(k, np.uint64)) * np.frombuffer(c, np.uint32)
-                total = np.bincount(np.frombuffer(r, np.uint32), got)
+        docs = pa.Table.from_arrays([bucket, *[own.column(c) for c in ("block", "uid", "n", "lp")], empty, empty, *[own.column(f.name) for f in list(schema)[7:]]], schema=schema)
+        keys = np.concatenate([np.zeros(0, np.uint64), *[_restored_keys(x) for x in right.column("keys").to_pylist()]])
+        values = np.concatenate([np.zeros(0, np.int32), *[_restored(x, np.int32) for x in right.column("values").to_pylist()]])
+        order = np.argsort(keys, kind="stable")  # a few sorted pieces
+        keys, values = keys[order], values[order]
+        rows = []
+        for q in left.filter(left.column("keys").is_valid()).select(["block", "keys", "rows", "counts"]).to_batches(max_chunksize=64):
+            for block, k, r, c in zip(*(q.column(i).to_pylist() for i in range(4))):
+                total = np.bincount(_restored(r, np.uint32), _look(keys, values, _restored_keys(k)) * _restored(c, np.uint32))
                 some = np.flatnonzero(total)
-                uids.append(first + some)
-                sums.append(total[some])
-        uid, lp = np.concatenate(uids), np.concatenate(sums)
-        to = _of_bucket(uid, shards)
-        order = np.argsort(to, kind="stable")
-        to, uid, lp = to[order], uid[order], lp[order]
-        edge = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True]) if len(to) else np.zeros(1, int)
-        rows = [{"bucket": int(to[a]), "uids": uid[a:z].tobytes(), "sums": lp[a:z].tobytes()} for a, z in zip(edge[:-1], edge[1:])]
+                if len(some):
+                    rows.append({"bucket": int(_of_bucket(np.array([block]), shards)[0]), "block": block,
+                                 "rows": _squeezed(some.astype(np.uint32)), "sums": _squeezed(total[some].astype(np.int64))})
         return pa.concat_tables([docs, pa.Table.from_pylist(rows, schema)])
     return go
 
 
-def _of_bucket(uid: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(uid.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+def _of_bucket(block: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(block.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _summed(schema: pa.Schema):
     """One bucket: the documents with all their sums."""
     def go(t: pa.Table) -> pa.Table:
-        docs, parts = t.filter(t.column("uid").is_valid()), t.filter(t.column("uids").is_valid())
+        docs, parts = t.filter(t.column("uid").is_valid()), t.filter(t.column("rows").is_valid())
         uid, lp = docs.column("uid").to_numpy(), docs.column("lp").to_numpy().copy()
         order = np.argsort(uid)
         if len(parts):
-            asked = np.concatenate([np.frombuffer(x, np.int64) for x in parts.column("uids").to_pylist()])
-            value = np.concatenate([np.frombuffer(x, np.float64) for x in parts.column("sums").to_pylist()])
-            lp += np.bincount(order[np.searchsorted(uid[order], asked)], value, len(lp))
+            steps = np.zeros(len(lp), np.int64)
+            for block, r, s in zip(*(parts.column(c).to_pylist() for c in ("block", "rows", "sums"))):
+                at = order[np.searchsorted(uid, _restored(r, np.uint32).astype(np.int64) + block, sorter=order)]
+                steps[at] += _restored(s, np.int64)
+            lp += steps * STEP
         return pa.Table.from_arrays([docs.column("n"), pa.array(lp), *[docs.column(f.name) for f in list(schema)[2:]]], schema=schema)
     return go
 
 
 def _packed(t: pa.Table) -> pa.Table:
     order = np.argsort(key := t.column("key").to_numpy().view(np.uint64))
-    return pa.table({"shard": t.column("shard").slice(0, 1), "keys": pa.array([key[order].tobytes()], pa.binary()),
-                     "values": pa.array([t.column("value").to_numpy()[order].astype(np.int32).tobytes()], pa.binary())})
+    return pa.table({"shard": t.column("shard").slice(0, 1), "keys": pa.array([_squeezed_keys(key[order])], pa.binary()),
+                     "values": pa.array([_squeezed(t.column("value").to_numpy()[order].astype(np.int32))], pa.binary())})
 
 
 class Shards:
-    """A model cut by key: a written table with one row for each shard (its sorted keys and their values), and
-    the commonest words."""
+    """A model cut by key: a written table with the sorted keys of each shard and their values, a row for
+    each part of the model that has some, and the commonest words. ``spend``: each part of the model is
+    deleted when it is packed, so that the model is not on disk twice."""
 
-    def __init__(self, model: DataFrame, shard_rows: int = SHARD):
+    def __init__(self, model: DataFrame, shard_rows: int = SHARD, spend: bool = False):
         spark = prepare(model.sparkSession)
         self.n = max(1, -(-model.count() // shard_rows))
-        held = model.select((F.shiftrightunsigned("key", 1) % self.n).alias("shard"), "key", "value")
-        self.table = keep(held.groupBy("shard").applyInArrow(_packed, "shard long, keys binary, values binary"), "kn-shards")
         common = model.where("seen is not null").orderBy(F.desc("seen"), "key").limit(HOT).select("key", "value").toArrow()
         names, values = common.column("key").to_numpy().view(np.uint64), common.column("value").to_numpy()
         self.hot = spark.sparkContext.broadcast((np.sort(names), values[np.argsort(names)]))
+        self.parts = []
+        shard = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(self.n).cast("long"), 32)
+        for part in getattr(model, "_parts", [model]):
+            held = part.select(shard.alias("shard"), "key", "value")
+            self.parts.append(keep(held.groupBy("shard").applyInArrow(_packed, "shard long, keys binary, values binary"), "kn-shards"))
+            if spend:
+                drop(part)
+        self.table = reduce(DataFrame.union, self.parts)
 
 
 def perplexity(texts: DataFrame, model: DataFrame, unknown: float, shard_rows: int = SHARD) -> DataFrame:
     """``texts`` (key columns and text) with n_tokens and perplexity, the text dropped; a written table."""
     shards = Shards(model, shard_rows)
     out = scores(texts, shards, unknown)
-    drop(shards.table)
+    drop(*shards.parts)
     return out
 
 
+def _shapes(info: list[T.StructField]) -> tuple[T.StructType, T.StructType, T.StructType]:
+    """What goes to the shards, to the buckets, and comes out of them; ``info`` passes."""
+    block, uid, n = (T.StructField(c, T.LongType()) for c in ("block", "uid", "n"))
+    lp = T.StructField("lp", T.DoubleType())
+    binary = lambda *names: [T.StructField(c, T.BinaryType()) for c in names]
+    return (T.StructType([T.StructField("shard", T.LongType()), block, uid, *binary("keys", "rows", "counts"), n, lp, *info]),
+            T.StructType([T.StructField("bucket", T.LongType()), block, uid, n, lp, *binary("rows", "sums"), *info]),
+            T.StructType([n, lp, *info]))
+
+
 def scores(texts: DataFrame, shards: Shards, unknown: float) -> DataFrame:
     """``perplexity`` with a model that is cut already."""
     by = [c for c in texts.columns if c != "text"]
     info = [T.StructField(f"by_{i}", texts.schema[c].dataType) for i, c in enumerate(by)]
-    uid, n, lp = T.StructField("uid", T.LongType()), T.StructField("n", T.LongType()), T.StructField("lp", T.DoubleType())
-    binary = lambda *names: [T.StructField(c, T.BinaryType()) for c in names]
-    shape = T.StructType([T.StructField("shard", T.LongType()), uid, *binary("keys", "rows", "counts"), n, lp, *info])
-    found = T.StructType([T.StructField("bucket", T.LongType()), uid, n, lp, *binary("uids", "sums"), *info])
-    out = T.StructType([n, lp, *info])
+    shape, found, out = _shapes(info)
     done = []
     for k in range(SLICES):
         mine = texts.where(F.pmod(F.xxhash64(*texts.columns, F.lit(5)), F.lit(SLICES)) == k)
@@ -332,11 +374,14 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
     texts = docs.select("doc_id", "lang", "text")
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
-    model, unknown = train(texts.join(good.where(half == 0), "doc_id", "left_semi").select("text"))
-    shards = Shards(model, shard_rows)
-    drop(*getattr(model, "_parts", [model]))
+    deal = F.pmod(F.xxhash64("doc_id"), F.lit(DEALS))
+    trusted = [keep(texts.where(deal == k).join(good.where(half == 0), "doc_id", "left_semi").select("text"), "kn-trusted") for k in range(DEALS)]
+    slices = counted(reduce(DataFrame.union, trusted))
+    drop(*trusted)
+    model, unknown = fitted(slices)
+    shards = Shards(model, shard_rows, spend=True)
     scored = scores(texts, shards, unknown)
-    drop(shards.table)
+    drop(*shards.parts)
     unseen = scored.join(good.where(half == 1), "doc_id", "left_semi")
     by_lang = unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own")).withColumnRenamed("lang", "l")
     any_lang = unseen.agg(F.percentile_approx("perplexity", quantile, 10000)).first()[0]
