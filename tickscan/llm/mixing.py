@@ -11,8 +11,8 @@ Without given weights a source of n documents weighs n ** ``ALPHA``; the mix the
 documents as the input, on average. Counts cover all documents; the rates (one row for each source)
 are joined, never collected.
 
-Defined cases: null source is a source of its own; a row with null id draws by its text and its place in
-the input, so that such rows draw each for itself (and alike on every run over the same files); rows that
+Defined cases: null source is a source of its own; a row with null id draws by its columns and its number
+among the rows equal to it, so that such rows draw each for itself, wherever they stand in the input; rows that
 repeat an id get equal numbers of copies; a source that given weights leave out gets no copies;
 null or empty texts are documents like others; empty tables give no rows; extra columns are kept,
 and the added columns get underscores where names clash.
@@ -54,17 +54,27 @@ def rates(docs: DataFrame, source: str = "source", weights: DataFrame | None = N
     return cdf.groupBy("source").agg(F.first("rate").alias("rate"), F.array_sort(F.collect_list("cdf")).alias("cdf"))
 
 
+def keyed(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with _mix_key, by which a row draws. Rows without id are counted with their equals and
+    numbered; equal rows meet as one row and a count."""
+    every = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    named = docs.where(docs[id_col].isNotNull()).withColumn("_mix_key", docs[id_col].cast("string"))
+    loose = docs.where(docs[id_col].isNull()).groupBy(*every).agg(F.count("*").alias("_mix_n"))
+    at = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_n"))).alias("_mix_at")
+    body = F.md5(F.to_json(F.struct(*every)))
+    loose = loose.select(*every, at).select(*every, F.concat(body, F.lit("#"), F.col("_mix_at").cast("string")).alias("_mix_key"))
+    return named.union(loose)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights: DataFrame | None = None,
         alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """``docs`` repeated to the weights and shuffled, with copy (from 1), n_copies and shuffle_key."""
     name = {c: free_name(docs, c) for c in ("copy", "n_copies", "shuffle_key")}
     # written first: its size is then known, and Spark broadcasts it while it is small
     r = keep(rates(docs, source, weights, alpha), "mix-rates").select(F.col("source").alias("_mix_source"), F.col("cdf").alias("_mix_cdf"))
-    body = F.coalesce(docs["text"], F.lit("")) if "text" in docs.columns else F.lit("")
-    own = F.when(docs[id_col].isNull(), F.concat(F.md5(body), F.lit("#"), F.monotonically_increasing_id().cast("string")))
-    drawn = docs.withColumn("_mix_key", F.coalesce(docs[id_col].cast("string"), own))
+    drawn = keyed(docs, id_col)
     u = uniform(F.lit(seed), F.col("_mix_key")) / F.lit(float(1 << 52))
-    drawn = drawn.withColumn("_mix_u", u).join(r, docs[source].eqNullSafe(F.col("_mix_source")))
+    drawn = drawn.withColumn("_mix_u", u).join(r, F.col(source).eqNullSafe(F.col("_mix_source")))
     drawn = drawn.withColumn(name["n_copies"], F.expr("size(filter(_mix_cdf, c -> _mix_u >= c))")).drop("_mix_cdf", "_mix_u", "_mix_source")
     every = drawn.where(F.col(name["n_copies"]) > 0).withColumn(name["copy"], F.explode(F.sequence(F.lit(1), F.col(name["n_copies"]))))
     every = every.withColumn(name["shuffle_key"], uniform(F.lit(seed + 1), F.col("_mix_key"), F.col(name["copy"])))
